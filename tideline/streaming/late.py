@@ -1,0 +1,66 @@
+"""Routing late rows of a stream to their own sink, and splitting off bad rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tideline.operators.dlq import dead_letters, split
+from tideline.operators.late import interval
+from tideline.plans.spec import Domain
+from tideline.sources.decode import checked
+
+BatchSink = Callable[[DataFrame, int], None]
+
+
+class LateRouter:
+    """``foreachBatch`` function: on-time rows to one sink, late rows to another.
+
+    Late means before the largest event time of all earlier batches minus ``delay``.  Each
+    batch leaves its largest time in a one-row folder named after it, so a replayed batch
+    meets the same watermark even on a new driver.
+    """
+
+    def __init__(self, state: str, time: str, delay: str, on_time: BatchSink, late: BatchSink):
+        self.state = state.rstrip("/")
+        self.time = time
+        self.delay = delay
+        self.on_time = on_time
+        self.late = late
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        schema = T.StructType([T.StructField("seen", batch.schema[self.time].dataType), T.StructField("batch_id", T.LongType())])
+        batch.persist()
+        try:
+            own = f"{self.state}/batch_id={batch_id}"
+            batch.agg(F.max(self.time).alias("seen")).coalesce(1).write.mode("overwrite").parquet(own)
+            seen = spark.read.schema(schema).option("basePath", self.state).parquet(f"{self.state}/batch_id=*")
+            largest = seen.filter(F.col("batch_id") < batch_id).agg(F.max("seen")).first()[0]
+            watermark = F.lit(largest).cast(schema["seen"].dataType) - interval(self.delay)
+            is_late = F.coalesce(F.col(self.time) < watermark, F.lit(False))
+            self.on_time(batch.filter(~is_late), batch_id)
+            self.late(batch.filter(is_late), batch_id)
+        finally:
+            batch.unpersist()
+
+
+class DeadLetterSplit:
+    """``foreachBatch`` function: good messages to one sink, failed ones as dead letters."""
+
+    def __init__(self, domain: Domain, good: BatchSink, bad: BatchSink):
+        self.domain = domain
+        self.good = good
+        self.bad = bad
+
+    def __call__(self, messages: DataFrame, batch_id: int) -> None:
+        rows = checked(messages, self.domain).persist()
+        try:
+            good, bad = split(rows)
+            self.good(good, batch_id)
+            self.bad(dead_letters(bad), batch_id)
+        finally:
+            rows.unpersist()
