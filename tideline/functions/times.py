@@ -47,19 +47,31 @@ def epoch_millis(instant: Column | str) -> Column:
     return F.unix_millis(F.col(instant) if isinstance(instant, str) else instant)
 
 
+def _wall_micros(name: str) -> str:
+    # unix_timestamp() of a zoneless time ignores the session zone but drops the fraction;
+    # the fraction survives a cast, because zone offsets are whole seconds.
+    return f"(unix_timestamp(`{name}`) * 1000000L + pmod(unix_micros(cast(`{name}` as timestamp)), 1000000L))"
+
+
+def wall_micros(name: str) -> Column:
+    """Microseconds since the epoch of a zoneless UTC wall time."""
+    return F.expr(_wall_micros(name))
+
+
+def wall_millis(name: str) -> Column:
+    return F.expr(f"{_wall_micros(name)} div 1000L")
+
+
 def wall_to_instant(name: str) -> Column:
     """A zoneless UTC wall time as an instant, whatever the session time zone is."""
-    return F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {_EPOCH}, `{name}`))")
+    return F.expr(f"timestamp_micros({_wall_micros(name)})")
 
 
 def instant_to_wall(name: str) -> Column:
     """An instant as zoneless UTC wall time, whatever the session time zone is."""
-    return F.expr(f"timestampadd(MICROSECOND, unix_micros(`{name}`), {_EPOCH})")
-
-
-def wall_micros(name: str) -> Column:
-    return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, `{name}`)")
+    return micros_to_wall(f"unix_micros(`{name}`)")
 
 
-def micros_to_wall(name: str) -> Column:
-    return F.expr(f"timestampadd(MICROSECOND, `{name}`, {_EPOCH})")
+def micros_to_wall(micros: str) -> Column:
+    """SQL text of epoch microseconds to zoneless UTC wall time."""
+    return F.expr(f"timestampadd(MICROSECOND, {micros}, {_EPOCH})")

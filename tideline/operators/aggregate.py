@@ -76,10 +76,10 @@ def aggregate(
         return df.groupBy(window_column(spec.window, time), *keys).agg(measure[spec.kind]().alias(spec.measure))
 
     partial = {
-        "count": [F.count("*").alias("n__")],
-        "sum": [total(field).alias("s__")],
-        "avg": [total(field).alias("s__"), F.count(field).alias("n__")],
-    }[spec.kind]
+        "count": lambda: [F.count("*").alias("n__")],
+        "sum": lambda: [total(field).alias("s__")],
+        "avg": lambda: [total(field).alias("s__"), F.count(field).alias("n__")],
+    }[spec.kind]()
     final = {
         "count": lambda: F.sum("n__"),
         "sum": lambda: total("s__"),

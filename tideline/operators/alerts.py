@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tideline.functions.predicates import condition_column
-from tideline.functions.times import duration_micros
+from tideline.functions.times import duration_micros, wall_micros
 from tideline.operators.late import interval
 from tideline.operators.ordered import join_null_safe, lag_over_time
 from tideline.plans.spec import AggregationSpec, AlertSpec, resolve_path
@@ -139,7 +139,7 @@ def cooldown(alerts: DataFrame, period: str, ties: list[str], periods_per_chunk:
 
 def _micros_of(df: DataFrame, name: str) -> Column:
     if dict(df.dtypes)[name] == "timestamp_ntz":
-        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{name}`)")
+        return wall_micros(name)
     return F.unix_micros(name)
 
 

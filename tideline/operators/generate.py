@@ -12,9 +12,9 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.functions.scalars import topic_for
 from tideline.plans.schema import EVENT_ID, TIMESTAMP, fields_of
 from tideline.plans.spec import Domain, EventType
-from tideline.sources.decode import encode_json
 
 # A prime below 2**31: products of two residues stay inside a 64-bit long.
 _PRIME = 2_147_483_647
@@ -22,26 +22,34 @@ _NULL_PER_MILLE = 100
 _MONEY_RANGE = (100, 100_000)
 
 
-def salt_of(seed: int, purpose: str) -> int:
-    return zlib.crc32(f"{seed}:{purpose}".encode()) % _PRIME
+def factors(seed: int, purpose: str) -> tuple[int, int, int]:
+    """Multipliers and offset of the universal hash for one purpose."""
+    numbers = [zlib.crc32(f"{seed}:{purpose}:{part}".encode()) for part in ("id", "high", "offset")]
+    return numbers[0] % (_PRIME - 1) + 1, numbers[1] % (_PRIME - 1) + 1, numbers[2] % _PRIME
+
+
+def _draw(id_column: str, seed: int, purpose: str) -> str:
+    """SQL text of a number in [0, 2**31 - 1); as text it costs one call to build a column."""
+    a, b, c = factors(seed, purpose)
+    return f"((`{id_column}` % {_PRIME}L * {a}L + `{id_column}` div {_PRIME}L % {_PRIME}L * {b}L % {_PRIME}L + {c}L) % {_PRIME}L)"
 
 
 def draw(id_column: str, seed: int, purpose: str) -> Column:
     """A pseudo-random integer in [0, 2**31 - 1) for this id and purpose, all in codegen."""
-    salt = F.lit(salt_of(seed, purpose)).cast("bigint")
-    row = F.col(id_column).cast("bigint")
-    folded = (row % _PRIME + F.expr(f"`{id_column}` div {_PRIME}") * 16_807) % _PRIME
-    first = (folded * 48_271 + salt) % _PRIME
-    return ((first * first) % _PRIME * 69_621 + first + salt) % _PRIME
+    return F.expr(_draw(id_column, seed, purpose))
+
+
+def _between(id_column: str, seed: int, purpose: str, low: int, high: int) -> str:
+    return f"({_draw(id_column, seed, purpose)} % {high - low + 1}L + {low}L)"
 
 
 def draw_between(id_column: str, seed: int, purpose: str, low: int, high: int) -> Column:
     """An integer in [low, high]."""
-    return draw(id_column, seed, purpose) % (high - low + 1) + low
+    return F.expr(_between(id_column, seed, purpose, low, high))
 
 
 def draw_chance(id_column: str, seed: int, purpose: str, probability: float) -> Column:
-    return draw(id_column, seed, purpose) % 10_000 < round(probability * 10_000)
+    return F.expr(f"{_draw(id_column, seed, purpose)} % 10000L < {round(probability * 10_000)}L")
 
 
 def spine(spark: SparkSession, rows: int, start_millis: int, step_millis: int = 1) -> DataFrame:
@@ -49,96 +57,112 @@ def spine(spark: SparkSession, rows: int, start_millis: int, step_millis: int =
     return spark.range(rows).select("id", (F.lit(start_millis) + F.col("id") * step_millis).alias("at_millis"))
 
 
-def _digest(id_column: str, seed: int, purpose: str) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(purpose), F.col(id_column).cast("string")))
+def _digest(id_column: str, seed: int, purpose: str) -> str:
+    return f"md5(concat('{seed}:{purpose}:', cast(`{id_column}` as string)))"
 
 
-def _uuid(id_column: str, seed: int, purpose: str) -> Column:
-    return F.regexp_replace(
-        _digest(id_column, seed, purpose), r"^(.{8})(.{4}).(.{3}).(.{3})(.{12})$", "$1-$2-4$3-a$4-$5"
-    )
+def _uuid(id_column: str, seed: int, purpose: str) -> str:
+    """A version-4 shaped id from one digest."""
+    cut = r"r'^(.{8})(.{4}).(.{3}).(.{3})(.{12})$', '$1-$2-4$3-a$4-$5'"
+    return f"regexp_replace({_digest(id_column, seed, purpose)}, {cut})"
 
 
-def _value(name: str, kind: str, domain: Domain, seed: int, id_column: str) -> Column:
+def _value(name: str, kind: str, domain: Domain, seed: int, id_column: str) -> str:
+    """SQL text of one field's value."""
     choices = domain.samples.get(name)
     if choices:
-        index = draw_between(id_column, seed, name, 1, len(choices)).cast("int")
-        return F.element_at(F.array(*[F.lit(c) for c in choices]), index)
+        listed = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in choices)
+        return f"elt(cast({_between(id_column, seed, name, 1, len(choices))} as int), {listed})"
     if kind == "string":
         if name == domain.entity_key:
             pool = domain.synthetic.get("user_pool_size", 10_000)
-            return F.format_string("user_%06d", draw_between(id_column, seed, name, 1, pool))
+            return f"format_string('user_%06d', {_between(id_column, seed, name, 1, pool)})"
         if name == EVENT_ID:
             return _uuid(id_column, seed, name)
         if "id" in name.lower():
-            return F.concat(F.lit(f"{name}_"), F.substring(_digest(id_column, seed, name), 1, 8))
-        return F.lit(f"sample_{name}")
+            return f"concat('{name}_', substring({_digest(id_column, seed, name)}, 1, 8))"
+        return f"'sample_{name}'"
     if kind in ("money", "long"):
-        return draw_between(id_column, seed, name, *_MONEY_RANGE)
+        return _between(id_column, seed, name, *_MONEY_RANGE)
     if kind in ("float", "double"):
-        return draw_between(id_column, seed, name, 0, 10_000) / 100
+        return f"({_between(id_column, seed, name, 0, 10_000)} / 100D)"
     if kind == "int":
-        return draw_between(id_column, seed, name, 1, 100).cast("int")
+        return f"cast({_between(id_column, seed, name, 1, 100)} as int)"
     if kind == "boolean":
-        return draw_chance(id_column, seed, name, 0.5)
+        return f"({_draw(id_column, seed, name)} % 2L = 0L)"
     raise ValueError(f"{name}: no generator for {kind}")
 
 
+def _fields(kind_of: EventType, domain: Domain, seed: int, given: dict[str, str]) -> dict[str, str]:
+    """SQL text of every field of one event type, in record order."""
+    fields = {}
+    for name, kind, nullable in fields_of(kind_of, domain.entity_key):
+        if name in given:
+            fields[name] = given[name]
+            continue
+        if name == TIMESTAMP:
+            fields[name] = "at_millis"
+            continue
+        value = _value(name, kind, domain, seed, "id")
+        if nullable:
+            value = f"if({_draw('id', seed, name + '?')} % 1000L >= {_NULL_PER_MILLE}L, {value}, null)"
+        fields[name] = value
+    return fields
+
+
 def generate_events(
     rows: DataFrame,
     domain: Domain,
     event_type: str | EventType,
     seed: int = 42,
-    given: dict[str, Column] | None = None,
+    given: dict[str, str] | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One event per spine row.
 
-    ``given`` fixes fields to columns of the spine (a known user, a known amount); ``keep``
-    carries spine columns along.  Nullable fields are null one time in ten.
+    ``given`` fixes fields to SQL expressions over the spine (a known user, a known amount);
+    ``keep`` carries spine columns along.  Nullable fields are null one time in ten.
     """
     kind_of = event_type if isinstance(event_type, EventType) else domain.event_type(event_type)
-    given = given or {}
-    columns = []
-    for name, kind, nullable in fields_of(kind_of, domain.entity_key):
-        if name in given:
-            column = given[name]
-        elif name == TIMESTAMP:
-            column = F.col("at_millis")
-        else:
-            column = _value(name, kind, domain, seed, "id")
-            if nullable:
-                is_null = draw("id", seed, f"{name}?") % 1000 < _NULL_PER_MILLE
-                column = F.when(~is_null, column)
-        columns.append(column.alias(name))
-    return rows.select(*keep, *columns)
+    fields = _fields(kind_of, domain, seed, given or {})
+    return rows.selectExpr(*keep, *[f"{text} as `{name}`" for name, text in fields.items()])
 
 
 def generate_messages(
-    rows: DataFrame, domain: Domain, seed: int = 42, given: dict[str, Column] | None = None, prefix: str = "events"
+    rows: DataFrame,
+    domain: Domain,
+    event_types: list[str] | None = None,
+    seed: int = 42,
+    given: dict[str, str] | None = None,
+    prefix: str = "events",
 ) -> DataFrame:
-    """A mixed topic table: every spine row becomes one event of a drawn type.
+    """A mixed topic table in one scan: every spine row is one JSON event of a drawn type.
 
-    Each type is one branch whose ``topic`` is a constant, so subscribing to some topics
-    removes the other branches from the plan.
+    ``event_types`` subscribes to some types: rows of other types are dropped before any
+    payload is built.
     """
-    merged = None
-    for position, event_type in enumerate(domain.event_types):
-        chosen = rows.filter(draw("id", seed, "event_type") % len(domain.event_types) == position)
-        names = [name for name, _, _ in fields_of(event_type, domain.entity_key)]
-        fixed = {n: c for n, c in (given or {}).items() if n in names}
-        events = generate_events(
-            chosen.withColumn("message_time__", F.timestamp_millis("at_millis")),
-            domain,
-            event_type,
-            seed,
-            fixed,
-            keep=("id", "message_time__"),
-        )
-        messages = encode_json(events, event_type, domain.entity_key, prefix)
-        value = messages.select("key", "value", "topic")
-        merged = value if merged is None else merged.unionByName(value)
-    return merged
+    names = [t.name for t in domain.event_types]
+    wanted = [t for t in domain.event_types if t.name in (event_types or names)]
+    topics = ", ".join(f"'{topic_for(n, prefix)}'" for n in names)
+    typed = rows.withColumn(
+        "topic", F.expr(f"elt(cast({_draw('id', seed, 'event_type')} % {len(names)}L as int) + 1, {topics})")
+    )
+    if len(wanted) < len(names):
+        typed = typed.filter(F.col("topic").isin([topic_for(t.name, prefix) for t in wanted]))
+    branches = []
+    for event_type in wanted:
+        record = _fields(event_type, domain, seed, given or {})
+        struct = ", ".join(f"'{name}', {text}" for name, text in record.items())
+        branches.append(f"when '{topic_for(event_type.name, prefix)}' then to_json(named_struct({struct}))")
+    entity = (given or {}).get(domain.entity_key) or _value(domain.entity_key, "string", domain, seed, "id")
+    return typed.selectExpr(
+        f"cast({entity} as binary) as key",
+        f"cast(case topic {' '.join(branches)} end as binary) as value",
+        "topic",
+        "cast(id % 8 as int) as partition",
+        "id as offset",
+        "timestamp_millis(at_millis) as timestamp",
+    )
 
 
 def generate_sessions(rows: DataFrame, domain: Domain, seed: int = 42) -> DataFrame:

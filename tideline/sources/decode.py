@@ -32,11 +32,15 @@ def decode_json(messages: DataFrame, event_type: EventType, entity_key: str) ->
     Unparsable messages are skipped; use :func:`checked` to route them instead.
     """
     schema = struct_type(event_type, entity_key)
-    parsed = messages.filter(F.col("topic").endswith("." + event_type.name)).select(
-        event_type_of("topic").alias(EVENT_TYPE), json_record(F.col("value"), schema).alias("e")
-    )
-    good = parsed.filter(F.col(f"e.{CORRUPT}").isNull() & F.col("e").isNotNull())
-    return _with_event_time(good.select(EVENT_TYPE, *[F.col(f"e.{n}").alias(n) for n in schema.names]))
+    return _flatten(messages.filter(F.col("topic").endswith("." + event_type.name)), schema)
+
+
+def _flatten(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    # inline() keeps the corrupt-row filter above the parse; as a plain column the filter
+    # would be pushed below and the payload parsed a second time.
+    record = F.inline(F.array(json_record(F.col("value"), schema)))
+    parsed = messages.select(event_type_of("topic").alias(EVENT_TYPE), record)
+    return _with_event_time(parsed.filter(F.col(CORRUPT).isNull() & F.col(TIMESTAMP).isNotNull()).drop(CORRUPT))
 
 
 def decode_avro(messages: DataFrame, event_type: EventType, entity_key: str) -> DataFrame:
@@ -62,26 +66,24 @@ def _with_event_time(events: DataFrame) -> DataFrame:
     return events.withColumn(EVENT_TIME, event_time(TIMESTAMP))
 
 
-def decode_types(messages: DataFrame, domain: Domain, event_types: list[str]) -> DataFrame:
+def decode_types(
+    messages: DataFrame, domain: Domain, event_types: list[str], fields: list[str] | None = None
+) -> DataFrame:
     """Several event types as one table; a field a type lacks is null.
 
     One parse over the union of the types' fields, so a stream needs a single source.
+    ``fields`` restricts the parse to the columns a query reads; ``timestamp`` always stays.
     """
-    types = [domain.event_type(name) for name in event_types]
-    fields: dict[str, T.StructField] = {}
-    for event_type in types:
-        for f in struct_type(event_type, domain.entity_key).fields:
-            if f.name in fields and fields[f.name].dataType != f.dataType:
+    found: dict[str, T.StructField] = {}
+    for name in event_types:
+        for f in struct_type(domain.event_type(name), domain.entity_key).fields:
+            if fields is not None and f.name not in fields and f.name != TIMESTAMP:
+                continue
+            if f.name in found and found[f.name].dataType != f.dataType:
                 raise ValueError(f"{f.name} has different types in {event_types}")
-            fields.setdefault(f.name, f)
-    schema = T.StructType(list(fields.values()))
-    parsed = (
-        messages.withColumn(EVENT_TYPE, event_type_of("topic"))
-        .filter(F.col(EVENT_TYPE).isin(event_types))
-        .select(EVENT_TYPE, json_record(F.col("value"), schema).alias("e"))
-        .filter(F.col(f"e.{CORRUPT}").isNull() & F.col("e").isNotNull())
-    )
-    return _with_event_time(parsed.select(EVENT_TYPE, *[F.col(f"e.{n}").alias(n) for n in schema.names]))
+            found.setdefault(f.name, f)
+    wanted = messages.filter(event_type_of("topic").isin(event_types))
+    return _flatten(wanted, T.StructType(list(found.values())))
 
 
 def union_types(tables: dict[str, DataFrame]) -> DataFrame:

@@ -90,7 +90,7 @@ def spec_sql(domain: Domain, spec: AggregationSpec) -> str:
 def _register(domain: Domain, spec: AggregationSpec) -> None:
     @query(f"spec_{spec.name}", spec_sql(domain, spec))
     def run(spark, folder):
-        messages = domain_messages(spark, folder, domain)
+        messages = domain_messages(spark, folder, domain, domain.source_types(spec))
         result = flatten_window(AggregationJob(domain).result(messages, spec.name))
         if spec.kind == "avg":
             result = result.withColumn(spec.measure, F.round(spec.measure, 6))

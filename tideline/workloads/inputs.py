@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import to_cents
-from tideline.functions.times import wall_micros, wall_to_instant
+from tideline.functions.times import wall_millis, wall_to_instant
 from tideline.operators.generate import generate_messages
 from tideline.plans.spec import AlertSpec, Condition, Domain, EventType
 from tideline.sources.tables import table
@@ -34,20 +34,22 @@ def spine(spark: SparkSession, folder: str) -> DataFrame:
     """The events table as generator input: id, event time, user and value of every event."""
     return events(spark, folder).select(
         F.col("event_id").alias("id"),
-        F.floor(wall_micros("ts") / 1000).alias("at_millis"),
+        wall_millis("ts").alias("at_millis"),
         "user_id",
         "value",
     )
 
 
-def domain_messages(spark: SparkSession, folder: str, domain: Domain) -> DataFrame:
+def domain_messages(
+    spark: SparkSession, folder: str, domain: Domain, event_types: list[str] | None = None
+) -> DataFrame:
     """Every event as a message of a drawn type of ``domain``, with its real user and amount."""
     given = {
-        domain.entity_key: F.format_string("user_%06d", F.col("user_id")),
-        "total_amount": to_cents("value"),
-        "amount": to_cents("value") * 10,
+        domain.entity_key: "format_string('user_%06d', user_id)",
+        "total_amount": "cast(round(value * 100) as bigint)",
+        "amount": "cast(round(value * 100) as bigint) * 10",
     }
-    return generate_messages(spine(spark, folder), domain, given=given)
+    return generate_messages(spine(spark, folder), domain, event_types, given=given)
 
 
 def event_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,7 +59,7 @@ def event_messages(spark: SparkSession, folder: str) -> DataFrame:
         F.to_json(
             F.struct(
                 F.col("event_id").cast("string").alias("event_id"),
-                F.floor(wall_micros("ts") / 1000).alias("timestamp"),
+                wall_millis("ts").alias("timestamp"),
                 F.col("user_id").cast("string").alias("user_id"),
                 "props",
                 "value",
@@ -118,7 +120,7 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = table(spark, folder, "orders").select(
         key.alias("id"),
-        F.floor(wall_micros("o_orderdate") / 1000).alias("at"),
+        wall_millis("o_orderdate").alias("at"),
         F.explode(F.filter(steps, lambda s: s.isNotNull())).alias("s"),
     )
     lsn = F.col("id") * 10 + F.col("s.seq")

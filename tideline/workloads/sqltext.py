@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tideline.functions.times import duration_micros
-from tideline.operators.generate import salt_of
+from tideline.operators.generate import factors
 
 SEED = 42
 _PRIME = 2_147_483_647
@@ -23,10 +23,9 @@ def sliding(us: str, size: str, slide: str) -> tuple[str, str, str]:
 
 
 def draw(id_column: str, purpose: str, seed: int = SEED) -> str:
-    salt = salt_of(seed, purpose)
-    folded = f"(({id_column} % {_PRIME} + ({id_column} // {_PRIME}) * 16807) % {_PRIME})"
-    first = f"(({folded} * 48271 + {salt}) % {_PRIME})"
-    return f"((({first} * {first}) % {_PRIME} * 69621 + {first} + {salt}) % {_PRIME})"
+    a, b, c = factors(seed, purpose)
+    low, high = f"({id_column} % {_PRIME})", f"({id_column} // {_PRIME} % {_PRIME})"
+    return f"(({low} * {a} + {high} * {b} % {_PRIME} + {c}) % {_PRIME})"
 
 
 def draw_between(id_column: str, purpose: str, low: int, high: int, seed: int = SEED) -> str:
