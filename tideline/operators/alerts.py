@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,9 @@ def event_alerts(events: DataFrame, alert: AlertSpec, entity_key: str | None = N
     )
 
 
+# The functions below run in Python workers; sent by value, they need nothing installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # ---------------------------------------------------------------- cooldown on a table
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tideline.functions.scalars import topic_schema_and_table
 from tideline.operators.ranking import latest
-from tideline.sources.decode import CORRUPT, json_record
+from tideline.sources.decode import CORRUPT, json_record, once
 
 # Operation codes of the change envelope.
 OP_NAMES = {"c": "INSERT", "u": "UPDATE", "d": "DELETE", "r": "SNAPSHOT"}
@@ -54,7 +54,7 @@ def parse_changes(messages: DataFrame, keep_corrupt: bool = False) -> DataFrame:
     raw = F.col("value").cast("string")
     tombstone = F.col("value").isNull()
     schema, table = topic_schema_and_table("topic")
-    parsed = messages.withColumn("raw", raw).withColumn("e", json_record(raw, _ENVELOPE))
+    parsed = messages.withColumn("raw", raw).select("*", once(json_record(raw, _ENVELOPE), "e"))
     corrupt = ~tombstone & (F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull())
     if not keep_corrupt:
         parsed = parsed.filter(~corrupt)
@@ -97,25 +97,31 @@ def typed_rows(changes: DataFrame, row: T.StructType, images: tuple[str, ...] =
     return changes.withColumns({image: F.from_json(image, row) for image in images})
 
 
-def current_state(changes: DataFrame, row: T.StructType, keys: list[str]) -> DataFrame:
-    """One table's rows as of the last change: latest per key by log position, deletes dropped."""
+def last_changes(changes: DataFrame, row: T.StructType, keys: list[str]) -> DataFrame:
+    """One table's last change per key by log position, deletes included.
+
+    Result: ``op, lsn, offset`` and the row.  Applying it to its own output, or to a union
+    of outputs, changes nothing, so replayed batches are harmless.
+    """
     rows = changes.filter(F.col("op_name") != TOMBSTONE).select(
-        "op", F.col("source.lsn").alias("lsn"), "offset", F.from_json("data", row).alias("data")
+        "op", F.col("source.lsn").alias("lsn"), "offset", once(F.from_json("data", row), "row")
     )
-    flat = rows.select("op", "lsn", "offset", "data.*")
-    last = latest(flat, keys, ["lsn", "offset"])
+    return latest(rows.select("op", "lsn", "offset", "row.*"), keys, ["lsn", "offset"])
+
+
+def live_rows(last: DataFrame) -> DataFrame:
+    """Rows that exist: their last change is not a delete."""
     return last.filter(F.col("op") != "d").drop("op", "offset")
 
 
-def merge_state(state: DataFrame, changes: DataFrame, row: T.StructType, keys: list[str]) -> DataFrame:
-    """Fold new changes into a stored state that keeps deletes as ``op = 'd'`` rows.
+def current_state(changes: DataFrame, row: T.StructType, keys: list[str]) -> DataFrame:
+    """One table's rows as of the last change."""
+    return live_rows(last_changes(changes, row, keys))
 
-    Both sides carry ``op, lsn, offset`` and the row, so replaying the same changes is a no-op.
-    """
-    new = changes.filter(F.col("op_name") != TOMBSTONE).select(
-        "op", F.col("source.lsn").alias("lsn"), "offset", F.from_json("data", row).alias("data")
-    )
-    return latest(state.unionByName(new.select("op", "lsn", "offset", "data.*")), keys, ["lsn", "offset"])
+
+def merge_state(state: DataFrame, changes: DataFrame, row: T.StructType, keys: list[str]) -> DataFrame:
+    """Fold new changes into a stored result of :func:`last_changes`."""
+    return latest(state.unionByName(last_changes(changes, row, keys)), keys, ["lsn", "offset"])
 
 
 def audit_rows(changes: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.sources.decode import CORRUPT, json_record
+from tideline.sources.decode import CORRUPT, json_record, once
 
 # Envelope fields and the default number of retries.
 MAX_RETRIES = 3
@@ -91,15 +91,11 @@ def replay(letters: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def to_messages(letters: DataFrame, topic: str = "events.dlq") -> DataFrame:
     """Envelopes as keyed messages; ``original_event`` stays a JSON object where it is one."""
-    nested = F.struct(
-        *[F.try_parse_json("original_event").alias(n) if n == "original_event" else F.col(n) for n in _NAMES]
-    )
-    plain = F.struct(*_NAMES)
-    is_json = F.try_parse_json("original_event").isNotNull()
-    return letters.select(
-        F.col("event_id").cast("binary").alias("key"),
-        F.when(is_json, F.to_json(nested)).otherwise(F.to_json(plain)).cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
+    parsed = letters.select("*", once(F.try_parse_json("original_event"), "v__"))
+    nested = F.struct(*[F.col("v__").alias(n) if n == "original_event" else F.col(n) for n in _NAMES])
+    text = F.when(F.col("v__").isNotNull(), F.to_json(nested)).otherwise(F.to_json(F.struct(*_NAMES)))
+    return parsed.select(
+        F.col("event_id").cast("binary").alias("key"), text.cast("binary").alias("value"), F.lit(topic).alias("topic")
     )
 
 
@@ -108,11 +104,13 @@ def from_messages(messages: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     known = F.array(*[F.lit(n) for n in _NAMES])
     needed = F.array(*[F.lit(n) for n in _NAMES[:4]])
-    keys = F.json_object_keys("text")
-    parsed = messages.select(text.alias("text"), json_record(text, ENVELOPE).alias("e")).filter(
-        F.col("e").isNotNull() & F.col(f"e.{CORRUPT}").isNull()
+    read = F.struct(json_record(text, ENVELOPE).alias("e"), F.json_object_keys(text).alias("keys"))
+    parsed = messages.select(once(read, "r")).select("r.e", "r.keys")
+    strict = parsed.filter(
+        F.col(f"e.{CORRUPT}").isNull()
+        & (F.size(F.array_except("keys", known)) == 0)
+        & (F.size(F.array_except(needed, "keys")) == 0)
     )
-    strict = parsed.filter((F.size(F.array_except(keys, known)) == 0) & (F.size(F.array_except(needed, keys)) == 0))
     return _with_defaults(strict.select(*[F.col(f"e.{n}").alias(n) for n in _NAMES]))
 
 

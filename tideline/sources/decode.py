@@ -26,6 +26,15 @@ def json_record(value: Column, schema: T.StructType) -> Column:
     )
 
 
+def once(column: Column, name: str) -> Column:
+    """A costly column computed a single time per row.
+
+    Filters on a plain column are pushed below its projection and repeat its expression;
+    they cannot pass a generator, and a one-element array makes this one free of new rows.
+    """
+    return F.explode(F.array(column)).alias(name)
+
+
 def decode_json(messages: DataFrame, event_type: EventType, entity_key: str) -> DataFrame:
     """Messages of one event type to flat columns plus ``event_type`` and ``event_time``.
 
@@ -36,11 +45,9 @@ def decode_json(messages: DataFrame, event_type: EventType, entity_key: str) ->
 
 
 def _flatten(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    # inline() keeps the corrupt-row filter above the parse; as a plain column the filter
-    # would be pushed below and the payload parsed a second time.
-    record = F.inline(F.array(json_record(F.col("value"), schema)))
-    parsed = messages.select(event_type_of("topic").alias(EVENT_TYPE), record)
-    return _with_event_time(parsed.filter(F.col(CORRUPT).isNull() & F.col(TIMESTAMP).isNotNull()).drop(CORRUPT))
+    parsed = messages.select(event_type_of("topic").alias(EVENT_TYPE), once(json_record(F.col("value"), schema), "e"))
+    good = parsed.filter(F.col(f"e.{CORRUPT}").isNull() & F.col(f"e.{TIMESTAMP}").isNotNull())
+    return _with_event_time(good.select(EVENT_TYPE, *[F.col(f"e.{n}").alias(n) for n in schema.names]))
 
 
 def decode_avro(messages: DataFrame, event_type: EventType, entity_key: str) -> DataFrame:
@@ -118,7 +125,7 @@ def checked(messages: DataFrame, domain: Domain) -> DataFrame:
     lacking = F.size("missing") > 0
     return (
         messages.withColumn(EVENT_TYPE, event_type_of("topic"))
-        .withColumn("e", json_record(F.col("value"), schema))
+        .select("*", once(json_record(F.col("value"), schema), "e"))
         .withColumn("missing", missing)
         .withColumn(
             "error_type",

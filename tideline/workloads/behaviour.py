@@ -58,7 +58,7 @@ def abandoned_carts(spark, folder):
 
 @query(
     "interval_join_view_purchase",
-    """SELECT v.event_id, v.user_id, v.ts, p.event_id AS purchase_id, p.ts AS purchase_at
+    """SELECT v.event_id, v.user_id, v.ts, coalesce(p.event_id, -1) AS purchase_id, p.ts AS purchase_at
        FROM (SELECT * FROM events WHERE event_type = 'view') v
        LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
          ON p.user_id = v.user_id AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 12 HOUR
@@ -71,7 +71,7 @@ def interval_join_view_purchase(spark, folder):
         views, df.filter("event_type = 'purchase'"), "user_id", "ts", "12 hours", ["event_id"], bucket="1 hour"
     )
     return matched.select(
-        "event_id", "user_id", "ts", F.col("match.event_id").alias("purchase_id"), F.col("match.time").alias("purchase_at")
+        "event_id", "user_id", "ts", F.coalesce("match.event_id", F.lit(-1)).alias("purchase_id"), F.col("match.time").alias("purchase_at")
     )
 
 
@@ -123,7 +123,7 @@ def late_split(spark, folder):
 def metric_alerts_query(spark, folder):
     alert = ECOMMERCE.alert("revenue_drop")
     spec = ECOMMERCE.aggregation(alert.metric)
-    messages = domain_messages(spark, folder, ECOMMERCE, ECOMMERCE.source_types(spec))
+    messages = domain_messages(events(spark, folder), ECOMMERCE, ECOMMERCE.source_types(spec))
     totals = flatten_window(AggregationJob(ECOMMERCE).result(messages, spec.name))
     return metric_alerts(totals, alert, spec).drop("alert_time")
 
@@ -152,15 +152,15 @@ _ALERTS_SQL = f"""SELECT 'large_purchase' AS alert, ts AS t, min(event_id) AS ev
     UNION ALL SELECT 'error_seen', ts, min(event_id) FROM events WHERE event_type = 'error' AND value > 0 GROUP BY ts"""
 
 
-@query(
-    "alert_cooldown",
-    f"""WITH RECURSIVE a AS ({_ALERTS_SQL}),
-             n AS (SELECT x.alert, x.t, y.t AS next_t FROM a x ASOF LEFT JOIN a y
-                   ON x.alert = y.alert AND x.t + INTERVAL 6 HOUR <= y.t),
+ALERT_COOLDOWN_SQL = f"""WITH RECURSIVE a AS ({_ALERTS_SQL}),
+             n AS (SELECT alert, t, min(t) OVER (PARTITION BY alert ORDER BY t
+                     RANGE BETWEEN INTERVAL 6 HOUR FOLLOWING AND UNBOUNDED FOLLOWING) AS next_t FROM a),
              f AS (SELECT alert, min(t) AS t FROM a GROUP BY alert
                    UNION ALL SELECT n.alert, n.next_t FROM f JOIN n ON n.alert = f.alert AND n.t = f.t WHERE n.next_t IS NOT NULL)
-        SELECT a.alert, a.t AS alert_time, a.event_id FROM f JOIN a ON a.alert = f.alert AND a.t = f.t""",
-)
+        SELECT a.alert, a.t AS alert_time, a.event_id FROM f JOIN a ON a.alert = f.alert AND a.t = f.t"""
+
+
+@query("alert_cooldown", ALERT_COOLDOWN_SQL)
 def alert_cooldown(spark, folder):
     return cooldown(_all_alerts(spark, folder), "6 hours", ["event_id"], periods_per_chunk=8)
 
@@ -170,7 +170,8 @@ def alert_cooldown(spark, folder):
     f"""WITH RECURSIVE w AS (SELECT make_timestamp((epoch_us(ts) // 60000000) * 60000000 + 60000000) AS t, event_type, count(*) AS count
                              FROM events GROUP BY ALL),
              a AS (SELECT t, min(event_type) AS event_type FROM w WHERE count < 10 GROUP BY t),
-             n AS (SELECT x.t, y.t AS next_t FROM a x ASOF LEFT JOIN a y ON x.t + INTERVAL 10 MINUTE <= y.t),
+             n AS (SELECT t, min(t) OVER (ORDER BY t RANGE BETWEEN INTERVAL 10 MINUTE FOLLOWING AND UNBOUNDED FOLLOWING)
+                     AS next_t FROM a),
              f AS (SELECT min(t) AS t FROM a UNION ALL SELECT n.next_t FROM f JOIN n ON n.t = f.t WHERE n.next_t IS NOT NULL)
         SELECT 'low_traffic' AS alert, 'warning' AS severity, a.t AS alert_time, a.event_type FROM f JOIN a ON a.t = f.t""",
 )

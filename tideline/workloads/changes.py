@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 from tideline.operators import cdc, dlq
 from tideline.sources.decode import checked
-from tideline.workloads.inputs import CLICKSTREAM, change_log, customer_log, flawed_messages
+from tideline.sources.tables import table
+from tideline.workloads.inputs import CLICKSTREAM, change_log, customer_log, events, flawed_messages
 from tideline.workloads.registry import query
 
 ORDER_ROW = T.StructType(
@@ -25,7 +26,7 @@ CUSTOMER_ROW = T.StructType(
 _CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 # One row per change message of the order log.
 _LOG = f"""(
-    SELECT o_orderkey AS id, o_custkey AS customer_id, {_CENTS} AS cents, epoch_ms(o_orderdate) AS at_ms, seq, op, op_name,
+    SELECT o_orderkey AS id, o_custkey AS customer_id, {_CENTS} AS cents, (epoch_us(o_orderdate) // 1000) AS at_ms, seq, op, op_name,
            o_orderkey * 10 + seq AS lsn
     FROM orders, (VALUES (1, 'c', 'INSERT'), (2, 'u', 'UPDATE'), (3, 'd', 'DELETE'), (4, 'd', 'TOMBSTONE')) v(seq, op, op_name)
     WHERE seq = 1 OR (seq = 2 AND o_orderkey % 3 = 0) OR (seq >= 3 AND o_orderkey % 7 = 0))"""
@@ -34,49 +35,49 @@ _LOG = f"""(
 @query(
     "cdc_parse",
     f"""SELECT op, op_name, 'public' AS "schema", 'orders' AS "table",
-               CASE WHEN seq = 4 THEN NULL ELSE id END AS id,
+               CASE WHEN seq = 4 THEN -1 ELSE id END AS id,
                CASE WHEN seq = 4 THEN NULL WHEN seq = 2 OR (seq = 3 AND id % 3 = 0) THEN 'completed' ELSE 'pending' END AS status,
                seq IN (2, 3) AS has_before, seq IN (1, 2) AS has_after,
-               CASE WHEN seq < 4 THEN at_ms END AS ts_ms, CASE WHEN seq < 4 THEN lsn END AS lsn,
+               CASE WHEN seq < 4 THEN at_ms ELSE -1 END AS ts_ms, CASE WHEN seq < 4 THEN lsn ELSE -1 END AS lsn,
                CASE WHEN seq < 4 THEN 'shop' END AS db, lsn AS "offset" FROM {_LOG}""",
 )
 def cdc_parse(spark, folder):
-    changes = cdc.typed_rows(cdc.parse_changes(change_log(spark, folder)), ORDER_ROW)
+    changes = cdc.typed_rows(cdc.parse_changes(change_log(table(spark, folder, "orders"))), ORDER_ROW)
     return changes.select(
         "op",
         "op_name",
         "schema",
         "table",
-        "data.id",
+        F.coalesce("data.id", F.lit(-1)).alias("id"),
         "data.status",
         F.col("before").isNotNull().alias("has_before"),
         F.col("after").isNotNull().alias("has_after"),
-        "ts_ms",
-        "source.lsn",
+        F.coalesce("ts_ms", F.lit(-1)).alias("ts_ms"),
+        F.coalesce("source.lsn", F.lit(-1)).alias("lsn"),
         "source.db",
         "offset",
     )
 
 
-@query(
-    "cdc_current_state",
-    f"""SELECT o_orderkey AS id, o_custkey AS customer_id, {_CENTS} AS amount_cents,
+ORDER_STATE_SQL = f"""SELECT o_orderkey AS id, o_custkey AS customer_id, {_CENTS} AS amount_cents,
                CASE WHEN o_orderkey % 3 = 0 THEN 'completed' ELSE 'pending' END AS status,
                o_orderkey * 10 + CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS lsn
-        FROM orders WHERE o_orderkey % 7 <> 0""",
-)
+        FROM orders WHERE o_orderkey % 7 <> 0"""
+
+
+@query("cdc_current_state", ORDER_STATE_SQL)
 def cdc_current_state(spark, folder):
-    return cdc.current_state(cdc.parse_changes(change_log(spark, folder)), ORDER_ROW, ["id"])
+    return cdc.current_state(cdc.parse_changes(change_log(table(spark, folder, "orders"))), ORDER_ROW, ["id"])
 
 
 @query("cdc_op_stats", f"""SELECT 'orders' AS "table", op_name, count(*) AS count FROM {_LOG} GROUP BY op_name""")
 def cdc_op_stats(spark, folder):
-    return cdc.operation_counts(cdc.parse_changes(change_log(spark, folder)))
+    return cdc.operation_counts(cdc.parse_changes(change_log(table(spark, folder, "orders"))))
 
 
 @query("cdc_changed_columns", f"SELECT id, 'status' AS changed FROM {_LOG} WHERE op = 'u'")
 def cdc_changed_columns(spark, folder):
-    changed = cdc.changed_columns(cdc.parse_changes(change_log(spark, folder)))
+    changed = cdc.changed_columns(cdc.parse_changes(change_log(table(spark, folder, "orders"))))
     return changed.select(
         F.get_json_object("after", "$.id").cast("bigint").alias("id"), F.array_join("changed_columns", ",").alias("changed")
     )
@@ -84,12 +85,14 @@ def cdc_changed_columns(spark, folder):
 
 @query(
     "cdc_audit",
-    f"""SELECT CASE WHEN seq < 4 THEN at_ms END AS changed_ms, op, op_name, CASE WHEN seq < 4 THEN lsn END AS lsn,
-               CASE WHEN seq < 4 THEN id END AS tx_id, 'cdc.public.orders' AS topic, lsn AS "offset" FROM {_LOG}""",
+    f"""SELECT CASE WHEN seq < 4 THEN at_ms ELSE -1 END AS changed_ms, op, op_name,
+               CASE WHEN seq < 4 THEN lsn ELSE -1 END AS lsn, CASE WHEN seq < 4 THEN id ELSE -1 END AS tx_id, 'cdc.public.orders' AS topic, lsn AS "offset" FROM {_LOG}""",
 )
 def cdc_audit(spark, folder):
-    rows = cdc.audit_rows(cdc.parse_changes(change_log(spark, folder)))
-    return rows.select(F.unix_millis("changed_at").alias("changed_ms"), "op", "op_name", "lsn", "tx_id", "topic", "offset")
+    rows = cdc.audit_rows(cdc.parse_changes(change_log(table(spark, folder, "orders"))))
+    known = {"changed_ms": F.unix_millis("changed_at"), "lsn": F.col("lsn"), "tx_id": F.col("tx_id")}
+    filled = [F.coalesce(column, F.lit(-1)).alias(name) for name, column in known.items()]
+    return rows.select(*filled, "op", "op_name", "topic", "offset")
 
 
 @query(
@@ -99,7 +102,7 @@ def cdc_audit(spark, folder):
         FROM customer JOIN orders ON o_custkey = c_custkey AND o_orderkey % 7 <> 0 GROUP BY ALL""",
 )
 def cdc_customer_orders(spark, folder):
-    changes = cdc.parse_changes(change_log(spark, folder).unionByName(customer_log(spark, folder)))
+    changes = cdc.parse_changes(change_log(table(spark, folder, "orders")).unionByName(customer_log(table(spark, folder, "customer"))))
     orders = cdc.current_state(cdc.table_changes(changes, "orders"), ORDER_ROW, ["id"])
     customers = cdc.current_state(cdc.table_changes(changes, "customers"), CUSTOMER_ROW, ["id"])
     # One row per customer before the join, so a busy customer does not skew it.
@@ -113,14 +116,14 @@ def cdc_customer_orders(spark, folder):
 
 # ---------------------------------------------------------------- dead letters
 
-_ERROR = """CASE WHEN event_id % 89 = 0 THEN 'UnknownEventType' WHEN event_id % 97 = 0 THEN 'CorruptRecord'
+ERROR_SQL = """CASE WHEN event_id % 89 = 0 THEN 'UnknownEventType' WHEN event_id % 97 = 0 THEN 'CorruptRecord'
                  WHEN event_id % 83 = 0 THEN 'MissingField' END"""
-_TOPIC = "CASE WHEN event_id % 89 = 0 THEN 'events.mystery' ELSE 'events.' || event_type END"
+TOPIC_SQL = "CASE WHEN event_id % 89 = 0 THEN 'events.mystery' ELSE 'events.' || event_type END"
 
 
 def _letters(spark, folder):
     """Dead letters of the flawed messages; failed at the message time, retried event id mod 5 times."""
-    _, bad = dlq.split(checked(flawed_messages(spark, folder), CLICKSTREAM))
+    _, bad = dlq.split(checked(flawed_messages(events(spark, folder)), CLICKSTREAM))
     return dlq.dead_letters(
         bad, failed_at=F.unix_millis("timestamp"), retry_count=(F.col("offset") % 5).cast("int")
     )
@@ -132,7 +135,7 @@ def _letters(spark, folder):
                WHEN 'CorruptRecord' THEN 'Payload is not a JSON object' ELSE 'Missing required fields: user_id' END AS error_message,
                ms AS timestamp, retries AS retry_count, 3 AS max_retries,
                CASE WHEN event_id % 97 = 0 THEN 'dlq-' || ms ELSE CAST(event_id AS VARCHAR) END AS event_id
-        FROM (SELECT event_id, {_TOPIC} AS original_topic, {_ERROR} AS error_type, epoch_ms(ts) AS ms,
+        FROM (SELECT event_id, {TOPIC_SQL} AS original_topic, {ERROR_SQL} AS error_type, (epoch_us(ts) // 1000) AS ms,
                      CAST(event_id % 5 AS INTEGER) AS retries FROM events) WHERE error_type IS NOT NULL""",
 )
 def dlq_split(spark, folder):
@@ -141,19 +144,19 @@ def dlq_split(spark, folder):
 
 @query(
     "dlq_good_rows",
-    f"SELECT event_type, count(*) AS count FROM events WHERE ({_ERROR}) IS NULL GROUP BY event_type",
+    f"SELECT event_type, count(*) AS count FROM events WHERE ({ERROR_SQL}) IS NULL GROUP BY event_type",
 )
 def dlq_good_rows(spark, folder):
-    good, _ = dlq.split(checked(flawed_messages(spark, folder), CLICKSTREAM))
+    good, _ = dlq.split(checked(flawed_messages(events(spark, folder)), CLICKSTREAM))
     return good.groupBy("event_type").agg(F.count("*").alias("count"))
 
 
 @query(
     "dlq_retry_split",
     f"""SELECT original_topic, can_retry, count(*) AS letters, CAST(sum(next_retry) AS BIGINT) AS next_retries FROM (
-          SELECT {_TOPIC} AS original_topic, event_id % 5 < 3 AS can_retry,
+          SELECT {TOPIC_SQL} AS original_topic, event_id % 5 < 3 AS can_retry,
                  CASE WHEN event_id % 5 < 3 THEN event_id % 5 + 1 ELSE event_id % 5 END AS next_retry
-          FROM events WHERE ({_ERROR}) IS NOT NULL) GROUP BY original_topic, can_retry""",
+          FROM events WHERE ({ERROR_SQL}) IS NOT NULL) GROUP BY original_topic, can_retry""",
 )
 def dlq_retry_split(spark, folder):
     again, archive = dlq.replay(_letters(spark, folder))
@@ -167,9 +170,9 @@ def dlq_retry_split(spark, folder):
 
 @query(
     "dlq_report",
-    f"""SELECT {_TOPIC} AS original_topic, {_ERROR} AS error_type, count(*) AS failures,
+    f"""SELECT {TOPIC_SQL} AS original_topic, {ERROR_SQL} AS error_type, count(*) AS failures,
                CAST(max(event_id % 5) AS INTEGER) AS max_retry_count
-        FROM events WHERE ({_ERROR}) IS NOT NULL GROUP BY ALL""",
+        FROM events WHERE ({ERROR_SQL}) IS NOT NULL GROUP BY ALL""",
 )
 def dlq_report(spark, folder):
     return dlq.report(_letters(spark, folder))
@@ -177,10 +180,10 @@ def dlq_report(spark, folder):
 
 @query(
     "dlq_round_trip",
-    f"""SELECT CASE WHEN event_id % 97 = 0 THEN 'dlq-' || epoch_ms(ts) ELSE CAST(event_id AS VARCHAR) END AS event_id,
-               {_TOPIC} AS original_topic, {_ERROR} AS error_type, epoch_ms(ts) AS timestamp,
+    f"""SELECT CASE WHEN event_id % 97 = 0 THEN 'dlq-' || (epoch_us(ts) // 1000) ELSE CAST(event_id AS VARCHAR) END AS event_id,
+               {TOPIC_SQL} AS original_topic, {ERROR_SQL} AS error_type, (epoch_us(ts) // 1000) AS timestamp,
                CAST(event_id % 5 AS INTEGER) AS retry_count, 3 AS max_retries, event_id % 97 <> 0 AS event_is_json
-        FROM events WHERE ({_ERROR}) IS NOT NULL""",
+        FROM events WHERE ({ERROR_SQL}) IS NOT NULL""",
 )
 def dlq_round_trip(spark, folder):
     letters = dlq.from_messages(dlq.to_messages(_letters(spark, folder)))

@@ -10,7 +10,7 @@ from tideline.plans.jobs import AggregationJob
 from tideline.plans.schema import fields_of
 from tideline.plans.spec import AggregationSpec, Condition, Domain, resolve_path
 from tideline.workloads import sqltext
-from tideline.workloads.inputs import domain_messages
+from tideline.workloads.inputs import domain_messages, events
 from tideline.workloads.registry import query
 
 _SQL_OPS = {"eq": "=", "lt": "<", "gt": ">"}
@@ -90,7 +90,7 @@ def spec_sql(domain: Domain, spec: AggregationSpec) -> str:
 def _register(domain: Domain, spec: AggregationSpec) -> None:
     @query(f"spec_{spec.name}", spec_sql(domain, spec))
     def run(spark, folder):
-        messages = domain_messages(spark, folder, domain, domain.source_types(spec))
+        messages = domain_messages(events(spark, folder), domain, domain.source_types(spec))
         result = flatten_window(AggregationJob(domain).result(messages, spec.name))
         if spec.kind == "avg":
             result = result.withColumn(spec.measure, F.round(spec.measure, 6))

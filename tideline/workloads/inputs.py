@@ -30,9 +30,9 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events")
 
 
-def spine(spark: SparkSession, folder: str) -> DataFrame:
+def spine(df: DataFrame) -> DataFrame:
     """The events table as generator input: id, event time, user and value of every event."""
-    return events(spark, folder).select(
+    return df.select(
         F.col("event_id").alias("id"),
         wall_millis("ts").alias("at_millis"),
         "user_id",
@@ -40,21 +40,19 @@ def spine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def domain_messages(
-    spark: SparkSession, folder: str, domain: Domain, event_types: list[str] | None = None
-) -> DataFrame:
+def domain_messages(df: DataFrame, domain: Domain, event_types: list[str] | None = None) -> DataFrame:
     """Every event as a message of a drawn type of ``domain``, with its real user and amount."""
     given = {
         domain.entity_key: "format_string('user_%06d', user_id)",
         "total_amount": "cast(round(value * 100) as bigint)",
         "amount": "cast(round(value * 100) as bigint) * 10",
     }
-    return generate_messages(spine(spark, folder), domain, event_types, given=given)
+    return generate_messages(spine(df), domain, event_types, given=given)
 
 
-def event_messages(spark: SparkSession, folder: str) -> DataFrame:
+def event_messages(df: DataFrame) -> DataFrame:
     """The events table as JSON messages; offset = event id."""
-    return events(spark, folder).select(
+    return df.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
         F.to_json(
             F.struct(
@@ -74,7 +72,7 @@ def event_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def flawed_messages(spark: SparkSession, folder: str) -> DataFrame:
+def flawed_messages(df: DataFrame) -> DataFrame:
     """The same with three kinds of flaws, keyed by event id: unparsable payload (97), a type
     nobody declared (89), no user (83)."""
     broken = F.col("offset") % 97 == 0
@@ -86,7 +84,7 @@ def flawed_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when(no_user, F.regexp_replace(text, r'"user_id":"\d+",', ""))
         .otherwise(text)
     )
-    return event_messages(spark, folder).withColumns(
+    return event_messages(df).withColumns(
         {
             "value": damaged.cast("binary"),
             "topic": F.when(unknown, F.lit("events.mystery")).otherwise(F.col("topic")),
@@ -94,8 +92,8 @@ def flawed_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def change_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Change messages from ``orders``: an insert per order, an update if the key divides by 3,
+def change_log(orders: DataFrame) -> DataFrame:
+    """Change messages from the orders table: an insert per order, an update if the key divides by 3,
     a delete and its tombstone if it divides by 7.  One scan."""
     key = F.col("o_orderkey")
     cents = to_cents("o_totalprice")
@@ -118,7 +116,7 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
             F.struct(F.lit(None).cast("string").alias("op"), none.alias("before"), none.alias("after"), F.lit(4).alias("seq")),
         ),
     )
-    rows = table(spark, folder, "orders").select(
+    rows = orders.select(
         key.alias("id"),
         wall_millis("o_orderdate").alias("at"),
         F.explode(F.filter(steps, lambda s: s.isNotNull())).alias("s"),
@@ -127,8 +125,8 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
     return _as_change_messages(rows, "orders", lsn)
 
 
-def customer_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Change messages from ``customer``: a snapshot row each, an update if the key divides by 5."""
+def customer_log(customers: DataFrame) -> DataFrame:
+    """Change messages from the customer table: a snapshot row each, an update if the key divides by 5."""
     key = F.col("c_custkey")
 
     def image(name):
@@ -147,7 +145,7 @@ def customer_log(spark: SparkSession, folder: str) -> DataFrame:
             ),
         ),
     )
-    rows = table(spark, folder, "customer").select(
+    rows = customers.select(
         key.alias("id"),
         (F.lit(1_700_000_000_000) + key).alias("at"),
         F.explode(F.filter(steps, lambda s: s.isNotNull())).alias("s"),

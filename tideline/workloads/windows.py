@@ -35,7 +35,7 @@ FIVE_BY_ONE = WindowSpec("sliding", "5 minutes", "1 minute")
 EV = "(SELECT *, epoch_us(ts) AS us, CAST(round(value * 100) AS BIGINT) AS cents FROM events)"
 
 
-def _tumbling_sql(size: str, measures: str, keys: str = "", where: str = "") -> str:
+def tumbling_sql(size: str, measures: str, keys: str = "", where: str = "") -> str:
     start, end = tumbling("us", size)
     return (
         f"SELECT {start} AS window_start, {end} AS window_end, {keys}{measures} "
@@ -43,7 +43,7 @@ def _tumbling_sql(size: str, measures: str, keys: str = "", where: str = "") ->
     )
 
 
-def _sliding_sql(size: str, slide: str, measures: str, keys: str = "") -> str:
+def sliding_sql(size: str, slide: str, measures: str, keys: str = "") -> str:
     start, end, series = sliding("us", size, slide)
     return (
         f"SELECT {start} AS window_start, {end} AS window_end, {keys}{measures} "
@@ -62,22 +62,22 @@ def _with_cents(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ aggregates
 
 
-@query("tumbling_count", _tumbling_sql("1 hour", "count(*) AS count"))
+@query("tumbling_count", tumbling_sql("1 hour", "count(*) AS count"))
 def tumbling_count(spark, folder):
     return _windowed(events(spark, folder), "count", HOUR)
 
 
-@query("tumbling_count_grouped", _tumbling_sql("1 minute", "count(*) AS count", "event_type, "))
+@query("tumbling_count_grouped", tumbling_sql("1 minute", "count(*) AS count", "event_type, "))
 def tumbling_count_grouped(spark, folder):
     return _windowed(events(spark, folder), "count", MINUTE, group_by=("event_type",))
 
 
-@query("sliding_count", _sliding_sql("5 minutes", "1 minute", "count(*) AS count", "event_type, "))
+@query("sliding_count", sliding_sql("5 minutes", "1 minute", "count(*) AS count", "event_type, "))
 def sliding_count(spark, folder):
     return _windowed(events(spark, folder), "count", FIVE_BY_ONE, group_by=("event_type",))
 
 
-@query("sliding_sum_cents", _sliding_sql("1 day", "1 hour", "CAST(sum(cents) AS BIGINT) AS total", "event_type, "))
+@query("sliding_sum_cents", sliding_sql("1 day", "1 hour", "CAST(sum(cents) AS BIGINT) AS total", "event_type, "))
 def sliding_sum_cents(spark, folder):
     window = WindowSpec("sliding", "1 day", "1 hour")
     return _windowed(_with_cents(events(spark, folder)), "sum", window, field="cents", group_by=("event_type",))
@@ -85,7 +85,7 @@ def sliding_sum_cents(spark, folder):
 
 @query(
     "sliding_avg",
-    _sliding_sql("1 hour", "15 minutes", "round(avg(cents), 6) AS average", "user_id, "),
+    sliding_sql("1 hour", "15 minutes", "round(avg(cents), 6) AS average", "user_id, "),
 )
 def sliding_avg(spark, folder):
     window = WindowSpec("sliding", "1 hour", "15 minutes")
@@ -95,14 +95,14 @@ def sliding_avg(spark, folder):
 
 @query(
     "tumbling_sum_cents",
-    _tumbling_sql("1 hour", "CAST(sum(cents) AS BIGINT) AS total", "", "WHERE event_type = 'purchase'"),
+    tumbling_sql("1 hour", "CAST(sum(cents) AS BIGINT) AS total", "", "WHERE event_type = 'purchase'"),
 )
 def tumbling_sum_cents(spark, folder):
     df = _with_cents(events(spark, folder))
     return _windowed(df, "sum", HOUR, field="cents", where="event_type = 'purchase'")
 
 
-@query("tumbling_avg", _tumbling_sql("1 hour", "round(avg(value), 4) AS average"))
+@query("tumbling_avg", tumbling_sql("1 hour", "round(avg(value), 4) AS average"))
 def tumbling_avg(spark, folder):
     out = _windowed(events(spark, folder), "avg", HOUR, field="value")
     return out.withColumn("average", F.round("average", 4))
@@ -110,7 +110,7 @@ def tumbling_avg(spark, folder):
 
 @query(
     "sliding_count_distinct",
-    _sliding_sql("5 minutes", "1 minute", "count(DISTINCT user_id) AS unique_count", "event_type, "),
+    sliding_sql("5 minutes", "1 minute", "count(DISTINCT user_id) AS unique_count", "event_type, "),
 )
 def sliding_count_distinct(spark, folder):
     return _windowed(events(spark, folder), "count_distinct", FIVE_BY_ONE, field="user_id", group_by=("event_type",))
@@ -118,7 +118,7 @@ def sliding_count_distinct(spark, folder):
 
 @query(
     "tumbling_count_distinct_grouped",
-    _tumbling_sql("1 hour", "count(DISTINCT user_id) AS unique_count", "event_type, "),
+    tumbling_sql("1 hour", "count(DISTINCT user_id) AS unique_count", "event_type, "),
 )
 def tumbling_count_distinct_grouped(spark, folder):
     return _windowed(events(spark, folder), "count_distinct", HOUR, field="user_id", group_by=("event_type",))
@@ -133,13 +133,13 @@ def tumbling_count_distinct_approx(spark, folder):
 # --------------------------------------------------------------------- filters
 
 
-@query("filter_sql_string", _tumbling_sql("1 hour", "count(*) AS count", "user_id, ", "WHERE event_type = 'purchase' AND value > 50"))
+@query("filter_sql_string", tumbling_sql("1 hour", "count(*) AS count", "user_id, ", "WHERE event_type = 'purchase' AND value > 50"))
 def filter_sql_string(spark, folder):
     where = "event_type = 'purchase' AND metrics.value > 50"
     return _windowed(events(spark, folder), "count", HOUR, where=where, group_by=("user_id",))
 
 
-@query("filter_structured", _tumbling_sql("1 hour", "count(*) AS count", "event_type, ", "WHERE value < 20"))
+@query("filter_structured", tumbling_sql("1 hour", "count(*) AS count", "event_type, ", "WHERE value < 20"))
 def filter_structured(spark, folder):
     return _windowed(
         events(spark, folder), "count", HOUR, where=Condition("lt", 20, "metrics.value"), group_by=("event_type",)
@@ -148,12 +148,12 @@ def filter_structured(spark, folder):
 
 @query(
     "decode_json_events",
-    """SELECT CAST(event_id AS VARCHAR) AS event_id, epoch_ms(ts) AS timestamp, CAST(user_id AS VARCHAR) AS user_id,
+    """SELECT CAST(event_id AS VARCHAR) AS event_id, (epoch_us(ts) // 1000) AS timestamp, CAST(user_id AS VARCHAR) AS user_id,
               props, value, event_type FROM events WHERE event_type = 'purchase'""",
 )
 def decode_json_events(spark, folder):
     purchase = CLICKSTREAM.event_type("purchase")
-    return decode_json(event_messages(spark, folder), purchase, CLICKSTREAM.entity_key).drop("event_time")
+    return decode_json(event_messages(events(spark, folder)), purchase, CLICKSTREAM.entity_key).drop("event_time")
 
 
 @query(
@@ -162,7 +162,7 @@ def decode_json_events(spark, folder):
        FROM events WHERE event_type IN ('purchase', 'signup') GROUP BY event_type""",
 )
 def union_event_types(spark, folder):
-    messages = subscribe(event_messages(spark, folder), ["events.purchase", "events.signup"])
+    messages = subscribe(event_messages(events(spark, folder)), ["events.purchase", "events.signup"])
     tables = {
         name: decode_json(messages, CLICKSTREAM.event_type(name), CLICKSTREAM.entity_key)
         for name in ("purchase", "signup")
@@ -188,7 +188,7 @@ def dedup_event_id(spark, folder):
 )
 def bounded_read(spark, folder):
     """The feature is the bound: stop after 100 messages."""
-    return first_messages(event_messages(spark, folder), 100).select("offset", "topic")
+    return first_messages(event_messages(events(spark, folder)), 100).select("offset", "topic")
 
 
 # ------------------------------------------------------------ between windows
@@ -209,19 +209,22 @@ def topk_per_window(spark, folder):
 
 @query(
     "window_delta",
-    f"""SELECT *, lag(total) OVER w AS previous, total - lag(total) OVER w AS delta FROM (
-          {_tumbling_sql("1 hour", "CAST(sum(cents) AS BIGINT) AS total", "event_type, ")})
+    f"""SELECT *, coalesce(lag(total) OVER w, -1) AS previous, coalesce(total - lag(total) OVER w, 0) AS delta FROM (
+          {tumbling_sql("1 hour", "CAST(sum(cents) AS BIGINT) AS total", "event_type, ")})
         WINDOW w AS (PARTITION BY event_type ORDER BY window_start)""",
 )
 def window_delta(spark, folder):
     df = _with_cents(events(spark, folder))
     totals = _windowed(df, "sum", HOUR, field="cents", group_by=("event_type",))
-    return change_since_previous(totals, ["event_type"], "total")
+    changes = change_since_previous(totals, ["event_type"], "total")
+    return changes.withColumns(
+        {"previous": F.coalesce("previous", F.lit(-1)), "delta": F.coalesce("delta", F.lit(0))}
+    )
 
 
 @query(
     "absent_window_fill",
-    f"""WITH a AS ({_tumbling_sql("1 minute", "count(*) AS count", "event_type, ")}),
+    f"""WITH a AS ({tumbling_sql("1 minute", "count(*) AS count", "event_type, ")}),
              s AS (SELECT event_type, unnest(generate_series(min(window_start), max(window_start), INTERVAL 1 MINUTE)) AS window_start
                    FROM a GROUP BY event_type)
         SELECT s.event_type, s.window_start, s.window_start + INTERVAL 1 MINUTE AS window_end, coalesce(a.count, 0) AS count
@@ -232,7 +235,7 @@ def absent_window_fill(spark, folder):
     return fill_absent_windows(counted, ["event_type"], "count", "1 minute")
 
 
-@query("upsert_latest_window", _tumbling_sql("1 hour", "count(*) AS count", "event_type, "))
+@query("upsert_latest_window", tumbling_sql("1 hour", "count(*) AS count", "event_type, "))
 def upsert_latest_window(spark, folder):
     """Update-mode output over four interleaved micro-batches, reduced to the newest row per window."""
     arrived = events(spark, folder).withColumn("batch_id", F.col("event_id") % 4)
@@ -244,7 +247,7 @@ def upsert_latest_window(spark, folder):
 
 @query(
     "read_back_ordered",
-    f"SELECT * FROM ({_tumbling_sql('1 hour', 'count(*) AS count', 'event_type, ')}) ORDER BY window_start, event_type LIMIT 10",
+    f"SELECT * FROM ({tumbling_sql('1 hour', 'count(*) AS count', 'event_type, ')}) ORDER BY window_start, event_type LIMIT 10",
 )
 def read_back_ordered(spark, folder):
     """Write with nested column mapping, then query the sink table with ORDER BY ... LIMIT."""
@@ -310,7 +313,7 @@ def approx_p95(spark, folder):
     return events(spark, folder).groupBy("event_type").agg(F.approx_percentile("value", 0.95, 1000).alias("p95"))
 
 
-@query("event_rate", _tumbling_sql("1 minute", "count(*) AS count, count(*) / 60.0::DOUBLE AS per_second", "event_type, "))
+@query("event_rate", tumbling_sql("1 minute", "count(*) AS count, count(*) / 60.0::DOUBLE AS per_second", "event_type, "))
 def event_rate(spark, folder):
     return flatten_window(rate(events(spark, folder), "ts", "1 minute", ["event_type"]))
 
