@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tideline.operators import dlq
 from tideline.sinks.writers import dead_letter_writer
 from tideline.sources.decode import checked, decode_json, encode_json
-from tideline.sources.messages import MESSAGE_SCHEMA
+from tideline.sources.messages import MESSAGE_SCHEMA, dead_letter_files
 from tideline.plans.domains import ECOMMERCE
 
 GOOD = {"event_id": "e1", "timestamp": 1700000000000, "user_id": "u1", "device_type": "mobile", "platform": "web", "search_query": "sale"}
@@ -154,6 +154,15 @@ def test_file_backend_keeps_every_letter(spark, folder):
     assert json.loads(back.first().original_event) == GOOD
 
 
+def test_one_object_per_file(spark, tmp_path):
+    letter = {"original_topic": "t", "original_event": GOOD, "error_message": "m", "error_type": "E", "timestamp": 5, "event_id": "e1"}
+    for i in range(2):
+        (tmp_path / f"e{i}.json").write_text(json.dumps(letter, indent=2))
+    got = dead_letter_files(spark, str(tmp_path), one_per_file=True).collect()
+    assert [(r.event_id, r.timestamp, r.max_retries) for r in got] == [("e1", 5, 3)] * 2
+    assert json.loads(got[0].original_event) == GOOD
+
+
 def test_unknown_backend():
     with pytest.raises(ValueError):
         dead_letter_writer("carrier pigeon", "x")

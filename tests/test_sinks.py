@@ -4,10 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.operators.aggregate import aggregate
+from tideline.operators.generate import generate_events, spine
 from tideline.operators.joins import enrich
 from tideline.operators.ranking import top_per_window
+from tideline.plans.domains import FINTECH
 from tideline.plans.spec import AggregationSpec, WindowSpec
 from tideline.session import scratch_path, shared_dir
+from tideline.sinks import writers
 from tideline.sinks.writers import (
     UpsertTable,
     analytics_column,
@@ -17,11 +20,13 @@ from tideline.sinks.writers import (
     create_table,
     file_writer,
     mapped,
+    publish,
     table_schema,
     table_writer,
     transactional_column_types,
     write_batch,
 )
+from tideline.sources.decode import decode_json
 from tideline.sources.messages import event_topics, kafka_options
 from tideline.sources.tables import ordered, read_back, table
 
@@ -111,6 +116,29 @@ def test_options():
     assert kafka_options("h", ["cdc.public.orders"], "earliest")["startingOffsets"] == "earliest"
 
 
+def test_producer_options():
+    assert writers.kafka_options("h:1", {"linger.ms": "10"}) == {
+        "kafka.bootstrap.servers": "h:1",
+        "kafka.acks": "all",
+        "kafka.retries": "3",
+        "kafka.compression.type": "lz4",
+        "kafka.linger.ms": "10",
+        "kafka.batch.size": "16384",
+    }
+
+
+def test_publish(spark, folder):
+    rows = generate_events(spine(spark, 25, 1_700_000_000_000), FINTECH, "login")
+    assert publish(rows, FINTECH, "login", file_writer(folder)) == 25
+    sent = spark.read.parquet(f"{folder}/events.login")
+    assert {r.topic for r in sent.collect()} == {"events.login"}
+    back = decode_json(sent, FINTECH.event_type("login"), "account_id")
+    assert back.select(rows.columns).exceptAll(rows).isEmpty() and back.count() == 25
+    assert sent.join(back, sent.key.cast("string") == back.account_id).count() >= 25
+    with pytest.raises(ValueError):
+        publish(rows, FINTECH, "nothing", file_writer(folder))
+
+
 def test_top_k_is_cut_before_the_shuffle(spark):
     rows = [(datetime(2024, 1, d), f"p{i}", 10 - i // 2) for d in (1, 2) for i in range(6)]
     df = spark.createDataFrame(rows, "window_start timestamp_ntz, product string, count int")

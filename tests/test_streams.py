@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tideline.functions.times import instant_to_wall
 from tideline.operators.aggregate import aggregate, flatten_window
-from tideline.operators.alerts import cooldown_stream
 from tideline.operators.joins import without_follow_up_stream
 from tideline.operators.late import flag_late
 from tideline.operators.ranking import deduplicate
@@ -17,9 +16,9 @@ from tideline.plans.spec import AggregationSpec, WindowSpec
 from tideline.sinks.writers import UpsertTable, batch_folder, fan_out
 from tideline.sources.messages import MESSAGE_SCHEMA, file_backfill, file_stream, topic_directories
 from tideline.sources.tables import table
-from tideline.streaming.late import LateRouter
 from tideline.streaming.progress import ProgressLog, observe_quality, progress_row
 from tideline.streaming.queries import StreamRunner
+from tideline.streaming.routing import CooldownSink, LateRouter
 from tideline.workloads.inputs import domain_messages, events
 
 T0 = datetime(2024, 3, 1)
@@ -211,11 +210,16 @@ def test_stream_cooldown_keeps_state_between_batches(spark, folder):
     minutes = [0, 3, 9, 10, 11, 25, 30, 36]
     df = spark.createDataFrame([(i, "x", T0 + timedelta(minutes=m)) for i, m in enumerate(minutes)], "id long, alert string, alert_time timestamp")
     write_files(df, f"{folder}/in", F.expr("id div 2"), 4)
-    fired = cooldown_stream(file_stream(spark, f"{folder}/in", df.schema, max_files=1), "10 minutes")
+    sink = CooldownSink(f"{folder}/out", "10 minutes", ["id"])
+
+    def twice(batch, batch_id):
+        sink(batch, batch_id)
+        sink(batch, batch_id)
+
     runner = StreamRunner(spark, f"{folder}/ck", trigger=None)
-    runner.foreach_batch(fired, batch_folder(f"{folder}/out"), "cool", "update")
+    runner.foreach_batch(file_stream(spark, f"{folder}/in", df.schema, max_files=1), twice, "cool", "append")
     runner.await_all()
-    got = spark.read.parquet(f"{folder}/out").orderBy("alert_time").collect()
+    got = sink.read(spark).orderBy("alert_time").collect()
     assert [(r.alert_time - T0).seconds // 60 for r in got] == [0, 10, 25, 36]
 
 
@@ -236,10 +240,7 @@ def test_progress_table_and_quality(spark, small, folder):
         seen = observe_quality(stream, "ts", F.col("event_type") == "error")
         query = runner.foreach_batch(seen, batch_folder(f"{folder}/out"), "watched", "append")
         runner.await_all()
-        for _ in range(100):
-            if any(r.state == "terminated" for r in log.lifecycle().collect()):
-                break
-            time.sleep(0.1)
+        assert log.await_end("watched")
     finally:
         spark.streams.removeListener(log)
     rows = log.table().filter("query = 'watched' AND rows IS NOT NULL")
@@ -275,10 +276,7 @@ def test_failed_query_is_logged(spark, small, folder):
         query = runner.foreach_batch(file_stream(spark, f"{folder}/in", df.schema), fail, "broken", "append")
         with pytest.raises(Exception, match="boom"):
             query.awaitTermination()
-        for _ in range(100):
-            if any(r.state == "failed" for r in log.lifecycle().collect()):
-                break
-            time.sleep(0.1)
+        assert log.await_end("broken")
     finally:
         spark.streams.removeListener(log)
     assert [r.query for r in log.lifecycle().filter("state = 'failed'").collect()] == ["broken"]

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tideline.functions.predicates import condition_column
@@ -18,6 +17,7 @@ from tideline.functions.times import duration_micros, wall_micros
 from tideline.operators.late import interval
 from tideline.operators.ordered import join_null_safe, lag_over_time
 from tideline.plans.spec import AggregationSpec, AlertSpec, resolve_path
+from tideline.session import scratch_path
 
 
 def metric_alerts(aggregated: DataFrame, alert: AlertSpec, spec: AggregationSpec, time: str = "window_end") -> DataFrame:
@@ -43,66 +43,80 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # ---------------------------------------------------------------- cooldown on a table
 
 
-def _jumps(times: np.ndarray, cooldown: int) -> np.ndarray:
-    """Position of the next firing after a firing at each position; len(times) = none here."""
-    return np.searchsorted(times, times + cooldown, side="left")
+# A state that blocks nothing.
+_FREE = -(2**63)
 
 
-def _summary(cooldown: int, width: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Per (alert, chunk): where the chain of firings ends for each way of entering."""
+def _next_firing(times: np.ndarray, period: int) -> np.ndarray:
+    """Position of the firing that follows one at each position; len(times) means none here."""
+    return np.searchsorted(times, times + period, side="left")
+
+
+def _table(alert: str, chunk: int, upto: np.ndarray, end: np.ndarray) -> pd.DataFrame:
+    """A chunk's step function, neighbouring steps with the same end merged."""
+    keep = np.append(end[1:] != end[:-1], True)
+    return pd.DataFrame({"alert": alert, "chunk": chunk, "upto": upto[keep], "end": end[keep]})
+
+
+def _summary(period: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """One chunk of times to its step function: entered free from ``<= upto``, it last fires at ``end``."""
 
     def summarise(rows: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(rows["t"].to_numpy())
         n = len(times)
-        last = np.arange(n + 1)
-        jump = np.append(_jumps(times, cooldown), n)
-        last[:n] = np.where(jump[:n] == n, last[:n], jump[:n])
-        # Pointer doubling: follow all chains to their last firing in the chunk at once.
-        while True:
-            further = last[last]
-            if np.array_equal(further, last):
-                break
-            last = further
+        jump = np.append(_next_firing(times, period), n)
+        last = np.where(jump == n, np.arange(n + 1), jump)
+        # Pointer doubling follows all chains to their last firing in the chunk at once.
+        while not np.array_equal(last[last], last):
+            last = last[last]
+        # The firing before the chunk blocks at most the chunk's first period, so only the
+        # times in it and the one after can be first to fire.
         chunk = int(rows["chunk"].iloc[0])
-        # The previous firing is before the chunk, so it blocks at most its first cooldown.
-        entries = int(np.searchsorted(times, chunk * width + cooldown, side="left"))
-        entries = min(n, entries + 1)
-        ends = times[last[:entries]]
-        # Neighbouring entries with the same end are one row: keep each run's last entry.
-        keep = np.append(ends[1:] != ends[:-1], True)
-        return pd.DataFrame(
-            {"alert": rows["alert"].iloc[0], "chunk": chunk, "upto": times[:entries][keep], "end": ends[keep]}
-        )
+        first = min(n, int(np.searchsorted(times, rows["start"].iloc[0] + period, side="left")) + 1)
+        return _table(rows["alert"].iloc[0], chunk, times[:first], times[last[:first]])
 
     return summarise
 
 
-def _chain(cooldown: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Per alert: walk the chunk summaries; result = blocked-until time on entering each chunk."""
+def _children(rows: pd.DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    ordered = rows.sort_values(["chunk", "upto"])
+    return [(int(c), p["upto"].to_numpy(), p["end"].to_numpy()) for c, p in ordered.groupby("chunk", sort=True)]
+
+
+def _combine(period: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Step functions of neighbouring chunks to the one of their parent."""
+
+    def combine(rows: pd.DataFrame) -> pd.DataFrame:
+        children = _children(rows)
+        upto, end = children[0][1], children[0][2]
+        for position, (_, child_upto, child_end) in enumerate(children[1:]):
+            at = np.searchsorted(child_upto, end + period, side="left")
+            end = np.where(at < len(child_upto), child_end[np.minimum(at, len(child_end) - 1)], end)
+            if position == 0:
+                # Entered after its first child's last time, the parent starts in the second.
+                upto, end = np.append(upto, child_upto[0]), np.append(end, child_end[0])
+        return _table(rows["alert"].iloc[0], int(rows["parent"].iloc[0]), upto, end)
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        free_from, chunks, blocked = None, [], []
-        rows = rows.sort_values(["chunk", "upto"])
-        for chunk, part in rows.groupby("chunk", sort=True):
-            upto, end = part["upto"].to_numpy(), part["end"].to_numpy()
-            entry = 0 if free_from is None else int(np.searchsorted(upto, free_from, side="left"))
-            chunks.append(chunk)
-            blocked.append(free_from)
-            if entry < len(upto):
-                free_from = int(end[entry]) + cooldown
-        return pd.DataFrame(
-            {"alert": rows["alert"].iloc[0], "chunk": chunks, "free_from": pd.array(blocked, dtype="Int64")}
-        )
+    return combine
 
-    return walk
 
+def _walk(rows: pd.DataFrame, free_from: int, period: int) -> pd.DataFrame:
+    """The state on entering each child of one parent."""
+    chunks, states = [], []
+    for chunk, upto, end in _children(rows):
+        chunks.append(chunk)
+        states.append(free_from)
+        at = int(np.searchsorted(upto, free_from, side="left"))
+        if at < len(upto):
+            free_from = int(end[at]) + period
+    return pd.DataFrame({"alert": rows["alert"].iloc[0], "chunk": chunks, "free_from": states})
 
-def _fire(cooldown: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+
+def _fire(period: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     def fire(rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(rows["t"].to_numpy())
-        free_from = entry["free_from"].iloc[0]
-        position = 0 if pd.isna(free_from) else int(np.searchsorted(times, int(free_from), side="left"))
-        jump, fired = _jumps(times, cooldown), []
+        jump, fired = _next_firing(times, period), []
+        position = int(np.searchsorted(times, entry["free_from"].iloc[0], side="left"))
         while position < len(times):
             fired.append(times[position])
             position = int(jump[position])
@@ -111,32 +125,57 @@ def _fire(cooldown: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]
     return fire
 
 
-def cooldown(alerts: DataFrame, period: str, ties: list[str], periods_per_chunk: int = 64) -> DataFrame:
+def cooldown(alerts: DataFrame, period: str, ties: list[str], fan: int = 16) -> DataFrame:
     """Suppress an alert until ``period`` has passed since it last *fired* (event time).
 
     Input needs ``alert`` and ``alert_time``; of rows with equal time the first by ``ties``
-    stands for all.  Exact, and no task sees a whole alert: time is cut into chunks of
-    ``periods_per_chunk`` cooldowns; each chunk is summarised to "enter here, last firing
-    there" for the firings possible in its first cooldown, the summaries are chained per
-    alert, and every chunk then fires on its own.  For an alert with N rows over P cooldowns
-    a chunk holds about N * periods_per_chunk / P distinct times and the chain at most
-    N / periods_per_chunk, so the square root of P balances the two.
+    stands for all.  Exact, although each firing depends on the one before, and no task sees
+    a whole alert.  Time is cut into chunks of ``fan`` periods.  A chunk reduces to a step
+    function from the state it is entered with to its last firing; only times in its first
+    period can tell states apart.  ``fan`` neighbouring functions compose into their
+    parent's, level by level, until one parent is left; then the actual states are handed
+    down the same tree and every chunk fires on its own.  No group holds more than the
+    distinct times of ``fan`` periods.
+
+    The alert rows and the lowest level are read several times, so they are written to the
+    shared folder first; the call therefore runs jobs.
     """
+    folder = scratch_path(alerts.sparkSession, "cooldown")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     micros = duration_micros(period)
-    width = micros * periods_per_chunk
-    # One row per (alert, instant); the row number keeps a single row per map task and instant.
+    width = micros * fan
+    # The row number keeps a single row per map task and (alert, instant).
     first = W.partitionBy("alert", "alert_time").orderBy(*ties)
     distinct = alerts.withColumn("rn__", F.row_number().over(first)).filter("rn__ = 1").drop("rn__")
-    distinct = distinct.withColumn("t", _micros_of(alerts, "alert_time"))
-    times = distinct.select("alert", "t", F.expr(f"t div {width} - if(t % {width} < 0, 1, 0)").alias("chunk"))
-
-    summaries = times.groupBy("alert", "chunk").applyInPandas(
-        _summary(micros, width), "alert string, chunk long, upto long, end long"
-    )
-    entries = summaries.groupBy("alert").applyInPandas(_chain(micros), "alert string, chunk long, free_from long")
+    distinct = stored(distinct.withColumn("t", _micros_of(alerts, "alert_time")), "alerts")
+    span = distinct.agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
+    if span.lo is None:
+        return distinct.drop("t")
+    chunk = F.expr(f"(t - {span.lo}L) div {width}L")
+    times = distinct.select("alert", "t", chunk.alias("chunk"))
+
+    tabular = "alert string, chunk long, upto long, end long"
+    state = "alert string, chunk long, free_from long"
+    parent = F.expr(f"chunk div {fan}").alias("parent")
+    starts = times.withColumn("start", F.col("chunk") * width + F.lit(span.lo))
+    levels = [stored(starts.groupBy("alert", "chunk").applyInPandas(_summary(micros), tabular), "level_0")]
+    chunks = (span.hi - span.lo) // width + 1
+    while chunks > fan:
+        below = levels[-1].select("*", parent)
+        levels.append(below.groupBy("alert", "parent").applyInPandas(_combine(micros), tabular))
+        chunks = -(-chunks // fan)
+
+    states = levels[-1].groupBy("alert").applyInPandas(lambda rows: _walk(rows, _FREE, micros), state)
+    for level in reversed(levels[:-1]):
+        children = level.select("*", parent).groupBy("alert", "parent").cogroup(states.groupBy("alert", "chunk"))
+        states = children.applyInPandas(lambda rows, top: _walk(rows, int(top["free_from"].iloc[0]), micros), state)
     fired = (
         times.groupBy("alert", "chunk")
-        .cogroup(entries.groupBy("alert", "chunk"))
+        .cogroup(states.groupBy("alert", "chunk"))
         .applyInPandas(_fire(micros), "alert string, t long")
     )
     return distinct.join(fired, ["alert", "t"], "left_semi").drop("t")
@@ -148,40 +187,6 @@ def _micros_of(df: DataFrame, name: str) -> Column:
     return F.unix_micros(name)
 
 
-# --------------------------------------------------------------- cooldown on a stream
-
-_STATE = T.StructType([T.StructField("free_from", T.LongType())])
-
-
-def cooldown_stream(alerts: DataFrame, period: str) -> DataFrame:
-    """The streaming form: one state row per alert name, update mode.
-
-    Rows of a micro-batch are taken in event-time order; a row that arrives after a later
-    one has fired is judged against that firing.  Only the distinct times of one alert in
-    one micro-batch are held at once.  Result: ``alert, alert_time``.
-    """
-    micros = duration_micros(period)
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        parts = [np.unique(frame["t"].to_numpy()) for frame in frames]
-        times = np.unique(np.concatenate(parts)) if parts else np.array([], dtype="int64")
-        free_from = state.get[0] if state.exists else None
-        position = 0 if free_from is None else int(np.searchsorted(times, free_from, side="left"))
-        jump, fired = _jumps(times, micros), []
-        while position < len(times):
-            fired.append(int(times[position]))
-            position = int(jump[position])
-        if fired:
-            state.update((fired[-1] + micros,))
-        yield pd.DataFrame({"alert": [key[0]] * len(fired), "t": np.array(fired, dtype="int64")})
-
-    keyed = alerts.select("alert", F.unix_micros("alert_time").alias("t"))
-    result = keyed.groupBy("alert").applyInPandasWithState(
-        step, "alert string, t long", _STATE, "update", "NoTimeout"
-    )
-    return result.select("alert", F.timestamp_micros("t").alias("alert_time"))
-
-
 # ------------------------------------------------------------- windows without events
 
 

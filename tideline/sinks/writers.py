@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.scalars import topic_for
 from tideline.operators.ranking import latest
+from tideline.plans.spec import Domain
+from tideline.sources.decode import encode_json
 
 # A pluggable sink: writes one DataFrame to one named table.
 Writer = Callable[[DataFrame, str], None]
@@ -61,6 +64,16 @@ def write_batch(df: DataFrame, table: str, column_mapping: dict[str, str], write
     return seen.get["rows"]
 
 
+def publish(events: DataFrame, domain: Domain, event_type: str, writer: Writer, prefix: str = "events") -> int:
+    """Send flat events of one declared type as keyed messages; returns how many.
+
+    The key is the domain's entity; a type the domain does not declare is an error.
+    """
+    messages = encode_json(events, domain.event_type(event_type), domain.entity_key, prefix)
+    columns = {name: name for name in messages.columns}
+    return write_batch(messages, topic_for(event_type, prefix), columns, writer)
+
+
 def jdbc_writer(url: str, batch_size: int = 10_000, column_types: str | None = None, **options: str) -> Writer:
     """Batched multi-row inserts from the executors; the driver jar must be on the classpath."""
     settings = {"url": url, "batchsize": str(batch_size), **options}
@@ -73,9 +86,24 @@ def jdbc_writer(url: str, batch_size: int = 10_000, column_types: str | None = N
     return write
 
 
-def kafka_writer(servers: str, **producer: str) -> Writer:
+# Producer settings.
+PRODUCER = {
+    "acks": "all",
+    "retries": "3",
+    "compression.type": "lz4",
+    "linger.ms": "5",
+    "batch.size": "16384",
+}
+
+
+def kafka_options(servers: str, producer: dict[str, str] | None = None) -> dict[str, str]:
+    settings = {f"kafka.{k}": v for k, v in {**PRODUCER, **(producer or {})}.items()}
+    return {"kafka.bootstrap.servers": servers, **settings}
+
+
+def kafka_writer(servers: str, producer: dict[str, str] | None = None) -> Writer:
     """Rows with ``key, value`` (and optionally ``topic``, which then overrides ``table``)."""
-    settings = {"kafka.bootstrap.servers": servers, **{f"kafka.{k}": v for k, v in producer.items()}}
+    settings = kafka_options(servers, producer)
 
     def write(df: DataFrame, table: str) -> None:
         options = settings if "topic" in df.columns else {**settings, "topic": table}

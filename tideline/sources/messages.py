@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import topic_for
+from tideline.operators import dlq
 
 MESSAGE_SCHEMA = T.StructType(
     [
@@ -65,6 +66,17 @@ def change_stream(spark: SparkSession, topics: list[str], servers: str = "localh
     return spark.readStream.format("kafka").options(**kafka_options(servers, topics, "earliest")).load()
 
 
+def dead_letter_stream(spark: SparkSession, servers: str = "localhost:9092", topic: str = "events.dlq") -> DataFrame:
+    """Dead-letter messages from the earliest offset; decode with ``operators.dlq.from_messages``."""
+    return spark.readStream.format("kafka").options(**kafka_options(servers, [topic], "earliest")).load()
+
+
+def dead_letter_files(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
+    """Dead letters stored as JSON lines, or as one (possibly indented) JSON object per file."""
+    rows = spark.read.schema(dlq.ENVELOPE).option("multiLine", one_per_file).json(path)
+    return dlq.from_files(rows)
+
+
 def backfill(spark: SparkSession, topics: list[str], servers: str = "localhost:9092") -> DataFrame:
     """The whole retained history of some topics as a bounded table."""
     options = kafka_options(servers, topics, "earliest")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +86,16 @@ class ProgressLog(StreamingQueryListener):
             self._events.append((name, state, event.exception))
             self._events = self._events[-self.buffer :]
 
+    def await_end(self, query: str, seconds: float = 60.0) -> bool:
+        """Wait until the end of a query has been reported; reports arrive asynchronously."""
+        deadline = time.monotonic() + seconds
+        while time.monotonic() < deadline:
+            with self._lock:
+                if any(name == query and state != "started" for name, state, _ in self._events):
+                    return True
+            time.sleep(0.05)
+        return False
+
     def flush(self) -> None:
         with self._lock:
             rows, self._rows = self._rows, []

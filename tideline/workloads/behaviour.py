@@ -162,7 +162,7 @@ ALERT_COOLDOWN_SQL = f"""WITH RECURSIVE a AS ({_ALERTS_SQL}),
 
 @query("alert_cooldown", ALERT_COOLDOWN_SQL)
 def alert_cooldown(spark, folder):
-    return cooldown(_all_alerts(spark, folder), "6 hours", ["event_id"], periods_per_chunk=8)
+    return cooldown(_all_alerts(spark, folder), "6 hours", ["event_id"])
 
 
 @query(

@@ -16,18 +16,19 @@ from tideline.functions.scalars import to_cents
 from tideline.functions.times import instant_to_wall
 from tideline.operators import cdc, dlq
 from tideline.operators.aggregate import aggregate, flatten_window
-from tideline.operators.alerts import cooldown_stream, event_alerts
+from tideline.operators.alerts import event_alerts
 from tideline.operators.joins import enrich, without_follow_up_stream
-from tideline.operators.ranking import deduplicate, latest
+from tideline.operators.ranking import deduplicate, latest, top_per_window
 from tideline.operators.sessions import sessionize_stream
 from tideline.plans.domains import ECOMMERCE
 from tideline.plans.jobs import AggregationJob
-from tideline.plans.spec import AggregationSpec
+from tideline.plans.spec import AggregationSpec, WindowSpec
 from tideline.session import scratch_path
 from tideline.sinks.writers import UpsertTable, archive_columns, batch_folder, fan_out
 from tideline.sources.tables import table, table_stream
-from tideline.streaming.late import DeadLetterSplit
+from tideline.streaming.progress import ProgressLog
 from tideline.streaming.queries import StreamRunner
+from tideline.streaming.routing import CooldownSink, DeadLetterSplit
 from tideline.workloads.behaviour import ALERT_COOLDOWN_SQL
 from tideline.workloads.changes import ERROR_SQL, ORDER_ROW, ORDER_STATE_SQL, TOPIC_SQL
 from tideline.workloads.inputs import CLICKSTREAM, change_log, domain_messages, flawed_messages
@@ -149,11 +150,13 @@ def stream_abandoned_carts(spark, folder):
 def stream_alert_cooldown(spark, folder):
     df = table_stream(spark, folder, "events")
     hits = [event_alerts(df, CLICKSTREAM.alert(name), "user_id", time="ts") for name in ("large_purchase", "error_seen")]
-    result = cooldown_stream(hits[0].unionByName(hits[1]), "6 hours").withColumn("alert_time", instant_to_wall("alert_time"))
-    out = _run(
-        spark, "cooldown", lambda runner, path: runner.foreach_batch(result, batch_folder(path), "cooldown", "update")
-    )
-    return spark.read.parquet(out).drop("batch_id")
+    rows = hits[0].unionByName(hits[1]).select("alert", instant_to_wall("alert_time").alias("alert_time"), "event_id")
+
+    def start(runner: StreamRunner, path: str) -> None:
+        runner.foreach_batch(rows, CooldownSink(path, "6 hours", ["event_id"]), "cooldown", "append")
+
+    fired = CooldownSink(_run(spark, "cooldown", start), "6 hours", ["event_id"]).read(spark)
+    return fired.select("alert", "alert_time")
 
 
 @query("stream_cdc_state", ORDER_STATE_SQL)
@@ -218,6 +221,35 @@ def stream_archive(spark, folder):
     )
 
 
+@query("stream_progress", "SELECT 'progress' AS query, count(*) AS rows FROM events")
+def stream_progress(spark, folder):
+    """Rows per query as the progress table has them."""
+    log = ProgressLog(spark, scratch_path(spark, "progress_log"))
+    spark.streams.addListener(log)
+    try:
+        out = _events(spark, folder).select("event_id")
+        _run(spark, "progress", lambda runner, path: runner.files(out, path, "progress"))
+        log.await_end("progress")
+    finally:
+        spark.streams.removeListener(log)
+    mine = log.table().filter("query = 'progress' AND rows IS NOT NULL")
+    return mine.groupBy("query").agg(F.sum("rows").alias("rows"))
+
+
+@query(
+    "stream_topk",
+    f"""SELECT window_start, user_id, count, rank FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY count DESC, user_id) AS INTEGER) AS rank FROM (
+            {tumbling_sql('1 day', 'count(*) AS count', 'user_id, ')})) WHERE rank <= 3""",
+)
+def stream_topk(spark, folder):
+    """Top users per day over update-mode counts, ranked when the table is read."""
+    spec = _spec("count", WindowSpec("tumbling", "1 day"), group_by=("user_id",))
+    counts = flatten_window(aggregate(_events(spark, folder), spec, time="ts", output_mode="update"))
+    stored = _upsert(spark, "topk", counts, ["window_start", "window_end", "user_id"])
+    return top_per_window(stored, "count", 3, ["user_id"]).drop("window_end")
+
+
 @query("stream_spec_events_per_minute", spec_sql(ECOMMERCE, ECOMMERCE.aggregation("events_per_minute")))
 def stream_spec_events_per_minute(spark, folder):
     """A declared aggregation by name, end to end, fanned out to two tables."""
