@@ -97,6 +97,18 @@ def test_current_state_follows_the_log_not_arrival(spark):
     assert {(r.id, r.name, r.lsn) for r in state.collect()} == {(1, "Jane", 20), (3, "Jane", 42)}
 
 
+def test_typed_parse_gives_the_same_state(spark):
+    log = [envelope("c", None, JOHN, 1), envelope("u", JOHN, JANE, 2), envelope("d", JANE, None, 3), None]
+    log += [envelope("r", None, {**JOHN, "id": 5}, 4), {"op": "c"}, "{bad"]
+    typed = cdc.parse_changes(messages(spark, *log), CUSTOMER_ROW)
+    text = cdc.parse_changes(messages(spark, *log))
+    assert typed.count() == text.count() == 6
+    assert sorted(r.op_name for r in typed.collect()) == sorted(r.op_name for r in text.collect())
+    for changes in (typed, text):
+        state = cdc.current_state(changes.filter("data IS NOT NULL AND source IS NOT NULL"), CUSTOMER_ROW, ["id"])
+        assert [(r.id, r.name) for r in state.collect()] == [(5, "John")]
+
+
 def test_merging_the_same_changes_twice_changes_nothing(spark):
     first = cdc.parse_changes(messages(spark, envelope("c", None, JOHN, 1)))
     second = cdc.parse_changes(messages(spark, envelope("u", JOHN, JANE, 2), envelope("c", None, {**JOHN, "id": 2}, 3)))

@@ -127,6 +127,7 @@ def test_console_memory_and_stop(spark, small, folder):
     progress = next(p for p in shown.recentProgress if p.numInputRows)
     assert progress.numInputRows == df.count() and "Console" in progress.sink.description
     assert spark.table("kept").agg(F.sum("count")).first()[0] == df.count()
+    spark.streams.resetTerminated()
     live = StreamRunner(spark, f"{folder}/ck2", trigger="1 second")
     query = live.foreach_batch(stream, lambda batch, i: None, "live", "append")
     assert spark.streams.active and live.await_any(timeout=1) is False

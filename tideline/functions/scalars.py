@@ -34,5 +34,6 @@ def strip_registry_header(value: Column | str) -> Column:
 
 def to_cents(amount: Column | str) -> Column:
     """Currency amount to whole cents, so that sums are exact and order-independent."""
-    column = F.col(amount) if isinstance(amount, str) else amount
-    return F.round(column * 100).cast("bigint")
+    cents = (F.col(amount) if isinstance(amount, str) else amount) * 100
+    # Half away from zero.  round() on a double goes through a decimal object per row.
+    return F.when(cents < 0, F.ceil(cents - 0.5)).otherwise(F.floor(cents + 0.5))

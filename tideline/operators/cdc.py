@@ -16,45 +16,46 @@ from tideline.sources.decode import CORRUPT, json_record, once
 OP_NAMES = {"c": "INSERT", "u": "UPDATE", "d": "DELETE", "r": "SNAPSHOT"}
 TOMBSTONE = "TOMBSTONE"
 
-# Row images stay JSON text here, because one topic list may span many tables; a table's own
-# columns are typed later with :func:`typed_rows`.
-_ENVELOPE = T.StructType(
+_SOURCE = T.StructType(
     [
-        T.StructField("op", T.StringType()),
-        T.StructField("before", T.StringType()),
-        T.StructField("after", T.StringType()),
-        T.StructField("ts_ms", T.LongType()),
-        T.StructField(
-            "source",
-            T.StructType(
-                [
-                    T.StructField("db", T.StringType()),
-                    T.StructField("table", T.StringType()),
-                    T.StructField("txId", T.LongType()),
-                    T.StructField("lsn", T.LongType()),
-                ]
-            ),
-        ),
+        T.StructField("db", T.StringType()),
+        T.StructField("table", T.StringType()),
+        T.StructField("txId", T.LongType()),
+        T.StructField("lsn", T.LongType()),
     ]
 )
 
 
+def _envelope(image: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("op", T.StringType()),
+            T.StructField("before", image),
+            T.StructField("after", image),
+            T.StructField("ts_ms", T.LongType()),
+            T.StructField("source", _SOURCE),
+        ]
+    )
+
+
 def _absent(raw: Column, key: str) -> Column:
     return ~F.array_contains(F.json_object_keys(raw), key)
 
 
-def parse_changes(messages: DataFrame, keep_corrupt: bool = False) -> DataFrame:
+def parse_changes(messages: DataFrame, row: T.StructType | None = None, keep_corrupt: bool = False) -> DataFrame:
     """Messages to change rows: op, op_name, schema, table, data, before, after, ts_ms, source, raw.
 
     ``data`` is the before image of a delete and the after image otherwise; an image that is
-    absent (not null) gives ``{}``.  A null value is a tombstone.  Unparsable messages are
+    absent (not null) gives ``{}``.  Images are JSON text, because the topics may span many
+    tables; for the topic of one table, ``row`` types them in the same parse and an absent
+    image is null.  A null value is a tombstone.  Unparsable messages are
     skipped, or kept with ``error_type`` set.  ``key``, ``topic``, ``partition`` and
     ``offset`` are carried along.
     """
     raw = F.col("value").cast("string")
     tombstone = F.col("value").isNull()
     schema, table = topic_schema_and_table("topic")
-    parsed = messages.withColumn("raw", raw).select("*", once(json_record(raw, _ENVELOPE), "e"))
+    parsed = messages.withColumn("raw", raw).select("*", once(json_record(raw, _envelope(row or T.StringType())), "e"))
     corrupt = ~tombstone & (F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull())
     if not keep_corrupt:
         parsed = parsed.filter(~corrupt)
@@ -65,14 +66,14 @@ def parse_changes(messages: DataFrame, keep_corrupt: bool = False) -> DataFrame:
         op_name = F.when(F.col("e.op") == code, name).otherwise(op_name)
     image = F.when(F.col("e.op") == "d", F.col("e.before")).otherwise(F.col("e.after"))
     no_image = F.when(F.col("e.op") == "d", _absent(F.col("raw"), "before")).otherwise(_absent(F.col("raw"), "after"))
-    data = F.when(image.isNotNull(), image).when(no_image, "{}")
+    data = image if row else F.when(tombstone, "{}").when(image.isNotNull(), image).when(no_image, "{}")
 
     columns = [
         F.when(tombstone, "d").otherwise(op).alias("op"),
         F.when(tombstone, TOMBSTONE).otherwise(op_name).alias("op_name"),
         schema.alias("schema"),
         table.alias("table"),
-        F.when(tombstone, "{}").otherwise(data).alias("data"),
+        data.alias("data"),
         F.col("e.before").alias("before"),
         F.col("e.after").alias("after"),
         F.col("e.ts_ms").alias("ts_ms"),
@@ -103,9 +104,9 @@ def last_changes(changes: DataFrame, row: T.StructType, keys: list[str]) -> Data
     Result: ``op, lsn, offset`` and the row.  Applying it to its own output, or to a union
     of outputs, changes nothing, so replayed batches are harmless.
     """
-    rows = changes.filter(F.col("op_name") != TOMBSTONE).select(
-        "op", F.col("source.lsn").alias("lsn"), "offset", once(F.from_json("data", row), "row")
-    )
+    typed = isinstance(changes.schema["data"].dataType, T.StructType)
+    data = F.col("data").alias("row") if typed else once(F.from_json("data", row), "row")
+    rows = changes.filter(F.col("op_name") != TOMBSTONE).select("op", F.col("source.lsn").alias("lsn"), "offset", data)
     return latest(rows.select("op", "lsn", "offset", "row.*"), keys, ["lsn", "offset"])
 
 

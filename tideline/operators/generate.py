@@ -57,14 +57,28 @@ def spine(spark: SparkSession, rows: int, start_millis: int, step_millis: int =
     return spark.range(rows).select("id", (F.lit(start_millis) + F.col("id") * step_millis).alias("at_millis"))
 
 
-def _digest(id_column: str, seed: int, purpose: str) -> str:
-    return f"md5(concat('{seed}:{purpose}:', cast(`{id_column}` as string)))"
+# One digest per row, computed in a projection of its own below the fields that cut it up.
+_DIGEST = "digest__"
 
 
-def _uuid(id_column: str, seed: int, purpose: str) -> str:
-    """A version-4 shaped id from one digest."""
-    cut = r"r'^(.{8})(.{4}).(.{3}).(.{3})(.{12})$', '$1-$2-4$3-a$4-$5'"
-    return f"regexp_replace({_digest(id_column, seed, purpose)}, {cut})"
+def _with_digest(rows: DataFrame, seed: int) -> DataFrame:
+    return rows.withColumn(_DIGEST, F.expr(f"md5(concat('{seed}:{EVENT_ID}:', cast(id as string)))"))
+
+
+def _uuid() -> str:
+    """A version-4 shaped id from the row's digest."""
+    cuts = ((1, 8, "-"), (9, 4, "-4"), (14, 3, "-a"), (18, 3, "-"), (21, 12, ""))
+    return "concat(" + ", ".join(f"substring({_DIGEST}, {at}, {n}), '{after}'" for at, n, after in cuts) + ")"
+
+
+def _tag(id_column: str, seed: int, purpose: str) -> str:
+    """Eight hex digits."""
+    return f"lpad(lower(hex({_draw(id_column, seed, purpose)})), 8, '0')"
+
+
+def user_name(number: str) -> str:
+    """SQL text of ``user_%06d``, without a formatter object per row."""
+    return f"concat('user_', if({number} < 1000000L, lpad(cast({number} as string), 6, '0'), cast({number} as string)))"
 
 
 def _value(name: str, kind: str, domain: Domain, seed: int, id_column: str) -> str:
@@ -76,11 +90,11 @@ def _value(name: str, kind: str, domain: Domain, seed: int, id_column: str) -> s
     if kind == "string":
         if name == domain.entity_key:
             pool = domain.synthetic.get("user_pool_size", 10_000)
-            return f"format_string('user_%06d', {_between(id_column, seed, name, 1, pool)})"
+            return user_name(_between(id_column, seed, name, 1, pool))
         if name == EVENT_ID:
-            return _uuid(id_column, seed, name)
+            return _uuid()
         if "id" in name.lower():
-            return f"concat('{name}_', substring({_digest(id_column, seed, name)}, 1, 8))"
+            return f"concat('{name}_', {_tag(id_column, seed, name)})"
         return f"'sample_{name}'"
     if kind in ("money", "long"):
         return _between(id_column, seed, name, *_MONEY_RANGE)
@@ -125,7 +139,7 @@ def generate_events(
     """
     kind_of = event_type if isinstance(event_type, EventType) else domain.event_type(event_type)
     fields = _fields(kind_of, domain, seed, given or {})
-    return rows.selectExpr(*keep, *[f"{text} as `{name}`" for name, text in fields.items()])
+    return _with_digest(rows, seed).selectExpr(*keep, *[f"{text} as `{name}`" for name, text in fields.items()])
 
 
 def generate_messages(
@@ -155,7 +169,7 @@ def generate_messages(
         struct = ", ".join(f"'{name}', {text}" for name, text in record.items())
         branches.append(f"when '{topic_for(event_type.name, prefix)}' then to_json(named_struct({struct}))")
     entity = (given or {}).get(domain.entity_key) or _value(domain.entity_key, "string", domain, seed, "id")
-    return typed.selectExpr(
+    return _with_digest(typed, seed).selectExpr(
         f"cast({entity} as binary) as key",
         f"cast(case topic {' '.join(branches)} end as binary) as value",
         "topic",
@@ -200,7 +214,7 @@ def generate_sessions(rows: DataFrame, domain: Domain, seed: int = 42) -> DataFr
         entry = F.struct(F.lit(event_type).alias("event_type"), (F.col("at_millis") + elapsed).alias("timestamp"))
         entries.append(F.when(happened, entry))
     journey = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    user = F.format_string("user_%06d", draw_between("id", seed, domain.entity_key, 1, pool))
+    user = F.expr(user_name(_between("id", seed, domain.entity_key, 1, pool)))
     return rows.select(
         F.col("id").alias("session_id"), user.alias(domain.entity_key), F.posexplode(journey).alias("pos", "e")
     ).select(

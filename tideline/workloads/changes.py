@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators import cdc, dlq
 from tideline.sources.decode import checked
+from tideline.sources.messages import subscribe
 from tideline.sources.tables import table
 from tideline.workloads.inputs import CLICKSTREAM, change_log, customer_log, events, flawed_messages
 from tideline.workloads.registry import query
@@ -42,7 +44,7 @@ _LOG = f"""(
                CASE WHEN seq < 4 THEN 'shop' END AS db, lsn AS "offset" FROM {_LOG}""",
 )
 def cdc_parse(spark, folder):
-    changes = cdc.typed_rows(cdc.parse_changes(change_log(table(spark, folder, "orders"))), ORDER_ROW)
+    changes = cdc.parse_changes(change_log(table(spark, folder, "orders")), ORDER_ROW)
     return changes.select(
         "op",
         "op_name",
@@ -67,7 +69,8 @@ ORDER_STATE_SQL = f"""SELECT o_orderkey AS id, o_custkey AS customer_id, {_CENTS
 
 @query("cdc_current_state", ORDER_STATE_SQL)
 def cdc_current_state(spark, folder):
-    return cdc.current_state(cdc.parse_changes(change_log(table(spark, folder, "orders"))), ORDER_ROW, ["id"])
+    changes = cdc.parse_changes(change_log(table(spark, folder, "orders")), ORDER_ROW)
+    return cdc.current_state(changes, ORDER_ROW, ["id"])
 
 
 @query("cdc_op_stats", f"""SELECT 'orders' AS "table", op_name, count(*) AS count FROM {_LOG} GROUP BY op_name""")
@@ -102,9 +105,12 @@ def cdc_audit(spark, folder):
         FROM customer JOIN orders ON o_custkey = c_custkey AND o_orderkey % 7 <> 0 GROUP BY ALL""",
 )
 def cdc_customer_orders(spark, folder):
-    changes = cdc.parse_changes(change_log(table(spark, folder, "orders")).unionByName(customer_log(table(spark, folder, "customer"))))
-    orders = cdc.current_state(cdc.table_changes(changes, "orders"), ORDER_ROW, ["id"])
-    customers = cdc.current_state(cdc.table_changes(changes, "customers"), CUSTOMER_ROW, ["id"])
+    log = change_log(table(spark, folder, "orders")).unionByName(customer_log(table(spark, folder, "customer")))
+
+    def state(topic: str, row: T.StructType) -> DataFrame:
+        return cdc.current_state(cdc.parse_changes(subscribe(log, [topic]), row), row, ["id"])
+
+    orders, customers = state("cdc.public.orders", ORDER_ROW), state("cdc.public.customers", CUSTOMER_ROW)
     # One row per customer before the join, so a busy customer does not skew it.
     per_customer = orders.groupBy("customer_id").agg(
         F.count("*").alias("orders"), F.sum("amount_cents").alias("amount_cents")

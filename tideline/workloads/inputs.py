@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.scalars import to_cents
 from tideline.functions.times import wall_millis, wall_to_instant
-from tideline.operators.generate import generate_messages
+from tideline.operators.generate import generate_messages, user_name
 from tideline.plans.spec import AlertSpec, Condition, Domain, EventType
 from tideline.sources.tables import spread, table
 
@@ -43,9 +43,9 @@ def spine(df: DataFrame) -> DataFrame:
 def domain_messages(df: DataFrame, domain: Domain, event_types: list[str] | None = None) -> DataFrame:
     """Every event as a message of a drawn type of ``domain``, with its real user and amount."""
     given = {
-        domain.entity_key: "format_string('user_%06d', user_id)",
-        "total_amount": "cast(round(value * 100) as bigint)",
-        "amount": "cast(round(value * 100) as bigint) * 10",
+        domain.entity_key: user_name("user_id"),
+        "total_amount": "floor(value * 100 + 0.5D)",
+        "amount": "floor(value * 100 + 0.5D) * 10",
     }
     return generate_messages(spine(df), domain, event_types, given=given)
 

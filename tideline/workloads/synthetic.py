@@ -23,7 +23,7 @@ def _uuid(purpose: str) -> str:
 
 
 def _tag(name: str) -> str:
-    return f"'{name}_' || substr(md5('{sqltext.SEED}:{name}:' || event_id), 1, 8)"
+    return f"'{name}_' || printf('%08x', {draw('event_id', name)})"
 
 
 _TRANSACTION = {
