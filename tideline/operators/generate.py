@@ -15,41 +15,50 @@ from pyspark.sql import functions as F
 from tideline.functions.scalars import topic_for
 from tideline.plans.schema import EVENT_ID, TIMESTAMP, fields_of
 from tideline.plans.spec import Domain, EventType
+from tideline.sources.decode import once
 
 # A prime below 2**31: products of two residues stay inside a 64-bit long.
 _PRIME = 2_147_483_647
 _NULL_PER_MILLE = 100
+# The JIT compiler leaves methods of over 8,000 bytes interpreted; a group of this many fields
+# is computed in an operator, and so a method, of its own.
+_FIELDS_PER_METHOD = 6
 _MONEY_RANGE = (100, 100_000)
 
 
-def factors(seed: int, purpose: str) -> tuple[int, int, int]:
-    """Multipliers and offset of the universal hash for one purpose."""
-    numbers = [zlib.crc32(f"{seed}:{purpose}:{part}".encode()) for part in ("id", "high", "offset")]
-    return numbers[0] % (_PRIME - 1) + 1, numbers[1] % (_PRIME - 1) + 1, numbers[2] % _PRIME
+def factors(seed: int, purpose: str) -> tuple[int, int]:
+    """Multiplier and offset of the universal hash for one purpose."""
+    slope, offset = (zlib.crc32(f"{seed}:{purpose}:{part}".encode()) for part in ("slope", "offset"))
+    return slope % (_PRIME - 1) + 1, offset % _PRIME
 
 
-def _draw(id_column: str, seed: int, purpose: str) -> str:
+def _residue(id_column: str) -> str:
+    """SQL text folding an id into [0, 2**31 - 1)."""
+    return f"((`{id_column}` % {_PRIME}L + `{id_column}` div {_PRIME}L % {_PRIME}L * 16807L) % {_PRIME}L)"
+
+
+def _draw(residue: str, seed: int, purpose: str) -> str:
     """SQL text of a number in [0, 2**31 - 1); as text it costs one call to build a column."""
-    a, b, c = factors(seed, purpose)
-    return f"((`{id_column}` % {_PRIME}L * {a}L + `{id_column}` div {_PRIME}L % {_PRIME}L * {b}L % {_PRIME}L + {c}L) % {_PRIME}L)"
+    slope, offset = factors(seed, purpose)
+    return f"(({residue} * {slope}L + {offset}L) % {_PRIME}L)"
 
 
-def draw(id_column: str, seed: int, purpose: str) -> Column:
-    """A pseudo-random integer in [0, 2**31 - 1) for this id and purpose, all in codegen."""
-    return F.expr(_draw(id_column, seed, purpose))
+def _between(residue: str, seed: int, purpose: str, low: int, high: int) -> str:
+    return f"({_draw(residue, seed, purpose)} % {high - low + 1}L + {low}L)"
 
 
-def _between(id_column: str, seed: int, purpose: str, low: int, high: int) -> str:
-    return f"({_draw(id_column, seed, purpose)} % {high - low + 1}L + {low}L)"
+def draw(id_column: str, seed: int, purpose: str) -> Column:
+    """A pseudo-random integer in [0, 2**31 - 1) for this id and purpose, all in codegen."""
+    return F.expr(_draw(_residue(id_column), seed, purpose))
 
 
 def draw_between(id_column: str, seed: int, purpose: str, low: int, high: int) -> Column:
     """An integer in [low, high]."""
-    return F.expr(_between(id_column, seed, purpose, low, high))
+    return F.expr(_between(_residue(id_column), seed, purpose, low, high))
 
 
 def draw_chance(id_column: str, seed: int, purpose: str, probability: float) -> Column:
-    return F.expr(f"{_draw(id_column, seed, purpose)} % 10000L < {round(probability * 10_000)}L")
+    return F.expr(f"{_draw(_residue(id_column), seed, purpose)} % 10000L < {round(probability * 10_000)}L")
 
 
 def spine(spark: SparkSession, rows: int, start_millis: int, step_millis: int = 1) -> DataFrame:
@@ -57,12 +66,14 @@ def spine(spark: SparkSession, rows: int, start_millis: int, step_millis: int =
     return spark.range(rows).select("id", (F.lit(start_millis) + F.col("id") * step_millis).alias("at_millis"))
 
 
-# One digest per row, computed in a projection of its own below the fields that cut it up.
-_DIGEST = "digest__"
+# What all fields of a row share, in a projection of its own below them: the folded id and one
+# digest.  Repeated in every field they would make the generated method too long to compile.
+_DIGEST, _X = "digest__", "x__"
 
 
-def _with_digest(rows: DataFrame, seed: int) -> DataFrame:
-    return rows.withColumn(_DIGEST, F.expr(f"md5(concat('{seed}:{EVENT_ID}:', cast(id as string)))"))
+def _prepared(rows: DataFrame, seed: int) -> DataFrame:
+    digest = F.expr(f"md5(concat('{seed}:{EVENT_ID}:', cast(id as string)))")
+    return rows.withColumns({_X: F.expr(_residue("id")), _DIGEST: digest})
 
 
 def _uuid() -> str:
@@ -71,9 +82,9 @@ def _uuid() -> str:
     return "concat(" + ", ".join(f"substring({_DIGEST}, {at}, {n}), '{after}'" for at, n, after in cuts) + ")"
 
 
-def _tag(id_column: str, seed: int, purpose: str) -> str:
+def _tag(seed: int, purpose: str) -> str:
     """Eight hex digits."""
-    return f"lpad(lower(hex({_draw(id_column, seed, purpose)})), 8, '0')"
+    return f"lpad(lower(hex({_draw(_X, seed, purpose)})), 8, '0')"
 
 
 def user_name(number: str) -> str:
@@ -81,29 +92,30 @@ def user_name(number: str) -> str:
     return f"concat('user_', if({number} < 1000000L, lpad(cast({number} as string), 6, '0'), cast({number} as string)))"
 
 
-def _value(name: str, kind: str, domain: Domain, seed: int, id_column: str) -> str:
+def _value(name: str, kind: str, domain: Domain, seed: int) -> str:
     """SQL text of one field's value."""
     choices = domain.samples.get(name)
     if choices:
         listed = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in choices)
-        return f"elt(cast({_between(id_column, seed, name, 1, len(choices))} as int), {listed})"
+        # The array folds to one constant; elt() would generate a branch per choice.
+        return f"element_at(array({listed}), cast({_between(_X, seed, name, 1, len(choices))} as int))"
     if kind == "string":
         if name == domain.entity_key:
             pool = domain.synthetic.get("user_pool_size", 10_000)
-            return user_name(_between(id_column, seed, name, 1, pool))
+            return user_name(_between(_X, seed, name, 1, pool))
         if name == EVENT_ID:
             return _uuid()
         if "id" in name.lower():
-            return f"concat('{name}_', {_tag(id_column, seed, name)})"
+            return f"concat('{name}_', {_tag(seed, name)})"
         return f"'sample_{name}'"
     if kind in ("money", "long"):
-        return _between(id_column, seed, name, *_MONEY_RANGE)
+        return _between(_X, seed, name, *_MONEY_RANGE)
     if kind in ("float", "double"):
-        return f"({_between(id_column, seed, name, 0, 10_000)} / 100D)"
+        return f"({_between(_X, seed, name, 0, 10_000)} / 100D)"
     if kind == "int":
-        return f"cast({_between(id_column, seed, name, 1, 100)} as int)"
+        return f"cast({_between(_X, seed, name, 1, 100)} as int)"
     if kind == "boolean":
-        return f"({_draw(id_column, seed, name)} % 2L = 0L)"
+        return f"({_draw(_X, seed, name)} % 2L = 0L)"
     raise ValueError(f"{name}: no generator for {kind}")
 
 
@@ -117,9 +129,9 @@ def _fields(kind_of: EventType, domain: Domain, seed: int, given: dict[str, str]
         if name == TIMESTAMP:
             fields[name] = "at_millis"
             continue
-        value = _value(name, kind, domain, seed, "id")
+        value = _value(name, kind, domain, seed)
         if nullable:
-            value = f"if({_draw('id', seed, name + '?')} % 1000L >= {_NULL_PER_MILLE}L, {value}, null)"
+            value = f"if({_draw(_X, seed, name + '?')} % 1000L >= {_NULL_PER_MILLE}L, {value}, null)"
         fields[name] = value
     return fields
 
@@ -139,7 +151,7 @@ def generate_events(
     """
     kind_of = event_type if isinstance(event_type, EventType) else domain.event_type(event_type)
     fields = _fields(kind_of, domain, seed, given or {})
-    return _with_digest(rows, seed).selectExpr(*keep, *[f"{text} as `{name}`" for name, text in fields.items()])
+    return _prepared(rows, seed).selectExpr(*keep, *[f"{text} as `{name}`" for name, text in fields.items()])
 
 
 def generate_messages(
@@ -158,20 +170,38 @@ def generate_messages(
     names = [t.name for t in domain.event_types]
     wanted = [t for t in domain.event_types if t.name in (event_types or names)]
     topics = ", ".join(f"'{topic_for(n, prefix)}'" for n in names)
-    typed = rows.withColumn(
-        "topic", F.expr(f"elt(cast({_draw('id', seed, 'event_type')} % {len(names)}L as int) + 1, {topics})")
+    typed = _prepared(rows, seed).withColumn(
+        "topic", F.expr(f"element_at(array({topics}), cast({_between(_X, seed, 'event_type', 1, len(names))} as int))")
     )
     if len(wanted) < len(names):
         typed = typed.filter(F.col("topic").isin([topic_for(t.name, prefix) for t in wanted]))
-    branches = []
-    for event_type in wanted:
-        record = _fields(event_type, domain, seed, given or {})
-        struct = ", ".join(f"'{name}', {text}" for name, text in record.items())
-        branches.append(f"when '{topic_for(event_type.name, prefix)}' then to_json(named_struct({struct}))")
-    entity = (given or {}).get(domain.entity_key) or _value(domain.entity_key, "string", domain, seed, "id")
-    return _with_digest(typed, seed).selectExpr(
+    # One record over the fields of all types; to_json leaves out what a type lacks.
+    carriers: dict[str, dict[str, str]] = {}
+    for event_type in domain.event_types:
+        for name, text in _fields(event_type, domain, seed, given or {}).items():
+            carriers.setdefault(name, {})[topic_for(event_type.name, prefix)] = text
+    subscribed = {topic_for(t.name, prefix) for t in wanted}
+    entries = []
+    for name, by_topic in carriers.items():
+        by_text: dict[str, list[str]] = {}
+        for topic, text in by_topic.items():
+            if topic in subscribed:
+                by_text.setdefault(text, []).append(topic)
+        if len(by_text) == 1 and len(next(iter(by_text.values()))) == len(subscribed):
+            entries.append((name, next(iter(by_text))))
+        elif by_text:
+            cases = (f"when topic in ({', '.join(repr(t) for t in ts)}) then {text}" for text, ts in by_text.items())
+            entries.append((name, f"case {' '.join(cases)} end"))
+    entity = (given or {}).get(domain.entity_key) or _value(domain.entity_key, "string", domain, seed)
+    members = []
+    for part in range(0, len(entries), _FIELDS_PER_METHOD):
+        group, column = entries[part : part + _FIELDS_PER_METHOD], f"part_{part}__"
+        record = ", ".join(f"'{name}', {text}" for name, text in group)
+        typed = typed.select("*", once(F.expr(f"named_struct({record})"), column))
+        members += [f"'{name}', {column}.`{name}`" for name, _ in group]
+    return typed.selectExpr(
         f"cast({entity} as binary) as key",
-        f"cast(case topic {' '.join(branches)} end as binary) as value",
+        f"cast(to_json(named_struct({', '.join(members)})) as binary) as value",
         "topic",
         "cast(id % 8 as int) as partition",
         "id as offset",
@@ -214,7 +244,7 @@ def generate_sessions(rows: DataFrame, domain: Domain, seed: int = 42) -> DataFr
         entry = F.struct(F.lit(event_type).alias("event_type"), (F.col("at_millis") + elapsed).alias("timestamp"))
         entries.append(F.when(happened, entry))
     journey = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    user = F.expr(user_name(_between("id", seed, domain.entity_key, 1, pool)))
+    user = F.expr(user_name(_between(_residue("id"), seed, domain.entity_key, 1, pool)))
     return rows.select(
         F.col("id").alias("session_id"), user.alias(domain.entity_key), F.posexplode(journey).alias("pos", "e")
     ).select(

@@ -23,9 +23,9 @@ def sliding(us: str, size: str, slide: str) -> tuple[str, str, str]:
 
 
 def draw(id_column: str, purpose: str, seed: int = SEED) -> str:
-    a, b, c = factors(seed, purpose)
-    low, high = f"({id_column} % {_PRIME})", f"({id_column} // {_PRIME} % {_PRIME})"
-    return f"(({low} * {a} + {high} * {b} % {_PRIME} + {c}) % {_PRIME})"
+    slope, offset = factors(seed, purpose)
+    residue = f"(({id_column} % {_PRIME} + {id_column} // {_PRIME} % {_PRIME} * 16807) % {_PRIME})"
+    return f"(({residue} * {slope} + {offset}) % {_PRIME})"
 
 
 def draw_between(id_column: str, purpose: str, low: int, high: int, seed: int = SEED) -> str:
