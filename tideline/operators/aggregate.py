@@ -15,8 +15,10 @@ from tideline.functions.predicates import filter_column
 from tideline.functions.times import common_pane, duration_micros, instant_to_wall
 from tideline.plans.spec import AggregationSpec, SpecError, WindowSpec, resolve_path
 
-# Copies per row from which panes pay for their extra shuffle of partial results.
+# Copies per row from which panes pay for their extra shuffle.  Sums and counts shrink to one
+# row per pane and group; distinct values may hardly shrink, so they need many more copies.
 PANE_RATIO = 3
+PANE_RATIO_DISTINCT = 12
 
 
 def window_column(spec: WindowSpec, time: str) -> Column:
@@ -62,7 +64,8 @@ def aggregate(
 
     # A sketch cannot be merged from panes with built-in counts, so it reads the rows directly.
     if panes is None:
-        panes = not df.isStreaming and copies(spec.window) >= PANE_RATIO
+        enough = PANE_RATIO_DISTINCT if spec.kind == "count_distinct" else PANE_RATIO
+        panes = not df.isStreaming and copies(spec.window) >= enough
     if approximate is not None and spec.kind == "count_distinct":
         return df.groupBy(window_column(spec.window, time), *keys).agg(
             F.approx_count_distinct(field, approximate).alias(spec.measure)
