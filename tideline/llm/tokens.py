@@ -1,7 +1,7 @@
 """Token counts by a two-tier lookup of pre-tokens, without shuffling any of them.
 
 A SentencePiece BPE model whose pieces never hold a space mark after another character, nor a
-line feed beside anything, can only merge inside the runs this module calls pre-tokens: spaces
+line feed beside anything, can only merge inside the runs this module calls pre-tokens: spaces (or space marks)
 with the word after them, or a line feed with the word after it.  The count of a text is then
 the sum of the counts of its pre-tokens.  The lengths of frequent ones come from a small table
 sent to every executor once; others are encoded once per worker and kept in a bounded cache.
@@ -22,7 +22,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tideline.llm.common import map_arrow, ship
 
-PRETOKEN = re.compile(r" +[^ \n]*|\n[^ \n]*")
+PRETOKEN = re.compile(r"[ ▁]+[^ ▁\n]*|\n[^ ▁\n]*")
 
 #: Most entries of one worker's cache; a full cache starts anew.
 CACHE_ENTRIES = 300_000
@@ -63,10 +63,10 @@ def encode_pretokens(name: str, words: list[str]) -> list[list[int]]:
     is left off, and after a line feed the ids of that added space are.
     """
     model, space = load_model(name)
-    texts = [w[1:] if w[0] == " " else w for w in words]
+    texts = [w if w[0] == "\n" else w[1:] for w in words]
     ids = model.encode(texts, num_threads=1)
     return [
-        (list(space) if w == " " else i) if w[0] == " " else i[len(space) :]
+        i[len(space) :] if w[0] == "\n" else i if len(w) > 1 else list(space)
         for w, i in zip(words, ids)
     ]
 
