@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import licenses, mixing, tokens
+from tideline.llm import licenses, mixing, near, tokens
 from tideline.llm.common import WORD, written
 from tideline.sources.tables import table
 
@@ -38,6 +38,42 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_NEAR_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents
+), g AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM d
+), u AS (
+  SELECT DISTINCT doc_id, s FROM g
+), n AS (
+  SELECT doc_id, count(*) AS n FROM u GROUP BY doc_id
+), o AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM u x JOIN u y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE shared >= 0.8 * (p.n + q.n - shared) - 1e-9
+), r AS (
+  SELECT doc_id AS node, doc_id AS root FROM d
+  UNION
+  SELECT e.b, r.root FROM r JOIN e ON e.a = r.node WHERE r.root < e.b
+), c AS (
+  SELECT node, min(root) AS class_id FROM r GROUP BY node
+), k AS (
+  SELECT a, count(*) AS links FROM e GROUP BY a
+)
+SELECT doc_id, class_id, coalesce(links, 0) AS links
+FROM d JOIN c ON c.node = d.doc_id LEFT JOIN k ON k.a = d.doc_id
+"""
+
+
+@query("op3_jaccard_join", _NEAR_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of near copies of every document and its number of links."""
+    return near.near_copies(table(spark, folder, "documents")).select("doc_id", "class_id", "links")
+
+
 _MIX_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
