@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import licenses, mixing, near, tokens
+from tideline.llm import leaks, licenses, mixing, near, tokens
 from tideline.llm.common import WORD, written
 from tideline.sources.tables import table
 
@@ -74,6 +74,36 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_copies(table(spark, folder, "documents")).select("doc_id", "class_id", "links")
 
 
+_LEAK_SQL = f"""
+WITH i AS (
+  SELECT row_number() OVER () AS k, item_id, w, least(5, len(w)) AS l
+  FROM (SELECT DISTINCT item_id, text, regexp_extract_all(text, '{WORD}') AS w FROM benchmark WHERE text IS NOT NULL)
+  WHERE len(w) > 0
+), s AS (
+  SELECT DISTINCT k, item_id, l, unnest(list_transform(range(1, len(w) - l + 2), lambda j: array_to_string(w[j:j + l - 1], ' '))) AS s
+  FROM i
+), n AS (
+  SELECT k, count(*) AS n_item FROM s GROUP BY k
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents
+), g AS (
+  SELECT DISTINCT r, doc_id, l, unnest(list_transform(range(1, len(w) - l + 2), lambda j: array_to_string(w[j:j + l - 1], ' '))) AS s
+  FROM d, (SELECT DISTINCT l FROM i)
+), m AS (
+  SELECT g.r, g.doc_id, s.k, s.item_id, count(*) AS n_shared
+  FROM g JOIN s ON g.l = s.l AND g.s = s.s GROUP BY ALL
+)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+FROM m JOIN n USING (k) WHERE n_shared >= 0.8 * n_item - 1e-9
+"""
+
+
+@query("op7_benchmark_leaks", _LEAK_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark item that stands in a document."""
+    return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 _MIX_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
