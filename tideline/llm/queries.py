@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import leaks, licenses, mixing, near, tokens
+from tideline.llm import leaks, licenses, mixing, near, shards, tokens, toxicity
 from tideline.llm.common import WORD, written
 from tideline.sources.tables import table
 
@@ -74,6 +74,30 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_copies(table(spark, folder, "documents")).select("doc_id", "class_id", "links")
 
 
+@query("op4_training_order")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Every training sequence of the documents, read back from the shards."""
+    return shards.training_order(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def held_out(doc_id: str = "doc_id"):
+    """Rows that no classifier learns from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels").where(~held_out()))
+    return toxicity.with_scores(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 _LEAK_SQL = f"""
 WITH i AS (
   SELECT row_number() OVER () AS k, item_id, w, least(5, len(w)) AS l
