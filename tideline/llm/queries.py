@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import leaks, licenses, mixing, near, shards, tokens, toxicity
+from tideline.llm import leaks, licenses, mixing, near, quality, shards, tokens, toxicity
 from tideline.llm.common import WORD, written
 from tideline.sources.tables import table
 
@@ -74,6 +74,75 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_copies(table(spark, folder, "documents")).select("doc_id", "class_id", "links")
 
 
+def _quality_sql() -> str:
+    ladder = quality.LADDER
+    value = {
+        "symbols": "n_symbols / greatest(n_words, 1)",
+        "bangs": "n_bangs / greatest(n_words, 1)",
+        "doubled": "n_doubled / greatest(n_words, 1)",
+        "lines": "n_dup_lines / greatest(n_lines, 1)",
+        "repeats": "n_repeat_words / greatest(n_words, 1)",
+        "long_words": "word_chars / greatest(n_words, 1)",
+        "short_words": "-(word_chars / greatest(n_words, 1))",
+    }
+    levels = " ".join(
+        f"WHEN {' OR '.join(f'{value[n]} > CAST({cuts[k]} AS DOUBLE)' for n, cuts in ladder.items())} THEN {k + 1}"
+        for k in range(quality.LEVELS)
+    )
+    last, alpha, delta = quality.LEVELS + 1, quality.ALPHA, quality.DELTA
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '{WORD}') AS w,
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{WORD}')) AS l FROM d
+), p AS (
+  SELECT r, unnest(range(1, len(w) - 6)) AS i, w FROM w WHERE len(w) >= 8
+), g AS (
+  SELECT r, i, array_to_string(w[i:i + 7], ' ') AS g FROM p
+), x AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1
+), y AS (
+  SELECT r, sum(least(8, i - coalesce(b, i - 8))) AS n FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS b FROM x) GROUP BY r
+), f AS (
+  SELECT doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+         coalesce(y.n, 0) AS n_repeat_words, len(regexp_extract_all(t, '!')) AS n_bangs, len(l) AS n_lines,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_doubled
+  FROM w LEFT JOIN y USING (r)
+), v AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, CASE {levels} ELSE {last} END AS first FROM f
+), q AS (
+  SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
+), h AS (
+  SELECT lang, first FROM v JOIN q USING (doc_id) WHERE NOT base_failed
+), s AS (
+  SELECT lang, count(*) AS n FROM h GROUP BY lang
+), k AS (
+  SELECT s.lang, s.n, z.level, (SELECT count(*) FROM h WHERE h.lang IS NOT DISTINCT FROM s.lang AND h.first <= z.level) AS k
+  FROM s, (SELECT unnest(range(1, {last})) AS level) z
+), b AS (
+  SELECT lang, level, coalesce((SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({alpha}::DOUBLE) + (n - j) * ln(1 - {alpha}::DOUBLE)))
+         FROM (SELECT unnest(range(0, k + 1)) AS j)), 1) <= {delta}::DOUBLE / (SELECT count(*) FROM s) AS fine
+  FROM k
+), c AS (
+  SELECT lang, coalesce(min(level) FILTER (WHERE NOT fine), {last}) - 1 AS level FROM b GROUP BY lang
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND first > coalesce(level, 0) AS kept
+FROM v LEFT JOIN c ON v.lang IS NOT DISTINCT FROM c.lang
+"""
+
+
+@query("op2_quality_rules", _quality_sql())
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality verdict on every document."""
+    found = quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query("op4_training_order")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Every training sequence of the documents, read back from the shards."""
