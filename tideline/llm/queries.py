@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import leaks, licenses, mixing, near, quality, shards, tokens, toxicity
+from tideline.llm import chat, leaks, licenses, mixing, near, quality, shards, tokens, toxicity
 from tideline.llm.common import WORD, written
 from tideline.sources.tables import table
 
@@ -235,6 +235,49 @@ FROM p
 """
 
 
+_CHAT_SQL = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, v.turn, v.role, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|turn:|><|end|>') + length(replace(replace(role, '~', '~0'), '<', '~1')) + len(regexp_extract_all(role, '[|]'))
+           + length(replace(replace(text, '~', '~0'), '<', '~1'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
+@query("op8_chat_format", _CHAT_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted text."""
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    records = chat.conversations_to_records(given.unionByName(control))
+    # What follows sees the output alone: the formatted text and the spans of the loss mask.
+    output = written(chat.formatted_records(records).select("conv_id", "formatted", "loss"), "chat-formatted")
+    back = output.withColumn("turns", chat.parsed("formatted"))
+    every = "array_join(transform(turns, t -> concat(t.role, '\\n', t.text, '\\n')), '')"
+    span = "substring(formatted, s.start + 1, s.end - s.start)"
+    masked = f"array_join(transform(loss, s -> {chat.unescaped(span)}), '')"
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.expr(every).cast("binary"), 256).alias("turns_sha256"),
+        F.char_length(F.expr(masked)).cast("long").alias("loss_chars"),
+        F.sha2(F.expr(masked).cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query("op9_mix_sources", _MIX_SQL)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """The words of every document that a mix of 150 % of all words takes."""
