@@ -117,7 +117,13 @@ def copies(
 
 def mixed(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix itself: the rows of ``docs`` (same columns), each as often as it is taken."""
-    sized = docs.withColumn("_size", word_count(F.col(text)))
+    # Whole rows travel as one struct, so that no column of theirs meets a name used here.
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        "doc_id",
+        "source",
+        word_count(F.col(f"`{text}`")).alias("_size"),
+    )
     taken = copies(sized, **options).where(F.col("_copies") > 0)
     again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    return taken.withColumn("_copy", again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return taken.select("_row", again.alias("_copy")).select("_row.*")

@@ -442,7 +442,7 @@ def without_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     """
     found = near_copies(docs, id_column, text, **options)
     kept = found.select(F.col("kept").alias("_row_key")).distinct()
-    rows = docs.withColumn("_row_key", row_key(id_column, text)).withColumn(
-        "_copy", F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key"))
-    )
-    return rows.where("_copy = 1").join(kept, "_row_key", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_key(id_column, text).alias("_row_key")
+    ).withColumn("_copy", F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key")))
+    return rows.where("_copy = 1").join(kept, "_row_key", "left_semi").select("_row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, leaks, licenses, mixing, near, quality, shards, tokens, toxicity
+from tideline.llm import chat, leaks, licenses, mixing, near, quality, secrets, shards, tokens, toxicity
 from tideline.llm.common import WORD, written
 from tideline.sources.tables import table
 
@@ -167,6 +167,13 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_secret_scan")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Every candidate for a secret in the documents, with the forest's verdict."""
+    docs = table(spark, folder, "documents")
+    return secrets.scan(docs, secrets.trained_on(docs), path="source")
+
+
 _LEAK_SQL = f"""
 WITH i AS (
   SELECT row_number() OVER () AS k, item_id, w, least(5, len(w)) AS l
