@@ -137,3 +137,13 @@ def test_wall_time_does_not_depend_on_the_session_zone(spark, zone):
             assert row.back == wall
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_average_of_large_numbers_is_the_same_with_panes(spark):
+    rows = [(datetime(2024, 1, 1, 0, m), 2**63 - 1) for m in range(5)]
+    df = spark.createDataFrame(rows, "at timestamp_ntz, x long")
+    spec = AggregationSpec("q", "avg", WindowSpec("sliding", "5 minutes", "1 minute"), field="x")
+    plain, paned = (
+        sorted(map(str, flatten_window(aggregate(df, spec, time="at", panes=panes)).collect())) for panes in (False, True)
+    )
+    assert plain == paned and len(plain) == 9

@@ -182,3 +182,30 @@ def test_report_and_callback(spark):
     )
     [row] = dlq.report(dlq.dead_letters(bad)).collect()
     assert (row.original_topic, row.error_type, row.failures, row.max_retry_count) == ("t", "KeyError", 3, 0)
+
+
+def test_mistyped_values_and_missing_times_are_dead_letters(spark):
+    flaws = [
+        ({**GOOD, "results_count": "many"}, "MistypedField"),
+        ({k: v for k, v in GOOD.items() if k != "timestamp"}, "MissingField"),
+        ({**GOOD, "timestamp": "noon"}, "MistypedField"),
+    ]
+    rows = checked(messages(spark, *[("events.search", event) for event, _ in flaws], ("events.search", GOOD)), ECOMMERCE)
+    good, bad = dlq.split(rows)
+    assert [r.error_type for r in bad.orderBy("offset").collect()] == [kind for _, kind in flaws]
+    # Whatever is good is decoded whole.
+    assert decode_json(good, ECOMMERCE.event_type("search"), "user_id").count() == good.count() == 1
+
+
+def test_replayed_messages_say_how_often(spark):
+    sent = messages(spark, ("events.search", "{bad"))
+    for expected in range(4):
+        _, bad = dlq.split(checked(sent, ECOMMERCE))
+        letters = dlq.dead_letters(bad, failed_at=F.lit(5), retry_count=dlq.retries_so_far(bad))
+        row = letters.first()
+        assert row.retry_count == expected
+        again, archive = dlq.replay(letters)
+        assert (again.count(), archive.count()) == ((1, 0) if expected < 3 else (0, 1))
+        first = row.event_id if expected == 0 else first
+        assert row.event_id == first and first.startswith("dlq-events.search-")
+        sent = again.select("key", "value", "topic", "headers")

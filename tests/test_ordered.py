@@ -115,10 +115,21 @@ def test_absent_windows(spark):
             ("", at(180), 1),
             ("x", at(60), 2),
         ]
+    silent = fill_absent_windows(df, ["k"], "count", "1 minute", until=F.lit(at(300)).cast("timestamp_ntz"))
+    assert sorted(r["n"] for r in silent.groupBy("k").agg(F.count("*").alias("n")).collect()) == [5, 6]
     total = df.groupBy("window_start", "window_end").agg(F.sum("count").alias("count"))
     assert fill_absent_windows(total, [], "count", "1 minute").count() == 4
 
 
+def test_funnel_reads_the_events_once_per_step(spark, folder):
+    spark.createDataFrame([("a", "view", at(0))], "user string, kind string, ts timestamp_ntz").write.parquet(folder)
+    events = spark.read.parquet(folder)
+    for steps in (["view", "cart", "buy"], ["view", "cart", "pay", "buy", "rate"]):
+        plan = funnel(events, "user", "ts", "kind", steps)._jdf.queryExecution().optimizedPlan().toString()
+        # All earlier steps are in stored tables; the last one reads the events once and those twice.
+        assert plan.count("Relation ") == 3
+
+
 def test_funnel_needs_the_order(spark):
     marks = [("a", "view", 0), ("a", "cart", 10), ("a", "buy", 20), ("b", "cart", 0), ("b", "view", 5), ("c", "buy", 1)]
     df = spark.createDataFrame([(u, k, at(s)) for u, k, s in marks], "user string, kind string, ts timestamp_ntz")

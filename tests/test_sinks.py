@@ -16,10 +16,12 @@ from tideline.sinks.writers import (
     analytics_column,
     analytics_options,
     archive_columns,
+    batch_sink,
     check_required,
     create_table,
     file_writer,
     mapped,
+    merge_statement,
     publish,
     table_schema,
     table_writer,
@@ -111,6 +113,7 @@ def test_options():
         "subscribe": "x.a,x.b",
         "startingOffsets": "latest",
         "failOnDataLoss": "false",
+        "includeHeaders": "true",
         "maxOffsetsPerTrigger": "1000",
     }
     assert kafka_options("h", ["cdc.public.orders"], "earliest")["startingOffsets"] == "earliest"
@@ -156,3 +159,35 @@ def test_enrichment_without_a_match_keeps_the_row(spark):
 def test_scratch_is_under_the_configured_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/tideline/x-")
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_counts_are_right_whatever_the_writer_does(spark, folder):
+    df = spark.range(1000).withColumnRenamed("id", "x")
+    seen = []
+    peek = lambda rows, table: (rows.isEmpty(), rows.take(2), seen.append(rows.count()))
+    for writer in (file_writer(folder), peek, lambda rows, table: None):
+        assert batch_sink(writer, "t", {"x": "y"})(df, 0) == 1000
+        assert batch_sink(writer, "t", {"x": "y"})(df.limit(0), 1) == 0
+    assert seen == [1000, 0]
+
+
+def test_folded_upsert_reads_the_base_and_what_came_after(spark, folder):
+    store = UpsertTable(folder, ["k"])
+    for batch in range(4):
+        store(spark.createDataFrame([(k, batch) for k in range(batch, 5)], "k long, v long"), batch)
+    assert store.fold(spark) == 3
+    before = sorted(map(tuple, store.read(spark).collect()))
+    assert before == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 3)]
+    store(spark.createDataFrame([(0, 9), (7, 9)], "k long, v long"), 4)
+    store(spark.createDataFrame([(0, 9), (7, 9)], "k long, v long"), 4)
+    assert sorted(map(tuple, store.read(spark).collect())) == [(0, 9), (1, 1), (2, 2), (3, 3), (4, 3), (7, 9)]
+    assert store.fold(spark) == 4
+    assert sorted(map(tuple, store.read(spark).collect())) == [(0, 9), (1, 1), (2, 2), (3, 3), (4, 3), (7, 9)]
+
+
+def test_merge_statement():
+    text = merge_statement("hourly", "hourly_stage", ["w", "g", "n"], ["w", "g"])
+    assert text == (
+        "INSERT INTO hourly (w, g, n) SELECT w, g, n FROM hourly_stage ON CONFLICT (w, g) DO UPDATE SET n = EXCLUDED.n"
+    )
+    assert merge_statement("t", "s", ["k"], ["k"]).endswith("ON CONFLICT (k) DO NOTHING")

@@ -81,18 +81,25 @@ def aggregate(
     partial = {
         "count": lambda: [F.count("*").alias("n__")],
         "sum": lambda: [total(field).alias("s__")],
-        "avg": lambda: [total(field).alias("s__"), F.count(field).alias("n__")],
+        # As avg() itself does, so that panes cannot overflow where plain rows do not.
+        "avg": lambda: [F.sum(_as_average_sum(df, field)).alias("s__"), F.count(field).alias("n__")],
     }[spec.kind]()
     final = {
         "count": lambda: F.sum("n__"),
         "sum": lambda: total("s__"),
-        "avg": lambda: F.try_divide(total("s__"), F.sum("n__")),
+        "avg": lambda: F.try_divide(F.sum("s__"), F.sum("n__")),
     }[spec.kind]()
     pane = F.window(time, common_pane(spec.window.size, spec.window.slide)).alias("pane__")
     paned = df.groupBy(pane, *keys).agg(*partial).withColumn("pane_start__", F.col("pane__.start")).drop("pane__")
     return paned.groupBy(window_column(spec.window, "pane_start__"), *keys).agg(final.alias(spec.measure))
 
 
+def _as_average_sum(df: DataFrame, field: str) -> Column:
+    """What an average adds up: decimals as they are, all other numbers as doubles."""
+    kind = df.select(field).schema[0].dataType.typeName()
+    return F.col(field) if kind.startswith("decimal") else F.col(field).cast("double")
+
+
 def _distinct(
     df: DataFrame, spec: AggregationSpec, time: str, keys: list[str], field: str, output_mode: str, panes: bool
 ) -> DataFrame:

@@ -191,19 +191,24 @@ def _micros_of(df: DataFrame, name: str) -> Column:
 
 
 def fill_absent_windows(
-    aggregated: DataFrame, keys: list[str], measure: str, step: str, chunk: int = 4096
+    aggregated: DataFrame, keys: list[str], measure: str, step: str, chunk: int = 4096, until: Column | None = None
 ) -> DataFrame:
     """Every window from a group's first to its last, with measure 0 where it had no events.
 
+    ``until`` (a window start, such as that of the newest event or the watermark) carries every
+    group on to there, so that one which falls silent is seen.
+
     Input is flattened (``window_start``, ``window_end``) and tumbling by ``step``.  The
     spine is exploded in two levels, so no array holds more than ``chunk`` windows.
     """
     micros = duration_micros(step)
     wide = interval(f"{micros * chunk} microseconds")
     bounds = aggregated.groupBy(*keys).agg(F.min("window_start").alias("lo__"), F.max("window_start").alias("hi__"))
+    if until is not None:
+        bounds = bounds.withColumn("hi__", F.greatest("hi__", until))
     blocks = bounds.select("*", F.explode(F.sequence("lo__", "hi__", wide)).alias("from__"))
-    until = F.least(F.col("hi__"), F.col("from__") + interval(f"{micros * (chunk - 1)} microseconds"))
-    spine = blocks.select(*keys, F.explode(F.sequence("from__", until, interval(step))).alias("window_start"))
+    last = F.least(F.col("hi__"), F.col("from__") + interval(f"{micros * (chunk - 1)} microseconds"))
+    spine = blocks.select(*keys, F.explode(F.sequence("from__", last, interval(step))).alias("window_start"))
     spine = spine.withColumn("window_end", F.col("window_start") + interval(step))
     filled = join_null_safe(spine, aggregated.select("window_start", *keys, measure), ["window_start", *keys])
     return filled.withColumn(measure, F.coalesce(F.col(measure), F.lit(0)))

@@ -48,15 +48,18 @@ def parse_changes(messages: DataFrame, row: T.StructType | None = None, keep_cor
     ``data`` is the before image of a delete and the after image otherwise; an image that is
     absent (not null) gives ``{}``.  Images are JSON text, because the topics may span many
     tables; for the topic of one table, ``row`` types them in the same parse and an absent
-    image is null.  A null value is a tombstone.  Unparsable messages are
-    skipped, or kept with ``error_type`` set.  ``key``, ``topic``, ``partition`` and
+    image is null.  A null value is a tombstone.  Messages that are no JSON object are skipped;
+    ``keep_corrupt`` keeps them with ``error_type`` set.  A value that does not fit its column is
+    null, whether images are typed here or later, and never costs the change; ``keep_corrupt``
+    marks such a change ``MistypedField`` if its images are typed here.  ``key``, ``topic``, ``partition`` and
     ``offset`` are carried along.
     """
     raw = F.col("value").cast("string")
     tombstone = F.col("value").isNull()
     schema, table = topic_schema_and_table("topic")
     parsed = messages.withColumn("raw", raw).select("*", once(json_record(raw, _envelope(row or T.StringType())), "e"))
-    corrupt = ~tombstone & (F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull())
+    corrupt = ~tombstone & F.json_object_keys("raw").isNull()
+    mistyped = ~tombstone & F.col(f"e.{CORRUPT}").isNotNull()
     if not keep_corrupt:
         parsed = parsed.filter(~corrupt)
 
@@ -85,7 +88,7 @@ def parse_changes(messages: DataFrame, row: T.StructType | None = None, keep_cor
         "offset",
     ]
     if keep_corrupt:
-        columns.append(F.when(corrupt, "CorruptRecord").alias("error_type"))
+        columns.append(F.when(corrupt, "CorruptRecord").when(mistyped, "MistypedField").alias("error_type"))
     return parsed.select(*columns)
 
 

@@ -38,7 +38,9 @@ def dead_letters(
 ) -> DataFrame:
     """Envelope for rows that carry ``error_type`` and ``error_message``.
 
-    The id is the event's own ``event_id``, or ``dlq-<timestamp>`` where it has none.
+    The id is the event's own ``event_id`` or the one a replayed message carries; else it names
+    the message by topic, partition and offset where those columns are there, and by the
+    envelope's time (``dlq-<timestamp>``) where they are not.
     """
     at = failed_at if failed_at is not None else F.unix_millis(F.current_timestamp())
     count = retry_count if isinstance(retry_count, Column) else F.lit(retry_count)
@@ -51,13 +53,30 @@ def dead_letters(
         at.cast("bigint").alias("timestamp"),
         count.cast("int").alias("retry_count"),
         F.lit(max_retries).alias("max_retries"),
+        _carried(failed, "dlq_event_id").alias("event_id"),
+        (
+            F.concat_ws("-", F.lit("dlq"), F.col(topic), F.col("partition"), F.col("offset"))
+            if {"partition", "offset"} <= set(failed.columns)
+            else F.concat(F.lit("dlq-"), at.cast("bigint").cast("string"))
+        ).alias("fallback__"),
     ).withColumn(
-        "event_id",
-        F.coalesce(
-            F.get_json_object("original_event", "$.event_id"),
-            F.concat(F.lit("dlq-"), F.col("timestamp").cast("string")),
-        ),
-    )
+        "event_id", F.coalesce(F.get_json_object("original_event", "$.event_id"), "event_id", "fallback__")
+    ).drop("fallback__")
+
+
+def _carried(messages: DataFrame, name: str) -> Column:
+    """A value that a replayed message carries in its headers, or in a column of its own."""
+    found = []
+    if "headers" in messages.columns:
+        found.append(F.get(F.filter("headers", lambda h: h["key"] == name), 0)["value"].cast("string"))
+    if name in messages.columns:
+        found.append(F.col(name).cast("string"))
+    return F.coalesce(*found, F.lit(None).cast("string"))
+
+
+def retries_so_far(messages: DataFrame) -> Column:
+    """How often a message has been replayed; 0 if it says nothing."""
+    return F.coalesce(_carried(messages, "retry_count").cast("int"), F.lit(0))
 
 
 def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -77,7 +96,8 @@ def increment_retry(letters: DataFrame) -> DataFrame:
 def replay(letters: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(messages back to their original topics, letters to archive for good).
 
-    Replayed messages carry the raised ``retry_count`` for the next failure.
+    Replayed messages carry the raised ``retry_count`` and their id for the next failure, as
+    columns and as message headers, which a topic keeps.
     """
     again = increment_retry(letters.filter(can_retry())).select(
         F.col("event_id").cast("binary").alias("key"),
@@ -85,6 +105,11 @@ def replay(letters: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("original_topic").alias("topic"),
         "retry_count",
         "max_retries",
+        F.col("event_id").alias("dlq_event_id"),
+        F.array(
+            F.struct(F.lit("retry_count").alias("key"), F.col("retry_count").cast("string").cast("binary").alias("value")),
+            F.struct(F.lit("dlq_event_id").alias("key"), F.col("event_id").cast("binary").alias("value")),
+        ).alias("headers"),
     )
     return again, letters.filter(~can_retry())
 

@@ -92,44 +92,45 @@ def user_name(number: str) -> str:
     return f"concat('user_', if({number} < 1000000L, lpad(cast({number} as string), 6, '0'), cast({number} as string)))"
 
 
-def _value(name: str, kind: str, domain: Domain, seed: int) -> str:
-    """SQL text of one field's value."""
-    choices = domain.samples.get(name)
-    if choices:
-        listed = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in choices)
-        # The array folds to one constant; elt() would generate a branch per choice.
-        return f"element_at(array({listed}), cast({_between(_X, seed, name, 1, len(choices))} as int))"
-    if kind == "string":
-        if name == domain.entity_key:
-            pool = domain.synthetic.get("user_pool_size", 10_000)
-            return user_name(_between(_X, seed, name, 1, pool))
-        if name == EVENT_ID:
-            return _uuid()
-        if "id" in name.lower():
-            return f"concat('{name}_', {_tag(seed, name)})"
-        return f"'sample_{name}'"
-    if kind in ("money", "long"):
-        return _between(_X, seed, name, *_MONEY_RANGE)
-    if kind in ("float", "double"):
-        return f"({_between(_X, seed, name, 0, 10_000)} / 100D)"
-    if kind == "int":
-        return f"cast({_between(_X, seed, name, 1, 100)} as int)"
-    if kind == "boolean":
-        return f"({_draw(_X, seed, name)} % 2L = 0L)"
-    raise ValueError(f"{name}: no generator for {kind}")
+def _choice(name: str, choices: tuple[str, ...], seed: int) -> str:
+    """SQL text that draws one of the sample values of a field."""
+    listed = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in choices)
+    # The array folds to one constant; elt() would generate a branch per choice.
+    return f"element_at(array({listed}), cast({_between(_X, seed, name, 1, len(choices))} as int))"
+
+
+# What a field's kind alone says about its values.
+_BY_KIND = {
+    "money": lambda name, seed: _between(_X, seed, name, *_MONEY_RANGE),
+    "long": lambda name, seed: _between(_X, seed, name, *_MONEY_RANGE),
+    "float": lambda name, seed: f"({_between(_X, seed, name, 0, 10_000)} / 100D)",
+    "double": lambda name, seed: f"({_between(_X, seed, name, 0, 10_000)} / 100D)",
+    "int": lambda name, seed: f"cast({_between(_X, seed, name, 1, 100)} as int)",
+    "boolean": lambda name, seed: f"({_draw(_X, seed, name)} % 2L = 0L)",
+    "string": lambda name, seed: f"concat('{name}_', {_tag(seed, name)})" if "id" in name.lower() else f"'sample_{name}'",
+}
+
+
+def _by_name(domain: Domain, seed: int) -> dict[str, str]:
+    """Fields whose values follow from their names: ids, entities, and those with samples."""
+    pool = domain.synthetic.get("user_pool_size", 10_000)
+    named = {EVENT_ID: _uuid(), domain.entity_key: user_name(_between(_X, seed, domain.entity_key, 1, pool))}
+    return named | {name: _choice(name, choices, seed) for name, choices in domain.samples.items() if choices}
 
 
 def _fields(kind_of: EventType, domain: Domain, seed: int, given: dict[str, str]) -> dict[str, str]:
     """SQL text of every field of one event type, in record order."""
-    fields = {}
+    fields, named = {}, _by_name(domain, seed)
     for name, kind, nullable in fields_of(kind_of, domain.entity_key):
+        if kind not in _BY_KIND and name != TIMESTAMP and name not in named:
+            raise ValueError(f"{name}: no generator for {kind}")
         if name in given:
             fields[name] = given[name]
             continue
         if name == TIMESTAMP:
             fields[name] = "at_millis"
             continue
-        value = _value(name, kind, domain, seed)
+        value = named[name] if name in named else _BY_KIND[kind](name, seed)
         if nullable:
             value = f"if({_draw(_X, seed, name + '?')} % 1000L >= {_NULL_PER_MILLE}L, {value}, null)"
         fields[name] = value
@@ -192,7 +193,7 @@ def generate_messages(
         elif by_text:
             cases = (f"when topic in ({', '.join(repr(t) for t in ts)}) then {text}" for text, ts in by_text.items())
             entries.append((name, f"case {' '.join(cases)} end"))
-    entity = (given or {}).get(domain.entity_key) or _value(domain.entity_key, "string", domain, seed)
+    entity = (given or {}).get(domain.entity_key) or _by_name(domain, seed)[domain.entity_key]
     members = []
     for part in range(0, len(entries), _FIELDS_PER_METHOD):
         group, column = entries[part : part + _FIELDS_PER_METHOD], f"part_{part}__"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tideline.operators.late import interval
+from tideline.session import scratch_path
 
 
 def sessionize(events: DataFrame, keys: list[str], time: str, gap: str) -> DataFrame:
@@ -44,31 +45,24 @@ def sessionize_stream(events: DataFrame, keys: list[str], time: str, gap: str) -
     )
 
 
-def _first_since(events: DataFrame, since: DataFrame, key: str, time: str, slot: str) -> DataFrame:
-    """Per key of ``since`` (one row each): the first event at or after ``since__``.
-
-    It lies in the slot of ``since__`` or is the first of a later slot.  For later slots one
-    row per (key, slot) is enough; rows themselves are only joined on (key, slot), so a key
-    with very many events is spread over its slots and reduced again before it is gathered.
-    """
-    slotted = events.select(key, F.col(time).alias("t__"), F.window(time, slot).start.alias("slot__"))
-    marks = since.withColumn("slot__", F.window("since__", slot).start)
-    same = slotted.join(marks, [key, "slot__"]).filter("t__ >= since__").select(key, "t__")
-    firsts = slotted.groupBy(key, "slot__").agg(F.min("t__").alias("t__"))
-    later = firsts.join(marks.withColumnRenamed("slot__", "from__"), key).filter("slot__ > from__").select(key, "t__")
-    return same.unionByName(later).groupBy(key).agg(F.min("t__").alias("t__"))
-
-
-def funnel(events: DataFrame, key: str, time: str, kind: str, steps: list[str], slot: str = "1 hour") -> DataFrame:
+def funnel(events: DataFrame, key: str, time: str, kind: str, steps: list[str]) -> DataFrame:
     """How far each key gets through ordered steps.
 
     ``<step>_at`` is the first time of that step at or after the previous step's; ``stage``
-    counts the steps reached.
+    counts the steps reached.  Each step reads the events once: they meet the one row per key
+    reached so far in an inner join, whose skewed keys adaptive execution splits, and are reduced
+    to one row per key again.  What is reached is a stored table, so no step repeats another.
     """
-    reached = events.filter(F.col(kind) == steps[0]).groupBy(key).agg(F.min(time).alias(f"{steps[0]}_at"))
+    spark = events.sparkSession
+    first = f"{steps[0]}_at"
+    reached = events.filter(F.col(kind) == steps[0]).groupBy(key).agg(F.min(time).alias(first))
     for previous, step in zip(steps, steps[1:]):
+        path = scratch_path(spark, "funnel")
+        reached.write.parquet(path)
+        reached = spark.read.schema(reached.schema).parquet(path)
         since = reached.select(key, F.col(f"{previous}_at").alias("since__")).filter("since__ IS NOT NULL")
-        found = _first_since(events.filter(F.col(kind) == step), since, key, time, slot)
-        reached = reached.join(found.withColumnRenamed("t__", f"{step}_at"), key, "left")
+        after = events.filter(F.col(kind) == step).select(key, F.col(time).alias("t__")).join(since, key)
+        found = after.filter("t__ >= since__").groupBy(key).agg(F.min("t__").alias(f"{step}_at"))
+        reached = reached.join(found, key, "left")
     stage = sum((F.col(f"{s}_at").isNotNull().cast("int") for s in steps), F.lit(0))
     return reached.withColumn("stage", stage)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,9 @@ from tideline.sources.decode import EVENT_TIME, EVENT_TYPE, decode_types
 from tideline.streaming.queries import StreamRunner
 
 
+_TYPE_TEST = re.compile(rf"\s*{EVENT_TYPE}\s*=\s*'[^']*'\s*")
+
+
 class AggregationJob:
     """The transforms of one domain, over any table or stream of messages."""
 
@@ -45,8 +49,11 @@ class AggregationJob:
         )
 
     def fields_read(self, spec: AggregationSpec, event_types: list[str]) -> list[str] | None:
-        """The record fields a spec needs, or None (all) when a SQL-string filter may name any."""
-        if isinstance(spec.where, str) and spec.where.split("=")[0].strip() != EVENT_TYPE:
+        """The record fields a spec needs, or None (all) when a SQL-string filter may name any.
+
+        A SQL string needs none only if it is exactly one test of the event type.
+        """
+        if isinstance(spec.where, str) and not _TYPE_TEST.fullmatch(spec.where):
             return None
         names = [n for t in event_types for n in struct_type(self.domain.event_type(t), self.domain.entity_key).names]
         paths = [*spec.group_by]
@@ -54,7 +61,8 @@ class AggregationJob:
             paths.append(spec.field)
         if isinstance(spec.where, Condition):
             paths.append(spec.where.field)
-        return [resolve_path(path, self.domain.entity_key, names) for path in paths]
+        # The event type comes from the topic, not from the record.
+        return [resolve_path(path, self.domain.entity_key, names) for path in paths if path != EVENT_TYPE]
 
     def start(self, messages: DataFrame, name: str, runner: StreamRunner, sink=None) -> StreamingQuery:
         """Start the stream; ``sink(batch, batch_id)`` or, without one, the console."""

@@ -58,10 +58,44 @@ def mapped(df: DataFrame, column_mapping: dict[str, str]) -> DataFrame:
 
 
 def write_batch(df: DataFrame, table: str, column_mapping: dict[str, str], writer: Writer) -> int:
-    """Write the mapped columns and return the row count, counted by the write job itself."""
-    seen = Observation()
-    writer(mapped(df, column_mapping).observe(seen, F.count("*").alias("rows")), table)
-    return seen.get["rows"]
+    """Write the mapped columns and return the row count.
+
+    The writers of this module run one job, which counts as it writes.  Another writer may run
+    several jobs or none, so for it the rows are kept and counted apart.
+    """
+    rows = mapped(df, column_mapping)
+    if getattr(writer, "one_job", False):
+        seen = Observation()
+        writer(rows.observe(seen, F.count("*").alias("rows")), table)
+        return seen.get["rows"]
+    rows.persist()
+    try:
+        writer(rows, table)
+        return rows.count()
+    finally:
+        rows.unpersist()
+
+
+def _one_job(write: Writer) -> Writer:
+    write.one_job = True
+    return write
+
+
+def batch_sink(writer: Writer, table: str, column_mapping: dict[str, str]) -> Callable[[DataFrame, int], int]:
+    """A ``foreachBatch`` function over :func:`write_batch`; returns the rows of each batch.
+
+    A replayed batch is written again, so use it where the table itself rejects or replaces rows
+    (:func:`merge_statement`), or take :class:`UpsertTable` or :func:`batch_folder`.
+    """
+    return lambda batch, batch_id: write_batch(batch, table, column_mapping, writer)
+
+
+def merge_statement(table: str, stage: str, columns: list[str], keys: list[str]) -> str:
+    """SQL that moves a staged batch into a table with a primary key, replacing equal keys."""
+    rest = [c for c in columns if c not in keys]
+    action = "DO UPDATE SET " + ", ".join(f"{c} = EXCLUDED.{c}" for c in rest) if rest else "DO NOTHING"
+    names = ", ".join(columns)
+    return f"INSERT INTO {table} ({names}) SELECT {names} FROM {stage} ON CONFLICT ({', '.join(keys)}) {action}"
 
 
 def publish(events: DataFrame, domain: Domain, event_type: str, writer: Writer, prefix: str = "events") -> int:
@@ -83,7 +117,7 @@ def jdbc_writer(url: str, batch_size: int = 10_000, column_types: str | None = N
     def write(df: DataFrame, table: str) -> None:
         df.write.format("jdbc").options(**settings, dbtable=table).mode("append").save()
 
-    return write
+    return _one_job(write)
 
 
 # Producer settings.
@@ -109,7 +143,7 @@ def kafka_writer(servers: str, producer: dict[str, str] | None = None) -> Writer
         options = settings if "topic" in df.columns else {**settings, "topic": table}
         df.write.format("kafka").options(**options).save()
 
-    return write
+    return _one_job(write)
 
 
 def file_writer(root: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> Writer:
@@ -121,7 +155,7 @@ def file_writer(root: str, fmt: str = "parquet", partition_by: list[str] | None
             out = out.partitionBy(*partition_by)
         out.save(f"{root}/{table}")
 
-    return write
+    return _one_job(write)
 
 
 def table_writer(order_by: list[str] | None = None) -> Writer:
@@ -133,7 +167,7 @@ def table_writer(order_by: list[str] | None = None) -> Writer:
             stamped = stamped.sortWithinPartitions(*order_by)
         stamped.select(*df.sparkSession.table(table).columns).write.mode("append").insertInto(table)
 
-    return write
+    return _one_job(write)
 
 
 def table_schema(columns: list[dict], nullable: bool) -> T.StructType:
@@ -185,11 +219,18 @@ def check_required(df: DataFrame, schema: dict) -> DataFrame:
     return df.filter(broken)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 class UpsertTable:
     """Replay-safe store for update-mode aggregates.
 
     Each micro-batch overwrites its own ``batch_id=<n>`` folder, so a replayed batch cannot
-    duplicate.  Readers take the newest row per key; :meth:`compact` writes that out.
+    duplicate.  Readers take the newest row per key.  :meth:`fold` stores the state up to a batch
+    under ``base/upto=<n>``; readers then take that and the batches after it, and never open
+    older folders again.  :meth:`compact` writes the state somewhere else.
     """
 
     def __init__(self, path: str, keys: list[str]):
@@ -202,8 +243,26 @@ class UpsertTable:
     def versions(self, spark: SparkSession) -> DataFrame:
         return spark.read.option("basePath", self.path).parquet(f"{self.path}/batch_id=*")
 
+    def _newest(self, spark: SparkSession) -> DataFrame:
+        """The newest row per key with its ``batch_id``, from the base and what came after."""
+        versions = self.versions(spark)
+        if _exists(spark, f"{self.path}/base"):
+            base = spark.read.option("basePath", f"{self.path}/base").parquet(f"{self.path}/base/upto=*")
+            upto = base.agg(F.max("upto")).first()[0]
+            if upto is not None:
+                kept = base.filter(F.col("upto") == upto).drop("upto")
+                versions = versions.filter(F.col("batch_id") > upto).unionByName(kept)
+        return latest(versions, self.keys, ["batch_id"])
+
     def read(self, spark: SparkSession) -> DataFrame:
-        return latest(self.versions(spark), self.keys, ["batch_id"]).drop("batch_id")
+        return self._newest(spark).drop("batch_id")
+
+    def fold(self, spark: SparkSession) -> int | None:
+        """Store the state of all batches so far as a base; returns the last batch in it."""
+        upto = self.versions(spark).agg(F.max("batch_id")).first()[0]
+        if upto is not None:
+            self._newest(spark).write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+        return upto
 
     def compact(self, spark: SparkSession, path: str) -> None:
         self.read(spark).write.mode("overwrite").parquet(path)

@@ -38,7 +38,8 @@ def once(column: Column, name: str) -> Column:
 def decode_json(messages: DataFrame, event_type: EventType, entity_key: str) -> DataFrame:
     """Messages of one event type to flat columns plus ``event_type`` and ``event_time``.
 
-    Unparsable messages are skipped; use :func:`checked` to route them instead.
+    Messages that :func:`checked` calls unparsable, mistyped or without a timestamp are left
+    out; split by it first to route them, or ``observe`` :func:`skipped` to count them.
     """
     schema = struct_type(event_type, entity_key)
     return _flatten(messages.filter(F.col("topic").endswith("." + event_type.name)), schema)
@@ -50,6 +51,11 @@ def _flatten(messages: DataFrame, schema: T.StructType) -> DataFrame:
     return _with_event_time(good.select(EVENT_TYPE, *[F.col(f"e.{n}").alias(n) for n in schema.names]))
 
 
+def skipped() -> Column:
+    """How many :func:`checked` messages decoding leaves out, as an aggregate to observe."""
+    return F.count_if(F.col("error_type").isNotNull()).alias("skipped")
+
+
 def decode_avro(messages: DataFrame, event_type: EventType, entity_key: str) -> DataFrame:
     """Registry-framed Avro payloads; needs the spark-avro connector on the classpath.
 
@@ -101,19 +107,28 @@ def union_types(tables: dict[str, DataFrame]) -> DataFrame:
     return merged
 
 
+def _all_fields(domain: Domain) -> T.StructType:
+    """The fields of all types of a domain; one that types declare differently is text."""
+    found: dict[str, T.DataType] = {}
+    for schema in (struct_type(t, domain.entity_key) for t in domain.event_types):
+        for f in schema.fields:
+            same = found.setdefault(f.name, f.dataType) == f.dataType
+            found[f.name] = f.dataType if same else T.StringType()
+    return T.StructType([T.StructField(name, kind) for name, kind in found.items()])
+
+
 def checked(messages: DataFrame, domain: Domain) -> DataFrame:
     """Every message with ``error_type`` / ``error_message``; both are null on good rows.
 
-    Errors are, in order: a type the domain does not declare, an unparsable payload, a
-    missing required field.  One pass, no shuffle.
+    Errors are, in order: a type the domain does not declare, an unparsable payload, a value
+    that does not fit its declared field (of any of the domain's types), a missing required
+    field.  The parse is the one decoding does, so whatever is good here is decoded whole.
+    One pass, no shuffle.
     """
     known = [t.name for t in domain.event_types]
     type_col = F.col(EVENT_TYPE)
     required = {t.name: required_fields(t, domain.entity_key) for t in domain.event_types}
-    every = sorted({name for names in required.values() for name in names})
-    schema = T.StructType(
-        [T.StructField(n, T.LongType() if n == TIMESTAMP else T.StringType()) for n in every]
-    )
+    schema = _all_fields(domain)
     missing = None
     for name, fields in required.items():
         listed = F.filter(
@@ -121,7 +136,10 @@ def checked(messages: DataFrame, domain: Domain) -> DataFrame:
         )
         missing = F.when(type_col == name, listed) if missing is None else missing.when(type_col == name, listed)
     unknown = ~F.coalesce(type_col.isin(known), F.lit(False))
-    corrupt = F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull()
+    flawed = F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull()
+    # A mistyped value spoils a record too, but leaves it a JSON object.
+    is_object = F.json_object_keys(F.col("value").cast("string")).isNotNull()
+    corrupt, mistyped = flawed & ~is_object, flawed & is_object
     lacking = F.size("missing") > 0
     return (
         messages.withColumn(EVENT_TYPE, event_type_of("topic"))
@@ -129,12 +147,16 @@ def checked(messages: DataFrame, domain: Domain) -> DataFrame:
         .withColumn("missing", missing)
         .withColumn(
             "error_type",
-            F.when(unknown, "UnknownEventType").when(corrupt, "CorruptRecord").when(lacking, "MissingField"),
+            F.when(unknown, "UnknownEventType")
+            .when(corrupt, "CorruptRecord")
+            .when(mistyped, "MistypedField")
+            .when(lacking, "MissingField"),
         )
         .withColumn(
             "error_message",
             F.when(unknown, F.concat(F.lit("Unknown event type: "), F.coalesce(type_col, F.lit("null"))))
             .when(corrupt, F.lit("Payload is not a JSON object"))
+            .when(mistyped, F.lit("A value does not have its field's type"))
             .when(lacking, F.concat(F.lit("Missing required fields: "), F.array_join("missing", ", "))),
         )
         .drop("e", "missing")

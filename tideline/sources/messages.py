@@ -41,6 +41,8 @@ def kafka_options(
         "subscribe": ",".join(topics),
         "startingOffsets": starting,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
+        # Replayed dead letters say in a header how often they came.
+        "includeHeaders": "true",
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)

@@ -12,18 +12,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on a table of a few splits before CPU-heavy work such as JSON.
-
-    Only a scan with fewer splits than the cluster has cores is redistributed, so what this
-    ever shuffles is bounded by cores times split size; larger tables pass unchanged.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def table_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
     """Stream over ``<name>*.parquet``; zoneless ``ts`` becomes an instant so it can be watermarked."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema

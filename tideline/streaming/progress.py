@@ -48,9 +48,10 @@ def progress_row(progress) -> tuple:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the newest progress rows in memory and writes full buffers to ``path``.
+    """Writes progress rows under ``path/progress`` and lifecycle events under ``path/lifecycle``.
 
-    Register with ``spark.streams.addListener(log)``.
+    Only what has not filled a buffer yet is held in memory; ``table`` and ``lifecycle`` write
+    that out first, so they have everything.  Register with ``spark.streams.addListener(log)``.
     """
 
     def __init__(self, spark: SparkSession, path: str, buffer: int = 500):
@@ -60,7 +61,8 @@ class ProgressLog(StreamingQueryListener):
         self._rows: list[tuple] = []
         self._events: list[tuple] = []
         self._names: dict[str, str] = {}
-        self._written = False
+        self._ended: set[str] = set()
+        self._written: set[str] = set()
         self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
@@ -68,6 +70,10 @@ class ProgressLog(StreamingQueryListener):
         with self._lock:
             self._names[str(event.id)] = name
             self._events.append((name, "started", None))
+            self._ended.discard(name)
+            full = len(self._events) >= self.buffer
+        if full:
+            self.flush()
 
     def onQueryProgress(self, event) -> None:
         with self._lock:
@@ -84,14 +90,17 @@ class ProgressLog(StreamingQueryListener):
             name = self._names.pop(str(event.id), str(event.id)[:8])
             state = "failed" if event.exception else "terminated"
             self._events.append((name, state, event.exception))
-            self._events = self._events[-self.buffer :]
+            self._ended.add(name)
+            full = len(self._events) >= self.buffer
+        if full:
+            self.flush()
 
     def await_end(self, query: str, seconds: float = 60.0) -> bool:
         """Wait until the end of a query has been reported; reports arrive asynchronously."""
         deadline = time.monotonic() + seconds
         while time.monotonic() < deadline:
             with self._lock:
-                if any(name == query and state != "started" for name, state, _ in self._events):
+                if query in self._ended:
                     return True
             time.sleep(0.05)
         return False
@@ -99,20 +108,28 @@ class ProgressLog(StreamingQueryListener):
     def flush(self) -> None:
         with self._lock:
             rows, self._rows = self._rows, []
+            events, self._events = self._events, []
+        self._append("progress", rows, PROGRESS_SCHEMA)
+        self._append("lifecycle", events, LIFECYCLE_SCHEMA)
+
+    def _append(self, name: str, rows: list[tuple], schema: T.StructType) -> None:
         if rows:
-            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
-            self._written = True
+            self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+            self._written.add(name)
+
+    def _stored(self, name: str, schema: T.StructType) -> DataFrame:
+        self.flush()
+        if name not in self._written:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
     def table(self) -> DataFrame:
         """All progress so far."""
-        self.flush()
-        if not self._written:
-            return self.spark.createDataFrame([], PROGRESS_SCHEMA)
-        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+        return self._stored("progress", PROGRESS_SCHEMA)
 
     def lifecycle(self) -> DataFrame:
-        with self._lock:
-            return self.spark.createDataFrame(list(self._events), LIFECYCLE_SCHEMA)
+        """Every start and end of a query so far."""
+        return self._stored("lifecycle", LIFECYCLE_SCHEMA)
 
 
 def observe_quality(df: DataFrame, time: str, bad, name: str = "quality") -> DataFrame:

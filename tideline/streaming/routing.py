@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators.alerts import cooldown
-from tideline.operators.dlq import dead_letters, split
+from tideline.operators.dlq import dead_letters, retries_so_far, split
 from tideline.operators.late import interval
 from tideline.plans.spec import Domain
 from tideline.sources.decode import checked
@@ -87,7 +87,11 @@ class CooldownSink:
 
 
 class DeadLetterSplit:
-    """``foreachBatch`` function: good messages to one sink, failed ones as dead letters."""
+    """``foreachBatch`` function: good messages to one sink, failed ones as dead letters.
+
+    A message that was replayed says how often, so its retries add up.  Letters carry the
+    message's own time where it has one, so a repeated batch leaves the same letters.
+    """
 
     def __init__(self, domain: Domain, good: BatchSink, bad: BatchSink):
         self.domain = domain
@@ -99,6 +103,7 @@ class DeadLetterSplit:
         try:
             good, bad = split(rows)
             self.good(good, batch_id)
-            self.bad(dead_letters(bad), batch_id)
+            at = F.unix_millis("timestamp") if "timestamp" in messages.columns else None
+            self.bad(dead_letters(bad, failed_at=at, retry_count=retries_so_far(bad)), batch_id)
         finally:
             rows.unpersist()

@@ -44,6 +44,28 @@ def funnel_by_user(spark, folder):
     return funnel(events(spark, folder), "user_id", "ts", "event_type", ["view", "click", "purchase"])
 
 
+FIVE_STEPS = ["signup", "view", "click", "error", "purchase"]
+
+
+def _funnel_sql(steps: list[str]) -> str:
+    """One table per step: the first time of the step at or after the previous one's."""
+    parts = [f"s0 AS (SELECT user_id, min(ts) AS at FROM events WHERE event_type = '{steps[0]}' GROUP BY user_id)"]
+    for n, step in enumerate(steps[1:], 1):
+        parts.append(
+            f"s{n} AS (SELECT e.user_id, min(ts) AS at FROM events e JOIN s{n - 1} p ON p.user_id = e.user_id AND ts >= p.at "
+            f"WHERE event_type = '{step}' GROUP BY e.user_id)"
+        )
+    columns = ", ".join(f"s{n}.at AS {step}_at" for n, step in enumerate(steps))
+    stage = " + ".join(f"CAST(s{n}.at IS NOT NULL AS INTEGER)" for n in range(len(steps)))
+    joins = " ".join(f"LEFT JOIN s{n} ON s{n}.user_id = s0.user_id" for n in range(1, len(steps)))
+    return f"WITH {', '.join(parts)} SELECT s0.user_id, {columns}, {stage} AS stage FROM s0 {joins}"
+
+
+@query("funnel_five_steps", _funnel_sql(FIVE_STEPS))
+def funnel_five_steps(spark, folder):
+    return funnel(events(spark, folder), "user_id", "ts", "event_type", FIVE_STEPS)
+
+
 @query(
     "abandoned_carts",
     """SELECT event_id, user_id, ts FROM events v WHERE event_type = 'view' AND NOT EXISTS (

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators import cdc, dlq
+from tideline.operators.aggregate import flatten_window
+from tideline.plans.jobs import AggregationJob
+from tideline.plans.spec import AggregationSpec, WindowSpec
 from tideline.sources.decode import checked
 from tideline.sources.messages import subscribe
 from tideline.sources.tables import table
-from tideline.workloads.inputs import CLICKSTREAM, change_log, customer_log, events, flawed_messages
+from tideline.workloads.inputs import CLICKSTREAM, change_log, customer_log, event_messages, events, flawed_messages
 from tideline.workloads.registry import query
 
 ORDER_ROW = T.StructType(
@@ -126,6 +131,9 @@ ERROR_SQL = """CASE WHEN event_id % 89 = 0 THEN 'UnknownEventType' WHEN event_id
                  WHEN event_id % 83 = 0 THEN 'MissingField' END"""
 TOPIC_SQL = "CASE WHEN event_id % 89 = 0 THEN 'events.mystery' ELSE 'events.' || event_type END"
 
+# A letter without an id of its own is named after its message: topic, partition, offset.
+LETTER_ID_SQL = f"'dlq-' || ({TOPIC_SQL}) || '-' || event_id % 8 || '-' || event_id"
+
 
 def _letters(spark, folder):
     """Dead letters of the flawed messages; failed at the message time, retried event id mod 5 times."""
@@ -140,8 +148,8 @@ def _letters(spark, folder):
     f"""SELECT original_topic, error_type, CASE error_type WHEN 'UnknownEventType' THEN 'Unknown event type: mystery'
                WHEN 'CorruptRecord' THEN 'Payload is not a JSON object' ELSE 'Missing required fields: user_id' END AS error_message,
                ms AS timestamp, retries AS retry_count, 3 AS max_retries,
-               CASE WHEN event_id % 97 = 0 THEN 'dlq-' || ms ELSE CAST(event_id AS VARCHAR) END AS event_id
-        FROM (SELECT event_id, {TOPIC_SQL} AS original_topic, {ERROR_SQL} AS error_type, (epoch_us(ts) // 1000) AS ms,
+               CASE WHEN event_id % 97 = 0 THEN ({LETTER_ID_SQL}) ELSE CAST(event_id AS VARCHAR) END AS event_id
+        FROM (SELECT event_id, event_type, {TOPIC_SQL} AS original_topic, {ERROR_SQL} AS error_type, (epoch_us(ts) // 1000) AS ms,
                      CAST(event_id % 5 AS INTEGER) AS retries FROM events) WHERE error_type IS NOT NULL""",
 )
 def dlq_split(spark, folder):
@@ -186,7 +194,7 @@ def dlq_report(spark, folder):
 
 @query(
     "dlq_round_trip",
-    f"""SELECT CASE WHEN event_id % 97 = 0 THEN 'dlq-' || (epoch_us(ts) // 1000) ELSE CAST(event_id AS VARCHAR) END AS event_id,
+    f"""SELECT CASE WHEN event_id % 97 = 0 THEN ({LETTER_ID_SQL}) ELSE CAST(event_id AS VARCHAR) END AS event_id,
                {TOPIC_SQL} AS original_topic, {ERROR_SQL} AS error_type, (epoch_us(ts) // 1000) AS timestamp,
                CAST(event_id % 5 AS INTEGER) AS retry_count, 3 AS max_retries, event_id % 97 <> 0 AS event_is_json
         FROM events WHERE ({ERROR_SQL}) IS NOT NULL""",
@@ -202,3 +210,99 @@ def dlq_round_trip(spark, folder):
         "max_retries",
         F.try_parse_json("original_event").isNotNull().alias("event_is_json"),
     )
+
+
+@query(
+    "dlq_replay_until_exhausted",
+    f"""SELECT {TOPIC_SQL} AS original_topic, {ERROR_SQL} AS error_type, 3 AS retry_count, count(*) AS archived
+        FROM events WHERE ({ERROR_SQL}) IS NOT NULL GROUP BY ALL""",
+)
+def dlq_replay_until_exhausted(spark, folder):
+    """Flawed messages sent back until their retries are used up: all are archived after the third."""
+    waiting, archived = flawed_messages(events(spark, folder)).filter(F.col("offset") >= 0), None
+    for _ in range(dlq.MAX_RETRIES + 1):
+        _, bad = dlq.split(checked(waiting, CLICKSTREAM))
+        letters = dlq.dead_letters(bad, failed_at=F.lit(0), retry_count=dlq.retries_so_far(bad))
+        waiting, given_up = dlq.replay(letters)
+        # What a topic keeps of a message: key, value, topic and headers.
+        waiting = waiting.select("key", "value", "topic", "headers")
+        archived = given_up if archived is None else archived.unionByName(given_up)
+    return archived.groupBy("original_topic", "error_type", "retry_count").agg(F.count("*").alias("archived"))
+
+
+def _mistyped_log(spark, folder):
+    """The change log of orders where every tenth insert has a text for its amount."""
+    log = change_log(table(spark, folder, "orders"))
+    text = F.col("value").cast("string")
+    spoiled = F.regexp_replace(text, r'"amount_cents":(\d+)', '"amount_cents":"$1.5"')
+    tenth = (F.col("offset") % 100 == 1) & (F.get_json_object(text, "$.op") == "c")
+    return log.withColumn("value", F.when(tenth, spoiled.cast("binary")).otherwise(F.col("value")))
+
+
+@query(
+    "cdc_state_mistyped",
+    """WITH s AS (SELECT o_orderkey AS id, o_orderkey % 10 = 0 AND o_orderkey % 3 <> 0 AS spoiled FROM orders WHERE o_orderkey % 7 <> 0)
+       SELECT way, count(*) AS rows, count(*) FILTER (WHERE spoiled) AS null_amounts, CAST(sum(id) AS BIGINT) AS ids
+       FROM s, (VALUES ('typed'), ('untyped')) v(way) GROUP BY way""",
+)
+def cdc_state_mistyped(spark, folder):
+    """Images typed in the parse or later give the same rows; a bad amount is null, not a lost change."""
+    log = _mistyped_log(spark, folder)
+    ways = {"typed": cdc.parse_changes(log, ORDER_ROW), "untyped": cdc.parse_changes(log)}
+    states = [
+        cdc.current_state(changes, ORDER_ROW, ["id"]).select(F.lit(way).alias("way"), "id", "amount_cents")
+        for way, changes in ways.items()
+    ]
+    return states[0].unionByName(states[1]).groupBy("way").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("amount_cents").isNull()).alias("null_amounts"), F.sum("id").alias("ids")
+    )
+
+
+def _all_flaws(spark, folder):
+    """Flawed messages with two flaws more: a text for ``value`` (79) and no timestamp (73)."""
+    flawed = flawed_messages(events(spark, folder))
+    text = F.col("value").cast("string")
+    at = F.col("offset")
+    text = F.when(at % 79 == 0, F.regexp_replace(text, r'"value":[^,}]+', '"value":"much"')).otherwise(text)
+    text = F.when(at % 73 == 0, F.regexp_replace(text, r'"timestamp":\d+,', "")).otherwise(text)
+    return flawed.withColumn("value", text.cast("binary"))
+
+
+_FLAW_SQL = """CASE WHEN event_id % 89 = 0 THEN 'UnknownEventType' WHEN event_id % 97 = 0 THEN 'CorruptRecord'
+                 WHEN event_id % 79 = 0 THEN 'MistypedField'
+                 WHEN event_id % 83 = 0 OR event_id % 73 = 0 THEN 'MissingField' END"""
+COUNTED = replace(
+    CLICKSTREAM,
+    aggregations=(
+        AggregationSpec("per_day", "count", WindowSpec("tumbling", "1 day"), group_by=("event_type",)),
+        AggregationSpec(
+            "big_purchases", "count", WindowSpec("tumbling", "1 day"), where="event_type = 'purchase' AND metrics.value > 50"
+        ),
+    ),
+)
+
+
+@query(
+    "job_with_bad_rows",
+    f"""SELECT coalesce({_FLAW_SQL}, 'counted as ' || event_type) AS went, count(*) AS messages FROM events GROUP BY ALL""",
+)
+def job_with_bad_rows(spark, folder):
+    """Every message is either counted by the declared aggregation or a dead letter."""
+    good, bad = dlq.split(checked(_all_flaws(spark, folder), COUNTED))
+    types = [t.name for t in COUNTED.event_types]
+    counts = AggregationJob(COUNTED).result(good, "per_day", types)
+    counted = counts.select(F.concat(F.lit("counted as "), "event_type").alias("went"), F.col("count").alias("messages"))
+    letters = dlq.dead_letters(bad, failed_at=F.lit(0)).select(F.col("error_type").alias("went"), F.lit(1).alias("messages"))
+    return counted.unionByName(letters).groupBy("went").agg(F.sum("messages").alias("messages"))
+
+
+@query(
+    "job_compound_filter",
+    """SELECT date_trunc('day', ts) AS window_start, count(*) AS count FROM events
+       WHERE event_type = 'purchase' AND value > 50 GROUP BY ALL""",
+)
+def job_compound_filter(spark, folder):
+    """A filter on the event type and on a metric, by the name of its aggregation."""
+    messages = event_messages(events(spark, folder))
+    result = flatten_window(AggregationJob(COUNTED).result(messages, "big_purchases", ["purchase"]))
+    return result.select("window_start", "count")

@@ -9,7 +9,7 @@ from tideline.functions.scalars import to_cents
 from tideline.functions.times import wall_millis, wall_to_instant
 from tideline.operators.generate import generate_messages, user_name
 from tideline.plans.spec import AlertSpec, Condition, Domain, EventType
-from tideline.sources.tables import spread, table
+from tideline.sources.tables import table
 
 # The event types of the ``events`` table, as a domain of their own.
 CLICKSTREAM = Domain(
@@ -32,7 +32,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 def spine(df: DataFrame) -> DataFrame:
     """The events table as generator input: id, event time, user and value of every event."""
-    return spread(df.select("event_id", "ts", "user_id", "value"), "event_id").select(
+    return df.select("event_id", "ts", "user_id", "value").select(
         F.col("event_id").alias("id"),
         wall_millis("ts").alias("at_millis"),
         "user_id",
@@ -52,7 +52,7 @@ def domain_messages(df: DataFrame, domain: Domain, event_types: list[str] | None
 
 def event_messages(df: DataFrame) -> DataFrame:
     """The events table as JSON messages; offset = event id."""
-    return spread(df, "event_id").select(
+    return df.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
         F.to_json(
             F.struct(
@@ -116,12 +116,11 @@ def change_log(orders: DataFrame) -> DataFrame:
             F.struct(F.lit(None).cast("string").alias("op"), none.alias("before"), none.alias("after"), F.lit(4).alias("seq")),
         ),
     )
-    read = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    rows = spread(read, "o_orderkey").select(
+    rows = orders.select(
         key.alias("id"),
         wall_millis("o_orderdate").alias("at"),
-        F.explode(F.filter(steps, lambda s: s.isNotNull())).alias("s"),
-    )
+        F.explode(steps).alias("s"),
+    ).filter("s IS NOT NULL")
     lsn = F.col("id") * 10 + F.col("s.seq")
     return _as_change_messages(rows, "orders", lsn)
 
@@ -146,11 +145,11 @@ def customer_log(customers: DataFrame) -> DataFrame:
             ),
         ),
     )
-    rows = spread(customers.select("c_custkey", "c_name"), "c_custkey").select(
+    rows = customers.select(
         key.alias("id"),
         (F.lit(1_700_000_000_000) + key).alias("at"),
-        F.explode(F.filter(steps, lambda s: s.isNotNull())).alias("s"),
-    )
+        F.explode(steps).alias("s"),
+    ).filter("s IS NOT NULL")
     return _as_change_messages(rows, "customers", F.col("id") * 10 + F.col("s.seq"))
 
 

@@ -128,22 +128,19 @@ def stream_dedup(spark, folder):
 @query(
     "stream_abandoned_carts",
     """SELECT event_id, user_id, ts FROM events v
-       WHERE event_type = 'view' AND ts <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY AND NOT EXISTS (
+       WHERE event_type = 'view' AND ts < (
+           SELECT least(max(ts) FILTER (WHERE event_type = 'view'), max(ts) FILTER (WHERE event_type = 'purchase')) FROM events
+         ) - INTERVAL 10 MINUTE - INTERVAL 12 HOUR AND NOT EXISTS (
          SELECT 1 FROM events p WHERE p.event_type = 'purchase' AND p.user_id = v.user_id
            AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 12 HOUR)""",
 )
 def stream_abandoned_carts(spark, folder):
-    """Compared up to two days before the end, where the final watermark has decided every row."""
+    """What the final watermark, the older of both sides', has decided: rows 12 hours before it."""
     df = table_stream(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
     views = df.filter("event_type = 'view'").drop("event_type")
     purchases = df.filter("event_type = 'purchase'")
     result = without_follow_up_stream(views, purchases, "user_id", "ts", "12 hours", DELAY)
-    found = _append(spark, "abandoned", result.withColumn("ts", instant_to_wall("ts")))
-    return spark.sql(
-        "SELECT * FROM {found} WHERE ts <= (SELECT max(ts) FROM {events}) - INTERVAL 2 DAYS",
-        found=found,
-        events=table(spark, folder, "events"),
-    )
+    return _append(spark, "abandoned", result.withColumn("ts", instant_to_wall("ts")))
 
 
 @query("stream_alert_cooldown", f"SELECT alert, alert_time FROM ({ALERT_COOLDOWN_SQL})")

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from tideline.functions.scalars import to_cents
 from tideline.operators.aggregate import aggregate, flatten_window
-from tideline.operators.alerts import change_since_previous, fill_absent_windows
+from tideline.operators.alerts import change_since_previous, fill_absent_windows, metric_alerts
 from tideline.operators.metrics import (
     BATCH_ROWS,
     bucket_rows,
@@ -19,9 +19,9 @@ from tideline.operators.metrics import (
     rate,
 )
 from tideline.operators.ranking import deduplicate, latest, top_per_window
-from tideline.plans.spec import AggregationSpec, Condition, WindowSpec
+from tideline.plans.spec import AggregationSpec, AlertSpec, Condition, WindowSpec
 from tideline.session import scratch_path
-from tideline.sinks.writers import archive_columns, write_batch, file_writer
+from tideline.sinks.writers import UpsertTable, archive_columns, batch_sink, file_writer, write_batch
 from tideline.sources.decode import decode_json, union_types
 from tideline.sources.messages import first_messages, subscribe
 from tideline.sources.tables import ordered, read_back
@@ -124,10 +124,24 @@ def tumbling_count_distinct_grouped(spark, folder):
     return _windowed(events(spark, folder), "count_distinct", HOUR, field="user_id", group_by=("event_type",))
 
 
-@query("tumbling_count_distinct_approx")
+@query(
+    "tumbling_count_distinct_approx",
+    tumbling_sql("1 hour", "count(DISTINCT user_id) AS exact, true AS within_error", "event_type, "),
+)
 def tumbling_count_distinct_approx(spark, folder):
+    """The estimate beside the exact number: within four times the relative error asked for, or one."""
     spec = AggregationSpec("q", "count_distinct", HOUR, field="user_id", group_by=("event_type",))
-    return flatten_window(aggregate(events(spark, folder), spec, time="ts", approximate=0.05))
+    df = events(spark, folder)
+    estimate = flatten_window(aggregate(df, spec, time="ts", approximate=0.05)).withColumnRenamed("unique_count", "estimate")
+    exact = flatten_window(aggregate(df, spec, time="ts")).withColumnRenamed("unique_count", "exact")
+    error = F.abs(F.col("estimate") - F.col("exact"))
+    return exact.join(estimate, ["window_start", "window_end", "event_type"]).select(
+        "window_start",
+        "window_end",
+        "event_type",
+        "exact",
+        (error <= F.greatest(F.lit(1.0), F.lit(4 * 0.05) * F.col("exact"))).alias("within_error"),
+    )
 
 
 # --------------------------------------------------------------------- filters
@@ -235,14 +249,78 @@ def absent_window_fill(spark, folder):
     return fill_absent_windows(counted, ["event_type"], "count", "1 minute")
 
 
+# Every group's windows go on to the newest event of all; errors are taken to fall silent half-way.
+_SILENT = f"(SELECT * FROM {EV} WHERE event_type <> 'error' OR ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events))"
+
+
+@query(
+    "absent_window_alerts",
+    f"""WITH e AS {_SILENT},
+             a AS (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS count FROM e GROUP BY ALL),
+             s AS (SELECT event_type, unnest(generate_series(min(window_start), (SELECT max(window_start) FROM a), INTERVAL 1 HOUR)) AS window_start
+                   FROM a GROUP BY event_type)
+        SELECT s.event_type, 'silence' AS alert, count(*) AS windows, min(s.window_start) AS first_at, max(s.window_start) AS last_at
+        FROM s LEFT JOIN a ON a.event_type = s.event_type AND a.window_start = s.window_start
+        WHERE coalesce(a.count, 0) < 1 GROUP BY s.event_type""",
+)
+def absent_window_alerts(spark, folder):
+    """Alerts over the filled table, with a group that has no events in the second half."""
+    df = events(spark, folder)
+    middle = df.agg((F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("middle")).first()["middle"]
+    heard = df.filter((F.col("event_type") != "error") | (F.col("ts") < F.lit(middle)))
+    counted = _windowed(heard, "count", HOUR, group_by=("event_type",))
+    newest = counted.agg(F.max("window_start").alias("newest")).first()["newest"]
+    filled = fill_absent_windows(counted, ["event_type"], "count", "1 hour", until=F.lit(newest))
+    alert = AlertSpec("silence", Condition("less_than", 1), "critical", metric="q")
+    spec = AggregationSpec("q", "count", HOUR, group_by=("event_type",))
+    hits = metric_alerts(filled, alert, spec)
+    return hits.groupBy("event_type", "alert").agg(
+        F.count("*").alias("windows"), F.min("window_start").alias("first_at"), F.max("window_start").alias("last_at")
+    )
+
+
 @query("upsert_latest_window", tumbling_sql("1 hour", "count(*) AS count", "event_type, "))
 def upsert_latest_window(spark, folder):
-    """Update-mode output over four interleaved micro-batches, reduced to the newest row per window."""
+    """Update-mode output of four micro-batches in an upsert table, one batch replayed, half folded."""
     arrived = events(spark, folder).withColumn("batch_id", F.col("event_id") % 4)
-    per_batch = _windowed(arrived, "count", HOUR, group_by=("event_type", "batch_id"))
-    order = W.partitionBy("window_start", "window_end", "event_type").orderBy("batch_id")
-    versions = per_batch.withColumn("count", F.sum("count").over(order))
-    return latest(versions, ["window_start", "window_end", "event_type"], ["batch_id"]).drop("batch_id")
+    keys = ["window_start", "window_end", "event_type"]
+    store = UpsertTable(scratch_path(spark, "upsert"), keys)
+    for batch_id in range(4):
+        # What update mode emits: the windows that this batch touched, with all counted so far.
+        touched = _windowed(arrived.filter(F.col("batch_id") == batch_id), "count", HOUR, group_by=("event_type",))
+        so_far = _windowed(arrived.filter(F.col("batch_id") <= batch_id), "count", HOUR, group_by=("event_type",))
+        emitted = so_far.join(touched.select(*keys), keys, "left_semi")
+        store(emitted, batch_id)
+        if batch_id == 2:
+            store(emitted, batch_id)
+            store.fold(spark)
+    return store.read(spark)
+
+
+@query(
+    "mapped_sink_counts",
+    """SELECT writer, count(*) AS returned, count(*) AS stored FROM
+         (SELECT date_trunc('hour', ts) AS h, event_type FROM events GROUP BY ALL), (VALUES ('plain'), ('peeking')) v(writer) GROUP BY writer""",
+)
+def mapped_sink_counts(spark, folder):
+    """The count a mapped sink returns is what it stored, also if its writer looks at the rows first."""
+    root = scratch_path(spark, "sinks")
+    plain = file_writer(root)
+
+    def peeking(df, table):
+        if not df.isEmpty():
+            plain(df, table)
+
+    spec = AggregationSpec("q", "count", HOUR, group_by=("event_type",))
+    counted = aggregate(events(spark, folder), spec, time="ts")
+    mapping = {"window.start": "window_start", "event_type": "event_type", "count": "count"}
+    rows = None
+    for name, writer in (("plain", plain), ("peeking", peeking)):
+        returned = batch_sink(writer, name, mapping)(counted, 0)
+        row = spark.read.parquet(f"{root}/{name}").agg(F.count("*").alias("stored"))
+        row = row.select(F.lit(name).alias("writer"), F.lit(returned).cast("long").alias("returned"), "stored")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
 
 
 @query(
@@ -278,7 +356,7 @@ def archive_partitioned(spark, folder):
 
 # --------------------------------------------------------------------- metrics
 
-_BOUNDS = tuple(float(b) for b in BATCH_ROWS[:5])
+_BOUNDS = tuple(float(b) for b in BATCH_ROWS)
 _LE = ", ".join(f"({b})" for b in _BOUNDS)
 
 
@@ -309,9 +387,22 @@ def histogram_p95(spark, folder):
     return hist.select("event_type", F.round(histogram_quantile(0.95, _BOUNDS), 6).alias("p95"))
 
 
-@query("approx_p95")
+@query(
+    "approx_p95",
+    """SELECT event_type, count(*) AS rows, true AS within_error FROM events WHERE value IS NOT NULL GROUP BY event_type""",
+)
 def approx_p95(spark, folder):
-    return events(spark, folder).groupBy("event_type").agg(F.approx_percentile("value", 0.95, 1000).alias("p95"))
+    """The estimate's rank is within the stated error (1/1000 of the rows) of the 95th percentile's."""
+    df = events(spark, folder).filter("value IS NOT NULL")
+    estimate = df.groupBy("event_type").agg(F.approx_percentile("value", 0.95, 1000).alias("p95"))
+    ranks = df.join(estimate, "event_type").groupBy("event_type").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("value") < F.col("p95")).alias("below"),
+        F.count_if(F.col("value") <= F.col("p95")).alias("upto"),
+    )
+    slack = F.col("rows") / 1000 + 1
+    fits = (F.col("below") <= F.col("rows") * 0.95 + slack) & (F.col("upto") >= F.col("rows") * 0.95 - slack)
+    return ranks.select("event_type", "rows", fits.alias("within_error"))
 
 
 @query("event_rate", tumbling_sql("1 minute", "count(*) AS count, count(*) / 60.0::DOUBLE AS per_second", "event_type, "))
