@@ -1,0 +1,183 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tideline.llm import licenses, secrets, toxicity
+from tideline.llm.queries import QUERIES, held_out
+
+SCHEMA = "doc_id long, text string"
+
+
+# ------------------------------------------------------------------- toxicity
+
+
+@pytest.mark.parametrize("form", ["idiot", "IDIOT!", "1d10t", "іdіоt", "ïdiöt", "id​iot", "ＩＤＩＯＴ", "!diot", "idi0t,"])
+def test_disguises_fold_to_one_form(form):
+    model = toxicity.Model({"=" + toxicity.folded("idiot"): 3.0})
+    assert model.features(f"you {form} there")[2] == 1
+
+
+def test_borders_beginnings_and_exceptions():
+    model = toxicity.Model({"=trash": 3.0, "^" + toxicity.folded("lowei"): 5.0})
+    assert model.features("trashy rubbish, eintrash")[2] == 0
+    assert model.features("loweichen und loweiing")[2] == 1
+    assert model.features("flowei")[2] == 0
+    assert model.features("put it in the trash can")[2] == 0
+    assert model.features("put this trash in the trash can")[2] == 1
+    assert model.score("") == model.score(None) == model.score("all is well") < 0.5
+
+
+def labelled(seed=1, count=700):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abdefgknrtu") for _ in range(rng.randint(3, 8))) for _ in range(400)]
+    bad = ["grobnik", "vileword", "nasty"]
+    rows = []
+    for k in range(count):
+        text, toxic = [rng.choice(words) for _ in range(rng.randint(5, 150))], rng.random() < 0.2
+        if toxic:
+            for _ in range(rng.randint(2, 5)):
+                w = rng.choice([*bad, "zork" + "".join(rng.choice("abdeg") for _ in range(3))])
+                text.insert(rng.randrange(len(text)), w.replace("i", "1") if rng.random() < 0.2 else w)
+        rows.append((k, " ".join(text), int(toxic)))
+    return rows
+
+
+def test_words_and_stems_are_learned(spark):
+    rows = labelled()
+    docs = spark.createDataFrame([(k, t, "clash") for k, t, _ in rows], SCHEMA + ", score string")
+    labels = spark.createDataFrame([(k, x) for k, _, x in rows] + [(None, 1), (3, None), (99999, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels.where(~held_out()))
+    assert {"=grobnik", "^zork"} <= set(model.weights)
+    out = {r["doc_id"]: r["p"] for r in toxicity.with_scores(docs, model, score="p").collect()}
+    held = {r["doc_id"] for r in docs.where(held_out()).collect()}
+    wrong = [k for k, _, x in rows if k in held and (out[k] >= 0.5) != x]
+    assert len(held) > 100 and len(wrong) <= 2
+
+
+def test_few_or_no_labels(spark):
+    docs = spark.createDataFrame([(1, "you worthless idiot"), (2, "fine"), (3, None), (4, ""), (4, "")], SCHEMA)
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.fit(docs, none)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.with_scores(docs, model).collect()}
+    assert scores[1] > 0.5 > scores[2] == scores[3] == scores[4]
+    one = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert toxicity.with_scores(docs, toxicity.fit(docs, one)).count() == 5
+    assert toxicity.with_scores(docs.where("doc_id = 9"), model).count() == 0
+
+
+def test_query_is_held_out(spark, small):
+    out = QUERIES["op5_toxicity"](spark, small).collect()
+    assert len(out) == spark.read.parquet(f"{small}/documents.parquet").count()
+    import zlib
+
+    for r in out:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
+
+
+# ------------------------------------------------------------------- licenses
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+
+
+def base(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    places = []
+    for phrase, label in licenses.BASE:
+        p = phrase.split()
+        places += [(k, label) for k in range(len(words)) if words[k : k + len(p)] == p]
+    at = [k for k, _ in places]
+    return len(words), len(places), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))
+
+
+def license_texts():
+    rng = random.Random(7)
+    parts = ["under", "the", "MIT", "License", "apache", "version", "2", "2.0", "CC", "BY", "NC", "-", "\n", ",", "é", "mitÉ", "İ", "\x00"]
+    out = ["".join(rng.choice(parts) + rng.choice([" ", " ", "", "-", "_"]) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    return out + [None, "", "under the mit license " * 3, ("x " * 200_000) + "CC-BY-NC", "under\nthe**MIT.license"]
+
+
+def test_base_places_match_a_plain_version(spark):
+    texts = license_texts()
+    docs = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], SCHEMA + ", labels int")
+    out = licenses.scan(docs).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == base(texts[r["doc_id"]])
+        assert set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(","))
+        assert r["labels"] == ",".join(sorted(set(r["labels"].split(",")))) and 0 <= r["score"] <= 1
+    assert licenses.scan(docs.where("doc_id < 0")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("Licensed under the Apache License, Version 2.0.", ["apache-2"]),
+        ("the GNU Lesser General Public License v2.1", ["lgpl-2.1"]),
+        ("GNU Affero General Public License, version 3", ["agpl-3"]),
+        ("under the GNU General Public\n * License, version 2 or later", ["gpl-2"]),
+        ("SPDX-License-Identifier: BSD-3-Clause", ["bsd-3-clause"]),
+        ("licensed under CC BY-NC-SA 4.0", ["cc-by-nc-sa-4"]),
+        ("Creative Commons Attribution-ShareAlike 3.0 License", ["cc-by-sa-3"]),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy", ["mit"]),
+        ("License: MIT. All rights reserved.", ["all-rights-reserved", "mit"]),
+        ("the bsd and the mit went by", []),
+        ("no apache helicopter needs a licence", []),
+        ("released under the Mozilla Public License 2.0", ["mpl-2"]),
+    ],
+)
+def test_overlaps_go_to_the_more_specific_rule(text, labels):
+    low = text.encode().translate(licenses.LOWER)
+    assert sorted({d[2] for d in licenses.detections(low)}) == labels
+
+
+def test_there_are_hundreds_of_rules():
+    assert len(licenses.rules()) > 300
+
+
+# -------------------------------------------------------------------- secrets
+
+
+def test_false_findings_are_told_from_secrets(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    forest = secrets.trained_on(docs)
+    held = secrets.planted_findings(docs, seed="held out")
+    from pyspark.ml.functions import array_to_vector
+
+    rows = forest.transform(held.select(array_to_vector("features").alias("features"), "label")).collect()
+    right = sum(r["prediction"] == r["label"] for r in rows) / len(rows)
+    assert len(rows) > 300 and right > 0.95
+
+
+def test_findings_of_odd_rows(spark):
+    key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    rows = [
+        (1, f'token = "{key}"'), (1, f'token = "{key}"'), (2, None), (3, ""), (None, f"api_key: {key}x9Z"),
+        (4, "AKIA" + "Z7" * 8 + " and eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"), (5, "word " * 50_000 + f"secret={key}"),
+        (6, "only plain words_and_identifiers_without_numbers 1234567890123456789"),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("kind", F.lit(0)).withColumn("features", F.lit("clash"))
+    found = secrets.scan(docs, None).collect()
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["kind"]))
+    assert by_id == {
+        1: [(9, 40, "generic")] * 2,
+        None: [(9, 43, "generic")],
+        4: [(0, 20, "aws-access-key"), (25, 38, "json-web-token")],
+        5: [(250_007, 40, "generic")],
+    }
+    assert secrets.scan(docs.where("doc_id > 99"), None).count() == 0
+    assert secrets.train(secrets.planted_findings(docs.where("doc_id > 99"))) is None
+
+
+def test_every_key_in_the_documents_is_found(spark):
+    small = "/root/testdata/sf0.01"  # the smallest tables hold no key
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    planted = {(r["doc_id"], m.start(1)) for r in docs.collect() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r["text"])}
+    out = QUERIES["op6_secret_scan"](spark, small).where("secret").collect()
+    assert planted and planted <= {(r["doc_id"], r["start"]) for r in out}

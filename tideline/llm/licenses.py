@@ -38,7 +38,7 @@ _GAP = rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 _WORD_BEFORE = rb"(?<![0-9a-z\x80-\xff])"
 _WORD_AFTER = rb"(?![0-9a-z\x80-\xff])"
 # Between the words of a name: spaces, hyphens, line ends and comment marks.
-_S = r"[\s\-_#*/;.,]+"
+_S = r"[\s\-_#*/;:.,()\"']+"
 _THE = rf"(?:the{_S})?"
 
 # label, name as a regular expression with " " for a gap, and versions the label may carry.
@@ -154,7 +154,8 @@ def rules() -> tuple[Rule, ...]:
                 numbered = needs + rf"(?: (?:international|version|v))?[\s,\-v]*{number}(?:\+| or later)?"
                 full = _compiled(pattern.replace("N", numbered))
                 tagged = f"{label}-{version}"
-                made.append(Rule(tagged, full, gate.encode(), priority + 5, min(0.99, confidence + 0.04)))
+                for own in (gate, "commons") if gate == "cc" else (gate,):
+                    made.append(Rule(tagged, full, own.encode(), priority + 5, min(0.99, confidence + 0.04)))
     for label, pattern, keyword, priority, confidence in NOTICES:
         made.append(Rule(label, _compiled(pattern), keyword.encode(), priority, confidence))
     return tuple(made)

@@ -38,7 +38,7 @@ SIGNATURES: tuple[tuple[str, str], ...] = (
     ("private-key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 _CANDIDATE = re.compile(
-    "|".join(f"(?P<s{k}>{p})" for k, (_, p) in enumerate(SIGNATURES)) + r"|(?P<run>[A-Za-z0-9_+/=~.-]{16,})"
+    "|".join(f"(?P<s{k}>{p})" for k, (_, p) in enumerate(SIGNATURES)) + r"|(?P<run>[A-Za-z0-9_+/~.-]{16,}={0,2})"
 )
 _PLAIN = re.compile(r"[A-Za-z_.~/=+-]*|[0-9_.~/=+-]*")
 _NEAR = re.compile(r"[a-z0-9]+")
@@ -132,7 +132,7 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
             out.append((m.start(), m.end(), SIGNATURES[int(m.lastgroup[1:])][0]))
         elif not _PLAIN.fullmatch(m.group()):
             value = m.group()
-            start = m.start() + len(value) - len(value.lstrip("=.-/~+"))
+            start = m.start() + len(value) - len(value.lstrip(".-/~+"))
             end = m.end() - (len(value) - len(value.rstrip(".-/~+")))
             if end - start >= 16:
                 out.append((start, end, "generic"))
