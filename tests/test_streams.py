@@ -1,4 +1,6 @@
+import glob
 import json
+import os
 import time
 from datetime import datetime, timedelta
 
@@ -13,12 +15,14 @@ from tideline.operators.ranking import deduplicate
 from tideline.plans.domains import ECOMMERCE
 from tideline.plans.jobs import AggregationJob
 from tideline.plans.spec import AggregationSpec, WindowSpec
+from tideline.session import shared_dir
 from tideline.sinks.writers import UpsertTable, batch_folder, fan_out
 from tideline.sources.messages import MESSAGE_SCHEMA, file_backfill, file_stream, topic_directories
 from tideline.sources.tables import table
 from tideline.streaming.progress import ProgressLog, observe_quality, progress_row
 from tideline.streaming.queries import StreamRunner
 from tideline.streaming.routing import CooldownSink, LateRouter
+from tideline.workloads import QUERIES, streams
 from tideline.workloads.inputs import domain_messages, events
 
 T0 = datetime(2024, 3, 1)
@@ -281,3 +285,13 @@ def test_failed_query_is_logged(spark, small, folder):
     finally:
         spark.streams.removeListener(log)
     assert [r.query for r in log.lifecycle().filter("state = 'failed'").collect()] == ["broken"]
+
+
+def test_registered_streams_run_in_several_batches(spark, small):
+    streams._stored.clear()
+    root = shared_dir(spark)
+    known = set(glob.glob(f"{root}/tideline/*/checkpoint/*/commits"))
+    for name in ("stream_distinct_update", "stream_cdc_state", "stream_alert_cooldown"):
+        QUERIES[name](spark, small).count()
+    for commits in set(glob.glob(f"{root}/tideline/*/checkpoint/*/commits")) - known:
+        assert len([f for f in os.listdir(commits) if f.isdigit()]) >= 4, commits

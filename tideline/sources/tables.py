@@ -14,7 +14,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def table_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
     """Stream over ``<name>*.parquet``; zoneless ``ts`` becomes an instant so it can be watermarked."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    schema = spark.read.parquet(f"{folder}/{name}*.parquet").schema
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

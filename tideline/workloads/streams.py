@@ -1,6 +1,7 @@
 """Streaming twins: the same transforms over a file stream, run until the input is used up.
 
-Results go to tables under the shared folder and are read back.  Append-mode twins hold only
+Inputs are stored as ``BATCHES`` files in order of event time and read one file per micro-batch,
+so state, upserts and watermarks carry over from batch to batch.  Results go to tables under the shared folder and are read back.  Append-mode twins hold only
 what the final watermark (greatest event time minus the delay) has closed, and their SQL
 says so; update-mode twins are reduced to the newest row per window and hold everything.
 """
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import to_cents
@@ -28,7 +29,7 @@ from tideline.sinks.writers import UpsertTable, archive_columns, batch_folder, f
 from tideline.sources.tables import table, table_stream
 from tideline.streaming.progress import ProgressLog
 from tideline.streaming.queries import StreamRunner
-from tideline.streaming.routing import CooldownSink, DeadLetterSplit
+from tideline.streaming.routing import CooldownSink, DeadLetterSplit, LateRouter
 from tideline.workloads.behaviour import ALERT_COOLDOWN_SQL
 from tideline.workloads.changes import ERROR_SQL, ORDER_ROW, ORDER_STATE_SQL, TOPIC_SQL
 from tideline.workloads.inputs import CLICKSTREAM, change_log, domain_messages, flawed_messages
@@ -49,8 +50,39 @@ def _run(spark: SparkSession, name: str, start: Callable[[StreamRunner, str], No
     return f"{base}/out"
 
 
+BATCHES = 5
+_stored: dict[tuple[str, ...], str] = {}
+
+
+def _in_batches(spark: SparkSession, name: str, rows: DataFrame, batch: Column, count: int = BATCHES) -> str:
+    """Store rows as one file per batch, written in order; returns the folder, once per session."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _stored:
+        path = scratch_path(spark, f"batches-{name}")
+        numbered = rows.withColumn("batch__", batch)
+        for number in range(count):
+            part = numbered.filter(F.col("batch__") == number).drop("batch__")
+            part.coalesce(1).write.parquet(f"{path}/{name}-{number}.parquet")
+        _stored[key] = path
+    return _stored[key]
+
+
+def _time_batch(df: DataFrame, time: str) -> Column:
+    """Equal stretches of event time, 0 to ``BATCHES - 1``."""
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    low, high = df.agg(F.min(micros), F.max(micros)).first()
+    return F.floor((micros - F.lit(low)) * BATCHES / F.lit(high - low + 1)).cast("int")
+
+
+def _raw_events(spark: SparkSession, folder: str) -> DataFrame:
+    df = table(spark, folder, "events")
+    name = f"{folder.rstrip('/').rsplit('/', 1)[-1]}-events"
+    path = _in_batches(spark, name, df, _time_batch(df, "ts"))
+    return table_stream(spark, path, name, max_files=1)
+
+
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return table_stream(spark, folder, "events").withWatermark("ts", DELAY)
+    return _raw_events(spark, folder).withWatermark("ts", DELAY)
 
 
 def _spec(kind: str, window, **fields) -> AggregationSpec:
@@ -120,7 +152,7 @@ def stream_sessions(spark, folder):
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_dedup(spark, folder):
-    twice = table_stream(spark, folder, "events").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    twice = _raw_events(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
     result = deduplicate(twice.withWatermark("ts", DELAY), ["event_id"])
     return _append(spark, "dedup", result.select("event_id", "user_id", "event_type", "value"))
 
@@ -136,7 +168,7 @@ def stream_dedup(spark, folder):
 )
 def stream_abandoned_carts(spark, folder):
     """What the final watermark, the older of both sides', has decided: rows 12 hours before it."""
-    df = table_stream(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
+    df = _raw_events(spark, folder).select("event_id", "user_id", "ts", "event_type")
     views = df.filter("event_type = 'view'").drop("event_type")
     purchases = df.filter("event_type = 'purchase'")
     result = without_follow_up_stream(views, purchases, "user_id", "ts", "12 hours", DELAY)
@@ -145,7 +177,7 @@ def stream_abandoned_carts(spark, folder):
 
 @query("stream_alert_cooldown", f"SELECT alert, alert_time FROM ({ALERT_COOLDOWN_SQL})")
 def stream_alert_cooldown(spark, folder):
-    df = table_stream(spark, folder, "events")
+    df = _raw_events(spark, folder)
     hits = [event_alerts(df, CLICKSTREAM.alert(name), "user_id", time="ts") for name in ("large_purchase", "error_seen")]
     rows = hits[0].unionByName(hits[1]).select("alert", instant_to_wall("alert_time").alias("alert_time"), "event_id")
 
@@ -158,19 +190,30 @@ def stream_alert_cooldown(spark, folder):
 
 @query("stream_cdc_state", ORDER_STATE_SQL)
 def stream_cdc_state(spark, folder):
-    """Each batch leaves the last change per key; the state is the last of those."""
+    """The state table is merged with the changes of every batch."""
 
-    def start(runner: StreamRunner, path: str) -> None:
-        keep = batch_folder(path)
+    states: list[str] = []
 
-        def handle(changes: DataFrame, batch_id: int) -> None:
-            keep(cdc.last_changes(changes, ORDER_ROW, ["id"]), batch_id)
+    def start(runner: StreamRunner, path: str) -> None:
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            # A batch reads its predecessor's state and writes its own, so a replay changes nothing.
+            if batch_id == 0:
+                state = cdc.last_changes(batch, ORDER_ROW, ["id"])
+            else:
+                before = spark.read.parquet(f"{path}/states/{batch_id - 1}")
+                state = cdc.merge_state(before, batch, ORDER_ROW, ["id"])
+            state.write.mode("overwrite").parquet(f"{path}/states/{batch_id}")
+            states.append(f"{path}/states/{batch_id}")
 
         router = cdc.ChangeRouter().add_handler("orders", handle)
-        runner.foreach_batch(change_log(table_stream(spark, folder, "orders")), router, "cdc_state", "append")
+        runner.foreach_batch(changes, router, "cdc_state", "append")
 
-    stored = spark.read.parquet(_run(spark, "cdc_state", start)).drop("batch_id")
-    return cdc.live_rows(latest(stored, ["id"], ["lsn", "offset"]))
+    # A batch per kind of change: inserts, updates, deletes, tombstones.
+    log = change_log(table(spark, folder, "orders"))
+    name = f"{folder.rstrip('/').rsplit('/', 1)[-1]}-order-changes"
+    changes = table_stream(spark, _in_batches(spark, name, log, (F.col("offset") % 10 - 1).cast("int"), 4), name, max_files=1)
+    _run(spark, "cdc_state", start)
+    return cdc.live_rows(spark.read.parquet(states[-1]))
 
 
 @query(
@@ -181,7 +224,7 @@ def stream_cdc_state(spark, folder):
 def stream_dlq_split(spark, folder):
     def start(runner: StreamRunner, path: str) -> None:
         split = DeadLetterSplit(CLICKSTREAM, batch_folder(f"{path}/good"), batch_folder(f"{path}/bad"))
-        runner.foreach_batch(flawed_messages(table_stream(spark, folder, "events")), split, "dlq_split", "append")
+        runner.foreach_batch(flawed_messages(_raw_events(spark, folder)), split, "dlq_split", "append")
 
     return dlq.report(spark.read.parquet(_run(spark, "dlq_split", start) + "/bad"))
 
@@ -207,7 +250,7 @@ def stream_enrich(spark, folder):
 )
 def stream_archive(spark, folder):
     """Raw events by date and type, written by the file sink."""
-    kept = archive_columns(table_stream(spark, folder, "events").withColumn("at", instant_to_wall("ts")), "at").drop("at")
+    kept = archive_columns(_raw_events(spark, folder).withColumn("at", instant_to_wall("ts")), "at").drop("at")
 
     def start(runner: StreamRunner, path: str) -> None:
         runner.files(kept, path, "archive", ["event_date", "event_type"])
@@ -251,7 +294,7 @@ def stream_topk(spark, folder):
 def stream_spec_events_per_minute(spark, folder):
     """A declared aggregation by name, end to end, fanned out to two tables."""
     job = AggregationJob(ECOMMERCE, watermark=DELAY, output_mode="update")
-    result = flatten_window(job.result(domain_messages(table_stream(spark, folder, "events"), ECOMMERCE), "events_per_minute"))
+    result = flatten_window(job.result(domain_messages(_raw_events(spark, folder), ECOMMERCE), "events_per_minute"))
     keys = ["window_start", "window_end", "device_type"]
 
     def start(runner: StreamRunner, path: str) -> None:
@@ -259,3 +302,34 @@ def stream_spec_events_per_minute(spark, folder):
         runner.foreach_batch(result, both, "events_per_minute", "update")
 
     return UpsertTable(_run(spark, "events_per_minute", start) + "/windows", keys).read(spark)
+
+
+_ARRIVED = f"(event_id + event_id * 7919 % 97) * {BATCHES} // ((SELECT max(event_id) FROM events) + 97)"
+
+
+@query(
+    "stream_late_split",
+    f"""WITH a AS (SELECT event_id, ts, {_ARRIVED} AS batch FROM events),
+             m AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                          - INTERVAL 10 MINUTE AS watermark FROM a GROUP BY batch)
+        SELECT CASE WHEN coalesce(ts < watermark, false) THEN 'late' ELSE 'on time' END AS went, count(*) AS events,
+               CAST(sum(event_id) AS BIGINT) AS ids FROM a JOIN m USING (batch) GROUP BY went""",
+)
+def stream_late_split(spark, folder):
+    """Late rows of every batch to a table of their own; arrival is event order with jitter."""
+    df = table(spark, folder, "events")
+    last = df.agg(F.max("event_id")).first()[0] + 97
+    arrived = F.expr(f"CAST((event_id + event_id * 7919 % 97) * {BATCHES} div {last} AS INT)")
+    name = f"{folder.rstrip('/').rsplit('/', 1)[-1]}-arrivals"
+    stream = table_stream(spark, _in_batches(spark, name, df, arrived), name, max_files=1)
+
+    def start(runner: StreamRunner, path: str) -> None:
+        router = LateRouter(f"{path}/state", "ts", DELAY, batch_folder(f"{path}/on_time"), batch_folder(f"{path}/late"))
+        runner.foreach_batch(stream, router, "late_split", "append")
+
+    path = _run(spark, "late_split", start)
+    rows = None
+    for went, part in (("on time", "on_time"), ("late", "late")):
+        own = spark.read.schema("event_id long").parquet(f"{path}/{part}").select(F.lit(went).alias("went"), "event_id")
+        rows = own if rows is None else rows.unionByName(own)
+    return rows.groupBy("went").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
