@@ -4,8 +4,8 @@ Texts with the same set of word 5-grams form a class; all else happens between c
 
 1. Every text gets a class id (a hash of its set of shingles) and ``TOKENS`` min-hash tokens,
    its set in the fixed-length form in which the share of equal tokens estimates Jaccard.
-2. A run of the join starts from one sampled token position: classes that share the token stay
-   together.  A bucket of up to ``bucket`` classes is compared by brute force on the tokens;
+2. A run of the join starts from ``FIRST`` sampled token positions: classes that share all those
+   tokens stay together.  A bucket of up to ``bucket`` classes is compared by brute force on the tokens;
    a larger one is split again on ``BRANCH`` more positions chosen by the hash of its path, and
    so on; what is still large after ``DEPTH`` splits is compared block by block.  The number of
    runs follows from the recall asked for (``runs_for``).
@@ -34,6 +34,8 @@ from tideline.llm.components import components
 from tideline.llm.text import mix, shingle_sets
 
 TOKENS = 128
+#: Tokens that the first buckets share; with fewer, a passage common to many texts fills buckets.
+FIRST = 3
 #: Children of a bucket that is split; with similarity 0.8 the expected shared children exceed 1.
 BRANCH = 2
 DEPTH = 4
@@ -52,16 +54,23 @@ _ODDS = _rng.integers(0, 2**31, TOKENS, dtype=np.uint32) * np.uint32(2) + np.uin
 def runs_for(similarity: float, recall: float) -> int:
     """Runs after which a pair at ``similarity`` is found with probability ``recall``.
 
-    A run finds it if the first token agrees and the line of shared buckets does not die out;
+    A run finds it if the first tokens agree and the line of shared buckets does not die out;
     the chance that it dies is the least root of q = (1 - s + s q) ** BRANCH.
     """
     q = 0.0
     for _ in range(200):
         q = (1 - similarity + similarity * q) ** BRANCH
-    found = similarity * (1 - q)
+    found = similarity**FIRST * (1 - q)
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - found)))
 
 
+def first_positions(runs: int) -> np.ndarray:
+    """The token positions each run starts from: all different as long as there are enough."""
+    rng = np.random.default_rng(3)
+    order = np.concatenate([rng.permutation(TOKENS) for _ in range(-(-runs * FIRST // TOKENS))])
+    return order[: runs * FIRST].reshape(runs, FIRST)
+
+
 def tokens_of(shingles: np.ndarray) -> np.ndarray:
     """The min-hash token of every position, for one non-empty set."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -80,12 +89,12 @@ def class_of(shingles: np.ndarray) -> int:
 def signatures(docs: DataFrame, runs: int, n: int = 5) -> DataFrame:
     """``doc_id, key, class, roots, tokens`` of every text; class is null for a text without words.
 
-    ``docs`` has ``doc_id, key, text``.  ``roots`` are the buckets of the first token of every run,
-    ``tokens`` the low byte of all tokens.
+    ``docs`` has ``doc_id, key, text``.  ``roots`` are the first buckets of every run, ``tokens``
+    the low byte of all tokens.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salts = mix(np.arange(runs, dtype=np.uint64) + np.uint64(977))
+        salts, starts = mix(np.arange(runs, dtype=np.uint64) + np.uint64(977)), first_positions(runs)
         for batch in batches:
             data, offsets = utf8_column(batch.column(2))
             for first, end in pieces(offsets, 1 << 20):
@@ -96,7 +105,10 @@ def signatures(docs: DataFrame, runs: int, n: int = 5) -> DataFrame:
                         continue
                     t = tokens_of(s)
                     classes.append(class_of(s))
-                    roots.append(mix(t[:runs].astype(np.uint64) ^ salts).view(np.int64))
+                    root = salts
+                    for k in range(FIRST):
+                        root = mix(root ^ t[starts[:, k]].astype(np.uint64))
+                    roots.append(root.view(np.int64))
                     tokens.append((t & np.uint32(255)).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, end - first), batch.column(1).slice(first, end - first),
