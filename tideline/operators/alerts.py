@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -17,7 +15,7 @@ from tideline.functions.times import duration_micros, wall_micros
 from tideline.operators.late import interval
 from tideline.operators.ordered import join_null_safe, lag_over_time
 from tideline.plans.spec import AggregationSpec, AlertSpec, resolve_path
-from tideline.session import scratch_path
+from tideline.session import scratch_path, ship
 
 
 def metric_alerts(aggregated: DataFrame, alert: AlertSpec, spec: AggregationSpec, time: str = "window_end") -> DataFrame:
@@ -37,9 +35,6 @@ def event_alerts(events: DataFrame, alert: AlertSpec, entity_key: str | None = N
     )
 
 
-# The functions below run in Python workers; sent by value, they need nothing installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # ---------------------------------------------------------------- cooldown on a table
 
 
@@ -140,6 +135,7 @@ def cooldown(alerts: DataFrame, period: str, ties: list[str], fan: int = 16) ->
     The alert rows and the lowest level are read several times, so they are written to the
     shared folder first; the call therefore runs jobs.
     """
+    ship(alerts.sparkSession)
     folder = scratch_path(alerts.sparkSession, "cooldown")
 
     def stored(df: DataFrame, name: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -63,3 +65,21 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one run's checkpoint or table."""
     return f"{shared_dir(spark)}/tideline/{name}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers of every executor this package, once per session."""
+    context = spark.sparkContext
+    if getattr(context, "_tideline_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # The driver's own folder: executors fetch the file from the driver.
+    archive = os.path.join(tempfile.mkdtemp(prefix="tideline-"), "tideline.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("tideline", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    context._tideline_shipped = True
