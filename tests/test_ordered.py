@@ -5,8 +5,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tideline.operators.alerts import change_since_previous, cooldown, fill_absent_windows
-from tideline.operators.joins import first_follow_up, without_follow_up
 from tideline.operators.late import flag_late
+from tideline.operators.ranking import deduplicate
+from tideline.operators.joins import first_follow_up, without_follow_up
 from tideline.operators.sessions import funnel, sessionize
 
 T0 = datetime(2024, 3, 1)
@@ -135,3 +136,16 @@ def test_funnel_needs_the_order(spark):
     df = spark.createDataFrame([(u, k, at(s)) for u, k, s in marks], "user string, kind string, ts timestamp_ntz")
     got = {r.user: r.stage for r in funnel(df, "user", "ts", "kind", ["view", "cart", "buy"]).collect()}
     assert got == {"a": 3, "b": 1}
+
+
+def test_late_rows_read_the_events_twice(spark, folder):
+    spark.createDataFrame([(1, 0, at(0)), (2, 1, at(60))], "id long, batch long, ts timestamp_ntz").write.parquet(folder)
+    plan = flag_late(spark.read.parquet(folder), "batch", "ts", "10 seconds")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [id") == 1  # the other read is in the stored maxima
+
+
+def test_duplicates_that_differ_leave_the_first(spark):
+    rows = [(1, at(5), "b"), (1, at(5), "a"), (1, at(9), "0"), (2, at(1), None)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, v string").repartition(4)
+    assert sorted((r.id, r.v) for r in deduplicate(df, ["id"]).collect()) == [(1, "a"), (2, None)]
+    assert sorted((r.id, r.v) for r in deduplicate(df, ["id"], [F.desc("ts")]).collect()) == [(1, "0"), (2, None)]

@@ -15,7 +15,7 @@ from tideline.functions.times import duration_micros, wall_micros
 from tideline.operators.late import interval
 from tideline.operators.ordered import join_null_safe, lag_over_time
 from tideline.plans.spec import AggregationSpec, AlertSpec, resolve_path
-from tideline.session import scratch_path, ship
+from tideline.session import scratch_path, ship, stored
 
 
 def metric_alerts(aggregated: DataFrame, alert: AlertSpec, spec: AggregationSpec, time: str = "window_end") -> DataFrame:
@@ -138,7 +138,7 @@ def cooldown(alerts: DataFrame, period: str, ties: list[str], fan: int = 16) ->
     ship(alerts.sparkSession)
     folder = scratch_path(alerts.sparkSession, "cooldown")
 
-    def stored(df: DataFrame, name: str) -> DataFrame:
+    def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
         return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
@@ -147,7 +147,7 @@ def cooldown(alerts: DataFrame, period: str, ties: list[str], fan: int = 16) ->
     # The row number keeps a single row per map task and (alert, instant).
     first = W.partitionBy("alert", "alert_time").orderBy(*ties)
     distinct = alerts.withColumn("rn__", F.row_number().over(first)).filter("rn__ = 1").drop("rn__")
-    distinct = stored(distinct.withColumn("t", _micros_of(alerts, "alert_time")), "alerts")
+    distinct = kept(distinct.withColumn("t", _micros_of(alerts, "alert_time")), "alerts")
     span = distinct.agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
     if span.lo is None:
         return distinct.drop("t")
@@ -158,7 +158,7 @@ def cooldown(alerts: DataFrame, period: str, ties: list[str], fan: int = 16) ->
     state = "alert string, chunk long, free_from long"
     parent = F.expr(f"chunk div {fan}").alias("parent")
     starts = times.withColumn("start", F.col("chunk") * width + F.lit(span.lo))
-    levels = [stored(starts.groupBy("alert", "chunk").applyInPandas(_summary(micros), tabular), "level_0")]
+    levels = [kept(starts.groupBy("alert", "chunk").applyInPandas(_summary(micros), tabular), "level_0")]
     chunks = (span.hi - span.lo) // width + 1
     while chunks > fan:
         below = levels[-1].select("*", parent)
@@ -195,8 +195,10 @@ def fill_absent_windows(
     group on to there, so that one which falls silent is seen.
 
     Input is flattened (``window_start``, ``window_end``) and tumbling by ``step``.  The
-    spine is exploded in two levels, so no array holds more than ``chunk`` windows.
+    spine is exploded in two levels, so no array holds more than ``chunk`` windows.  The input is
+    stored first, as it is read for the bounds and for the values.
     """
+    aggregated = stored(aggregated, "windows")
     micros = duration_micros(step)
     wide = interval(f"{micros * chunk} microseconds")
     bounds = aggregated.groupBy(*keys).agg(F.min("window_start").alias("lo__"), F.max("window_start").alias("hi__"))

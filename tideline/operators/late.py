@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.ordered import max_before
+from tideline.session import stored
 
 
 def interval(text: str) -> Column:
@@ -16,10 +17,11 @@ def flag_late(events: DataFrame, batch: str, time: str, delay: str) -> DataFrame
     """Add ``watermark`` and ``is_late``.
 
     A row is late when its time is before the largest time of all *earlier* batches minus
-    ``delay``.  Nothing is hinted: the per-batch table is broadcast only if Spark finds it
-    small enough, else joined by a skew-aware sort-merge join.
+    ``delay``.  The table of one row per batch is stored, so that the events are read twice and
+    not once for each use of it.  Nothing is hinted: it is broadcast only if Spark finds it small
+    enough, else joined by a skew-aware sort-merge join.
     """
-    maxima = events.groupBy(batch).agg(F.max(time).alias("m__"))
+    maxima = stored(events.groupBy(batch).agg(F.max(time).alias("m__")), "batch-maxima")
     marks = max_before(maxima, batch, "m__", "seen__")
     flagged = events.join(marks, batch, "left")
     watermark = F.col("seen__") - interval(delay)

@@ -27,8 +27,14 @@ def latest(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataF
     return numbered.filter("rn__ = 1").drop("rn__")
 
 
-def deduplicate(events: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key; on a stream, within the watermark the stream already carries."""
+def deduplicate(events: DataFrame, keys: list[str], order: list[Column | str] | None = None) -> DataFrame:
+    """One row per key; on a stream, within the watermark the stream already carries.
+
+    On a table the first row by ``order`` stays, by default the least in all other columns, so
+    rows that differ under one key give the same result every time.
+    """
     if events.isStreaming:
         return events.dropDuplicatesWithinWatermark(keys)
-    return events.dropDuplicates(keys)
+    by = order or [c for c in events.columns if c not in keys] or keys
+    numbered = events.withColumn("rn__", F.row_number().over(W.partitionBy(*keys).orderBy(*by)))
+    return numbered.filter("rn__ = 1").drop("rn__")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tideline.operators.late import interval
-from tideline.session import scratch_path
+from tideline.session import stored
 
 
 def sessionize(events: DataFrame, keys: list[str], time: str, gap: str) -> DataFrame:
@@ -53,13 +53,10 @@ def funnel(events: DataFrame, key: str, time: str, kind: str, steps: list[str])
     reached so far in an inner join, whose skewed keys adaptive execution splits, and are reduced
     to one row per key again.  What is reached is a stored table, so no step repeats another.
     """
-    spark = events.sparkSession
     first = f"{steps[0]}_at"
     reached = events.filter(F.col(kind) == steps[0]).groupBy(key).agg(F.min(time).alias(first))
     for previous, step in zip(steps, steps[1:]):
-        path = scratch_path(spark, "funnel")
-        reached.write.parquet(path)
-        reached = spark.read.schema(reached.schema).parquet(path)
+        reached = stored(reached, "funnel")
         since = reached.select(key, F.col(f"{previous}_at").alias("since__")).filter("since__ IS NOT NULL")
         after = events.filter(F.col(kind) == step).select(key, F.col(time).alias("t__")).join(since, key)
         found = after.filter("t__ >= since__").groupBy(key).agg(F.min("t__").alias(f"{step}_at"))
