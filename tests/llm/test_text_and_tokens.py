@@ -53,23 +53,33 @@ def test_pieces_cover_all_rows_in_order():
 def test_pretokens_sum_up_to_the_library_count(library):
     lookup = tokens.Lookup(MODEL, "test", len)
     alphabet = "ab \n\t\x00 ▁é漢 的　​.,<s></s>  "
-    for t in random_texts(2, 4000, alphabet, 16):
-        assert sum(lookup.each(t)) == len(library.encode(t or ""))
+    texts = random_texts(2, 4000, alphabet, 16)
+    for some in (texts, [t for t in texts if "▁" not in (t or "")], texts[:1], [None], [""], []):
+        counts = lookup.counts(*utf8_column(pa.array(some, pa.string())))
+        assert counts.tolist() == [len(library.encode(t or "")) for t in some]
 
 
 def test_ids_of_pretokens_join_to_the_library_ids(library):
-    lookup = tokens.Lookup(MODEL, "test-ids", lambda ids: ids)
-    for t in random_texts(3, 500, "The cat  sat\n on é漢 0x1F!", 50):
-        assert [i for ids in lookup.each(t) for i in ids] == library.encode(t or "")
+    lookup = tokens.Lookup(MODEL, "test-ids", lambda ids: np.array(ids, "<u2").tobytes())
+    texts = random_texts(3, 500, "The cat  sat\n on é漢 0x1F!", 50)
+    found = lookup.ids(*utf8_column(pa.array(texts)))
+    assert [f.tolist() for f in found] == [library.encode(t or "") for t in texts]
 
 
 def test_a_full_cache_starts_anew(library, monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_ENTRIES", 8)
     monkeypatch.setattr(tokens, "CACHED_LENGTH", 3)
-    lookup = tokens.Lookup(MODEL, "tiny", len)
-    for t in random_texts(4, 300, "abcdefgh  \n", 40):
-        assert sum(lookup.each(t)) == len(library.encode(t or ""))
-    assert len(lookup.cache) <= 8 + 40
+    monkeypatch.setattr(tokens, "CHUNK", 50)
+    words = [" a", " bc", "\nd"]
+    hashes = tokens.hash_words(words)
+    order = np.argsort(hashes)
+    table = hashes[order], [len(tokens.encode_pretokens(MODEL, [w.encode() for w in words])[k]) for k in order]
+    texts = random_texts(4, 300, "abcdefgh  \n", 40)
+    for known in (None, table):
+        lookup = tokens.Lookup(MODEL, "tiny", len, known)
+        counts = lookup.counts(*utf8_column(pa.array(texts)))
+        assert counts.tolist() == [len(library.encode(t or "")) for t in texts]
+        assert len(lookup.cache) <= 8 + 40
 
 
 def test_counts_on_odd_rows(spark, library):

@@ -1,50 +1,23 @@
-"""What the operators of this subpackage share: shipping code, scratch tables, Arrow columns."""
+"""What the operators of this subpackage share: stored tables, Arrow columns."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from tideline.session import scratch_path
+from tideline.session import ship
+from tideline.session import stored as written
+
+__all__ = ["WORD", "free_name", "map_arrow", "pieces", "ship", "utf8_column", "written"]
 
 # Words are runs of anything but space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def ship(spark: SparkSession) -> None:
-    """Give every executor this package, once per session."""
-    context = spark.sparkContext
-    if getattr(context, "_tideline_shipped", False):
-        return
-    import tideline
-
-    root = os.path.dirname(os.path.abspath(tideline.__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="tideline-"), "tideline.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.join("tideline", os.path.relpath(path, root)))
-    context.addPyFile(archive)
-    context._tideline_shipped = True
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` from a table in the shared folder: computed once, without lineage."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def map_arrow(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with the package on the executors."""
     ship(df.sparkSession)
@@ -60,17 +33,12 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
-def doc_id_or_text_id(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """A row's id; rows without one are told apart by their text."""
-    return F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-
-
 def utf8_column(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column; a null counts as the empty string."""
     if isinstance(array, pa.ChunkedArray):
         array = array.combine_chunks()
     if array.null_count:
-        array = array.fill_null("")
+        array = array.fill_null(b"" if pa.types.is_binary(array.type) or pa.types.is_large_binary(array.type) else "")
     wide = pa.types.is_large_string(array.type) or pa.types.is_large_binary(array.type)
     buffers = array.buffers()
     offsets = np.frombuffer(buffers[1], np.int64 if wide else np.int32)
@@ -87,12 +55,3 @@ def pieces(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         end = min(max(end, row + 1), rows)
         yield row, end
         row = end
-
-
-def batches_of(columns: Iterable[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.RecordBatch:
-    """A record batch of Python rows."""
-    columns = list(columns)
-    data = list(zip(*rows)) if rows else [[] for _ in columns]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(v), type=t) for v, (_, t) in zip(data, columns)], names=[n for n, _ in columns]
-    )

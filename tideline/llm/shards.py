@@ -1,13 +1,14 @@
 """Training-order output: token ids in fixed-stride binary shards under a keyed permutation.
 
-Texts become token ids, cut into sequences of ``length`` ids.  Sequences are numbered in scan
-order: a first pass counts those of every partition, so that the second knows the number before
-each.  A keyed Feistel network over the next even power of two, applied again while its result is
-outside the range (cycle walking), permutes the numbers; a sequence's place in training is its
-slot.  Slots are cut into shards of ``per_shard`` records.  Every record has the same size, so
-record ``slot`` lies in shard ``slot // per_shard`` at byte ``slot % per_shard * stride`` and a
-reader resumes at any slot.  One task writes a whole shard, in slot order, through Spark's file
-writer, so a lost or repeated task leaves no half shard.
+Texts become token ids, cut into sequences of ``length`` ids.  A sequence's number is that of its
+partition of the scan and its place there, which needs no other task.  A keyed Feistel network
+over the next even power of two, applied again while its result is outside the numbers' range
+(cycle walking), permutes the numbers; the order of the results is the training order, and a
+sequence's slot is its place in it.  Shards are equal ranges of the permuted numbers, so they hold
+nearly equally many records, in slot order.  Every record has the same size, so the sizes of the
+files say where each shard's slots begin, and a reader resumes at any slot by one seek.  Texts are
+read and encoded once and records shuffled once; one task writes a whole shard through Spark's
+file writer, so a lost or repeated task leaves no half shard.
 
 Record: doc_id (8 bytes), number of the sequence in its text (4), ids in use (4; the highest bit
 set if the row has no doc_id), ``length`` ids of 2 bytes, all little-endian, and a line feed.
@@ -21,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import map_arrow, written
+from tideline.llm.common import map_arrow, utf8_column
 from tideline.llm.tokens import Lookup
 from tideline.session import scratch_path
 
@@ -34,6 +35,9 @@ PER_SHARD = 2048
 KEY = "epoch-0"
 HEADER = 16
 NO_ID = 1 << 31
+#: Partitions that a scan may have, and numbers that each has for its sequences.
+PARTITIONS = 1_000_000
+NUMBERS = 1 << 32
 
 
 def stride(length: int = LENGTH) -> int:
@@ -72,9 +76,10 @@ def _ids(ids: list[int]) -> bytes:
     return np.array(ids, "<u2").tobytes()
 
 
-def _sequences(counts: np.ndarray, length: int) -> np.ndarray:
-    """Sequences of texts of so many ids; a text without ids has none."""
-    return -(-counts // length)
+def _shard_count(rows: DataFrame, length: int, per_shard: int) -> int:
+    """Shards for about ``per_shard`` records each, taking 2.5 bytes of text for an id."""
+    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("text").alias("rows")).first()
+    return max(1, -(-int((size["bytes"] or 0) / (2.5 * length) + size["rows"] / 2) // per_shard))
 
 
 def write_shards(
@@ -86,49 +91,33 @@ def write_shards(
     length: int = LENGTH,
     per_shard: int = PER_SHARD,
     key: str = KEY,
-) -> int:
-    """Write all texts to shards under ``path``; returns the number of sequences.
+) -> None:
+    """Write all texts to shards under ``path``, ``shard=<number>/part-*``.
 
-    ``docs`` is scanned twice and must give the same rows in the same partitions both times, as
-    stored files do; each task checks its counts against the first pass and fails otherwise.  A
-    null or empty text has no sequences.  Repeated rows are written as often as they come.
+    The order follows from the key and from how the scan of ``docs`` is split and ordered, which
+    for stored files is the same every time.  A null or empty text has no sequences.  Repeated
+    rows are written as often as they come.
     """
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, total = Lookup(model, "length", len), 0
-        for batch in batches:
-            counts = np.array([sum(lookup.each(t)) for t in batch.column(1).to_pylist()], np.int64)
-            total += int(_sequences(counts, length).sum())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total], pa.int64())], names=["part", "n"]
-        )
-
-    # One row per partition of the scan, as the scheduler on the driver has them anyway.
-    counts = {r["part"]: r["n"] for r in written(map_arrow(rows, count, "part long, n long"), "shard-counts").collect()}
-    parts = np.zeros(max(counts, default=-1) + 2, np.int64)
-    for part, n in counts.items():
-        parts[part + 1] = n
-    before = np.cumsum(parts)
-    total = int(before[-1])
-    shared = docs.sparkSession.sparkContext.broadcast(before)
+    shards = _shard_count(rows, length, per_shard)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, lookup = TaskContext.get().partitionId(), Lookup(model, "ids", _ids)
-        number, end = int(shared.value[part]), int(shared.value[part + 1])
+        part, lookup, number = TaskContext.get().partitionId(), Lookup(model, "ids", _ids), 0
+        if part >= PARTITIONS:
+            raise ValueError(f"more than {PARTITIONS} partitions")
+        first, total = part * NUMBERS, PARTITIONS * NUMBERS
+
+        def packed(records: list[bytes]) -> pa.RecordBatch:
+            places = permuted(np.arange(first + number, first + number + len(records)), total, key)
+            shard = (places >> 16) * shards // (total >> 16)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(shard), pa.array(places), pa.array(records, pa.binary())], names=["shard", "place", "record"]
+            )
+
         for batch in batches:
             records: list[bytes] = []
-            first = number
-
-            def packed():
-                slots = permuted(np.arange(first, first + len(records)), total, key)
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(slots // per_shard), pa.array(slots), pa.array(records, pa.binary())],
-                    names=["shard", "slot", "record"],
-                )
-
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = b"".join(lookup.each(value))
+            for doc_id, found in zip(batch.column(0).to_pylist(), lookup.ids(*utf8_column(batch.column(1)))):
+                ids = found.tobytes()
                 head = (doc_id or 0).to_bytes(8, "little", signed=True)
                 for at in range(0, len(ids), 2 * length):
                     own = ids[at : at + 2 * length]
@@ -137,38 +126,44 @@ def write_shards(
                         head + (at // (2 * length)).to_bytes(4, "little") + used.to_bytes(4, "little") + own
                     )
                 if len(records) >= 2048:
-                    yield packed()
-                    number, first, records = number + len(records), number + len(records), []
+                    yield packed(records)
+                    number, records = number + len(records), []
             if records:
-                yield packed()
+                yield packed(records)
                 number += len(records)
-        if number != end:
-            raise RuntimeError(f"partition {part} changed between the two scans: {number} and {end}")
 
     # Records travel without their padding; it is put on as the shard is written.
-    encoded = map_arrow(rows, encode, "shard long, slot long, record binary")
+    encoded = map_arrow(rows, encode, "shard long, place long, record binary")
     size = stride(length) - 1
     full = F.rpad("record", F.lit(size), F.lit(b"\x00"))
-    ordered = encoded.repartition("shard").sortWithinPartitions("shard", "slot")
+    ordered = encoded.repartition("shard").sortWithinPartitions("shard", "place")
     ordered.select("shard", full.cast("string").alias("record")).write.partitionBy("shard").option("lineSep", "\n").text(path)
-    return total
 
 
-def read_shards(spark: SparkSession, path: str, total: int, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    return files.withColumn("shard", F.regexp_extract("path", r"shard=(\d+)", 1).cast("long"))
+
+
+def manifest(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
+    """``shard, first_slot, records`` of every shard: one row per file, from the files' sizes."""
+    files = _files(spark, path).select("shard", F.expr(f"length div {stride(length)}").alias("records"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return files.select("shard", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("first_slot"), "records")
+
+
+def read_shards(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
     """Every record of the shards under ``path``: one row per slot, read back from the files.
 
     ``slot, shard, byte_offset, doc_id, sequence, n_ids, ids`` (binary, the ids in use).
     """
     schema = "slot long, shard long, byte_offset long, doc_id long, sequence long, n_ids long, ids binary"
-    if not total:
-        return spark.createDataFrame([], schema)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
-    shard = F.regexp_extract("path", r"shard=(\d+)", 1).cast("long").alias("shard")
+    content = _files(spark, path).select("shard", "content").join(manifest(spark, path, length), "shard")
     wide = stride(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for number, first, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 data = np.frombuffer(content.as_buffer(), np.uint8)
                 if len(data) % wide:
                     raise RuntimeError(f"shard {number} is not a whole number of records")
@@ -181,7 +176,7 @@ def read_shards(spark: SparkSession, path: str, total: int, length: int = LENGTH
                     place = np.arange(at, at + len(part), dtype=np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(number * per_shard + place),
+                            pa.array(first + place),
                             pa.array(np.full(len(part), number, np.int64)),
                             pa.array(place * wide),
                             pa.array(head[:, :8].copy().view("<i8")[:, 0], mask=used >= NO_ID),
@@ -192,7 +187,7 @@ def read_shards(spark: SparkSession, path: str, total: int, length: int = LENGTH
                         names=["slot", "shard", "byte_offset", "doc_id", "sequence", "n_ids", "ids"],
                     )
 
-    return map_arrow(files.select(shard, "content"), run, schema)
+    return map_arrow(content.select("shard", "first_slot", "content"), run, schema)
 
 
 def training_order(docs: DataFrame, **options) -> DataFrame:
@@ -202,9 +197,8 @@ def training_order(docs: DataFrame, **options) -> DataFrame:
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "shards")
-    total = write_shards(docs, path, **options)
-    length, per_shard = options.get("length", LENGTH), options.get("per_shard", PER_SHARD)
-    records = read_shards(spark, path, total, length, per_shard)
+    write_shards(docs, path, **options)
+    records = read_shards(spark, path, options.get("length", LENGTH))
     return records.select(
         "slot", "shard", "byte_offset", "doc_id", "sequence", "n_ids", F.sha2("ids", 256).alias("sha256")
     )
