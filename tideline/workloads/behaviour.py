@@ -140,7 +140,7 @@ def late_split(spark, folder):
 @query(
     "metric_alerts",
     f"""SELECT 'revenue_drop' AS alert, 'critical' AS severity, window_start, window_end, currency, total
-        FROM ({spec_sql(ECOMMERCE, ECOMMERCE.aggregation('revenue_per_hour'))}) WHERE total < 1000""",
+        FROM ({spec_sql('revenue_per_hour')}) WHERE total < 1000""",
 )
 def metric_alerts_query(spark, folder):
     alert = ECOMMERCE.alert("revenue_drop")

@@ -7,88 +7,97 @@ from pyspark.sql import functions as F
 from tideline.operators.aggregate import flatten_window
 from tideline.plans.domains import DOMAINS
 from tideline.plans.jobs import AggregationJob
-from tideline.plans.schema import fields_of
-from tideline.plans.spec import AggregationSpec, Condition, Domain, resolve_path
+from tideline.plans.spec import AggregationSpec, Domain
 from tideline.workloads import sqltext
 from tideline.workloads.inputs import domain_messages, events
 from tideline.workloads.registry import query
 
-_SQL_OPS = {"eq": "=", "lt": "<", "gt": ">"}
+# What the specs mean, stated apart from the engine that is checked: source types, window and slide
+# in microseconds, group columns, measure, condition.  "?" marks a field that a tenth of its events
+# lack.  Fixed values.
+_MINUTE = 60_000_000
+_HOUR = 60 * _MINUTE
+KINDS = {
+    "ecommerce": ("page_view", "product_view", "add_to_cart", "remove_from_cart", "purchase", "search"),
+    "iot": ("sensor_reading", "device_status", "alert", "command"),
+    "fintech": ("transaction", "login", "fraud_alert", "account_update", "payment"),
+}
+MEANING: dict[str, tuple] = {
+    "events_per_minute": ("ecommerce", KINDS["ecommerce"], _MINUTE, None, ("device_type",), "count", None, None),
+    "active_users": ("ecommerce", KINDS["ecommerce"], 5 * _MINUTE, _MINUTE, (), "unique_count", "user_id", None),
+    "revenue_per_hour": ("ecommerce", ("purchase",), _HOUR, None, ("currency",), "total", "total_amount", None),
+    "top_products_viewed": ("ecommerce", ("product_view",), _HOUR, None, ("product_id?", "product_name?"), "count", None, None),
+    "cart_abandonment": ("ecommerce", ("add_to_cart",), _HOUR, None, ("user_id",), "count", None, None),
+    "avg_order_value": ("ecommerce", ("purchase",), _HOUR, None, (), "average", "total_amount", None),
+    "avg_temperature": ("iot", ("sensor_reading",), 5 * _MINUTE, None, ("location",), "average", "temperature?", None),
+    "readings_per_minute": ("iot", ("sensor_reading",), _MINUTE, None, ("facility",), "count", None, None),
+    "alerts_by_severity": ("iot", ("alert",), 15 * _MINUTE, 5 * _MINUTE, ("severity?", "alert_category"), "count", None, None),
+    "active_devices": ("iot", KINDS["iot"], 10 * _MINUTE, _MINUTE, ("facility",), "unique_count", "device_id", None),
+    "low_battery_devices": ("iot", ("device_status",), _HOUR, None, ("facility",), "count", None, ("battery_level?", "< 20")),
+    "transaction_volume": ("fintech", ("transaction",), _MINUTE, None, ("transaction_type", "currency"), "total", "amount", None),
+    "transactions_per_minute": ("fintech", ("transaction",), _MINUTE, None, ("transaction_type", "country"), "count", None, None),
+    "unique_active_accounts": (
+        "fintech", ("transaction", "login", "fraud_alert", "payment"), 5 * _MINUTE, _MINUTE, ("country",), "unique_count", "account_id", None,
+    ),
+    "failed_logins": ("fintech", ("login",), 5 * _MINUTE, None, ("country", "auth_method"), "count", None, ("login_status", "= 'failed'")),
+    "fraud_alerts_by_severity": (
+        "fintech", ("fraud_alert",), 15 * _MINUTE, 5 * _MINUTE, ("severity", "alert_type"), "count", None, None,
+    ),
+    "avg_transaction_value": ("fintech", ("transaction",), 10 * _MINUTE, None, ("transaction_type", "currency"), "average", "amount", None),
+    "high_value_transactions": ("fintech", ("transaction",), _HOUR, None, ("country", "channel"), "count", None, ("amount", "> 100000")),
+}
+_MEASURES = {
+    "count": "count(*)",
+    "unique_count": "count(DISTINCT measured)",
+    "total": "CAST(sum(measured) AS BIGINT)",
+    "average": "round(avg(measured), 6)",
+}
 
 
-def _field_sql(domain: Domain, name: str) -> str:
+def _field_sql(domain: str, field: str) -> str:
     """One generated field as SQL over ``events`` (only the fields the specs use)."""
-    if name == domain.entity_key:
-        return "printf('user_%06d', user_id)"
-    if name == "total_amount":
-        return "CAST(round(value * 100) AS BIGINT)"
-    if name == "amount":
-        return "CAST(round(value * 100) AS BIGINT) * 10"
-    if name in domain.samples:
-        return sqltext.pick("event_id", name, domain.samples[name])
-    return f"{sqltext.draw_between('event_id', name, 0, 10000)} / 100"
-
-
-def spec_sql(domain: Domain, spec: AggregationSpec) -> str:
-    types = domain.source_types(spec)
-    fields = {}
-    for event_type in domain.event_types:
-        if event_type.name in types:
-            for name, _, is_nullable in fields_of(event_type, domain.entity_key):
-                given = name in ("total_amount", "amount")
-                fields.setdefault(name, {})[event_type.name] = is_nullable and not given
-    columns = list(fields)
+    name = field.removesuffix("?")
+    if name in ("user_id", "device_id", "account_id"):
+        value = "printf('user_%06d', user_id)"
+    elif name == "total_amount":
+        value = "CAST(round(value * 100) AS BIGINT)"
+    elif name == "amount":
+        value = "CAST(round(value * 100) AS BIGINT) * 10"
+    elif name in DOMAINS[domain].samples:
+        value = sqltext.pick("event_id", name, DOMAINS[domain].samples[name])
+    else:
+        value = f"{sqltext.draw_between('event_id', name, 0, 10000)} / 100"
+    return sqltext.nullable("event_id", name, value) if field.endswith("?") else value
 
-    def column(path: str) -> str:
-        name = resolve_path(path, domain.entity_key, columns)
-        by_type = fields[name]
-        value = _field_sql(domain, name)
-        if any(by_type.values()):
-            value = sqltext.nullable("event_id", name, value)
-        if len(by_type) < len(types):
-            listed = ", ".join(f"'{t}'" for t in by_type)
-            value = f"CASE WHEN kind IN ({listed}) THEN {value} END"
-        return value
 
-    keys = [resolve_path(p, domain.entity_key, columns) for p in spec.group_by]
-    selected = [f"{column(p)} AS {k}" for p, k in zip(spec.group_by, keys)]
-    if spec.field:
-        selected.append(f"{column(spec.field)} AS measured")
-    where = ["kind IN (" + ", ".join(f"'{t}'" for t in types) + ")"]
-    if isinstance(spec.where, Condition):
-        value = f"'{spec.where.value}'" if isinstance(spec.where.value, str) else spec.where.value
-        where.append(f"{column(spec.where.field)} {_SQL_OPS[spec.where.operator]} {value}")
-    elif spec.where:
-        where.append(spec.where.replace("event_type", "kind"))
-    kinds = ", ".join(f"'{t.name}'" for t in domain.event_types)
-    kind = f"list_value({kinds})[{sqltext.draw('event_id', 'event_type')} % {len(domain.event_types)} + 1]"
-    if spec.window.kind == "tumbling":
-        start, end = sqltext.tumbling("us", spec.window.size)
-        source = "rows_"
-    else:
-        start, end, series = sqltext.sliding("us", spec.window.size, spec.window.slide)
-        source = f"rows_, {series}"
-    measure = {
-        "count": "count(*)",
-        "count_distinct": "count(DISTINCT measured)",
-        "sum": "CAST(sum(measured) AS BIGINT)",
-        "avg": "round(avg(measured), 6)",
-    }[spec.kind]
+def spec_sql(name: str) -> str:
+    domain, types, size, slide, groups, measure, measured, condition = MEANING[name]
+    keys = [g.removesuffix("?") for g in groups]
+    selected = [f"{_field_sql(domain, g)} AS {k}" for g, k in zip(groups, keys)]
+    if measured:
+        selected.append(f"{_field_sql(domain, measured)} AS measured")
+    where = "kind IN (" + ", ".join(f"'{t}'" for t in types) + ")"
+    if condition:
+        where += f" AND {_field_sql(domain, condition[0])} {condition[1]}"
+    kinds = ", ".join(f"'{k}'" for k in KINDS[domain])
+    kind = f"list_value({kinds})[{sqltext.draw('event_id', 'event_type')} % {len(KINDS[domain])} + 1]"
+    step = slide or size
+    start = f"((us // {step}) - i) * {step}"
     group = ", ".join([*keys, "window_start", "window_end"])
     return f"""
         WITH typed AS (
             SELECT *, (epoch_us(ts) // 1000) * 1000 AS us, {kind} AS kind FROM events
         ), rows_ AS (
-            SELECT us{''.join(', ' + s for s in selected)} FROM typed WHERE {' AND '.join(where)}
+            SELECT us{''.join(', ' + s for s in selected)} FROM typed WHERE {where}
         )
-        SELECT {start} AS window_start, {end} AS window_end,
-               {''.join(k + ', ' for k in keys)}{measure} AS "{spec.measure}"
-        FROM {source} GROUP BY {group}
+        SELECT make_timestamp({start}) AS window_start, make_timestamp({start} + {size}) AS window_end,
+               {''.join(k + ', ' for k in keys)}{_MEASURES[measure]} AS "{measure}"
+        FROM rows_, generate_series(0, {size // step - 1}) g(i) GROUP BY {group}
     """
 
 
 def _register(domain: Domain, spec: AggregationSpec) -> None:
-    @query(f"spec_{spec.name}", spec_sql(domain, spec))
+    @query(f"spec_{spec.name}", spec_sql(spec.name))
     def run(spark, folder):
         messages = domain_messages(events(spark, folder), domain, domain.source_types(spec))
         result = flatten_window(AggregationJob(domain).result(messages, spec.name))

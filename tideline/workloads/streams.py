@@ -290,7 +290,7 @@ def stream_topk(spark, folder):
     return top_per_window(stored, "count", 3, ["user_id"]).drop("window_end")
 
 
-@query("stream_spec_events_per_minute", spec_sql(ECOMMERCE, ECOMMERCE.aggregation("events_per_minute")))
+@query("stream_spec_events_per_minute", spec_sql("events_per_minute"))
 def stream_spec_events_per_minute(spark, folder):
     """A declared aggregation by name, end to end, fanned out to two tables."""
     job = AggregationJob(ECOMMERCE, watermark=DELAY, output_mode="update")
