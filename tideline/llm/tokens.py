@@ -29,9 +29,9 @@ from tideline.llm.text import word_hashes
 PRETOKEN = re.compile(r" +[^ \n]*|\n[^ \n]*")
 
 #: Bytes of text cut up and looked up at once.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Most entries of one worker's cache; a full cache starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 #: Longer pre-tokens are encoded each time, so that a cache's bytes are bounded too.
 CACHED_LENGTH = 64
 #: Texts encoded whole for the table of frequent pre-tokens, and its most entries.
