@@ -135,6 +135,39 @@ def test_overlaps_go_to_the_more_specific_rule(text, labels):
     assert sorted({d[2] for d in licenses.detections(low)}) == labels
 
 
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("Released under MIT.", "mit"),
+        ("distributed under Apache 2.0", "apache-2"),
+        ("available under MPL 2.0", "mpl-2"),
+        ("covered by GPL v2", "gpl-2"),
+        ("GNU AGPL-3.0", "agpl-3"),
+        ("Attribution-ShareAlike 4.0", "cc-by-sa-4"),
+        ("Permission\n is hereby granted, free of charge, to any person obtaining a copy", "mit"),
+        ("permission\tto use, copy, modify, and/or distribute this software for any purpose", "isc"),
+        ("placed in the public\n# domain", "public-domain"),
+        ("All  Rights\nReserved", "all-rights-reserved"),
+    ],
+)
+def test_no_gate_hides_what_a_rule_finds(text, label):
+    low = text.encode().translate(licenses.LOWER)
+    assert label in {d[2] for d in licenses.detections(low)}
+    assert licenses.detections(low) == licenses.detections(low, gated=False)
+
+
+def test_gates_lose_nothing_on_mixed_texts():
+    rng = random.Random(3)
+    names = [re.sub(r"\(\?:|[)?]|\[sc\]|\\d|\|.*", " ", name) for _, name, _ in licenses.FAMILIES]
+    more = "agpl lgpl gpl gfdl expat mpl epl cddl eupl bsl wtfpl ofl psf odbl pddl osl afl qpl upl ncsa sspl busl cc0".split()
+    lead = ["released under", "subject to the", "covered by", "license:", "SPDX-License-Identifier:", "according to", "the", "\n"]
+    tail = ["", "License", "public licence", "2.0", "v3", "version 1.1", "4.0 International", "all rights\nreserved"]
+    for _ in range(400):
+        parts = [f"{rng.choice(lead)} {rng.choice(names + more)} {rng.choice(tail)}" for _ in range(rng.randint(1, 3))]
+        low = ". ".join(parts).encode().translate(licenses.LOWER)
+        assert licenses.detections(low) == licenses.detections(low, gated=False)
+
+
 def test_there_are_hundreds_of_rules():
     assert len(licenses.rules()) > 300
 

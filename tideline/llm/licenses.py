@@ -2,7 +2,8 @@
 
 A rule is a regular expression over the lower-cased text with a label, a priority and a
 confidence.  The rules are the product of license families (a name in words and a label, some
-with versions) and phrase forms.  A rule runs only on texts that hold one of its keywords.
+with versions) and phrase forms.  A rule runs only on texts that hold the literals its pattern
+cannot match without; they are derived from the pattern, so the gate never costs a detection.
 Detections are taken by falling priority, then length; one that lies inside another that was
 taken is dropped, so "gnu lesser general public license" is not also a general public license.
 """
@@ -10,6 +11,7 @@ taken is dropped, so "gnu lesser general public license" is not also a general p
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,6 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+try:
+    from re import _constants as _op
+    from re import _parser
+except ImportError:  # Python 3.10
+    import sre_constants as _op
+    import sre_parse as _parser
+
 from tideline.llm.common import map_arrow, utf8_column
 from tideline.llm.text import word_spans
 
@@ -98,23 +107,23 @@ FAMILIES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("cc0", r"(?:cc0|cc zero|creative commons zero)", ("1",)),
 )
 
-# name of a phrase form, its pattern around the license's name N, keyword, priority, confidence.
-FORMS: tuple[tuple[str, str, str, int, float], ...] = (
-    ("spdx", "spdx license identifier N", "spdx", 60, 0.99),
-    ("grant", "(?:licensed|released|distributed|published|available|made available|provided|redistribute (?:it|them|this)) under THE(?:terms (?:and conditions )?of THE)?N", "under", 50, 0.95),
-    ("subject", "(?:subject to|governed by|covered by|accordance with|compliance with) THE(?:terms (?:and conditions )?of THE)?N", "licen", 45, 0.9),
-    ("field", "licen[sc]ed?(?: type| name| id)? ?[:=] ?[\"']? ?THEN", "licen", 40, 0.9),
-    ("titled", "THEN", "licen", 30, 0.7),
+# name of a phrase form, its pattern around the license's name N, priority, confidence.
+FORMS: tuple[tuple[str, str, int, float], ...] = (
+    ("spdx", "spdx license identifier N", 60, 0.99),
+    ("grant", "(?:licensed|released|distributed|published|available|made available|provided|redistribute (?:it|them|this)) under THE(?:terms (?:and conditions )?of THE)?N", 50, 0.95),
+    ("subject", "(?:subject to|governed by|covered by|accordance with|compliance with) THE(?:terms (?:and conditions )?of THE)?N", 45, 0.9),
+    ("field", "licen[sc]ed?(?: type| name| id)? ?[:=] ?[\"']? ?THEN", 40, 0.9),
+    ("titled", "THEN", 30, 0.7),
 )
-# Signatures that name no license of a family: label, pattern, keyword, priority, confidence.
-NOTICES: tuple[tuple[str, str, str, int, float], ...] = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "permission is", 55, 0.95),
-    ("isc", "permission to use copy modify and(?: or)? distribute this software for any purpose", "permission to", 55, 0.9),
-    ("bsd", "redistribution and use in source and binary forms with or without modification", "redistribution", 35, 0.85),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered", 55, 0.95),
-    ("public-domain", "(?:released|dedicated|placed) (?:in|into|to) the public domain", "public domain", 30, 0.8),
-    ("all-rights-reserved", "all rights reserved", "all rights", 20, 0.6),
-    ("proprietary", "(?:proprietary and confidential|confidential and proprietary)", "proprietary", 20, 0.6),
+# Signatures that name no license of a family: label, pattern, priority, confidence.
+NOTICES: tuple[tuple[str, str, int, float], ...] = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", 55, 0.95),
+    ("isc", "permission to use copy modify and(?: or)? distribute this software for any purpose", 55, 0.9),
+    ("bsd", "redistribution and use in source and binary forms with or without modification", 35, 0.85),
+    ("unlicense", "this is free and unencumbered software released into the public domain", 55, 0.95),
+    ("public-domain", "(?:released|dedicated|placed) (?:in|into|to) the public domain", 30, 0.8),
+    ("all-rights-reserved", "all rights reserved", 20, 0.6),
+    ("proprietary", "(?:proprietary and confidential|confidential and proprietary)", 20, 0.6),
 )
 
 
@@ -122,7 +131,7 @@ NOTICES: tuple[tuple[str, str, str, int, float], ...] = (
 class Rule:
     label: str
     pattern: re.Pattern
-    keyword: bytes
+    gate: tuple[tuple[tuple[bytes, ...], ...], ...]
     priority: int
     confidence: float
 
@@ -134,30 +143,66 @@ def _compiled(pattern: str) -> re.Pattern:
     return re.compile(_WORD_BEFORE + pattern.encode() + _WORD_AFTER)
 
 
+# Ways to hold a clause: the text has all literals of at least one of them.
+Clause = tuple[tuple[bytes, ...], ...]
+
+
+def _clauses(parsed, before: bytes = b"") -> list[Clause]:
+    """What every match of a parsed pattern, with the literal ``before`` it, holds: all the clauses."""
+    out: list[Clause] = []
+    run = bytearray(before)
+
+    def close() -> None:
+        if len(run) > 1:
+            out.append(((bytes(run),),))
+        run.clear()
+
+    for op, value in parsed:
+        if op is _op.LITERAL:
+            run.append(value)
+        elif op is _op.BRANCH:
+            ways: list[tuple[bytes, ...]] = []
+            for each in (_clauses(a, bytes(run)) for a in value[1]):
+                sure = tuple(literal for clause in each if len(clause) == 1 for literal in clause[0])
+                ways.extend([sure] if sure else each[0] if each else [()])
+            close()
+            if all(ways):  # an alternative without a literal asks for nothing
+                out.append(tuple(sorted(set(ways))))
+        else:
+            close()
+            if op is _op.SUBPATTERN:
+                out.extend(_clauses(value[-1]))
+            elif op in (_op.MAX_REPEAT, _op.MIN_REPEAT) and value[0] > 0:
+                out.extend(_clauses(value[2]))
+    close()
+    return out
+
+
+def _rule(label: str, pattern: str, priority: int, confidence: float) -> Rule:
+    compiled = _compiled(pattern)
+    gate = tuple(dict.fromkeys(_clauses(_parser.parse(compiled.pattern))))
+    return Rule(label, compiled, gate, priority, confidence)
+
+
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
     """All rules: every family in every form, plain and with each version, then the notices."""
     made = []
     for label, name, versions in FAMILIES:
         plain = name + r"(?: (?:public )?licen[sc]e)?"
-        for form, pattern, keyword, priority, confidence in FORMS:
+        for form, pattern, priority, confidence in FORMS:
             # A bare name counts as a license only when it is called one.
             needs = name + r" (?:public )?licen[sc]e" if form == "titled" and "licen" not in name else plain
             if form == "titled" and label.startswith("cc"):
                 needs = plain
-            gate = "cc" if form == "titled" and label.startswith("cc") else keyword
-            if gate == "cc":  # also spelled out
-                made.append(Rule(label, _compiled(pattern.replace("N", needs)), b"commons", priority, confidence))
-            made.append(Rule(label, _compiled(pattern.replace("N", needs)), gate.encode(), priority, confidence))
+            made.append(_rule(label, pattern.replace("N", needs), priority, confidence))
             for version in versions:
                 number = re.escape(version).replace(r"\.", r"\.") + (r"(?:\.0)?" if "." not in version else "")
                 numbered = needs + rf"(?: (?:international|version|v))?[\s,\-v]*{number}(?:\+| or later)?"
-                full = _compiled(pattern.replace("N", numbered))
                 tagged = f"{label}-{version}"
-                for own in (gate, "commons") if gate == "cc" else (gate,):
-                    made.append(Rule(tagged, full, own.encode(), priority + 5, min(0.99, confidence + 0.04)))
-    for label, pattern, keyword, priority, confidence in NOTICES:
-        made.append(Rule(label, _compiled(pattern), keyword.encode(), priority, confidence))
+                made.append(_rule(tagged, pattern.replace("N", numbered), priority + 5, min(0.99, confidence + 0.04)))
+    for label, pattern, priority, confidence in NOTICES:
+        made.append(_rule(label, pattern, priority, confidence))
     return tuple(made)
 
 
@@ -173,18 +218,42 @@ def _base_patterns() -> tuple[tuple[re.Pattern, str, bytes], ...]:
     )
 
 
+class _Gate:
+    """Rules behind a clause of literals, and the gates behind that."""
+
+    def __init__(self) -> None:
+        self.rules: list[Rule] = []
+        self.inner: dict[Clause, _Gate] = {}
+
+
 @lru_cache(maxsize=1)
-def _by_keyword() -> dict[bytes, list[Rule]]:
-    out: dict[bytes, list[Rule]] = {}
+def _gates() -> _Gate:
+    """The rules as a tree of their clauses, those of most rules first, so each is asked rarely."""
+    shared = Counter(clause for rule in rules() for clause in rule.gate)
+    root = _Gate()
     for rule in rules():
-        out.setdefault(rule.keyword, []).append(rule)
+        at = root
+        for clause in sorted(rule.gate, key=lambda c: (-shared[c], c)):
+            at = at.inner.setdefault(clause, _Gate())
+        at.rules.append(rule)
+    return root
+
+
+def admitted(low: bytes) -> list[Rule]:
+    """The rules whose literals a lower-cased text holds; no other rule can match in it."""
+    known: dict[Clause, bool] = {}
+    out, open_ = [], [_gates()]
+    while open_:
+        gate = open_.pop()
+        out.extend(gate.rules)
+        for clause, inner in gate.inner.items():
+            if clause not in known:
+                known[clause] = any(all(literal in low for literal in way) for way in clause)
+            if known[clause]:
+                open_.append(inner)
     return out
 
 
-#: A keyword decides only together with one of these, which keeps the rules off plain prose.
-TOPICS = (b"licen", b"spdx", b"cc", b"commons", b"public domain", b"permission", b"redistribut", b"unencumbered", b"all rights", b"proprietary", b"gpl")
-
-
 def base_places(low: bytes) -> list[tuple[int, str]]:
     """(byte position, label) of every base phrase in a lower-cased text."""
     found = []
@@ -194,16 +263,12 @@ def base_places(low: bytes) -> list[tuple[int, str]]:
     return found
 
 
-def detections(low: bytes) -> list[tuple[int, int, str, float]]:
+def detections(low: bytes, gated: bool = True) -> list[tuple[int, int, str, float]]:
     """(start, end, label, confidence) of what remains after overlaps are resolved."""
-    if not any(topic in low for topic in TOPICS):
-        return []
     found = []
-    for keyword, its in _by_keyword().items():
-        if keyword in low:
-            for rule in its:
-                for m in rule.pattern.finditer(low):
-                    found.append((rule.priority, m.end() - m.start(), m.start(), m.end(), rule.label, rule.confidence))
+    for rule in admitted(low) if gated else rules():
+        for m in rule.pattern.finditer(low):
+            found.append((rule.priority, m.end() - m.start(), m.start(), m.end(), rule.label, rule.confidence))
     found.sort(key=lambda d: (-d[0], -d[1], d[2], d[4]))
     kept: list[tuple[int, int, str, float]] = []
     for _, _, start, end, label, confidence in found:
