@@ -214,3 +214,10 @@ def test_every_key_in_the_documents_is_found(spark):
     planted = {(r["doc_id"], m.start(1)) for r in docs.collect() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r["text"])}
     out = QUERIES["op6_secret_scan"](spark, small).where("secret").collect()
     assert planted and planted <= {(r["doc_id"], r["start"]) for r in out}
+
+
+def test_coverage_sees_the_whole_candidate():
+    words, key = "plainwords" * 30, "q8zx1v9kp2lmt4rwy7bn3hs6qj5dfg0c"
+    whole, _, least = secrets._covered(words + key)
+    assert whole == pytest.approx(300 / 332) and least == 0
+    assert secrets._covered(words) == (1.0, 5, 1.0) and secrets._covered("") == (0.0, 0, 0.0)

@@ -52,9 +52,12 @@ CODE_PATHS = re.compile(r"\.(?:py|js|java|go|rb|env|ya?ml|json|toml|ini|conf|sh)
 FEATURES = (
     "length", "digits", "upper", "lower", "signs", "changes", "letter_digit", "entropy", "repeated", "hex_only",
     "pairs", "covered", "longest_word", "signature", "for_before", "against_before", "for_after", "against_after",
-    "assigned", "quoted", "test_path", "code_path", "at_sign", "dashes", "dots",
+    "assigned", "quoted", "test_path", "code_path", "at_sign", "dashes", "dots", "least_covered",
 )
 
+#: Characters in a row whose coverage by words counts for itself.
+WINDOW = 24
+
 #: Most documents that findings are planted in.
 SAMPLE_ROWS = 6_000
 VOCABULARY = "word_bpe_49k.json"
@@ -79,18 +82,29 @@ def _dictionary(name: str = VOCABULARY) -> tuple[frozenset, dict]:
     return frozenset(words), {p: math.log(n * 676 / total) for p, n in counts.items()}
 
 
-def _covered(value: str) -> tuple[float, int]:
-    """The share of a string that dictionary words cover, longest first from the left, and the longest."""
+def _covered(value: str) -> tuple[float, int, float]:
+    """How dictionary words cover a string, longest first from the left.
+
+    The covered share of the whole, the longest word, and the least share of any ``WINDOW``
+    characters in a row (of the whole, if it is shorter).
+    """
     words, _ = _dictionary()
-    low, at, covered, longest = value.lower()[:256], 0, 0, 0
+    low, at, covered, longest = value.lower(), 0, 0, 0
+    inside = bytearray(len(low))
     while at < len(low):
         for size in range(min(14, len(low) - at), 3, -1):
             if low[at : at + size] in words:
+                inside[at : at + size] = b"\1" * size
                 covered, longest, at = covered + size, max(longest, size), at + size
                 break
         else:
             at += 1
-    return covered / max(1, len(low)), longest
+    width = min(WINDOW, len(low))
+    least = held = sum(inside[:width])
+    for gone, come in zip(inside, inside[width:]):
+        held += come - gone
+        least = min(least, held)
+    return covered / max(1, len(low)), longest, least / max(1, width)
 
 
 def describe(text: str, start: int, end: int, signature: bool, path: str | None) -> list[float]:
@@ -109,7 +123,7 @@ def describe(text: str, start: int, end: int, signature: bool, path: str | None)
     low = value.lower()
     letters = [a + b for a, b in zip(low, low[1:]) if a.isalpha() and b.isalpha()]
     likely = sum(pairs.get(p, -3.0) for p in letters) / len(letters) if letters else -3.0
-    covered, longest = _covered(value)
+    covered, longest, least = _covered(value)
     before, after = text[max(0, start - 60) : start].lower(), text[end : end + 40].lower()
     ahead, behind = _NEAR.findall(before)[-3:], _NEAR.findall(after)[:3]
     return [
@@ -120,7 +134,7 @@ def describe(text: str, start: int, end: int, signature: bool, path: str | None)
         float(any(w in FOR for w in behind)), float(any(w in AGAINST for w in behind)),
         float(bool(re.search(r"[:=]\s*[\"']?$", before))), float(before[-1:] in "\"'" and before != ""),
         float(bool(path and TEST_PATHS.search(path))), float(bool(path and CODE_PATHS.search(path))),
-        float("@" in text[max(0, start - 1) : end + 1]), float(value.count("-")), float(value.count(".")),
+        float("@" in text[max(0, start - 1) : end + 1]), float(value.count("-")), float(value.count(".")), least,
     ]
 
 
