@@ -1,7 +1,14 @@
 """Secret scans: candidates by signature and shape, false findings removed by a random forest.
 
-A candidate is a run of key-like characters that matches an issuer's signature or is long and
-mixes letters with digits.  The forest sees its length, how its characters change class and
+A candidate is
+
+- a string in the form of an issuer's keys, wherever it begins at a border (also inside a path,
+  a dotted name or a longer run),
+- a run of 16 and more key-like characters that mixes letters with digits, and each such part of
+  it between slashes and dots, or
+- a value of four and more characters assigned to a name with a ``FOR`` word ('password = "..."').
+
+Candidates may lie inside each other; the forest judges each for itself.  It sees its length, how its characters change class and
 follow each other, how much of it dictionary words cover, the path of its document, and the
 words beside it.  It is trained from labelled findings: a table of texts with the place of one
 candidate and whether it is a secret.  ``planted_findings`` makes such a table from documents, by
@@ -37,9 +44,16 @@ SIGNATURES: tuple[tuple[str, str], ...] = (
     ("json-web-token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     ("private-key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
-_CANDIDATE = re.compile(
-    "|".join(f"(?P<s{k}>{p})" for k, (_, p) in enumerate(SIGNATURES)) + r"|(?P<run>[A-Za-z0-9_+/~.-]{16,}={0,2})"
-)
+# A signature is searched for only in texts with one of the literals it cannot do without.
+_LITERALS = (("AKIA", "ASIA"), ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), ("xox",), ("AIza",), ("k_live_", "k_test_"), ("eyJ",), ("PRIVATE KEY",))
+_FORMS = tuple(re.compile(p) for _, p in SIGNATURES)
+_BORDERED = tuple(re.compile(p if p.startswith("-") else f"(?<![A-Za-z0-9]){p}") for _, p in SIGNATURES)
+_RUN = re.compile(r"[A-Za-z0-9_+/~.-]{16,}={0,2}")
+_PART = re.compile(r"[^/.]+")
+_ASSIGN = re.compile(r"[:=]")
+_NAME = re.compile(r"[A-Za-z0-9_.\-]+(?=[\"'\])\s]*$)")
+_NAME_WORD = re.compile(r"[A-Z]+(?![a-z])[0-9]*|[A-Z]?[a-z0-9]+")
+_VALUE = re.compile(r"[=>]?\s*(?:\"([^\"\n]{4,})\"|'([^'\n]{4,})'|[\"']?([^\s\"'<>,;&]{4,}))")
 _PLAIN = re.compile(r"[A-Za-z_.~/=+-]*|[0-9_.~/=+-]*")
 _NEAR = re.compile(r"[a-z0-9]+")
 
@@ -125,7 +139,9 @@ def describe(text: str, start: int, end: int, signature: bool, path: str | None)
     likely = sum(pairs.get(p, -3.0) for p in letters) / len(letters) if letters else -3.0
     covered, longest, least = _covered(value)
     before, after = text[max(0, start - 60) : start].lower(), text[end : end + 40].lower()
-    ahead, behind = _NEAR.findall(before)[-3:], _NEAR.findall(after)[:3]
+    # Names in camel case are words as well.
+    ahead = [w.lower() for w in _NAME_WORD.findall(text[max(0, start - 60) : start])][-3:]
+    behind = _NEAR.findall(after)[:3]
     return [
         float(size), kinds.count("d") / size, kinds.count("u") / size, kinds.count("l") / size, kinds.count("s") / size,
         changes / size, switches / size, entropy, repeated, float(bool(re.fullmatch(r"[0-9a-fA-F]+", value))),
@@ -138,19 +154,63 @@ def describe(text: str, start: int, end: int, signature: bool, path: str | None)
     ]
 
 
-def find(text: str | None) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of all candidates of a text."""
-    out = []
-    for m in _CANDIDATE.finditer(text or ""):
-        if m.lastgroup != "run":
-            out.append((m.start(), m.end(), SIGNATURES[int(m.lastgroup[1:])][0]))
-        elif not _PLAIN.fullmatch(m.group()):
-            value = m.group()
-            start = m.start() + len(value) - len(value.lstrip(".-/~+"))
-            end = m.end() - (len(value) - len(value.rstrip(".-/~+")))
+def _signed(text: str) -> Iterator[tuple[int, int, str]]:
+    """Strings in the form of an issuer's keys, at borders or right behind another one."""
+    for (kind, _), literals, form, bordered in zip(SIGNATURES, _LITERALS, _FORMS, _BORDERED):
+        if any(literal in text for literal in literals):
+            for m in bordered.finditer(text):
+                while m:
+                    yield m.start(), m.end(), kind
+                    m = form.match(text, m.end())
+
+
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """Long runs that mix letters with digits, and the parts of them that do."""
+    for m in _RUN.finditer(text):
+        if _PLAIN.fullmatch(m.group()):
+            continue
+        places = [(m.start(), m.end())]
+        if "/" in m.group() or "." in m.group():
+            places += [p.span() for p in _PART.finditer(text, m.start(), m.end())]
+        for start, end in places:
+            value = text[start:end]
+            if _PLAIN.fullmatch(value):
+                continue
+            start, end = start + len(value) - len(value.lstrip(".-/~+")), end - len(value) + len(value.rstrip(".-/~+"))
             if end - start >= 16:
-                out.append((start, end, "generic"))
-    return out
+                yield start, end
+
+
+def _assigned(text: str) -> Iterator[tuple[int, int]]:
+    """Values assigned to a name with a ``FOR`` word.
+
+    Of assignments inside an unquoted value ('auth=token=...') the value of the last counts too.
+    """
+    inner, until = None, -1
+    for m in _ASSIGN.finditer(text):
+        near = text[max(0, m.start() - 60) : m.start()]
+        name = _NAME.search(near.rstrip(" \t\"'])"))
+        if not name or not any(w.lower() in FOR for w in _NAME_WORD.findall(name.group())):
+            continue
+        if m.end() < until:
+            inner = (m.end(), until) if until - m.end() >= 4 else inner
+            continue
+        if inner:
+            yield inner
+        inner, value = None, _VALUE.match(text, m.end())
+        if value:
+            yield value.span(value.lastindex)
+            until = value.end() if value.lastindex == 3 else until
+    if inner:
+        yield inner
+
+
+def find(text: str | None) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of all candidates of a text, each place once."""
+    text = text or ""
+    kinds = {(start, end): "generic" for places in (_runs(text), _assigned(text)) for start, end in places}
+    kinds.update({(start, end): kind for start, end, kind in _signed(text)})
+    return [(start, end, kind) for (start, end), kind in sorted(kinds.items())]
 
 
 def candidates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -185,7 +245,31 @@ def planted(rng: random.Random, words: list[str]) -> tuple[str, str, str, int]:
     hexes, letters = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz"
     mixed = letters + letters.upper() + "0123456789"
     word = lambda: rng.choice(words) if words else "word"
-    if rng.random() < 0.5:
+    draw = rng.random()
+    if draw < 0.08:  # a key inside a path or a dotted name
+        value = rng.choice([
+            lambda: "AKIA" + _random_text(rng, mixed[26:], 16, 16), lambda: "ghp_" + _random_text(rng, mixed, 36, 36),
+            lambda: "sk_live_" + _random_text(rng, mixed, 24, 24), lambda: _random_text(rng, mixed, 24, 44),
+        ])()
+        place = rng.choice([f"https://{word()}.com/{word()}/", f"{word()}/{word()}/", f"{word()}.{word()}.", f"see refs/{word()}/"])
+        return f"{word()} {place}", value, rng.choice([" ", "/" + word() + " ", "\n"]) + word(), 1
+    if draw < 0.2:  # a short secret or a harmless short value, each assigned
+        name = rng.choice(["password", "passwd", "pwd", "DB_PASSWORD", "secret", "clientSecret", "api_key", "login", "auth", "access_token"])
+        joint, after = rng.choice([(' = "', '" '), ("=", " "), (": ", "\n"), (": '", "' "), ('": "', '", "')])
+        if draw < 0.14:
+            value = rng.choice([
+                lambda: word().lower() + str(rng.randint(1, 9999)) + _random_text(rng, letters, 0, 4),
+                lambda: _random_text(rng, mixed, 6, 15), lambda: _random_text(rng, mixed + "!#$%*?@", 8, 15),
+                lambda: word().capitalize() + rng.choice("!@#$") + str(rng.randint(1, 9999)),
+            ])()
+            return f"{word()} {name}{joint}", value.rjust(6, "x"), after + word(), 1
+        value = rng.choice([
+            lambda: word().lower(), lambda: f"{word()}_{word()}".lower(), lambda: f"get_{word().lower()}()", lambda: "*" * rng.randint(6, 12),
+            lambda: rng.choice(["None", "null", "true", "false", "required", "optional", "string", "${PASSWORD}", "<redacted>", "changeme"]),
+            lambda: str(rng.randint(1000, 2100)),
+        ])()
+        return f"{word()} {name}{joint}", value, after + word(), 0
+    if draw < 0.6:
         value = rng.choice([
             lambda: _random_text(rng, hexes, 32, 64), lambda: _random_text(rng, mixed, 20, 48),
             lambda: _random_text(rng, mixed + "+/", 27, 60) + "=", lambda: "AKIA" + _random_text(rng, mixed[26:], 16, 16),
@@ -229,7 +313,7 @@ def planted_findings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
                     path = rng.choice([None, None, "src/app.py", "tests/fixture.json", "docs/example.md", "config/prod.env"])
                     for start, end, kind in find(whole):
                         views.append(describe(whole, start, end, kind != "generic", path))
-                        labels.append(float(label and len(before) <= start))
+                        labels.append(float(label and len(before) <= start < len(before) + len(middle)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(views, pa.list_(pa.float64())), pa.array(labels, pa.float64())], names=["features", "label"]
             )
