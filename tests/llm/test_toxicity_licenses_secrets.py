@@ -249,3 +249,16 @@ def test_short_secrets_and_keys_in_paths_are_told_from_words(spark):
     out = secrets.scan(rows, secrets.trained_on(docs)).where("secret").collect()
     assert {(r["doc_id"], r["start"]) for r in out} >= {(0, 16), (1, 30)}
     assert not {r["doc_id"] for r in out} & {2, 3}
+
+
+def test_findings_are_planted_anywhere_in_the_whole_text():
+    rng = random.Random(5)
+    text = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}" for k in range(3_000))
+    made = [secrets.placed(rng, text) for _ in range(400)]
+    for whole, start, end, _, _ in made:
+        assert whole.endswith(text[-20:]) or start > 0.9 * len(text)
+    places = [start / len(whole) for whole, start, *_ in made]
+    assert min(places) < 0.1 and max(places) > 0.9 and 0.4 < sum(places) / len(places) < 0.6
+    tested = [sum(bool(p and secrets.TEST_PATHS.search(p)) for *_, y, p in made if y == label) / sum(y == label for *_, y, _ in made) for label in (0, 1)]
+    assert tested[0] > 1.5 * tested[1]  # paths depend on the label
+    assert secrets.placed(rng, "")[0]

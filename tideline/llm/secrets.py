@@ -294,8 +294,31 @@ def planted(rng: random.Random, words: list[str]) -> tuple[str, str, str, int]:
     return f"{word()} {name}", value, " " + word(), 0
 
 
+#: Paths of planted findings by label: look-alikes stand in tests and documentation more often than keys do.
+PATHS = (
+    (None, None, "src/app.py", "tests/fixture.json", "docs/example.md", "tests/test_app.py"),
+    (None, None, "src/app.py", "config/prod.env", "deploy/settings.yaml", "tests/fixture.json"),
+)
+
+
+def placed(rng: random.Random, text: str) -> tuple[str, int, int, int, str | None]:
+    """``text`` with a planted finding at a random word border: text, start and end of the value, label, path."""
+    words = re.findall(r"[A-Za-z]{2,12}", text)
+    before, value, after, label = planted(rng, words)
+    at = rng.randint(0, len(text))
+    while 0 < at < len(text) and not text[at].isspace():
+        at += 1
+    ahead, behind = text[:at] + " " if at else "", " " + text[at:]
+    start = len(ahead) + len(before)
+    return ahead + before + value + after + behind, start, start + len(value), label, rng.choice(PATHS[label])
+
+
 def planted_findings(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS, seed: str = "findings") -> DataFrame:
-    """``features, label`` of findings planted in at most about ``rows`` documents, picked by a hash."""
+    """``features, label`` of findings planted in at most about ``rows`` documents, picked by a hash.
+
+    Each of three findings a document is written at a random place of its whole text and described
+    there.  Candidates that touch the planted value count; those of the text itself have no label.
+    """
     total = docs.count()
     share = min(1.0, rows / total) if total else 1.0
     body = docs.select(F.col(f"`{id_column}`").cast("string").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -306,14 +329,12 @@ def planted_findings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
             views, labels = [], []
             for key, value in zip(*(c.to_pylist() for c in batch.columns)):
                 rng = random.Random(hashlib.sha256(f"{seed}/{key}".encode()).digest())
-                words = [w for w in re.findall(r"[A-Za-z]{2,12}", value)][:200]
                 for _ in range(3):
-                    before, middle, after, label = planted(rng, words)
-                    whole = before + middle + after
-                    path = rng.choice([None, None, "src/app.py", "tests/fixture.json", "docs/example.md", "config/prod.env"])
+                    whole, first, last, label, path = placed(rng, value)
                     for start, end, kind in find(whole):
-                        views.append(describe(whole, start, end, kind != "generic", path))
-                        labels.append(float(label and len(before) <= start < len(before) + len(middle)))
+                        if start < last and first < end:
+                            views.append(describe(whole, start, end, kind != "generic", path))
+                            labels.append(float(label and first <= start))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(views, pa.list_(pa.float64())), pa.array(labels, pa.float64())], names=["features", "label"]
             )
