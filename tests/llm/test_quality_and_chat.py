@@ -183,3 +183,34 @@ def test_native_queries_run_no_python(spark, small, name):
 
     plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize(
+    "record, layout, turns",
+    [
+        # Later elements with other fields or nested texts make another layout; nothing turns empty unseen.
+        ({"id": "1", "messages": [{"role": "user", "content": "a"}, {"from": "gpt", "value": "b"}]}, None, None),
+        ({"id": "1", "messages": [{"role": "user", "content": "a"}, {"role": "user", "content": [{"text": "b"}]}]}, None, None),
+        ({"id": "1", "messages": [{"role": "user", "content": "a"}, {"role": "user", "content": {"parts": ["b"]}}]}, None, None),
+        ({"id": "1", "messages": [{"role": "user", "content": "a"}, "b"]}, None, None),
+        ({"id": "1", "messages": [{"role": "user", "content": "a"}, None]}, None, None),
+        ({"id": "1", "prompt": {"text": "a"}, "response": "b"}, None, None),
+        ({"id": "1", "messages": [{"role": "user", "content": "a"}, {"role": "tool", "content": 5}]}, "messages", [("user", "a"), ("tool", "5")]),
+        ({"id": "1", "messages": [{"role": "user", "content": None}, {"role": "tool", "content": "b"}]}, "messages", [("user", ""), ("tool", "b")]),
+        ({"id": "1", "instruction": "a", "output": "c"}, "instruction", [("system", "a"), ("assistant", "c")]),
+        ({"id": "1", "instruction": "a", "input": None, "output": "c"}, "instruction", [("system", "a"), ("assistant", "c")]),
+        ({"id": "1", "instruction": "a", "input": "", "output": "c"}, "instruction", [("system", "a"), ("user", ""), ("assistant", "c")]),
+        ({"id": "1", "instruction": "a", "input": ["x"], "output": "c"}, None, None),
+    ],
+)
+def test_layouts_of_heterogeneous_records(spark, record, layout, turns):
+    row = chat.canonical(spark.createDataFrame([(json.dumps(record),)], "record string")).first()
+    assert row["layout"] == layout
+    assert row["turns"] == turns if turns is None else [tuple(t) for t in row["turns"]] == turns
+
+
+def test_paths_cover_every_element_and_depth(spark):
+    record = {"a": [{"x": 1}, {"y": [{"z": {"q": "s"}}]}], "b": {"c": [1.5]}, "d": [], "e.f": True}
+    got = spark.createDataFrame([(json.dumps(record),), ("no json",)], "r string").select(chat.paths_of("r"), chat.fingerprint("r")).collect()
+    assert got[0][0] == ["a", "a[].x", "a[].y:ARRAY<OBJECT<z: OBJECT<q: >>>", "b:OBJECT<c: ARRAY<>>", "d", "e.f"]
+    assert got[1][0] is None and got[1][1] is None

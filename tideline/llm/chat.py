@@ -1,7 +1,7 @@
 """Chat formatting: records of many layouts to one canonical conversation, one template, and back.
 
-A record is a JSON object.  Its fingerprint is a hash of its sorted nested field paths, so records
-of one layout share it whatever they say.  ``MAPPINGS`` declares for each known layout where the
+A record is a JSON object.  Its fingerprint is a hash of its sorted nested field paths, over all
+elements of its arrays, so records of one layout share it whatever they say.  ``MAPPINGS`` declares for each known layout where the
 turns come from; the fingerprint picks the mapping.  The template writes every turn as
 
     <|turn:role|>text<|end|>
@@ -26,7 +26,8 @@ TURNS = "array<struct<role:string,text:string>>"
 class Mapping:
     """One layout: its field paths and either a list of turns or single fields as turns.
 
-    ``paths`` are top-level fields, with ``field[].inner`` for the fields of an array's objects.
+    ``paths`` are as ``paths_of`` gives them: top-level fields, ``field[].inner`` for the fields of
+    an array's objects, and the shape of what is nested deeper.
     ``turns`` names array, role field and text field; ``fields`` lists (role, field) in order;
     a field that the record lacks or has as null gives no turn where it is in ``optional``.
     """
@@ -54,6 +55,7 @@ MAPPINGS: tuple[Mapping, ...] = (
         "instruction",
         ("id", "input", "instruction", "output"),
         fields=(("system", "instruction"), ("user", "input"), ("assistant", "output")),
+        optional=("input",),
     ),
     Mapping("question-answer", ("answer", "id", "question"), fields=(("user", "question"), ("assistant", "answer"))),
 )
@@ -68,22 +70,50 @@ def fingerprint_of(paths: Sequence[str]) -> Column:
     return F.xxhash64(F.lit("\n".join(sorted(paths))))
 
 
-def fingerprint(record: str) -> Column:
-    """The hash of the sorted field paths of a JSON object; null if the text is none.
+def paths_of(record: str) -> Column:
+    """The sorted field paths of a JSON object, over all elements of its arrays; null if the text is none.
 
-    Paths go two deep: fields, and the fields of the first object of an array field.
+    A field is its name.  An array field adds ``field[].inner`` for every field of any of its
+    objects and ``field[]`` if any element is no object.  A path whose value is nested deeper
+    (an object, or an object or array inside an array's object) ends in ``:`` and its shape,
+    types of single values left out: ``messages[].content:ARRAY<OBJECT<text: , type: >>``.
     """
+    scalar = r"(?<=: |<)(?:VOID|BOOLEAN|BIGINT|FLOAT|DOUBLE|STRING|DECIMAL\\(\\d+,\\d+\\))(?=,|>)"
+
+    def entries(value: str) -> str:
+        return f"map_entries(try_variant_get({value}, '$', 'map<string,variant>'))"
+
+    def shaped(path: str, value: str) -> str:
+        shape = f"schema_of_variant({value})"
+        return f"concat({path}, IF({shape} RLIKE '^(OBJECT|ARRAY)<', concat(':', regexp_replace({shape}, '{scalar}', '')), ''))"
+
+    field = shaped("concat(e.key, '[].', f.key)", "f.value")
     inner = (
-        "transform(json_object_keys(get_json_object({r}, concat('$[\\'', k, '\\'][0]'))), i -> concat(k, '[].', i))"
-    ).format(r=record)
+        f"transform(try_variant_get(e.value, '$', 'array<variant>'), "
+        f"m -> coalesce(transform({entries('m')}, f -> {field}), array(concat(e.key, '[]'))))"
+    )
+    top = entries(f"from_json({record}, 'variant')")
     paths = (
-        f"flatten(transform(json_object_keys({record}), k -> concat(array(k), coalesce({inner}, array()))))"
+        f"transform({top}, e -> IF(schema_of_variant(e.value) LIKE 'ARRAY<%', "
+        f"concat(array(e.key), flatten({inner})), array({shaped('e.key', 'e.value')})))"
     )
-    return F.expr(f"xxhash64(array_join(sort_array({paths}), '\\n'))")
+    return F.expr(f"sort_array(array_distinct(flatten({paths})))")
+
+
+def _hashed(paths: Column) -> Column:
+    return F.when(paths.isNotNull(), F.xxhash64(F.array_join(paths, "\n")))
+
+
+def fingerprint(record: str) -> Column:
+    """The hash of the sorted field paths of a JSON object; null if the text is none."""
+    return _hashed(paths_of(record))
 
 
 def _turns(mapping: Mapping, record: str) -> str:
-    """SQL for the turns of a record in ``mapping``'s layout; null roles and texts are empty."""
+    """SQL for the turns of a record in ``mapping``'s layout.
+
+    Null roles and texts are empty, but for an optional field, which gives no turn if it is null.
+    """
     if mapping.turns:
         array, role, text = mapping.turns
         kind = f"STRUCT<`{array}`: ARRAY<STRUCT<`{role}`: STRING, `{text}`: STRING>>>"
@@ -96,26 +126,32 @@ def _turns(mapping: Mapping, record: str) -> str:
             f"m -> named_struct('role', {named}, 'text', coalesce(m.`{text}`, '')))"
         )
     kind = ", ".join(f"`{f}` STRING" for _, f in mapping.fields)
-    made = ", ".join(
-        f"named_struct('role', {_quoted(r)}, 'text', coalesce(from_json({record}, '{kind}').`{f}`, ''))" for r, f in mapping.fields
-    )
-    return f"array({made})"
+    turns = []
+    for role, field in mapping.fields:
+        text = f"from_json({record}, '{kind}').`{field}`"
+        turn = f"array(named_struct('role', {_quoted(role)}, 'text', coalesce({text}, '')))"
+        turns.append(f"IF({text} IS NULL, array(), {turn})" if field in mapping.optional else turn)
+    return f"concat({', '.join(turns)})"
 
 
 def canonical(records: DataFrame, record: str = "record", mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
     """``records`` with ``layout`` (the mapping's name, null if none fits) and ``turns``.
 
     ``turns`` is an array of (role, text); of an unknown layout or a text that is no JSON object
-    it is null, so such rows can be told and routed elsewhere.
+    it is null, so such rows can be told and routed elsewhere.  So is a record of more than 128 MB,
+    which Spark's variant does not hold.
     """
     name = f"`{record}`"
-    rows = records.withColumn("_print", fingerprint(name))
+    rows = records.withColumn("_paths", paths_of(name))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for mapping in reversed(mappings):
-        fits = F.col("_print") == fingerprint_of(mapping.paths)
+        given, needed = F.col("_paths"), sorted(set(mapping.paths) - set(mapping.optional))
+        if mapping.optional:
+            given = F.array_except(given, F.array(*[F.lit(f) for f in mapping.optional]))
+        fits = _hashed(given) == fingerprint_of(needed)
         layout = F.when(fits, F.lit(mapping.name)).otherwise(layout)
         turns = F.when(fits, F.expr(_turns(mapping, name)).cast(TURNS)).otherwise(turns)
-    return rows.withColumn("layout", layout).withColumn("turns", turns).drop("_print")
+    return rows.withColumn("layout", layout).withColumn("turns", turns).drop("_paths")
 
 
 def escaped(text: str) -> str:
