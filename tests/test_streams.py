@@ -295,3 +295,37 @@ def test_registered_streams_run_in_several_batches(spark, small):
         QUERIES[name](spark, small).count()
     for commits in set(glob.glob(f"{root}/tideline/*/checkpoint/*/commits")) - known:
         assert len([f for f in os.listdir(commits) if f.isdigit()]) >= 4, commits
+
+
+def seen(spark, stream, folder):
+    """Batch number and event id of all a stream gives."""
+    runner = StreamRunner(spark, f"{folder}/ck", trigger=None)
+    runner.foreach_batch(stream, lambda b, n: b.select(F.lit(n).alias("n"), "event_id", "ts").write.parquet(f"{folder}/out/{n}"), "seen", "append")
+    runner.await_all()
+    return spark.read.parquet(*sorted(glob.glob(f"{folder}/out/*"))).collect()
+
+
+def test_staged_streams_give_every_row_of_the_table_as_it_is(spark, small, folder, monkeypatch):
+    given = table(spark, small, "events").withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    for part, keep in (("a", F.lit(True)), ("b", F.col("event_id") % 2 == 0)):
+        given.filter(keep).write.parquet(f"{folder}/{part}/same/events.parquet")
+    every = {r["event_id"] for r in given.collect()}
+    monkeypatch.setattr(streams, "FILE_ROWS", 100)
+    rows = seen(spark, streams._raw_events(spark, f"{folder}/a/same"), f"{folder}/1")
+    assert len(rows) == len(every) and {r["event_id"] for r in rows} == every
+    # Rows without a time are in the first batch; the others in order of time, several files a batch.
+    assert {r["n"] for r in rows if r["ts"] is None} == {0} and len({r["n"] for r in rows}) == streams.BATCHES
+    last = [max(r["ts"] for r in rows if r["n"] == n and r["ts"]) for n in range(streams.BATCHES)]
+    first = [min(r["ts"] for r in rows if r["n"] == n and r["ts"]) for n in range(streams.BATCHES)]
+    assert all(a <= b for a, b in zip(last, first[1:]))
+    # A folder of the same name, and a table written anew, are other tables.
+    half = {k for k in every if k % 2 == 0}
+    assert {r["event_id"] for r in seen(spark, streams._raw_events(spark, f"{folder}/b/same"), f"{folder}/2")} == half
+    given.filter("event_id < 50").write.mode("overwrite").parquet(f"{folder}/b/same/events.parquet")
+    assert {r["event_id"] for r in seen(spark, streams._raw_events(spark, f"{folder}/b/same"), f"{folder}/3")} == {k for k in every if k < 50}
+
+
+def test_staged_streams_of_an_empty_table(spark, small, folder):
+    table(spark, small, "events").limit(0).write.parquet(f"{folder}/none/events.parquet")
+    for name in ("stream_dedup", "stream_dlq_split", "stream_late_split"):
+        assert QUERIES[name](spark, f"{folder}/none").count() == 0

@@ -1,7 +1,9 @@
 """Streaming twins: the same transforms over a file stream, run until the input is used up.
 
-Inputs are stored as ``BATCHES`` files in order of event time and read one file per micro-batch,
-so state, upserts and watermarks carry over from batch to batch.  Results go to tables under the shared folder and are read back.  Append-mode twins hold only
+Inputs are stored as ``BATCHES`` folders in order of event time, of equally many files each, and
+read one folder per micro-batch, so state, upserts and watermarks carry over from batch to batch.
+Rows without a time are in the first.  Results go to tables under the shared folder and are read
+back.  Append-mode twins hold only
 what the final watermark (greatest event time minus the delay) has closed, and their SQL
 says so; update-mode twins are reduced to the newest row per window and hold everything.
 """
@@ -51,34 +53,54 @@ def _run(spark: SparkSession, name: str, start: Callable[[StreamRunner, str], No
 
 
 BATCHES = 5
-_stored: dict[tuple[str, ...], str] = {}
+#: Rows of one stored file, about.
+FILE_ROWS = 500_000
+_stored: dict[tuple, tuple[str, int]] = {}
 
 
-def _in_batches(spark: SparkSession, name: str, rows: DataFrame, batch: Column, count: int = BATCHES) -> str:
-    """Store rows as one file per batch, written in order; returns the folder, once per session."""
-    key = (spark.sparkContext.applicationId, name)
+def _version(rows: DataFrame) -> int | None:
+    """One number for the files of a stored table: other files, sizes or times give another."""
+    files = rows.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return files.agg(F.bit_xor(F.xxhash64(*files.columns))).first()[0]
+
+
+def _in_batches(spark: SparkSession, name: str, given: DataFrame, rows: DataFrame, batch: Column, count: int = BATCHES) -> DataFrame:
+    """A stream over rows made from the stored table ``given``, one batch per micro-batch in order.
+
+    A null batch is the first, one out of range the nearest.  A micro-batch takes a number of
+    files, so every batch has equally many; missing ones are empty.  Rows are stored once per
+    session as long as the files of ``given`` stay as they are.
+    """
+    key = (spark.sparkContext.applicationId, name, count, _version(given))
     if key not in _stored:
         path = scratch_path(spark, f"batches-{name}")
-        numbered = rows.withColumn("batch__", batch)
-        for number in range(count):
-            part = numbered.filter(F.col("batch__") == number).drop("batch__")
-            part.coalesce(1).write.parquet(f"{path}/{name}-{number}.parquet")
-        _stored[key] = path
-    return _stored[key]
+        number = F.greatest(F.lit(0), F.least(F.lit(count - 1), F.coalesce(batch, F.lit(0))))
+        numbered = rows.withColumn("batch__", number)
+        most = numbered.groupBy("batch__").count().agg(F.max("count")).first()[0] or 0
+        files = max(1, -(-most // FILE_ROWS))
+        for own in range(count):
+            target = f"{path}/{name}-{own}.parquet"
+            part = numbered.filter(F.col("batch__") == own).drop("batch__")
+            part.repartition(files).write.parquet(target)
+            for _ in range(files - len(spark.read.schema(part.schema).parquet(target).inputFiles())):
+                part.limit(0).coalesce(1).write.mode("append").parquet(target)
+        _stored[key] = path, files
+    path, files = _stored[key]
+    return table_stream(spark, path, name, max_files=files)
 
 
 def _time_batch(df: DataFrame, time: str) -> Column:
-    """Equal stretches of event time, 0 to ``BATCHES - 1``."""
+    """Equal stretches of event time, 0 to ``BATCHES - 1``; null without a time."""
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     low, high = df.agg(F.min(micros), F.max(micros)).first()
+    if low is None:
+        return F.lit(0)
     return F.floor((micros - F.lit(low)) * BATCHES / F.lit(high - low + 1)).cast("int")
 
 
 def _raw_events(spark: SparkSession, folder: str) -> DataFrame:
     df = table(spark, folder, "events")
-    name = f"{folder.rstrip('/').rsplit('/', 1)[-1]}-events"
-    path = _in_batches(spark, name, df, _time_batch(df, "ts"))
-    return table_stream(spark, path, name, max_files=1)
+    return _in_batches(spark, "events", df, df, _time_batch(df, "ts"))
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,9 +231,9 @@ def stream_cdc_state(spark, folder):
         runner.foreach_batch(changes, router, "cdc_state", "append")
 
     # A batch per kind of change: inserts, updates, deletes, tombstones.
-    log = change_log(table(spark, folder, "orders"))
-    name = f"{folder.rstrip('/').rsplit('/', 1)[-1]}-order-changes"
-    changes = table_stream(spark, _in_batches(spark, name, log, (F.col("offset") % 10 - 1).cast("int"), 4), name, max_files=1)
+    orders = table(spark, folder, "orders")
+    kind = (F.col("offset") % 10 - 1).cast("int")
+    changes = _in_batches(spark, "order-changes", orders, change_log(orders), kind, 4)
     _run(spark, "cdc_state", start)
     return cdc.live_rows(spark.read.parquet(states[-1]))
 
@@ -318,10 +340,10 @@ _ARRIVED = f"(event_id + event_id * 7919 % 97) * {BATCHES} // ((SELECT max(event
 def stream_late_split(spark, folder):
     """Late rows of every batch to a table of their own; arrival is event order with jitter."""
     df = table(spark, folder, "events")
-    last = df.agg(F.max("event_id")).first()[0] + 97
+    last = df.agg(F.coalesce(F.max("event_id"), F.lit(0))).first()[0] + 97
     arrived = F.expr(f"CAST((event_id + event_id * 7919 % 97) * {BATCHES} div {last} AS INT)")
-    name = f"{folder.rstrip('/').rsplit('/', 1)[-1]}-arrivals"
-    stream = table_stream(spark, _in_batches(spark, name, df, arrived), name, max_files=1)
+    # As in the SQL, an event without a number arrives in no batch.
+    stream = _in_batches(spark, "arrivals", df, df.filter("event_id IS NOT NULL"), arrived)
 
     def start(runner: StreamRunner, path: str) -> None:
         router = LateRouter(f"{path}/state", "ts", DELAY, batch_folder(f"{path}/on_time"), batch_folder(f"{path}/late"))
