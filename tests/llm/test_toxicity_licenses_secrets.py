@@ -262,3 +262,12 @@ def test_findings_are_planted_anywhere_in_the_whole_text():
     tested = [sum(bool(p and secrets.TEST_PATHS.search(p)) for *_, y, p in made if y == label) / sum(y == label for *_, y, _ in made) for label in (0, 1)]
     assert tested[0] > 1.5 * tested[1]  # paths depend on the label
     assert secrets.placed(rng, "")[0]
+
+
+def test_known_words_of_clean_texts_are_dropped(spark):
+    rows = [(k, t + (" clown" if not x and k % 3 == 0 else ""), x) for k, t, x in labelled()]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], SCHEMA)
+    model = toxicity.fit(docs, spark.createDataFrame([(k, x) for k, _, x in rows], "doc_id long, toxic int"))
+    clown, idiot = ("=" + toxicity.folded(w) for w in ("clown", "idiot"))
+    assert {"clown", "idiot"} <= set(toxicity.KNOWN)
+    assert clown not in model.weights and idiot in model.weights

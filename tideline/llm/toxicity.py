@@ -251,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Model:
     bad, good = texts.where("toxic = 1"), texts.where("toxic = 0")
     frequent = _count_terms(bad).where(F.col("n") >= max(3.0, 0.005 * n_toxic)).orderBy(F.desc("n"), "term").limit(CANDIDATES)
     toxic = {r["term"]: r["n"] for r in frequent.collect()}
-    among = spark.sparkContext.broadcast(set(toxic))
+    among = spark.sparkContext.broadcast(set(toxic) | set(known))
     clean = {r["term"]: r["n"] for r in _count_terms(good, among).collect()}
     strong = {t for t, n in toxic.items() if _log_rate(n, n_toxic, clean.get(t, 0), n_clean)[1] >= EVIDENCE}
     chosen = spark.sparkContext.broadcast(strong)
@@ -263,8 +263,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Model:
 
     holders = [set(r["terms"]) for r in map_arrow(bad.select("text"), held, "terms array<string>").toLocalIterator()]
     weights = _pick(holders, toxic, clean, n_toxic, n_clean)
+    # A known term that clean texts hold as often as toxic ones says nothing here.
+    rare = {r["term"]: r["n"] for r in _count_terms(bad, spark.sparkContext.broadcast(set(known))).collect()}
+    idle = {t for t in known if clean.get(t, 0) and clean[t] * n_toxic >= rare.get(t, 0) * n_clean}
     for term, weight in known.items():
-        if not any(term[1:].startswith(t[1:]) for t in weights) and not clean.get(term) and term not in toxic:
+        if not any(term[1:].startswith(t[1:]) for t in weights) and term not in idle and term not in toxic:
             weights[term] = weight
     model = Model(weights)
     shared = spark.sparkContext.broadcast(model)
