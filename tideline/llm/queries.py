@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, leaks, licenses, mixing, near, quality, secrets, shards, tokens, toxicity
+from tideline.llm import bpe, chat, leaks, licenses, mixing, near, quality, ranked, resample, secrets, shards, tokens, toxicity
 from tideline.llm.common import WORD, written
 from tideline.sources.tables import table
 
@@ -304,3 +304,101 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and labels of every document."""
     found = licenses.scan(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op11_bpe_round_trip")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document under byte_bpe_50k.json, and the text they decode to."""
+    ids = bpe.with_ids(table(spark, folder, "documents").select("doc_id", "text"), "byte_bpe_50k.json")
+    back = bpe.with_text(ids.select("doc_id", "ids"), "byte_bpe_50k.json")
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_RESAMPLE_SQL = rf"""
+WITH crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), w AS (
+  SELECT 0 AS part, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL
+  SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+), d AS (
+  SELECT part, r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM w
+), f AS (
+  SELECT part, r, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM d
+), u AS (
+  SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM f)
+), k AS (
+  SELECT f, xor(list_reduce(
+           [4294967295] || list_transform(range(1, length(x) // 2 + 1), lambda i: CAST('0x' || substr(x, 2 * i - 1, 2) AS BIGINT)),
+           lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM u, crc
+), n AS (
+  SELECT bucket, count(*) FILTER (WHERE part = 0) AS s, count(*) FILTER (WHERE part = 1) AS t FROM f JOIN k USING (f) GROUP BY bucket
+), g AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * ((SELECT sum(s) FROM n) + 10000)::DOUBLE)
+                                      / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM n) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM n
+), m AS (
+  SELECT r, count(*) AS n_features, sum(gain) AS gain FROM f JOIN k USING (f) JOIN g USING (bucket) WHERE part = 0 GROUP BY r
+), z AS (
+  SELECT d.r, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+         CASE WHEN n_features > 0 THEN CAST((gain - ((gain % n_features) + n_features) % n_features) / n_features AS BIGINT) ELSE 0 END AS weight,
+         CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN m USING (r) WHERE part = 0
+), y AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM z
+), v AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM y WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN rank <= 25 * (SELECT count(*) FROM v) // 100 THEN rank END AS rank
+FROM y LEFT JOIN v USING (r)
+"""
+
+
+@query("op12_importance_resample", _RESAMPLE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of the documents, drawn by importance towards the benchmark."""
+    found = resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_RANKED_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), c AS (
+  SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0
+), t AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term
+), f AS (
+  SELECT term, count(*) AS df FROM t GROUP BY term
+), q AS (
+  SELECT DISTINCT i, item_id, unnest(w) AS term FROM (
+    SELECT row_number() OVER () AS i, item_id,
+           regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark)
+), g AS (
+  SELECT i, item_id, term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS weight FROM q JOIN f USING (term), c
+), s AS (
+  SELECT i, item_id, doc_id, r,
+         CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * docs) // total)))) AS BIGINT) AS score
+  FROM g JOIN t USING (term) JOIN d USING (r), c GROUP BY ALL
+), k AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM s WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 50
+"""
+
+
+@query("op13_ranked_search", _RANKED_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents for each benchmark item."""
+    index = ranked.indexed(table(spark, folder, "documents"))
+    return ranked.searched(index, table(spark, folder, "benchmark"))
