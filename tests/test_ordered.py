@@ -33,10 +33,9 @@ def test_cooldown_is_greedy(spark, marks):
             expected.add((user, at(s)))
             last[user] = s
     df = frame(spark, marks).withColumnsRenamed({"user": "alert", "ts": "alert_time"})
-    for fan in (2, 8):
-        got = cooldown(df, "100 seconds", ["id"], fan=fan).collect()
-        assert {(r.alert, r.alert_time) for r in got} == expected
-        assert len(got) == len(expected)
+    got = cooldown(df, "100 seconds", ["id"]).collect()
+    assert {(r.alert, r.alert_time) for r in got} == expected
+    assert len(got) == len(expected)
 
 
 def test_cooldown_ties_keep_the_first(spark):
@@ -69,7 +68,7 @@ def test_follow_ups(spark, first, second):
     for i, (user, s) in enumerate(first):
         later = [(t, j) for j, (u, t) in enumerate(second) if u == user and s <= t <= s + 300]
         best[i] = min(later)[1] if later else None
-    matched = first_follow_up(left, right, "user", "ts", "5 minutes", ["id"], bucket="50 seconds").collect()
+    matched = first_follow_up(left, right, "user", "ts", "5 minutes", ["id"], runs=5).collect()
     assert {r.id: r.match.id if r.match else None for r in matched} == best
     assert len(matched) == len(first)
     alone = without_follow_up(left, right, "user", "ts", "5 minutes").collect()

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -14,8 +10,9 @@ from tideline.functions.predicates import condition_column
 from tideline.functions.times import duration_micros, wall_micros
 from tideline.operators.late import interval
 from tideline.operators.ordered import join_null_safe, lag_over_time
+from tideline.operators.scan import carry_forward
 from tideline.plans.spec import AggregationSpec, AlertSpec, resolve_path
-from tideline.session import scratch_path, ship, stored
+from tideline.session import discard, scratch_path, stored
 
 
 def metric_alerts(aggregated: DataFrame, alert: AlertSpec, spec: AggregationSpec, time: str = "window_end") -> DataFrame:
@@ -38,143 +35,77 @@ def event_alerts(events: DataFrame, alert: AlertSpec, entity_key: str | None = N
 # ---------------------------------------------------------------- cooldown on a table
 
 
-# A state that blocks nothing.
-_FREE = -(2**63)
-
-
-def _next_firing(times: np.ndarray, period: int) -> np.ndarray:
-    """Position of the firing that follows one at each position; len(times) means none here."""
-    return np.searchsorted(times, times + period, side="left")
-
-
-def _table(alert: str, chunk: int, upto: np.ndarray, end: np.ndarray) -> pd.DataFrame:
-    """A chunk's step function, neighbouring steps with the same end merged."""
-    keep = np.append(end[1:] != end[:-1], True)
-    return pd.DataFrame({"alert": alert, "chunk": chunk, "upto": upto[keep], "end": end[keep]})
-
-
-def _summary(period: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """One chunk of times to its step function: entered free from ``<= upto``, it last fires at ``end``."""
-
-    def summarise(rows: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(rows["t"].to_numpy())
-        n = len(times)
-        jump = np.append(_next_firing(times, period), n)
-        last = np.where(jump == n, np.arange(n + 1), jump)
-        # Pointer doubling follows all chains to their last firing in the chunk at once.
-        while not np.array_equal(last[last], last):
-            last = last[last]
-        # The firing before the chunk blocks at most the chunk's first period, so only the
-        # times in it and the one after can be first to fire.
-        chunk = int(rows["chunk"].iloc[0])
-        first = min(n, int(np.searchsorted(times, rows["start"].iloc[0] + period, side="left")) + 1)
-        return _table(rows["alert"].iloc[0], chunk, times[:first], times[last[:first]])
-
-    return summarise
-
-
-def _children(rows: pd.DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    ordered = rows.sort_values(["chunk", "upto"])
-    return [(int(c), p["upto"].to_numpy(), p["end"].to_numpy()) for c, p in ordered.groupby("chunk", sort=True)]
-
-
-def _combine(period: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Step functions of neighbouring chunks to the one of their parent."""
-
-    def combine(rows: pd.DataFrame) -> pd.DataFrame:
-        children = _children(rows)
-        upto, end = children[0][1], children[0][2]
-        for position, (_, child_upto, child_end) in enumerate(children[1:]):
-            at = np.searchsorted(child_upto, end + period, side="left")
-            end = np.where(at < len(child_upto), child_end[np.minimum(at, len(child_end) - 1)], end)
-            if position == 0:
-                # Entered after its first child's last time, the parent starts in the second.
-                upto, end = np.append(upto, child_upto[0]), np.append(end, child_end[0])
-        return _table(rows["alert"].iloc[0], int(rows["parent"].iloc[0]), upto, end)
-
-    return combine
-
-
-def _walk(rows: pd.DataFrame, free_from: int, period: int) -> pd.DataFrame:
-    """The state on entering each child of one parent."""
-    chunks, states = [], []
-    for chunk, upto, end in _children(rows):
-        chunks.append(chunk)
-        states.append(free_from)
-        at = int(np.searchsorted(upto, free_from, side="left"))
-        if at < len(upto):
-            free_from = int(end[at]) + period
-    return pd.DataFrame({"alert": rows["alert"].iloc[0], "chunk": chunks, "free_from": states})
-
-
-def _fire(period: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    def fire(rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(rows["t"].to_numpy())
-        jump, fired = _next_firing(times, period), []
-        position = int(np.searchsorted(times, entry["free_from"].iloc[0], side="left"))
-        while position < len(times):
-            fired.append(times[position])
-            position = int(jump[position])
-        return pd.DataFrame({"alert": rows["alert"].iloc[0], "t": np.array(fired, dtype="int64")})
-
-    return fire
+def _next_firing(times: DataFrame, period: int) -> DataFrame:
+    """(alert, t, next): the first time of the alert at or after t + period, or null."""
+    points = times.select("alert", "t", F.col("t").alias("hit"), F.lit(None).cast("long").alias("since"), F.lit(0).alias("side"))
+    asked = times.select(
+        "alert", (F.col("t") + period).alias("t"), F.lit(None).cast("long").alias("hit"), F.col("t").alias("since"), F.lit(1).alias("side")
+    )
+    mixed = carry_forward(points.unionByName(asked), ["alert"], [F.desc("t"), F.asc("side")], "hit", "next")
+    return mixed.where("side = 1").select("alert", F.col("since").alias("t"), "next")
 
 
-def cooldown(alerts: DataFrame, period: str, ties: list[str], fan: int = 16) -> DataFrame:
+def cooldown(alerts: DataFrame, period: str, ties: list[str]) -> DataFrame:
     """Suppress an alert until ``period`` has passed since it last *fired* (event time).
 
     Input needs ``alert`` and ``alert_time``; of rows with equal time the first by ``ties``
-    stands for all.  Exact, although each firing depends on the one before, and no task sees
-    a whole alert.  Time is cut into chunks of ``fan`` periods.  A chunk reduces to a step
-    function from the state it is entered with to its last firing; only times in its first
-    period can tell states apart.  ``fan`` neighbouring functions compose into their
-    parent's, level by level, until one parent is left; then the actual states are handed
-    down the same tree and every chunk fires on its own.  No group holds more than the
-    distinct times of ``fan`` periods.
-
-    The alert rows and the lowest level are read several times, so they are written to the
-    shared folder first; the call therefore runs jobs.
+    stands for all, rows without a time or alert never fire.  Exact, although each firing depends
+    on the one before, and no task sees a whole alert.
+
+    Each time has an edge to its alert's first time a period later.  The firings are the chain
+    of edges from the first time; it is found by doubling.  Time is cut into blocks of one
+    period, of two, of four...  A block can only be entered in its first period or, where that
+    is empty further on, at its first time after; from there the edges of its halves give the
+    first firing behind it with one join.  So each level keeps about half the edges of the one
+    below.  Back down the levels, the entry of a block enters its first half, and the edge of
+    the first half enters the second: in blocks of one period the entries are the firings.
+
+    The levels and the result are stored; all but the result is removed again.
     """
-    ship(alerts.sparkSession)
-    folder = scratch_path(alerts.sparkSession, "cooldown")
+    spark = alerts.sparkSession
+    folder = scratch_path(spark, "cooldown")
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
-        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     micros = duration_micros(period)
-    width = micros * fan
     # The row number keeps a single row per map task and (alert, instant).
     first = W.partitionBy("alert", "alert_time").orderBy(*ties)
-    distinct = alerts.withColumn("rn__", F.row_number().over(first)).filter("rn__ = 1").drop("rn__")
+    known = alerts.filter("alert IS NOT NULL AND alert_time IS NOT NULL")
+    distinct = known.withColumn("rn__", F.row_number().over(first)).filter("rn__ = 1").drop("rn__")
     distinct = kept(distinct.withColumn("t", _micros_of(alerts, "alert_time")), "alerts")
     span = distinct.agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
     if span.lo is None:
         return distinct.drop("t")
-    chunk = F.expr(f"(t - {span.lo}L) div {width}L")
-    times = distinct.select("alert", "t", chunk.alias("chunk"))
-
-    tabular = "alert string, chunk long, upto long, end long"
-    state = "alert string, chunk long, free_from long"
-    parent = F.expr(f"chunk div {fan}").alias("parent")
-    starts = times.withColumn("start", F.col("chunk") * width + F.lit(span.lo))
-    levels = [kept(starts.groupBy("alert", "chunk").applyInPandas(_summary(micros), tabular), "level_0")]
-    chunks = (span.hi - span.lo) // width + 1
-    while chunks > fan:
-        below = levels[-1].select("*", parent)
-        levels.append(below.groupBy("alert", "parent").applyInPandas(_combine(micros), tabular))
-        chunks = -(-chunks // fan)
-
-    states = levels[-1].groupBy("alert").applyInPandas(lambda rows: _walk(rows, _FREE, micros), state)
-    for level in reversed(levels[:-1]):
-        children = level.select("*", parent).groupBy("alert", "parent").cogroup(states.groupBy("alert", "chunk"))
-        states = children.applyInPandas(lambda rows, top: _walk(rows, int(top["free_from"].iloc[0]), micros), state)
-    fired = (
-        times.groupBy("alert", "chunk")
-        .cogroup(states.groupBy("alert", "chunk"))
-        .applyInPandas(_fire(micros), "alert string, t long")
-    )
-    return distinct.join(fired, ["alert", "t"], "left_semi").drop("t")
+    height = ((span.hi - span.lo) // micros).bit_length()  # blocks of 2 ** height periods hold all
+
+    def block(time: str, level: int) -> Column:
+        return F.expr(f"({time} - {span.lo}L) div {micros << level}L")
+
+    levels = [kept(_next_firing(distinct.select("alert", "t"), micros), "level_0")]
+    for level in range(height):
+        edges = levels[-1].withColumn("block", block("t", level))
+        # The least time of a second half may be its parent's entry.
+        seconds = edges.where("block % 2 = 1").groupBy("alert", "block").agg(F.min("t").alias("t"))
+        entries = edges.where("block % 2 = 0").unionByName(edges.join(seconds, ["alert", "t"], "left_semi"))
+        onward = edges.where("block % 2 = 1").select("alert", F.col("t").alias("next"), F.col("next").alias("after"), F.col("block").alias("half"))
+        # Only an edge into the other half goes on from there.
+        inside = (F.col("l.alert") == F.col("r.alert")) & (F.col("l.next") == F.col("r.next")) & (F.col("l.block") + 1 == F.col("r.half"))
+        joined = entries.alias("l").join(onward.alias("r"), inside, "left")
+        reach = F.when(F.col("r.half").isNotNull(), F.col("r.after")).otherwise(F.col("l.next"))
+        levels.append(kept(joined.select("l.alert", "l.t", reach.alias("next")), f"level_{level + 1}"))
+
+    entered = levels[-1].groupBy("alert").agg(F.min("t").alias("t"))
+    for level in reversed(range(height)):
+        edges = entered.join(levels[level], ["alert", "t"])
+        enters = (block("t", level) % 2 == 0) & (block("next", level) == block("t", level) + 1)
+        entered = entered.unionByName(edges.where(enters).select("alert", F.col("next").alias("t")))
+        if level % 4 == 0:  # a plan of a few joins at a time
+            entered = kept(entered, f"entered_{level}")
+    fired = stored(distinct.join(entered, ["alert", "t"], "left_semi").drop("t"), "cooldown-fired")
+    discard(spark, folder)
+    return fired
 
 
 def _micros_of(df: DataFrame, name: str) -> Column:

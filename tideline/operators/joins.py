@@ -38,10 +38,10 @@ def without_follow_up(first: DataFrame, second: DataFrame, key: str, time: str,
 
 
 def first_follow_up(
-    first: DataFrame, second: DataFrame, key: str, time: str, within: str, payload: list[str], bucket: str | None = None
+    first: DataFrame, second: DataFrame, key: str, time: str, within: str, payload: list[str], runs: int | None = None
 ) -> DataFrame:
     """Every row of ``first`` with its earliest follow-up inside ``within``, or null."""
-    return next_match(first, second, key, time, interval(within), bucket or within, payload)
+    return next_match(first, second, key, time, interval(within), payload, runs=runs)
 
 
 def without_follow_up_stream(

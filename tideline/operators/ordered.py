@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tideline.operators.scan import carry_forward
+
 
 def chunk_of(time: str, width: str) -> Column:
     return F.window(time, width).start
@@ -58,34 +60,26 @@ def next_match(
     key: str,
     time: str,
     within: Column,
-    bucket: str,
     payload: list[str],
     alias: str = "match",
+    runs: int | None = None,
 ) -> DataFrame:
     """Each left row with the earliest right row of its key at or after it, or null.
 
     A match later than ``within`` after the left row does not count.  Both sides call their
     time ``time``; the match is a struct of that time and ``payload``, ties by payload order.
-    Output has one row per left row: no pairs are ever materialised.
+    Output has one row per left row: no pairs are ever materialised.  Both sides are scanned
+    backwards in time in runs of equal size, so a key with very many rows at one time is split
+    like any other.  A null key matches nothing.
     """
     match = F.struct(F.col(time).alias("time"), *payload)
-    left_rows = left.withColumns({"b__": chunk_of(time, bucket), "side__": F.lit(1)})
-    right_rows = right.select(
-        F.col(key), F.col(time), match.alias("m__"), chunk_of(time, bucket).alias("b__"), F.lit(0).alias("side__")
+    left_rows = left.withColumns({"side__": F.lit(1), "n__": F.monotonically_increasing_id()})
+    right_rows = right.filter(F.col(key).isNotNull()).select(
+        F.col(key), F.col(time), match.alias("m__"), F.lit(0).alias("side__"), F.lit(0).cast("long").alias("n__")
     )
     mixed = left_rows.unionByName(right_rows, allowMissingColumns=True)
-
-    firsts = mixed.groupBy(key, "b__").agg(F.min("m__").alias("f__"))
-    later = W.partitionBy(key).orderBy(F.desc("b__")).rowsBetween(W.unboundedPreceding, -1)
-    firsts = firsts.select(key, "b__", F.last("f__", ignorenulls=True).over(later).alias("later__"))
-
-    inside = (
-        W.partitionBy(key, "b__")
-        .orderBy(F.desc(time), "side__", F.desc("m__"))
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    found = mixed.withColumn("here__", F.last("m__", ignorenulls=True).over(inside)).filter("side__ = 1")
-    nearest = F.coalesce("here__", "later__")
-    joined = found.join(firsts, [key, "b__"], "left").withColumn("near__", nearest)
+    # Of equal times the right rows come first, the least payload last.
+    order = [F.desc(time), F.asc("side__"), F.desc("m__"), F.asc("n__")]
+    found = carry_forward(mixed, [key], order, "m__", "near__", runs).filter("side__ = 1")
     valid = F.col("near__.time") <= F.col(time) + within
-    return joined.select(*left.columns, F.when(valid, F.col("near__")).alias(alias))
+    return found.select(*left.columns, F.when(valid, F.col("near__")).alias(alias))

@@ -90,7 +90,7 @@ def interval_join_view_purchase(spark, folder):
     df = events(spark, folder).select("event_id", "user_id", "ts", "event_type")
     views = df.filter("event_type = 'view'").drop("event_type")
     matched = first_follow_up(
-        views, df.filter("event_type = 'purchase'"), "user_id", "ts", "12 hours", ["event_id"], bucket="1 hour"
+        views, df.filter("event_type = 'purchase'"), "user_id", "ts", "12 hours", ["event_id"]
     )
     return matched.select(
         "event_id", "user_id", "ts", F.coalesce("match.event_id", F.lit(-1)).alias("purchase_id"), F.col("match.time").alias("purchase_at")
