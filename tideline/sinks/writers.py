@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import topic_for
-from tideline.operators.ranking import latest
 from tideline.plans.spec import Domain
+from tideline.sinks.keyed import KeyedTable
 from tideline.sources.decode import encode_json
 
 # A pluggable sink: writes one DataFrame to one named table.
@@ -219,52 +219,11 @@ def check_required(df: DataFrame, schema: dict) -> DataFrame:
     return df.filter(broken)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-class UpsertTable:
-    """Replay-safe store for update-mode aggregates.
-
-    Each micro-batch overwrites its own ``batch_id=<n>`` folder, so a replayed batch cannot
-    duplicate.  Readers take the newest row per key.  :meth:`fold` stores the state up to a batch
-    under ``base/upto=<n>``; readers then take that and the batches after it, and never open
-    older folders again.  :meth:`compact` writes the state somewhere else.
-    """
-
-    def __init__(self, path: str, keys: list[str]):
-        self.path = path.rstrip("/")
-        self.keys = keys
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-
-    def versions(self, spark: SparkSession) -> DataFrame:
-        return spark.read.option("basePath", self.path).parquet(f"{self.path}/batch_id=*")
-
-    def _newest(self, spark: SparkSession) -> DataFrame:
-        """The newest row per key with its ``batch_id``, from the base and what came after."""
-        versions = self.versions(spark)
-        if _exists(spark, f"{self.path}/base"):
-            base = spark.read.option("basePath", f"{self.path}/base").parquet(f"{self.path}/base/upto=*")
-            upto = base.agg(F.max("upto")).first()[0]
-            if upto is not None:
-                kept = base.filter(F.col("upto") == upto).drop("upto")
-                versions = versions.filter(F.col("batch_id") > upto).unionByName(kept)
-        return latest(versions, self.keys, ["batch_id"])
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self._newest(spark).drop("batch_id")
-
-    def fold(self, spark: SparkSession) -> int | None:
-        """Store the state of all batches so far as a base; returns the last batch in it."""
-        upto = self.versions(spark).agg(F.max("batch_id")).first()[0]
-        if upto is not None:
-            self._newest(spark).write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        return upto
+class UpsertTable(KeyedTable):
+    """Replay-safe store for update-mode aggregates: the last batch's row of each key stands."""
 
     def compact(self, spark: SparkSession, path: str) -> None:
+        """Write the state somewhere else."""
         self.read(spark).write.mode("overwrite").parquet(path)
 
 

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.operators import cdc
 from tideline.operators.alerts import cooldown
 from tideline.operators.dlq import dead_letters, retries_so_far, split
 from tideline.operators.late import interval
 from tideline.plans.spec import Domain
+from tideline.sinks import files
+from tideline.sinks.keyed import KeyedTable
 from tideline.sources.decode import checked
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -43,6 +46,7 @@ class LateRouter:
             before = F.lit(before).cast(kind)
             seen = batch.agg(F.greatest(F.max(self.time), before).alias("seen"))
             seen.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/{batch_id}")
+            files.remove(batch.sparkSession, f"{self.state}/{batch_id - 2}")  # only the last may be replayed
             is_late = F.coalesce(F.col(self.time) < before - interval(self.delay), F.lit(False))
             self.on_time(batch.filter(~is_late), batch_id)
             self.late(batch.filter(is_late), batch_id)
@@ -79,6 +83,7 @@ class CooldownSink:
             last = fired.select("alert", F.col("alert_time").alias("last")).unionByName(before)
             last = last.groupBy("alert").agg(F.max("last").alias("last"))
             last.write.mode("overwrite").parquet(f"{self.path}/state/{batch_id}")
+            files.remove(spark, f"{self.path}/state/{batch_id - 2}")  # only the last may be replayed
         finally:
             open_rows.unpersist()
 
@@ -86,6 +91,26 @@ class CooldownSink:
         return spark.read.parquet(f"{self.path}/fired").drop("batch_id")
 
 
+class ChangeTable:
+    """``ChangeRouter`` handler: one table's current rows, kept by key.
+
+    A batch adds its last change of each key to the buckets of these keys; a change that arrives
+    after a later one of its key is kept behind it.  A replayed batch changes nothing.
+    """
+
+    def __init__(self, path: str, row: T.StructType, keys: list[str], buckets: int = 16, fold_after: int = 8):
+        self.row = row
+        self.keys = keys
+        self.table = KeyedTable(path, keys, ["lsn", "offset"], buckets, fold_after)
+
+    def __call__(self, changes: DataFrame, batch_id: int) -> None:
+        self.table(cdc.last_changes(changes, self.row, self.keys), batch_id)
+
+    def read(self, spark: SparkSession, at: dict | None = None) -> DataFrame:
+        """The rows that exist, without those whose last change is a delete."""
+        return cdc.live_rows(self.table.read(spark, at))
+
+
 class DeadLetterSplit:
     """``foreachBatch`` function: good messages to one sink, failed ones as dead letters.
 

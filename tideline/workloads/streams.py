@@ -31,7 +31,7 @@ from tideline.sinks.writers import UpsertTable, archive_columns, batch_folder, f
 from tideline.sources.tables import table, table_stream
 from tideline.streaming.progress import ProgressLog
 from tideline.streaming.queries import StreamRunner
-from tideline.streaming.routing import CooldownSink, DeadLetterSplit, LateRouter
+from tideline.streaming.routing import ChangeTable, CooldownSink, DeadLetterSplit, LateRouter
 from tideline.workloads.behaviour import ALERT_COOLDOWN_SQL
 from tideline.workloads.changes import ERROR_SQL, ORDER_ROW, ORDER_STATE_SQL, TOPIC_SQL
 from tideline.workloads.inputs import CLICKSTREAM, change_log, domain_messages, flawed_messages
@@ -212,30 +212,17 @@ def stream_alert_cooldown(spark, folder):
 
 @query("stream_cdc_state", ORDER_STATE_SQL)
 def stream_cdc_state(spark, folder):
-    """The state table is merged with the changes of every batch."""
-
-    states: list[str] = []
+    """The state table takes the changes of every batch into the buckets of their keys."""
 
     def start(runner: StreamRunner, path: str) -> None:
-        def handle(batch: DataFrame, batch_id: int) -> None:
-            # A batch reads its predecessor's state and writes its own, so a replay changes nothing.
-            if batch_id == 0:
-                state = cdc.last_changes(batch, ORDER_ROW, ["id"])
-            else:
-                before = spark.read.parquet(f"{path}/states/{batch_id - 1}")
-                state = cdc.merge_state(before, batch, ORDER_ROW, ["id"])
-            state.write.mode("overwrite").parquet(f"{path}/states/{batch_id}")
-            states.append(f"{path}/states/{batch_id}")
-
-        router = cdc.ChangeRouter().add_handler("orders", handle)
+        router = cdc.ChangeRouter().add_handler("orders", ChangeTable(path, ORDER_ROW, ["id"]))
         runner.foreach_batch(changes, router, "cdc_state", "append")
 
     # A batch per kind of change: inserts, updates, deletes, tombstones.
     orders = table(spark, folder, "orders")
     kind = (F.col("offset") % 10 - 1).cast("int")
     changes = _in_batches(spark, "order-changes", orders, change_log(orders), kind, 4)
-    _run(spark, "cdc_state", start)
-    return cdc.live_rows(spark.read.parquet(states[-1]))
+    return ChangeTable(_run(spark, "cdc_state", start), ORDER_ROW, ["id"]).read(spark)
 
 
 @query(
