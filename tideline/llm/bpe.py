@@ -27,6 +27,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tideline.llm.common import free_name, map_arrow, pieces, ship, written
+from tideline.llm.common import free_name, map_arrow, pieces, ship, utf8_column, written
 from tideline.llm.tokens import model_path
 
 #: Characters of a piece that is encoded at once.
@@ -46,10 +47,13 @@ FAN = 8
 #: Tokens of each side in the first window of a join.
 WINDOW = 24
 
+#: Bytes of text encoded or decoded before the result leaves the worker.
+_CHUNK = 1 << 20
+
 # Letters, digits and spaces below this are the same in all versions of Unicode, so that the
 # two libraries cut a text of them alike; other texts go to the one that defines the result.
 _LATER = re.compile("[^\x00-ɏ]")
-_codecs: dict[str, Codec] = {}
+_codecs: dict[tuple, Decoder] = {}
 
 
 def byte_letters() -> dict[str, int]:
@@ -59,14 +63,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-class Codec:
-    """Encoding and decoding under one public byte-level BPE file."""
+class Decoder:
+    """The bytes of each token of one public byte-level BPE file, and the texts of ids."""
 
     def __init__(self, name: str):
-        import public_tokenizers
-        import tiktoken
-        from tokenizers import Tokenizer
-
         with open(model_path(name), encoding="utf-8") as file:
             spec = json.load(file)
         model, before = spec["model"], spec["pre_tokenizer"] or {}
@@ -78,21 +78,59 @@ class Codec:
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError(f"{name}: special tokens that take in their surroundings")
         letters, vocabulary = byte_letters(), model["vocab"]
-        merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
-        if merged != sorted(merged):
-            raise ValueError(f"{name}: ids are not in the order of the merges")
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        ranks = {bytes(map(letters.__getitem__, t)): i for t, i in vocabulary.items() if t not in special}
-        self.table = [b""] * (max([*ranks.values(), *special.values()]) + 1)
-        for token, i in [*ranks.items(), *((t.encode(), i) for t, i in special.items())]:
-            self.table[i] = token
+        last = -1
+        for m in model["merges"]:
+            merged = vocabulary["".join(m.split(" ") if isinstance(m, str) else m)]
+            if merged < last:
+                raise ValueError(f"{name}: ids are not in the order of the merges")
+            last = merged
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.table = [b""] * (max([*vocabulary.values(), *self.special.values()]) + 1)
+        for token, i in vocabulary.items():
+            if token not in self.special:
+                self.table[i] = bytes(map(letters.__getitem__, token))
+        for token, i in self.special.items():
+            self.table[i] = token.encode()
         self.sizes = np.array([len(t) for t in self.table], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.flat = np.frombuffer(b"".join(self.table), np.uint8)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The texts of rows of ids; bytes that are no UTF-8 become replacement characters."""
+        ids = ids[offsets[0] : offsets[-1]].astype(np.int64)
+        sizes = self.sizes[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.flat[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(int(ends[-1]))]
+        bounds = ends[offsets - offsets[0]]
+        texts = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data.tobytes()))
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            raw = data.tobytes()
+            texts = pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(bounds[:-1], bounds[1:])], pa.large_string())
+        return texts
+
+
+class Codec(Decoder):
+    """Encoding and decoding under one public byte-level BPE file."""
+
+    def __init__(self, name: str):
+        import public_tokenizers
+        import tiktoken
+
+        super().__init__(name)
+        self.name = name
         # What follows a token by less than this may still change it.
-        self.margin = max([3, *(len(t.encode()) for t in special)]) + 4
-        self.exact = Tokenizer.from_file(model_path(name))
-        self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.margin = max([3, *(len(t.encode()) for t in self.special)]) + 4
+        ranks = {t: i for i, t in enumerate(self.table) if t and i not in self.special.values()}
+        self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+
+    @cached_property
+    def exact(self):
+        """The library that defines the result."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(model_path(self.name))
 
     def leaf(self, text: str) -> np.ndarray:
         """The ids of a text, by a library."""
@@ -156,21 +194,6 @@ class Codec:
         both = [k for k in one if k in other and k[1] + len(self.table[k[0]]) <= limit]
         return (one[both[-1 if last else 0]], other[both[-1 if last else 0]]) if both else None
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
-        """The texts of rows of ids; bytes that are no UTF-8 become replacement characters."""
-        ids = ids[offsets[0] : offsets[-1]].astype(np.int64)
-        sizes = self.sizes[ids]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        data = self.flat[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(int(ends[-1]))]
-        bounds = ends[offsets - offsets[0]]
-        texts = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data.tobytes()))
-        try:
-            texts.validate(full=True)
-        except pa.ArrowInvalid:
-            raw = data.tobytes()
-            texts = pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(bounds[:-1], bounds[1:])], pa.large_string())
-        return texts
-
 
 def halves(n: int, most: int) -> list[tuple[int, int]]:
     """``n`` characters cut in halves until none has more than ``most``."""
@@ -181,16 +204,16 @@ def halves(n: int, most: int) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1], cuts[1:]))
 
 
-def codec(name: str) -> Codec:
+def codec(name: str, kind: type[Decoder] = Codec) -> Decoder:
     """The codec of ``name``, one per worker."""
-    if name not in _codecs:
-        _codecs[name] = Codec(name)
-    return _codecs[name]
+    if (name, kind) not in _codecs:
+        _codecs[name, kind] = kind(name)
+    return _codecs[name, kind]
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, rows)])
-    values = np.concatenate([np.zeros(0, np.uint32), *rows]).astype(np.int32)
+    values = np.concatenate([np.zeros(0, np.uint32), *rows]).view(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
 
 
@@ -199,7 +222,9 @@ def _encoded(name: str):
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(name)
         for batch in batches:
-            yield _lists([own.encode(t) for t in batch.to_pylist()])
+            # A piece of a batch at a time: what is made of it leaves before the next.
+            for a, b in pieces(utf8_column(batch)[1], _CHUNK):
+                yield _lists([own.encode(t) for t in batch[a:b].to_pylist()])
 
     return encoded
 
@@ -211,15 +236,10 @@ def _joined(name: str, kind: str, out: str):
     def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(name)
         for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                parts = [r["piece"] for r in row]
-                nodes = [own.encode(p) if kind == "text" else np.frombuffer(p, "<u4") for p in parts]
-                rows.append(own.tree(nodes))
-            if out == "binary":
-                yield pa.array([r.astype("<u4").tobytes() for r in rows], pa.binary())
-            else:
-                yield _lists(rows)
+            for k in range(len(batch)):
+                parts = [r["piece"] for r in batch[k].as_py()]
+                row = own.tree([own.encode(p) if kind == "text" else np.frombuffer(p, "<u4") for p in parts])
+                yield pa.array([row.astype("<u4").tobytes()], pa.binary()) if out == "binary" else _lists([row])
 
     return joined
 
@@ -290,13 +310,12 @@ def with_text(rows: DataFrame, name: str = "byte_bpe_50k.json", ids: str = "ids"
 
     @arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = codec(name)
+        own = codec(name, Decoder)
         for batch in batches:
             if batch.null_count:
                 batch = pa.array([r or [] for r in batch.to_pylist()], pa.list_(pa.int32()))
-            offsets = np.asarray(batch.offsets).astype(np.int64)
-            values = np.asarray(batch.values)
-            parts = [own.decode(values, offsets[a : b + 1]).cast(pa.string()) for a, b in pieces(offsets, 1 << 20)]
-            yield pa.concat_arrays([pa.array([], pa.string()), *parts])
+            offsets, values = np.asarray(batch.offsets).astype(np.int64), np.asarray(batch.values)
+            for a, b in pieces(offsets, _CHUNK // 4):
+                yield own.decode(values, offsets[a : b + 1]).cast(pa.string())
 
     return rows.withColumn(text, decoded(F.col(f"`{ids}`")))
