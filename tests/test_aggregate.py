@@ -147,3 +147,21 @@ def test_average_of_large_numbers_is_the_same_with_panes(spark):
         sorted(map(str, flatten_window(aggregate(df, spec, time="at", panes=panes)).collect())) for panes in (False, True)
     )
     assert plain == paned and len(plain) == 9
+
+
+@pytest.mark.parametrize("panes", [True, False])
+@pytest.mark.parametrize("amounts, total", [((2**63 - 1, 1, 5), None), ((2**63 - 1, 1, -5), 2**63 - 5), ((-(2**63), None, 0), -(2**63)), ((None, None, None), None)])
+def test_try_sum_is_null_only_for_totals_out_of_range(spark, panes, amounts, total):
+    data = [(T0, amounts[0]), (T0 + timedelta(seconds=5), amounts[1]), (T0 + timedelta(minutes=1), amounts[2])]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, amount long")
+    got = run(df, "sum", WindowSpec("sliding", "5 minutes", "1 minute"), field="amount", try_sum=True, panes=panes)
+    both = got.filter(F.col("window_start") == T0).first()
+    assert both["total"] == total and got.schema["total"].dataType.typeName() == "long"
+
+
+def test_try_sum_of_decimals(spark):
+    big = "9" * 38
+    df = spark.createDataFrame([(T0, big), (T0, big), (T0 + timedelta(minutes=1), "5")], "ts timestamp_ntz, text string")
+    df = df.withColumn("amount", F.col("text").cast("decimal(38,0)"))
+    got = run(df, "sum", WindowSpec("sliding", "5 minutes", "1 minute"), field="amount", try_sum=True)
+    assert got.filter(F.col("window_start") == T0).first()["total"] is None

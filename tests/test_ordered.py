@@ -8,6 +8,7 @@ from tideline.operators.alerts import change_since_previous, cooldown, fill_abse
 from tideline.operators.late import flag_late
 from tideline.operators.ranking import deduplicate
 from tideline.operators.joins import first_follow_up, without_follow_up
+from tideline.operators.scan import carry_forward, in_runs
 from tideline.operators.sessions import funnel, sessionize
 
 T0 = datetime(2024, 3, 1)
@@ -23,7 +24,7 @@ def frame(spark, marks, schema="id long, user string, ts timestamp_ntz"):
     return spark.createDataFrame([(i, u, at(s)) for i, (u, s) in enumerate(marks)], schema)
 
 
-@RELAXED
+@settings(RELAXED, max_examples=3)
 @given(marks=MARKS)
 def test_cooldown_is_greedy(spark, marks):
     marks = sorted(set(marks), key=lambda m: m[1])
@@ -33,14 +34,56 @@ def test_cooldown_is_greedy(spark, marks):
             expected.add((user, at(s)))
             last[user] = s
     df = frame(spark, marks).withColumnsRenamed({"user": "alert", "ts": "alert_time"})
-    got = cooldown(df, "100 seconds", ["id"]).collect()
-    assert {(r.alert, r.alert_time) for r in got} == expected
-    assert len(got) == len(expected)
+    for small in (0, 1000):
+        got = cooldown(df, "100 seconds", ["id"], small).collect()
+        assert {(r.alert, r.alert_time) for r in got} == expected
+        assert len(got) == len(expected)
 
 
 def test_cooldown_ties_keep_the_first(spark):
     df = frame(spark, [("a", 5), ("a", 5), ("a", 6)]).withColumnsRenamed({"user": "alert", "ts": "alert_time"})
-    assert [r.id for r in cooldown(df, "1 minute", ["id"]).collect()] == [0]
+    nulls = spark.createDataFrame([(7, None, at(0)), (8, "a", None)], df.schema)
+    for small in (0, 1000):
+        assert [r.id for r in cooldown(df.union(nulls), "1 minute", ["id"], small).collect()] == [0]
+        assert cooldown(df.limit(0), "1 minute", ["id"], small).count() == 0
+
+
+def test_cooldown_in_few_dense_hours_has_no_large_task(spark):
+    """Hits every millisecond of one alert, with gaps: against the chain followed one by one."""
+    df = spark.range(40_000).select(F.col("id"), F.lit("a").alias("alert"), F.expr("timestamp_millis(id * 7 + (id div 9000) * 5000000)").alias("alert_time"))
+    fired = cooldown(df, "1 second", ["id"], small=0)
+    assert "Groups" not in fired._jdf.queryExecution().toString()
+    expected, last = [], None
+    for i in range(40_000):
+        t = i * 7 + (i // 9000) * 5_000_000
+        if last is None or t - last >= 1000:
+            expected.append(i)
+            last = t
+    assert sorted(r.id for r in fired.collect()) == expected
+
+
+def carried(rows, runs, spark):
+    df = spark.createDataFrame(rows, "k string, t long, v long")
+    got = carry_forward(df, ["k"], [F.asc("t"), F.asc("v")], "v", "last", runs).collect()
+    return sorted((str(r.k), r.t, r.last) for r in got)
+
+
+def test_values_carry_over_runs_and_null_keys(spark):
+    rows = [(k, t, t if t % 50 == 3 else None) for k in ("a", "b", None) for t in range(300 if k == "a" else 7)]
+    expected = []
+    for k in ("a", "b", None):
+        last = None
+        for _, t, v in [r for r in rows if r[0] == k]:
+            last = v if v is not None else last
+            expected.append((str(k), t, last))
+    for runs in (1, 4, 40, None):
+        assert carried(rows, runs, spark) == sorted(expected)
+
+
+def test_a_hot_key_fills_runs_of_equal_size(spark):
+    rows = spark.range(90_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    sizes = [r["count"] for r in in_runs(rows, ["k"], [F.asc("t")], 12).groupBy("run__").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 3 * sorted(sizes)[6]
 
 
 @RELAXED

@@ -19,6 +19,7 @@ from tideline.plans.spec import AggregationSpec, SpecError, WindowSpec, resolve_
 # row per pane and group; distinct values may hardly shrink, so they need many more copies.
 PANE_RATIO = 3
 PANE_RATIO_DISTINCT = 12
+_WHOLE = {"byte", "short", "integer", "long"}
 
 
 def window_column(spec: WindowSpec, time: str) -> Column:
@@ -47,8 +48,9 @@ def aggregate(
     """Apply one spec.  Result: ``window``, group columns, and the spec's measure.
 
     ``output_mode`` only matters for exact distinct counts on a stream, ``approximate`` is
-    the relative error of an approximate one, ``try_sum`` turns a sum that overflows into
-    null instead of an error, and ``panes`` forces pane pre-aggregation on or off.
+    the relative error of an approximate one, ``try_sum`` turns a sum of whole numbers that is
+    out of their range into null instead of an error, and ``panes`` forces pane pre-aggregation on
+    or off, which changes no result.
     """
     columns = df.columns
 
@@ -73,9 +75,24 @@ def aggregate(
     if spec.kind == "count_distinct":
         return _distinct(df, spec, time, keys, field, output_mode, panes)
 
-    total = F.try_sum if try_sum else F.sum
+    whole = try_sum and spec.kind == "sum" and df.schema[field].dataType.typeName() in _WHOLE
+    if whole:
+        # Added up exactly, so that only a total out of range is null, in whatever order and
+        # parts it is taken.
+        df = df.withColumn("v__", F.col(field).cast("decimal(20,0)"))
+        field = "v__"
+
+    elif try_sum and spec.kind == "sum":
+        panes = False  # an overflow is only seen where the rows themselves are added
+
+    def total(column: str) -> Column:
+        return F.try_sum(column) if try_sum and not whole else F.sum(column)
+
+    def last(column: Column) -> Column:
+        return column.try_cast("bigint") if whole else column
+
     if not panes or spec.window.kind == "tumbling":
-        measure = {"count": lambda: F.count("*"), "sum": lambda: total(field), "avg": lambda: F.avg(field)}
+        measure = {"count": lambda: F.count("*"), "sum": lambda: last(total(field)), "avg": lambda: F.avg(field)}
         return df.groupBy(window_column(spec.window, time), *keys).agg(measure[spec.kind]().alias(spec.measure))
 
     partial = {
@@ -86,7 +103,7 @@ def aggregate(
     }[spec.kind]()
     final = {
         "count": lambda: F.sum("n__"),
-        "sum": lambda: total("s__"),
+        "sum": lambda: last(total("s__")),
         "avg": lambda: F.try_divide(F.sum("s__"), F.sum("n__")),
     }[spec.kind]()
     pane = F.window(time, common_pane(spec.window.size, spec.window.slide)).alias("pane__")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -12,7 +16,7 @@ from tideline.operators.late import interval
 from tideline.operators.ordered import join_null_safe, lag_over_time
 from tideline.operators.scan import carry_forward
 from tideline.plans.spec import AggregationSpec, AlertSpec, resolve_path
-from tideline.session import discard, scratch_path, stored
+from tideline.session import discard, scratch_path, ship, stored
 
 
 def metric_alerts(aggregated: DataFrame, alert: AlertSpec, spec: AggregationSpec, time: str = "window_end") -> DataFrame:
@@ -45,7 +49,53 @@ def _next_firing(times: DataFrame, period: int) -> DataFrame:
     return mixed.where("side = 1").select("alert", F.col("since").alias("t"), "next")
 
 
-def cooldown(alerts: DataFrame, period: str, ties: list[str]) -> DataFrame:
+# The edges that may enter blocks of twice the width: those of the first half, and that of the
+# least time of the second.  An edge from the first half into the second goes on from there.
+_LEVEL = """
+WITH e AS (SELECT alert, t, next, (t - {lo}L) div {width}L AS block FROM {edges}),
+     least AS (SELECT alert, min(t) AS t FROM e WHERE block % 2 = 1 GROUP BY alert, block),
+     l AS (SELECT * FROM e WHERE block % 2 = 0 UNION ALL SELECT e.* FROM e LEFT SEMI JOIN least USING (alert, t))
+SELECT l.alert, l.t, if(r.block IS NOT NULL, r.next, l.next) AS next
+FROM l LEFT JOIN e r ON r.alert = l.alert AND r.t = l.next AND r.block = l.block + 1 AND l.block % 2 = 0
+"""
+# The entries of blocks of half the width: each entry, and where it leads from the first half.
+_ENTERED = """
+SELECT n.alert, explode(if(e.next IS NOT NULL AND (e.t - {lo}L) div {width}L % 2 = 0
+                           AND (e.next - {lo}L) div {width}L = (e.t - {lo}L) div {width}L + 1,
+                        array(e.t, e.next), array(n.t))) AS t
+FROM {entered} n JOIN {edges} e ON e.alert = n.alert AND e.t = n.t
+"""
+
+
+#: Times (of 16 bytes or little more) whose chains one task follows.
+SMALL = 1_000_000
+
+
+def _followed(times: DataFrame, period: int) -> DataFrame:
+    """The firings of times that fit one task, chain by chain."""
+    ship(times.sparkSession)
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for r in batches]
+        if not rows:
+            return
+        table = pa.Table.from_batches(rows).sort_by([("alert", "ascending"), ("t", "ascending")])
+        alerts, times = table.column("alert").to_pylist(), table.column("t").to_numpy()
+        fired, first = [], 0
+        for end in [k for k in range(1, len(alerts) + 1) if k == len(alerts) or alerts[k] != alerts[k - 1]]:
+            own = times[first:end]
+            after = np.searchsorted(own, own + period).tolist()
+            at = 0
+            while at < len(own):
+                fired.append(first + at)
+                at = after[at]
+            first = end
+        yield from table.take(pa.array(fired, pa.int64())).combine_chunks().to_batches()
+
+    return times.coalesce(1).mapInArrow(follow, times.schema)
+
+
+def cooldown(alerts: DataFrame, period: str, ties: list[str], small: int = SMALL) -> DataFrame:
     """Suppress an alert until ``period`` has passed since it last *fired* (event time).
 
     Input needs ``alert`` and ``alert_time``; of rows with equal time the first by ``ties``
@@ -60,6 +110,7 @@ def cooldown(alerts: DataFrame, period: str, ties: list[str]) -> DataFrame:
     below.  Back down the levels, the entry of a block enters its first half, and the edge of
     the first half enters the second: in blocks of one period the entries are the firings.
 
+    At most ``small`` distinct times are followed in one task instead, with the same result.
     The levels and the result are stored; all but the result is removed again.
     """
     spark = alerts.sparkSession
@@ -75,37 +126,30 @@ def cooldown(alerts: DataFrame, period: str, ties: list[str]) -> DataFrame:
     known = alerts.filter("alert IS NOT NULL AND alert_time IS NOT NULL")
     distinct = known.withColumn("rn__", F.row_number().over(first)).filter("rn__ = 1").drop("rn__")
     distinct = kept(distinct.withColumn("t", _micros_of(alerts, "alert_time")), "alerts")
-    span = distinct.agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
-    if span.lo is None:
-        return distinct.drop("t")
-    height = ((span.hi - span.lo) // micros).bit_length()  # blocks of 2 ** height periods hold all
+    span = distinct.agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.count("*").alias("n")).first()
+    times = distinct.select("alert", "t")
+    entered = _followed(times, micros) if span.n <= small else _doubled(times, micros, span.lo, span.hi, kept)
+    fired = stored(distinct.join(entered, ["alert", "t"], "left_semi").drop("t"), "cooldown-fired")
+    discard(spark, folder)
+    return fired
 
-    def block(time: str, level: int) -> Column:
-        return F.expr(f"({time} - {span.lo}L) div {micros << level}L")
 
-    levels = [kept(_next_firing(distinct.select("alert", "t"), micros), "level_0")]
-    for level in range(height):
-        edges = levels[-1].withColumn("block", block("t", level))
-        # The least time of a second half may be its parent's entry.
-        seconds = edges.where("block % 2 = 1").groupBy("alert", "block").agg(F.min("t").alias("t"))
-        entries = edges.where("block % 2 = 0").unionByName(edges.join(seconds, ["alert", "t"], "left_semi"))
-        onward = edges.where("block % 2 = 1").select("alert", F.col("t").alias("next"), F.col("next").alias("after"), F.col("block").alias("half"))
-        # Only an edge into the other half goes on from there.
-        inside = (F.col("l.alert") == F.col("r.alert")) & (F.col("l.next") == F.col("r.next")) & (F.col("l.block") + 1 == F.col("r.half"))
-        joined = entries.alias("l").join(onward.alias("r"), inside, "left")
-        reach = F.when(F.col("r.half").isNotNull(), F.col("r.after")).otherwise(F.col("l.next"))
-        levels.append(kept(joined.select("l.alert", "l.t", reach.alias("next")), f"level_{level + 1}"))
+def _doubled(times: DataFrame, micros: int, lo: int, hi: int, kept: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The firings, by the edges of blocks of more and more periods and back."""
+    spark = times.sparkSession
+    height = ((hi - lo) // micros).bit_length()  # blocks of 2 ** height periods hold all
 
+    levels = [kept(_next_firing(times, micros), "level_0")]
+    for level in range(height):
+        above = spark.sql(_LEVEL.format(edges="{edges}", lo=lo, width=micros << level), edges=levels[-1])
+        levels.append(kept(above, f"level_{level + 1}"))
     entered = levels[-1].groupBy("alert").agg(F.min("t").alias("t"))
     for level in reversed(range(height)):
-        edges = entered.join(levels[level], ["alert", "t"])
-        enters = (block("t", level) % 2 == 0) & (block("next", level) == block("t", level) + 1)
-        entered = entered.unionByName(edges.where(enters).select("alert", F.col("next").alias("t")))
-        if level % 4 == 0:  # a plan of a few joins at a time
+        below = _ENTERED.format(entered="{entered}", edges="{edges}", lo=lo, width=micros << level)
+        entered = spark.sql(below, entered=entered, edges=levels[level])
+        if level and level % 8 == 0:  # a plan of a few joins at a time
             entered = kept(entered, f"entered_{level}")
-    fired = stored(distinct.join(entered, ["alert", "t"], "left_semi").drop("t"), "cooldown-fired")
-    discard(spark, folder)
-    return fired
+    return entered
 
 
 def _micros_of(df: DataFrame, name: str) -> Column:

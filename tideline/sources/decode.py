@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import event_type_of, strip_registry_header, topic_for
 from tideline.functions.times import event_time
-from tideline.plans.schema import TIMESTAMP, avro_json, fields_of, required_fields, struct_type
+from tideline.plans.schema import TIMESTAMP, avro_json, fields_of, struct_type
 from tideline.plans.spec import Domain, EventType
 
 CORRUPT = "_corrupt_record"
@@ -45,8 +47,9 @@ def decode_json(messages: DataFrame, event_type: EventType, entity_key: str) ->
     return _flatten(messages.filter(F.col("topic").endswith("." + event_type.name)), schema)
 
 
-def _flatten(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    parsed = messages.select(event_type_of("topic").alias(EVENT_TYPE), once(json_record(F.col("value"), schema), "e"))
+def _flatten(messages: DataFrame, schema: T.StructType, record: Column | None = None) -> DataFrame:
+    record = json_record(F.col("value"), schema) if record is None else record
+    parsed = messages.select(event_type_of("topic").alias(EVENT_TYPE), once(record, "e"))
     good = parsed.filter(F.col(f"e.{CORRUPT}").isNull() & F.col(f"e.{TIMESTAMP}").isNotNull())
     return _with_event_time(good.select(EVENT_TYPE, *[F.col(f"e.{n}").alias(n) for n in schema.names]))
 
@@ -84,19 +87,48 @@ def decode_types(
 ) -> DataFrame:
     """Several event types as one table; a field a type lacks is null.
 
-    One parse over the union of the types' fields, so a stream needs a single source.
-    ``fields`` restricts the parse to the columns a query reads; ``timestamp`` always stays.
+    Every message is parsed once, by the fields of its own type, so a stream needs a single
+    source and a field that only another type declares costs no event.  ``fields`` restricts the
+    parse to the columns a query reads; ``timestamp`` always stays.
     """
     found: dict[str, T.StructField] = {}
+    own: dict[str, T.StructType] = {}
     for name in event_types:
-        for f in struct_type(domain.event_type(name), domain.entity_key).fields:
-            if fields is not None and f.name not in fields and f.name != TIMESTAMP:
-                continue
+        whole = struct_type(domain.event_type(name), domain.entity_key).fields
+        own[name] = T.StructType([f for f in whole if fields is None or f.name in fields or f.name == TIMESTAMP])
+        for f in own[name].fields:
             if f.name in found and found[f.name].dataType != f.dataType:
                 raise ValueError(f"{f.name} has different types in {event_types}")
             found.setdefault(f.name, f)
     wanted = messages.filter(event_type_of("topic").isin(event_types))
-    return _flatten(wanted, T.StructType(list(found.values())))
+    if all(set(schema.names) == set(found) for schema in own.values()):
+        return _flatten(wanted, T.StructType(list(found.values())))
+    union = [*found.values(), T.StructField(CORRUPT, T.StringType())]
+
+    def filled(record: Column, schema: T.StructType) -> Column:
+        has = {*schema.names, CORRUPT}
+        return F.struct(*[(record[f.name] if f.name in has else F.lit(None).cast(f.dataType)).alias(f.name) for f in union])
+
+    record = by_type(own, lambda schema: bound(json_record(F.col("value"), schema), lambda e: filled(e, schema)))
+    return _flatten(wanted, T.StructType(list(found.values())), record)
+
+
+def bound(column: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a costly column, which is worked out once however often it is used."""
+    return F.transform(F.array(column), use)[0]
+
+
+def by_type(schemas: dict[str, T.StructType], use: Callable[[T.StructType], Column]) -> Column:
+    """What ``use`` makes of the schema of a message's own type; equal schemas share a branch."""
+    types: dict[T.StructType, list[str]] = {}
+    for name, schema in schemas.items():
+        types.setdefault(schema.json(), []).append(name)
+    result = None
+    for names in types.values():
+        here = event_type_of("topic").isin(names)
+        made = use(schemas[names[0]])
+        result = F.when(here, made) if result is None else result.when(here, made)
+    return result
 
 
 def union_types(tables: dict[str, DataFrame]) -> DataFrame:
@@ -107,44 +139,34 @@ def union_types(tables: dict[str, DataFrame]) -> DataFrame:
     return merged
 
 
-def _all_fields(domain: Domain) -> T.StructType:
-    """The fields of all types of a domain; one that types declare differently is text."""
-    found: dict[str, T.DataType] = {}
-    for schema in (struct_type(t, domain.entity_key) for t in domain.event_types):
-        for f in schema.fields:
-            same = found.setdefault(f.name, f.dataType) == f.dataType
-            found[f.name] = f.dataType if same else T.StringType()
-    return T.StructType([T.StructField(name, kind) for name, kind in found.items()])
-
-
 def checked(messages: DataFrame, domain: Domain) -> DataFrame:
     """Every message with ``error_type`` / ``error_message``; both are null on good rows.
 
     Errors are, in order: a type the domain does not declare, an unparsable payload, a value
-    that does not fit its declared field (of any of the domain's types), a missing required
-    field.  The parse is the one decoding does, so whatever is good here is decoded whole.
-    One pass, no shuffle.
+    that does not fit its field as the message's own type declares it, a missing required field.
+    The parse is the one decoding does, so whatever is good here is decoded whole.  One parse of
+    each message, no shuffle.
     """
-    known = [t.name for t in domain.event_types]
     type_col = F.col(EVENT_TYPE)
-    required = {t.name: required_fields(t, domain.entity_key) for t in domain.event_types}
-    schema = _all_fields(domain)
-    missing = None
-    for name, fields in required.items():
-        listed = F.filter(
-            F.array(*[F.when(F.col(f"e.{f}").isNull(), F.lit(f)) for f in fields]), lambda f: f.isNotNull()
-        )
-        missing = F.when(type_col == name, listed) if missing is None else missing.when(type_col == name, listed)
-    unknown = ~F.coalesce(type_col.isin(known), F.lit(False))
-    flawed = F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull()
+    schemas = {t.name: struct_type(t, domain.entity_key) for t in domain.event_types}
+
+    def found(schema: T.StructType) -> Column:
+        needed = [f.name for f in schema.fields if not f.nullable]
+
+        def flaws(e: Column) -> Column:
+            missing = F.filter(F.array(*[F.when(e[f].isNull(), F.lit(f)) for f in needed]), lambda f: f.isNotNull())
+            return F.struct((e.isNull() | e[CORRUPT].isNotNull()).alias("flawed"), missing.alias("missing"))
+
+        return bound(json_record(F.col("value"), schema), flaws)
+
+    unknown = F.col("e").isNull()
     # A mistyped value spoils a record too, but leaves it a JSON object.
     is_object = F.json_object_keys(F.col("value").cast("string")).isNotNull()
-    corrupt, mistyped = flawed & ~is_object, flawed & is_object
-    lacking = F.size("missing") > 0
+    corrupt, mistyped = F.col("e.flawed") & ~is_object, F.col("e.flawed") & is_object
+    lacking = F.size("e.missing") > 0
     return (
         messages.withColumn(EVENT_TYPE, event_type_of("topic"))
-        .select("*", once(json_record(F.col("value"), schema), "e"))
-        .withColumn("missing", missing)
+        .select("*", once(by_type(schemas, found), "e"))
         .withColumn(
             "error_type",
             F.when(unknown, "UnknownEventType")
@@ -157,9 +179,9 @@ def checked(messages: DataFrame, domain: Domain) -> DataFrame:
             F.when(unknown, F.concat(F.lit("Unknown event type: "), F.coalesce(type_col, F.lit("null"))))
             .when(corrupt, F.lit("Payload is not a JSON object"))
             .when(mistyped, F.lit("A value does not have its field's type"))
-            .when(lacking, F.concat(F.lit("Missing required fields: "), F.array_join("missing", ", "))),
+            .when(lacking, F.concat(F.lit("Missing required fields: "), F.array_join("e.missing", ", "))),
         )
-        .drop("e", "missing")
+        .drop("e")
     )
 
 

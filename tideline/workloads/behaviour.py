@@ -187,6 +187,12 @@ def alert_cooldown(spark, folder):
     return cooldown(_all_alerts(spark, folder), "6 hours", ["event_id"])
 
 
+@query("alert_cooldown_doubling", ALERT_COOLDOWN_SQL)
+def alert_cooldown_doubling(spark, folder):
+    """The same by pointer doubling, the way of alerts with more times than one task follows."""
+    return cooldown(_all_alerts(spark, folder), "6 hours", ["event_id"], small=0)
+
+
 @query(
     "metric_alert_cooldown",
     f"""WITH RECURSIVE w AS (SELECT make_timestamp((epoch_us(ts) // 60000000) * 60000000 + 60000000) AS t, event_type, count(*) AS count

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.scalars import to_cents
 from tideline.operators import cdc, dlq
 from tideline.operators.aggregate import flatten_window
 from tideline.plans.jobs import AggregationJob
 from tideline.plans.spec import AggregationSpec, WindowSpec
-from tideline.sources.decode import checked
+from tideline.sources.decode import checked, decode_types
 from tideline.sources.messages import subscribe
 from tideline.sources.tables import table
 from tideline.workloads.inputs import CLICKSTREAM, change_log, customer_log, event_messages, events, flawed_messages
@@ -306,3 +307,33 @@ def job_compound_filter(spark, folder):
     messages = event_messages(events(spark, folder))
     result = flatten_window(AggregationJob(COUNTED).result(messages, "big_purchases", ["purchase"]))
     return result.select("window_start", "count")
+
+
+# ``value`` is a number to all types but clicks, to which it is a text.
+CONFLICTING = replace(
+    COUNTED,
+    event_types=tuple(
+        replace(t, attributes=("value",), metrics=()) if t.name == "click" else t for t in CLICKSTREAM.event_types
+    ),
+)
+_CONFLICT_SQL = """CASE WHEN event_id % 79 = 0 AND event_type <> 'click' THEN 'MistypedField' END"""
+
+
+@query(
+    "job_conflicting_fields",
+    f"""SELECT coalesce({_CONFLICT_SQL}, 'counted as ' || event_type) AS went, count(*) AS messages,
+               CAST(sum(CASE WHEN {_CONFLICT_SQL} IS NULL AND event_type <> 'click' THEN round(value * 100) ELSE 0 END) AS BIGINT) AS cents
+        FROM events GROUP BY ALL""",
+)
+def job_conflicting_fields(spark, folder):
+    """A field that two types declare differently is judged and decoded by each message's own type."""
+    sent = event_messages(events(spark, folder))
+    text = F.col("value").cast("string")
+    text = F.when(F.col("offset") % 79 == 0, F.regexp_replace(text, r'"value":[^,}]+', '"value":"much"')).otherwise(text)
+    good, bad = dlq.split(checked(sent.withColumn("value", text.cast("binary")), CONFLICTING))
+    clicks = decode_types(good, CONFLICTING, ["click"]).select("event_type", F.lit(0).cast("long").alias("cents"))
+    others = [t.name for t in CONFLICTING.event_types if t.name != "click"]
+    rows = clicks.unionByName(decode_types(good, CONFLICTING, others).select("event_type", to_cents("value").alias("cents")))
+    counted = rows.select(F.concat(F.lit("counted as "), "event_type").alias("went"), "cents")
+    letters = dlq.dead_letters(bad, failed_at=F.lit(0)).select(F.col("error_type").alias("went"), F.lit(0).cast("long").alias("cents"))
+    return counted.unionByName(letters).groupBy("went").agg(F.count("*").alias("messages"), F.sum("cents").alias("cents"))

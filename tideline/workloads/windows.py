@@ -83,6 +83,25 @@ def sliding_sum_cents(spark, folder):
     return _windowed(_with_cents(events(spark, folder)), "sum", window, field="cents", group_by=("event_type",))
 
 
+_HUGE = "CASE WHEN event_id % 97 = 0 THEN 9223372036854775807 WHEN event_id % 89 = 0 THEN -9223372036854775807 ELSE cents END"
+
+
+@query(
+    "sliding_try_sum",
+    f"""SELECT window_start, window_end, event_type, CASE WHEN s BETWEEN -9223372036854775808 AND 9223372036854775807
+               THEN CAST(s AS VARCHAR) END AS total, n AS events
+        FROM ({sliding_sql("1 day", "1 hour", f"sum(CAST({_HUGE} AS HUGEINT)) AS s, count(*) AS n", "event_type, ")})""",
+)
+def sliding_try_sum(spark, folder):
+    """Sums of which some are out of range, in a pane or in all panes of a window: null, in whatever way they are added."""
+    window = WindowSpec("sliding", "1 day", "1 hour")
+    df = _with_cents(events(spark, folder)).withColumn("amount", F.expr(_HUGE.replace("9223372036854775807", "9223372036854775807L")))
+    spec = AggregationSpec("q", "sum", window, field="amount", group_by=("event_type",))
+    totals = flatten_window(aggregate(df, spec, time="ts", try_sum=True)).withColumn("total", F.col("total").cast("string"))
+    counts = _windowed(df, "count", window, group_by=("event_type",)).withColumnRenamed("count", "events")
+    return totals.join(counts, ["window_start", "window_end", "event_type"])
+
+
 @query(
     "sliding_avg",
     sliding_sql("1 hour", "15 minutes", "round(avg(cents), 6) AS average", "user_id, "),
