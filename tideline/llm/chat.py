@@ -139,7 +139,7 @@ def canonical(records: DataFrame, record: str = "record", mappings: Sequence[Map
 
     ``turns`` is an array of (role, text); of an unknown layout or a text that is no JSON object
     it is null, so such rows can be told and routed elsewhere.  So is a record of more than 128 MB,
-    which Spark's variant does not hold.
+    which Spark's variant does not hold.  Columns of these names that ``records`` has are replaced.
     """
     name = f"`{record}`"
     rows = records.withColumn("_paths", paths_of(name))
@@ -216,11 +216,11 @@ def conversations_to_records(rows: DataFrame) -> DataFrame:
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
     grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("_turns"))
-    roles = "array_join(transform(_turns, t -> t.role), '\\n')"
+    roles = "transform(_turns, t -> t.role)"
     record = f"""
-    CASE {roles}
-      WHEN 'user\\nassistant' THEN to_json(named_struct('id', string(coalesce(conv_id, 'none')), 'prompt', _turns[0].text, 'response', _turns[1].text))
-      WHEN 'system\\nuser\\nassistant' THEN to_json(named_struct('id', string(coalesce(conv_id, 'none')), 'instruction', _turns[0].text, 'input', _turns[1].text, 'output', _turns[2].text))
+    CASE
+      WHEN {roles} = array('user', 'assistant') THEN to_json(named_struct('id', string(coalesce(conv_id, 'none')), 'prompt', _turns[0].text, 'response', _turns[1].text))
+      WHEN {roles} = array('system', 'user', 'assistant') THEN to_json(named_struct('id', string(coalesce(conv_id, 'none')), 'instruction', _turns[0].text, 'input', _turns[1].text, 'output', _turns[2].text))
       ELSE IF(forall(_turns, t -> t.role IN ('user', 'assistant')),
         to_json(named_struct('id', string(coalesce(conv_id, 'none')), 'conversations', transform(_turns, t -> named_struct('from', IF(t.role = 'user', 'human', 'gpt'), 'value', t.text)))),
         to_json(named_struct('id', string(coalesce(conv_id, 'none')), 'messages', transform(_turns, t -> named_struct('role', t.role, 'content', t.text)))))
@@ -230,6 +230,9 @@ def conversations_to_records(rows: DataFrame) -> DataFrame:
 
 
 def formatted_records(records: DataFrame) -> DataFrame:
-    """``records`` with ``layout, formatted, turns`` (read back from it) and ``loss`` (spans)."""
+    """``records`` with ``layout, formatted, turns`` (read back from it) and ``loss`` (spans).
+
+    Columns of these names that ``records`` has are replaced, others stay.
+    """
     made = canonical(records).withColumn("formatted", formatted("turns"))
     return made.withColumn("turns", parsed("formatted")).withColumn("loss", loss_spans("turns"))

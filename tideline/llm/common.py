@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tideline.session import ship
 from tideline.session import stored as written
 
-__all__ = ["WORD", "free_name", "map_arrow", "pieces", "ship", "utf8_column", "written"]
+__all__ = ["WORD", "free_name", "map_arrow", "pieces", "sampled", "ship", "utf8_column", "written"]
 
 # Words are runs of anything but space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,6 +35,15 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def sampled(hashed: Column, wanted: int, total: int) -> Column:
+    """Whether a row is in a sample of about ``wanted`` of ``total`` rows, by its 64-bit hash.
+
+    The threshold has 40 bits and is never 0, so a sample of a very large table is not empty.
+    """
+    share = min(1.0, wanted / total) if total else 1.0
+    return F.shiftrightunsigned(hashed, 24) < F.lit(math.ceil(share * (1 << 40)))
+
+
 def utf8_column(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column; a null counts as the empty string."""
     if isinstance(array, pa.ChunkedArray):

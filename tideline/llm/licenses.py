@@ -11,6 +11,7 @@ taken is dropped, so "gnu lesser general public license" is not also a general p
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -127,6 +128,45 @@ NOTICES: tuple[tuple[str, str, int, float], ...] = (
 )
 
 
+# Addresses of license texts, "/" and "." being gaps like all others: label, pattern, versions.
+ADDRESSES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
+    ("cc-by-nc-nd", "creativecommons org licen[sc]es by nc nd", ("2", "3", "4")),
+    ("cc-by-nc-sa", "creativecommons org licen[sc]es by nc sa", ("2", "3", "4")),
+    ("cc-by-nc", "creativecommons org licen[sc]es by nc", ("2", "3", "4")),
+    ("cc-by-nd", "creativecommons org licen[sc]es by nd", ("2", "3", "4")),
+    ("cc-by-sa", "creativecommons org licen[sc]es by sa", ("2", "3", "4")),
+    ("cc-by", "creativecommons org licen[sc]es by", ("2", "3", "4")),
+    ("cc0", "creativecommons org publicdomain zero", ("1",)),
+    ("apache", "apache org licen[sc]es licen[sc]e", ("1.1", "2")),
+    ("mit", "(?:opensource org licen[sc]es?|spdx org licen[sc]es|choosealicense com licen[sc]es) mit", ()),
+    ("apache", "(?:opensource org licen[sc]es?|spdx org licen[sc]es|choosealicense com licen[sc]es) apache", ("1.1", "2")),
+    ("bsd-2-clause", "(?:opensource org licen[sc]es?|spdx org licen[sc]es|choosealicense com licen[sc]es) bsd 2 clause", ()),
+    ("bsd-3-clause", "(?:opensource org licen[sc]es?|spdx org licen[sc]es|choosealicense com licen[sc]es) bsd 3 clause", ()),
+    ("isc", "(?:opensource org licen[sc]es?|spdx org licen[sc]es|choosealicense com licen[sc]es) isc", ()),
+    ("gpl", "(?:gnu org licen[sc]es(?: old licen[sc]es)?|opensource org licen[sc]es?|spdx org licen[sc]es|choosealicense com licen[sc]es) gpl", ("2", "3")),
+    ("lgpl", "(?:gnu org licen[sc]es(?: old licen[sc]es)?|opensource org licen[sc]es?|spdx org licen[sc]es|choosealicense com licen[sc]es) lgpl", ("2", "2.1", "3")),
+    ("agpl", "(?:gnu org licen[sc]es|opensource org licen[sc]es?|spdx org licen[sc]es|choosealicense com licen[sc]es) agpl", ("3",)),
+    ("gfdl", "gnu org licen[sc]es fdl", ("1.1", "1.2", "1.3")),
+    ("mpl", "mozilla org(?: en us)? mpl", ("1.1", "2")),
+    ("epl", "eclipse org(?: org)? legal epl v?", ("1", "2")),
+    ("bsl", "boost org licen[sc]e", ("1",)),
+    ("ofl", "(?:scripts sil org ofl|openfontlicen[sc]e org)", ()),
+    ("unlicense", "unlicen[sc]e org", ()),
+    ("wtfpl", "wtfpl net", ()),
+    ("odbl", "opendatacommons org licen[sc]es odbl", ("1",)),
+    ("odc-by", "opendatacommons org licen[sc]es by", ("1",)),
+    ("pddl", "opendatacommons org licen[sc]es pddl", ("1",)),
+)
+# What introduces several licenses at once; those that follow are told apart by their joints.
+LISTS = (
+    re.compile(rb"spdx[\s\-]+licen[sc]e[\s\-]+identifier[\s:=]+([0-9a-z.+\- \t()/]+)"),
+    re.compile(rb"(?:dual|multi|triple)[\s\-]*licen[sc](?:ed|ing)[\s:,]+(?:under|with|as|by)?([0-9a-z.+\-\s()/,\"']{1,200})"),
+)
+_JOINT = re.compile(rb"(?<![0-9a-z])(?:or|and|with)(?![0-9a-z])|[()/,\"']")
+#: A list counts as surely as an identifier does.
+_LISTED = (61, 0.97)
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -201,11 +241,52 @@ def rules() -> tuple[Rule, ...]:
                 numbered = needs + rf"(?: (?:international|version|v))?[\s,\-v]*{number}(?:\+| or later)?"
                 tagged = f"{label}-{version}"
                 made.append(_rule(tagged, pattern.replace("N", numbered), priority + 5, min(0.99, confidence + 0.04)))
+    for label, pattern, versions in ADDRESSES:
+        made.append(_rule(label, pattern, 52, 0.95))
+        for version in versions:
+            made.append(_rule(f"{label}-{version}", f"{pattern} {_number(version)}", 57, 0.98))
     for label, pattern, priority, confidence in NOTICES:
         made.append(_rule(label, pattern, priority, confidence))
     return tuple(made)
 
 
+def _number(version: str) -> str:
+    return re.escape(version).replace(r"\.", r"[._\-]") + (r"(?:[._\-]0)?" if "." not in version else "")
+
+
+@lru_cache(maxsize=1)
+def _names() -> tuple[tuple[re.Pattern, str], ...]:
+    """A pattern for each license as it stands in a list, those with a version first."""
+    made = []
+    for label, name, versions in FAMILIES:
+        for version in versions:
+            ending = rf"(?: (?:public )?licen[sc]e)?(?: (?:version|v))?[\s,\-v]*{_number(version)}(?:\+| only| or later)?(?: licen[sc]e)?"
+            made.append((_compiled(name + ending), f"{label}-{version}"))
+        made.append((_compiled(name + r"(?: (?:public )?licen[sc]e)?"), label))
+    return tuple(made)
+
+
+def listed(low: bytes) -> list[tuple[int, int, int, int, str, float]]:
+    """Detections of the single licenses of SPDX expressions and of dual licenses."""
+    found = []
+    if b"spdx" not in low and b"licens" not in low and b"licenc" not in low:
+        return found
+    for introduction in LISTS:
+        for m in introduction.finditer(low):
+            at = m.start(1)
+            for joint in [*_JOINT.finditer(low, m.start(1), m.end(1)), None]:
+                end = joint.start() if joint else m.end(1)
+                part = low[at:end]
+                lead = len(part) - len(part.lstrip())
+                lead += 4 if part[lead : lead + 4] == b"the " else 0
+                own = part[lead:].split(b". ")[0].rstrip(b" \t\r\n.")
+                label = next((label for name, label in _names() if name.fullmatch(own)), None) if own else None
+                if label:
+                    found.append((_LISTED[0], len(own), at + lead, at + lead + len(own), label, _LISTED[1]))
+                at = joint.end() if joint else end
+    return found
+
+
 @lru_cache(maxsize=1)
 def _base_patterns() -> tuple[tuple[re.Pattern, str, bytes], ...]:
     return tuple(
@@ -269,11 +350,20 @@ def detections(low: bytes, gated: bool = True) -> list[tuple[int, int, str, floa
     for rule in admitted(low) if gated else rules():
         for m in rule.pattern.finditer(low):
             found.append((rule.priority, m.end() - m.start(), m.start(), m.end(), rule.label, rule.confidence))
+    found.extend(listed(low))
     found.sort(key=lambda d: (-d[0], -d[1], d[2], d[4]))
     kept: list[tuple[int, int, str, float]] = []
+    # The kept spans that lie in no other, by start and so by end: the last that begins at or
+    # before a place reaches furthest of all that do.
+    starts, ends = [], []
     for _, _, start, end, label, confidence in found:
-        if not any(a <= start and end <= b for a, b, _, _ in kept):
-            kept.append((start, end, label, confidence))
+        at = bisect_right(starts, start)
+        if at and ends[at - 1] >= end:
+            continue
+        kept.append((start, end, label, confidence))
+        first = bisect_left(starts, start)
+        after = bisect_right(ends, end)
+        starts[first:after], ends[first:after] = [start], [end]
     return sorted(kept)
 
 
@@ -291,9 +381,12 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
 
     ``n_words, n_base, first_word, last_word, base_labels, labels, score`` and ``spans``, the
     byte ranges (in UTF-8) of the method's detections.  A null or empty text has no words, no
-    places, null first and last words, empty label lists and score 0.  The score is the chance
+    places, null first and last words, empty label lists and score 0.  A ``keep`` column called like one of
+    these results is left out.  The score is the chance
     that at least one finding is right if each is so with its confidence; a base place has 0.9.
     """
+    results = {name.split()[0] for name in _SCHEMA.split(", ")}
+    keep = tuple(c for c in keep if c.lower() not in results)
     kept = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_scanned"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]] + [_SCHEMA])
 
@@ -326,8 +419,8 @@ def _scan_one(low: bytes) -> tuple:
     base = sorted({label for _, label in places})
     first = last = None
     if places:
-        at = [int(np.count_nonzero(heads[:p])) for p, _ in places]
-        first, last = min(at), max(at)
+        before = np.cumsum(heads)  # words that begin up to each byte
+        first, last = (int(before[p]) - int(heads[p]) for p in (min(places)[0], max(places)[0]))
     wrong = 1.0
     for _, _, _, confidence in kept:
         wrong *= 1.0 - confidence

@@ -32,7 +32,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import map_arrow, written
+from tideline.llm.common import map_arrow, sampled, written
 
 #: Signatures of issuers: fixed forms that their keys have.
 SIGNATURES: tuple[tuple[str, str], ...] = (
@@ -320,9 +320,8 @@ def planted_findings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     there.  Candidates that touch the planted value count; those of the text itself have no label.
     """
     total = docs.count()
-    share = min(1.0, rows / total) if total else 1.0
     body = docs.select(F.col(f"`{id_column}`").cast("string").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    body = body.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000) + (share >= 1))
+    body = body.where(sampled(F.xxhash64("id", F.lit(seed)), rows, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,9 +15,11 @@ import heapq
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tideline.llm.common import map_arrow, ship, written
+from tideline.llm.common import map_arrow, sampled, ship, written
 
 #: Most labelled texts that the model is fitted on; beyond, a hash picks so many at random.
 SAMPLE_ROWS = 20_000
@@ -92,8 +94,9 @@ def folded(text: str | None) -> str:
 
 def terms_of(text: str | None) -> set[str]:
     """What may become a term: ``=word`` for whole words, ``^abcd`` for beginnings."""
-    words = {w for w in _WORDS.findall(folded(text)) if len(w) <= 40}
-    out = {"=" + w for w in words if len(w) > 2}
+    words = set(_WORDS.findall(folded(text)))
+    # Of a longer run, such as a sentence of a script without spaces, only beginnings can be terms.
+    out = {"=" + w for w in words if 2 < len(w) <= 40}
     for size in PREFIXES:
         out.update("^" + w[:size] for w in words if len(w) >= size)
     return out
@@ -144,7 +147,11 @@ class Model:
                 elif term[0] == "^" or closed:
                     found.append((start, end + 1, term))
         if harmless:
-            found = [h for h in found if not any(a <= h[0] and h[1] <= b for a, b in harmless)]
+            # How far the phrases reach that begin at or before each place.
+            harmless.sort()
+            begins = [a for a, _ in harmless]
+            reach = list(accumulate((b for _, b in harmless), max))
+            found = [h for h in found if not (at := bisect_right(begins, h[0])) or reach[at - 1] < h[1]]
         return found
 
     def features(self, text: str | None) -> tuple[float, float, float]:
@@ -235,11 +242,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Model:
     """
     spark = docs.sparkSession
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    total = marked.count()
-    share = min(1.0, sample / total) if total else 1.0
-    slot = F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(1_000_000))
     # The ids picked are bounded by the sample's size, so they may be broadcast.
-    picked = F.broadcast(marked.where(slot < int(share * 1_000_000) + (share >= 1)))
+    picked = F.broadcast(marked.where(sampled(F.xxhash64("doc_id", F.lit(31)), sample, marked.count())))
     texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(picked, "doc_id")
     texts = texts.withColumn("_mark", F.xxhash64("text")).dropDuplicates(["_mark", "toxic"])
     texts = written(texts.select("text", (F.col("toxic") > 0).cast("int").alias("toxic")).repartition(24), "toxic-sample")
