@@ -165,3 +165,35 @@ def test_try_sum_of_decimals(spark):
     df = df.withColumn("amount", F.col("text").cast("decimal(38,0)"))
     got = run(df, "sum", WindowSpec("sliding", "5 minutes", "1 minute"), field="amount", try_sum=True)
     assert got.filter(F.col("window_start") == T0).first()["total"] is None
+
+
+@pytest.mark.parametrize("ntz", [True, False])
+def test_distinct_intervals_with_nulls_gaps_and_small_chunks(spark, monkeypatch, ntz):
+    from tideline.operators import aggregate as module
+
+    monkeypatch.setattr(module, "_CHUNK", 3)
+    data = []
+    for i in range(400):
+        seconds = (i * 7919) % 9000 if i % 3 else i  # dense at first, then sparse
+        value = None if i % 11 == 0 else i % 4
+        data.append((T0 + timedelta(seconds=seconds), value, "g" if i % 5 else None))
+    data += [(T0 + timedelta(days=9), None, "h"), (T0 + timedelta(days=9, seconds=1), None, "h"), (None, 1, "h")]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, user_id int, device_type string")
+    df = df if ntz else df.withColumn("ts", F.col("ts").cast("timestamp"))
+    for size, slide in [("5 minutes", "1 minute"), ("10 minutes", "3 minutes"), ("2 minutes", "90 seconds")]:
+        for group in ((), ("device_type",)):
+            spec = {"field": "user_id", "group_by": group}
+            window = WindowSpec("sliding", size, slide)
+            plain, own = (run(df, "count_distinct", window, panes=p, **spec) for p in (False, True))
+            assert own.schema.simpleString() == plain.schema.simpleString()
+            assert sorted(map(str, own.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_a_value_sends_two_rows_for_each_interval(spark):
+    """Four hours of one value every second, in windows of an hour by the minute."""
+    df = spark.range(4 * 3600).select(F.expr("timestamp_seconds(id)").alias("ts"), F.lit(1).alias("user_id"))
+    window = WindowSpec("sliding", "1 hour", "1 minute")
+    spec = AggregationSpec("q", "count_distinct", window, field="user_id")
+    rows = aggregate(df, spec, time="ts", panes=True)
+    assert rows.count() == 4 * 60 + 59
+    assert rows.agg(F.min("unique_count"), F.max("unique_count")).first() == (1, 1)

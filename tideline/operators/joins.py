@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tideline.functions.times import duration_micros
 
 from tideline.operators.late import interval
 from tideline.operators.ordered import next_match
+from tideline.session import ship
 
 
 def without_follow_up(first: DataFrame, second: DataFrame, key: str, time: str, within: str) -> DataFrame:
@@ -45,26 +53,86 @@ def first_follow_up(
 
 
 def without_follow_up_stream(
-    first: DataFrame, second: DataFrame, key: str, time: str, within: str, delay: str
+    first: DataFrame, second: DataFrame, key: str, time: str, within: str, delay: str, shards: int | None = None
 ) -> DataFrame:
     """The streaming form (append): a row is emitted once the watermark rules a follow-up out.
 
-    Streams have no left-anti join, so this is an interval left-outer join.  Follow-ups are
-    first reduced to one per (key, instant).
+    As on a table, rows meet by slot of time and never as pairs: of the ``second`` rows the state
+    keeps one greatest and one least time per key and slot, of the ``first`` rows those that are
+    still open.  State is held by (shard of the keys, slot), so a key's rows of all time are never
+    in one place; a timer wakes a group when its next row falls due, and it is gone when the
+    watermark has passed its slot and all its rows.  The watermark is that of the side that lags.
+    Rows behind it are dropped, as are ``first`` rows without a time; one without a key has no
+    follow-up.  By default there are as many shards as shuffle partitions; like these, their number
+    should stay what it was when the query was first started.
     """
-    left = first.withWatermark(time, delay).alias("l")
-    right = (
-        second.select(F.col(key).alias("k__"), F.col(time).alias("t__"))
-        .withWatermark("t__", delay)
-        .dropDuplicates()
-        .alias("r")
-    )
-    on = (
-        (F.col(f"l.{key}") == F.col("r.k__"))
-        & (F.col("r.t__") >= F.col(f"l.{time}"))
-        & (F.col("r.t__") <= F.col(f"l.{time}") + interval(within))
+    ship(first.sparkSession)
+    shards = shards or int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = duration_micros(within)
+    names = first.columns
+    clash = {"side__", "micros__", "key__", "shard__", "slot__"} & set(names)
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} are in use")
+    kind = first.schema[key].dataType
+    opened = first.withWatermark(time, delay).withColumn("side__", F.lit(0))
+    closing = second.select(F.col(key).cast(kind).alias(key), F.col(time)).withWatermark(time, delay)
+    closing = closing.filter(F.col(key).isNotNull()).withColumn("side__", F.explode(F.array(F.lit(1), F.lit(2))))
+    mixed = opened.unionByName(closing, allowMissingColumns=True).withColumn("micros__", F.unix_micros(time))
+    # A second row stands in its own slot and, as one that comes after, in the slot before.
+    slot = F.expr(f"floor(micros__ / {width}D) - IF(side__ = 2, 1, 0)").cast("long")
+    shard = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(shards)).cast("int")
+    grouped = mixed.filter("micros__ IS NOT NULL").withColumns({"shard__": shard, "slot__": slot}).groupBy("shard__", "slot__")
+    decide = FollowUps(names, key, width)
+    return grouped.applyInPandasWithState(
+        decide, first.schema, "held binary", "append", GroupStateTimeout.EventTimeTimeout
     )
-    return left.join(right, on, "leftOuter").filter(F.col("r.k__").isNull()).select("l.*")
+
+
+class FollowUps:
+    """What happens to the open rows of one shard and slot as rows and the watermark come in."""
+
+    def __init__(self, names: list[str], key: str, width: int):
+        self.names = names
+        self.key = key
+        self.width = width
+
+    def __call__(self, group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        passed = state.getCurrentWatermarkMs()
+        # Open rows; the last second row of each key in the slot; its first in the next slot.
+        held, last, after = pickle.loads(state.get[0]) if state.exists else (None, {}, {})
+        if not state.hasTimedOut:
+            for frame in frames:
+                frame = frame[frame["micros__"] >= passed * 1000]
+                own = frame[frame["side__"] == 1].groupby(self.key)["micros__"].max()
+                last = _merged(last, own, max)
+                after = _merged(after, frame[frame["side__"] == 2].groupby(self.key)["micros__"].min(), min)
+                rows = frame.loc[frame["side__"] == 0, [*self.names, "micros__"]]
+                if len(rows):
+                    held = rows if held is None else pd.concat([held, rows], ignore_index=True)
+        due = None
+        if held is not None and len(held):
+            at, keys = held["micros__"], held[self.key]
+            followed = (keys.map(last).fillna(-(2**62)) >= at) | (keys.map(after).fillna(2**62) <= at + self.width)
+            held = held[~(followed & keys.notna())]
+            ends = (held["micros__"] + self.width) // 1000
+            ready = ends < passed
+            if ready.any():
+                yield held.loc[ready, self.names]
+            held, ends = held[~ready], ends[~ready]
+            due = int(ends.min()) if len(held) else None
+        slot_end = (int(group[1]) + 1) * self.width // 1000
+        if due is None and passed > slot_end:
+            if state.exists:
+                state.remove()
+            return
+        state.update((pickle.dumps((held, last, after)),))
+        state.setTimeoutTimestamp(max(passed + 1, slot_end if due is None else due))
+
+
+def _merged(held: dict, new: pd.Series, better) -> dict:
+    for key, micros in new.items():
+        held[key] = better(held.get(key, micros), micros)
+    return held
 
 
 def enrich(facts: DataFrame, reference: DataFrame, on: str | list[str] | Column, how: str = "left") -> DataFrame:
