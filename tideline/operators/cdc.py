@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import topic_schema_and_table
+from tideline.operators import dlq
 from tideline.operators.ranking import latest
 from tideline.sources.decode import CORRUPT, json_record, once
 
@@ -167,19 +168,26 @@ class ChangeRouter:
     """Per-table handlers for ``foreachBatch``: each gets its table's changes as a DataFrame.
 
     Tables without a handler are ignored.  The batch is persisted once, however many
-    handlers read it.
+    handlers read it.  Messages that are no JSON object go to ``bad`` as dead letters; without
+    one they are skipped.
     """
 
-    def __init__(self):
+    def __init__(self, bad: Callable[[DataFrame, int], None] | None = None):
         self._handlers: dict[str, Callable[[DataFrame, int], None]] = {}
+        self._bad = bad
 
     def add_handler(self, table: str, handler: Callable[[DataFrame, int], None]) -> ChangeRouter:
         self._handlers[table] = handler
         return self
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
-        changes = parse_changes(messages).persist()
+        changes = parse_changes(messages, keep_corrupt=self._bad is not None).persist()
         try:
+            if self._bad is not None:
+                corrupt = changes.filter("error_type = 'CorruptRecord'")
+                message = F.lit("Payload is not a JSON object")
+                self._bad(dlq.dead_letters(corrupt.withColumn("error_message", message), event="raw", failed_at=_message_time()), batch_id)
+                changes = changes.filter("error_type IS NULL OR error_type <> 'CorruptRecord'").drop("error_type")
             for table, handler in self._handlers.items():
                 handler(table_changes(changes, table), batch_id)
         finally:
@@ -188,3 +196,41 @@ class ChangeRouter:
     def run(self, messages: DataFrame) -> None:
         """The bounded form: one pass over a stored log."""
         self(messages, 0)
+
+
+def _message_time() -> Column:
+    return F.coalesce("ts_ms", F.unix_millis(F.current_timestamp()))
+
+
+class EventHandler:
+    """A handler that calls ``function`` with every change of a table, as a dict of ``columns``.
+
+    The calls run in the executors.  A change whose call raises goes to ``bad`` as a dead letter
+    with the error's name and text; the others go on to ``good``, if there is one.  A repeated
+    batch calls again, so the function should not mind; its letters overwrite the earlier ones
+    where ``bad`` keeps a folder per batch.
+    """
+
+    def __init__(
+        self,
+        function: Callable[[dict], None],
+        columns: list[str],
+        bad: Callable[[DataFrame, int], None],
+        good: Callable[[DataFrame, int], None] | None = None,
+    ):
+        self.function = function
+        self.columns = columns
+        self.bad = bad
+        self.good = good
+
+    def __call__(self, changes: DataFrame, batch_id: int) -> None:
+        kept = ["raw", "topic", "partition", "offset", "ts_ms"]
+        wanted = [*dict.fromkeys([*self.columns, *kept])]
+        called = dlq.guarded(changes, self.function, wanted, self.columns).persist()
+        try:
+            good, bad = dlq.split(called)
+            self.bad(dlq.dead_letters(bad, event="raw", failed_at=_message_time()), batch_id)
+            if self.good is not None:
+                self.good(good.select(*self.columns), batch_id)
+        finally:
+            called.unpersist()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.session import ship
 from tideline.sources.decode import CORRUPT, json_record, once
 
 # Envelope fields and the default number of retries.
@@ -163,13 +164,18 @@ def report(letters: DataFrame) -> DataFrame:
     )
 
 
-def guarded(rows: DataFrame, function: Callable[[dict], None], columns: list[str]) -> DataFrame:
+def guarded(
+    rows: DataFrame, function: Callable[[dict], None], columns: list[str], given: list[str] | None = None
+) -> DataFrame:
     """Run a per-row callback in Python; a row whose call raises gets its error, the rest none.
 
+    The result has ``columns`` and the error; the callback sees ``given`` of them, by default all.
+
     The callback is the user's own code, so this is the one place rows pass through Python;
     they do so in Arrow batches, spread over all partitions.
     """
-    fields = [f for f in rows.schema.fields if f.name in columns]
+    ship(rows.sparkSession)
+    fields = rows.select(*columns).schema.fields
     schema = T.StructType(
         [*fields, T.StructField("error_type", T.StringType()), T.StructField("error_message", T.StringType())]
     )
@@ -177,7 +183,7 @@ def guarded(rows: DataFrame, function: Callable[[dict], None], columns: list[str
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             types, messages = [], []
-            for record in frame.to_dict("records"):
+            for record in frame[given or columns].to_dict("records"):
                 try:
                     function(record)
                     types.append(None)

@@ -52,7 +52,7 @@ def kafka_options(
 def event_stream(
     spark: SparkSession,
     event_types: list[str],
-    servers: str = "localhost:9092",
+    servers: str,
     prefix: str = "events",
     max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
@@ -63,12 +63,12 @@ def event_stream(
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def change_stream(spark: SparkSession, topics: list[str], servers: str = "localhost:9092") -> DataFrame:
+def change_stream(spark: SparkSession, topics: list[str], servers: str) -> DataFrame:
     """Change topics from the earliest offset; the query checkpoint replaces auto-commit."""
     return spark.readStream.format("kafka").options(**kafka_options(servers, topics, "earliest")).load()
 
 
-def dead_letter_stream(spark: SparkSession, servers: str = "localhost:9092", topic: str = "events.dlq") -> DataFrame:
+def dead_letter_stream(spark: SparkSession, servers: str, topic: str = "events.dlq") -> DataFrame:
     """Dead-letter messages from the earliest offset; decode with ``operators.dlq.from_messages``."""
     return spark.readStream.format("kafka").options(**kafka_options(servers, [topic], "earliest")).load()
 
@@ -79,7 +79,7 @@ def dead_letter_files(spark: SparkSession, path: str, one_per_file: bool = False
     return dlq.from_files(rows)
 
 
-def backfill(spark: SparkSession, topics: list[str], servers: str = "localhost:9092") -> DataFrame:
+def backfill(spark: SparkSession, topics: list[str], servers: str) -> DataFrame:
     """The whole retained history of some topics as a bounded table."""
     options = kafka_options(servers, topics, "earliest")
     return spark.read.format("kafka").options(**options, endingOffsets="latest").load()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -9,12 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import to_cents
+from tideline.functions.times import wall_millis
 from tideline.operators import cdc, dlq
 from tideline.operators.aggregate import flatten_window
 from tideline.plans.jobs import AggregationJob
 from tideline.plans.spec import AggregationSpec, WindowSpec
-from tideline.sources.decode import checked, decode_types
-from tideline.sources.messages import subscribe
+from tideline.session import scratch_path
+from tideline.sinks.writers import batch_folder, dead_letter_writer, file_writer, publish
+from tideline.sources.decode import checked, decode_json, decode_types
+from tideline.sources.messages import dead_letter_files, subscribe
 from tideline.sources.tables import table
 from tideline.workloads.inputs import CLICKSTREAM, change_log, customer_log, event_messages, events, flawed_messages
 from tideline.workloads.registry import query
@@ -337,3 +341,75 @@ def job_conflicting_fields(spark, folder):
     counted = rows.select(F.concat(F.lit("counted as "), "event_type").alias("went"), "cents")
     letters = dlq.dead_letters(bad, failed_at=F.lit(0)).select(F.col("error_type").alias("went"), F.lit(0).cast("long").alias("cents"))
     return counted.unionByName(letters).groupBy("went").agg(F.count("*").alias("messages"), F.sum("cents").alias("cents"))
+
+
+LIMIT_CENTS = 20_000_000
+
+
+def _call(change: dict) -> None:
+    """A user's callback: no order may be dearer than the limit; a tombstone has no amount."""
+    order = json.loads(change["data"])
+    if order["amount_cents"] > LIMIT_CENTS:
+        raise ValueError(f"{order['id']} is too dear")
+
+
+@query(
+    "cdc_callback_errors",
+    f"""SELECT CASE WHEN op_name = 'TOMBSTONE' THEN 'KeyError' WHEN cents > {LIMIT_CENTS} THEN 'ValueError' ELSE 'called' END AS went,
+               count(*) AS changes, CAST(sum(lsn) AS BIGINT) AS offsets FROM {_LOG} GROUP BY 1""",
+)
+def cdc_callback_errors(spark, folder):
+    """A callback for every change of a table; those it raises for are dead letters, the rest go on."""
+    path = scratch_path(spark, "callbacks")
+    handler = cdc.EventHandler(_call, ["data", "offset"], batch_folder(f"{path}/bad"), batch_folder(f"{path}/good"))
+    cdc.ChangeRouter(batch_folder(f"{path}/corrupt")).add_handler("orders", handler).run(change_log(table(spark, folder, "orders")))
+    letters = spark.read.parquet(f"{path}/bad").select(F.col("error_type").alias("went"), F.regexp_extract("event_id", r"(\d+)$", 1).cast("long").alias("offset"))
+    good = spark.read.parquet(f"{path}/good").select(F.lit("called").alias("went"), F.col("offset").cast("long").alias("offset"))
+    return letters.unionByName(good).groupBy("went").agg(F.count("*").alias("changes"), F.sum("offset").alias("offsets"))
+
+
+@query(
+    "publish_round_trip",
+    """SELECT event_type, count(*) AS published, count(*) AS read_back, CAST(sum(round(value * 100)) AS BIGINT) AS cents,
+              count(DISTINCT user_id) AS keys FROM events GROUP BY event_type""",
+)
+def publish_round_trip(spark, folder):
+    """Flat events of each declared type sent as keyed messages to a file topic, and read and decoded again."""
+    root = scratch_path(spark, "published")
+    flat = events(spark, folder).select(
+        F.col("event_id").cast("string").alias("event_id"),
+        wall_millis("ts").alias("timestamp"),
+        F.col("user_id").cast("string").alias("user_id"),
+        "props",
+        "value",
+        "event_type",
+    )
+    found = None
+    for kind in CLICKSTREAM.event_types:
+        sent = publish(flat.filter(F.col("event_type") == kind.name).drop("event_type"), CLICKSTREAM, kind.name, file_writer(root))
+        back = spark.read.parquet(f"{root}/events.{kind.name}")
+        decoded = decode_json(back, kind, "user_id").select(to_cents("value").alias("cents"), F.lit(1).alias("read"), F.lit(None).cast("string").alias("key"))
+        both = decoded.unionByName(back.select(F.col("key").cast("string").alias("key")), allowMissingColumns=True)
+        own = both.agg(F.count("read").alias("read_back"), F.sum("cents").alias("cents"), F.count_distinct("key").alias("keys"))
+        own = own.select(F.lit(kind.name).alias("event_type"), F.lit(sent).cast("long").alias("published"), "read_back", "cents", "keys")
+        found = own if found is None else found.unionByName(own)
+    return found.filter("published > 0")
+
+
+@query(
+    "dlq_file_scan",
+    f"""SELECT {TOPIC_SQL} AS original_topic, {ERROR_SQL} AS error_type, count(*) AS letters, CAST(sum(event_id % 5) AS BIGINT) AS retries,
+               CAST(min(epoch_us(ts) // 1000) AS BIGINT) AS first_failed,
+               count(DISTINCT CASE WHEN event_id % 97 = 0 THEN ({LETTER_ID_SQL}) ELSE CAST(event_id AS VARCHAR) END) AS ids
+        FROM events WHERE ({ERROR_SQL}) IS NOT NULL GROUP BY ALL""",
+)
+def dlq_file_scan(spark, folder):
+    """Dead letters written to files as JSON lines, scanned and restored."""
+    path = scratch_path(spark, "letters")
+    dead_letter_writer("file", path)(_letters(spark, folder))
+    return dead_letter_files(spark, path).groupBy("original_topic", "error_type").agg(
+        F.count("*").alias("letters"),
+        F.sum("retry_count").alias("retries"),
+        F.min("timestamp").alias("first_failed"),
+        F.count_distinct("event_id").alias("ids"),
+    )

@@ -19,17 +19,19 @@ from tideline.functions.scalars import to_cents
 from tideline.functions.times import instant_to_wall
 from tideline.operators import cdc, dlq
 from tideline.operators.aggregate import aggregate, flatten_window
-from tideline.operators.alerts import event_alerts
+from tideline.operators.alerts import event_alerts, metric_alerts
 from tideline.operators.joins import enrich, without_follow_up_stream
 from tideline.operators.ranking import deduplicate, latest, top_per_window
 from tideline.operators.sessions import sessionize_stream
+from tideline.operators.sketches import distinct_panes
 from tideline.plans.domains import ECOMMERCE
 from tideline.plans.jobs import AggregationJob
-from tideline.plans.spec import AggregationSpec, WindowSpec
+from tideline.plans.spec import AggregationSpec, AlertSpec, Condition, WindowSpec
 from tideline.session import scratch_path
 from tideline.sinks.writers import UpsertTable, archive_columns, batch_folder, fan_out
 from tideline.sources.tables import table, table_stream
-from tideline.streaming.progress import ProgressLog
+from tideline.streaming.absent import AbsentWindows
+from tideline.streaming.progress import ProgressLog, observe_quality
 from tideline.streaming.queries import StreamRunner
 from tideline.streaming.routing import ChangeTable, CooldownSink, DeadLetterSplit, LateRouter
 from tideline.workloads.behaviour import ALERT_COOLDOWN_SQL
@@ -37,7 +39,7 @@ from tideline.workloads.changes import ERROR_SQL, ORDER_ROW, ORDER_STATE_SQL, TO
 from tideline.workloads.inputs import CLICKSTREAM, change_log, domain_messages, flawed_messages
 from tideline.workloads.registry import query
 from tideline.workloads.domains import spec_sql
-from tideline.workloads.windows import FIVE_BY_ONE, HOUR, sliding_sql, tumbling_sql
+from tideline.workloads.windows import FIVE_BY_ONE, HOUR, beside_exact, sketch_sql, sliding_sql, tumbling_sql
 
 DELAY = "10 minutes"
 _CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
@@ -342,3 +344,75 @@ def stream_late_split(spark, folder):
         own = spark.read.schema("event_id long").parquet(f"{path}/{part}").select(F.lit(went).alias("went"), "event_id")
         rows = own if rows is None else rows.unionByName(own)
     return rows.groupBy("went").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
+
+
+@query("stream_sketch_distinct", sketch_sql())
+def stream_sketch_distinct(spark, folder):
+    """Sketches that every micro-batch adds for itself, merged when read: a stream without state."""
+    stream = _raw_events(spark, folder)
+
+    def start(runner: StreamRunner, path: str) -> None:
+        add = batch_folder(path)
+
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            add(distinct_panes(batch, "user_id", "5 minutes", ["event_type"], "ts"), batch_id)
+
+        runner.foreach_batch(stream, handle, "sketches", "append")
+
+    panes = spark.read.parquet(_run(spark, "sketches", start)).drop("batch_id")
+    return beside_exact(table(spark, folder, "events"), panes, "5 minutes")
+
+
+# Hours of the events that the final watermark has closed, and the newest of them.
+_SILENT_HOURS = f"""
+    h AS (SELECT event_type, date_trunc('hour', ts) AS window_start, count(*) AS count FROM events
+          WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_CLOSED} GROUP BY ALL),
+    g AS (SELECT event_type, unnest(generate_series(min(window_start), (SELECT max(window_start) FROM h), INTERVAL 1 HOUR)) AS window_start
+          FROM h GROUP BY event_type)"""
+
+
+@query(
+    "stream_absent_alerts",
+    f"""WITH {_SILENT_HOURS} SELECT 'quiet' AS alert, g.event_type, g.window_start, coalesce(h.count, 0) AS count
+        FROM g LEFT JOIN h ON h.event_type = g.event_type AND h.window_start = g.window_start WHERE coalesce(h.count, 0) < 2""",
+)
+def stream_absent_alerts(spark, folder):
+    """Alerts on hours with fewer than two events of a type, none included; the third of five batches is empty."""
+    df = table(spark, folder, "events")
+    of_four = F.floor(_time_batch(df, "ts") * 4 / F.lit(BATCHES)).cast("int")
+    stream = _in_batches(spark, "gaps", df, df, F.when(of_four >= 2, of_four + 1).otherwise(of_four))
+    spec = _spec("count", HOUR, group_by=("event_type",))
+    hours = flatten_window(aggregate(stream.withWatermark("ts", DELAY), spec, time="ts"))
+    sink = None
+
+    def start(runner: StreamRunner, path: str) -> None:
+        nonlocal sink
+        sink = AbsentWindows(path, ["event_type"], "count", "1 hour", silent_for="1000 days")
+        runner.foreach_batch(hours, sink, "absent", "append")
+
+    _run(spark, "absent", start)
+    alert = AlertSpec("quiet", Condition("less_than", 2), "warning", metric="hourly")
+    found = metric_alerts(sink.read(spark), alert, _spec("count", HOUR))
+    return found.select("alert", "event_type", "window_start", "count")
+
+
+@query(
+    "stream_quality",
+    """SELECT count(*) AS rows_in, count(*) FILTER (WHERE event_type = 'error') AS rows_bad, max(ts) AS max_event_time FROM events""",
+)
+def stream_quality(spark, folder):
+    """Rows in, bad rows and newest event time, as the progress of every micro-batch has them."""
+    query = None
+
+    def start(runner: StreamRunner, path: str) -> None:
+        nonlocal query
+        watched = observe_quality(_raw_events(spark, folder), "ts", F.col("event_type") == "error")
+        query = runner.files(watched.select("event_id"), path, "quality")
+
+    _run(spark, "quality", start)
+    # One row per micro-batch.
+    seen = [p.observedMetrics["quality"] for p in query.recentProgress if p.numInputRows]
+    rows = spark.createDataFrame([(r.rows_in, r.rows_bad, str(r.max_event_time)) for r in seen], "rows_in long, rows_bad long, newest string")
+    return rows.agg(
+        F.sum("rows_in").alias("rows_in"), F.sum("rows_bad").alias("rows_bad"), instant_to_wall(F.max(F.col("newest").cast("timestamp"))).alias("max_event_time")
+    )

@@ -19,8 +19,9 @@ from tideline.operators.metrics import (
     rate,
 )
 from tideline.operators.ranking import deduplicate, latest, top_per_window
+from tideline.operators.sketches import distinct_error, distinct_over, distinct_panes, quantile_panes, quantiles_over, rank_error
 from tideline.plans.spec import AggregationSpec, AlertSpec, Condition, WindowSpec
-from tideline.session import scratch_path
+from tideline.session import scratch_path, stored
 from tideline.sinks.writers import UpsertTable, archive_columns, batch_sink, file_writer, write_batch
 from tideline.sources.decode import decode_json, union_types
 from tideline.sources.messages import first_messages, subscribe
@@ -451,3 +452,65 @@ def delivery_stats_query(spark, folder):
 
 def _with_status(df: DataFrame) -> DataFrame:
     return df.withColumn("status", F.when(F.col("event_type") == "error", "error").otherwise("success"))
+
+
+# ------------------------------------------------------------------ sketches
+
+SKETCH_WINDOWS = ("5 minutes", "1 hour", "1 day")
+
+
+def sketch_sql(where: str = "") -> str:
+    """Exact distinct users of every window of the three sizes, and that the estimate is near them."""
+    parts = [
+        f"SELECT '{size}' AS size, * FROM ({tumbling_sql(size, 'count(DISTINCT user_id) AS exact, true AS within_error', 'event_type, ')}) {where}"
+        for size in SKETCH_WINDOWS
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def beside_exact(df: DataFrame, panes: DataFrame, pane: str) -> DataFrame:
+    """Estimates from the panes beside the exact numbers, for windows of three sizes."""
+    found = None
+    for size in SKETCH_WINDOWS:
+        window = WindowSpec("tumbling", size)
+        estimate = flatten_window(distinct_over(panes, window, ["event_type"], pane, "estimate"), wall_clock=True)
+        exact = _windowed(df, "count_distinct", window, field="user_id", group_by=("event_type",))
+        joined = exact.withColumnRenamed("unique_count", "exact").join(estimate, ["window_start", "window_end", "event_type"])
+        # Four standard deviations, or one.
+        near = F.abs(F.col("estimate") - F.col("exact")) <= F.greatest(F.lit(1.0), 4 * distinct_error() * F.col("exact"))
+        own = joined.select(F.lit(size).alias("size"), "window_start", "window_end", "event_type", "exact", near.alias("within_error"))
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+@query("sketch_distinct_windows", sketch_sql())
+def sketch_distinct_windows(spark, folder):
+    """One stored table of 5-minute sketches answers windows of 5 minutes, an hour and a day."""
+    df = events(spark, folder)
+    panes = stored(distinct_panes(df, "user_id", "5 minutes", ["event_type"], "ts"), "distinct-panes")
+    return beside_exact(df, panes, "5 minutes")
+
+
+@query(
+    "sketch_quantiles",
+    """SELECT event_type, date_trunc('day', ts) AS day, q, count(*) AS rows, true AS within_error
+       FROM events, (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) v(q) WHERE value IS NOT NULL GROUP BY ALL""",
+)
+def sketch_quantiles(spark, folder):
+    """Quantiles per type and day from sketches per minute, against the exact ranks of the answers."""
+    wanted = [0.5, 0.95, 0.99]
+    df = events(spark, folder).filter("value IS NOT NULL")
+    panes = stored(quantile_panes(df, "value", "1 minute", ["event_type"], "ts"), "quantile-panes")
+    days = flatten_window(quantiles_over(panes, wanted, ["event_type"], WindowSpec("tumbling", "1 day"), "1 minute"))
+    asked = F.arrays_zip(F.array(*[F.lit(q) for q in wanted]).alias("q"), F.col("quantiles").alias("x"))
+    answers = days.select("event_type", F.col("window_start").alias("day"), F.explode(asked).alias("a"))
+    answers = answers.select("event_type", "day", F.col("a.q").alias("q"), F.col("a.x").alias("x"))
+    ranks = df.withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz")).join(answers, ["event_type", "day"])
+    ranks = ranks.groupBy("event_type", "day", "q").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("value") < F.col("x")).alias("below"),
+        F.count_if(F.col("value") <= F.col("x")).alias("upto"),
+    )
+    slack = F.col("rows") * (3 * rank_error()) + 1
+    near = (F.col("below") <= F.col("rows") * F.col("q") + slack) & (F.col("upto") >= F.col("rows") * F.col("q") - slack)
+    return ranks.select("event_type", "day", "q", "rows", near.alias("within_error"))
