@@ -65,7 +65,7 @@ def _step(state: np.ndarray, byte) -> np.ndarray:
 def _crc_on(state: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The running (inverted) crc32 ``state`` of each row after its bytes ``data[start:end]``."""
     sizes = ends - starts
-    order = np.argsort(-np.minimum(sizes, _ARRAY_WORD), kind="stable")
+    order = np.argsort(-np.minimum(sizes, _ARRAY_WORD + 1), kind="stable")  # the long ones first
     long = int((sizes > _ARRAY_WORD).sum())
     out = np.empty_like(state)
     for row in np.flatnonzero(sizes > _ARRAY_WORD).tolist():
