@@ -149,9 +149,9 @@ def judged(
     alpha: float = ALPHA,
     delta: float = DELTA,
 ) -> DataFrame:
-    """``docs`` without its text, with the numbers of ``features``, ``base_failed``, ``kept`` and
+    """``doc_id``, the numbers of ``features``, ``base_failed``, ``level`` (the level the document's
 
-    ``level``, the level its stratum uses.  ``docs`` needs ``doc_id, text`` and the stratum column
+    stratum uses) and ``kept``; other columns are left out.  ``docs`` needs ``doc_id, text`` and the stratum column
     (null is a stratum of its own); ``labels`` needs ``doc_id, quality`` (1: good).
     """
     slim = docs.select("doc_id", "text", F.col(f"`{stratum}`").alias("_given"))

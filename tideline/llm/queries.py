@@ -74,8 +74,19 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_copies(table(spark, folder, "documents")).select("doc_id", "class_id", "links")
 
 
-def _quality_sql() -> str:
-    ladder = quality.LADDER
+# The cutoffs, stated apart from the operator's own.
+_CUTOFFS = {
+    "symbols": (2.0, 1.0, 0.5, 0.3, 0.2, 0.1),
+    "bangs": (2.0, 1.0, 0.5, 0.3, 0.2, 0.1),
+    "doubled": (0.5, 0.3, 0.2, 0.15, 0.1, 0.08),
+    "lines": (0.9, 0.8, 0.7, 0.6, 0.5, 0.4),
+    "repeats": (0.3, 0.28, 0.26, 0.24, 0.22, 0.2),
+    "long_words": (20.0, 17.0, 15.0, 14.0, 13.0, 12.0),
+    "short_words": (-1.5, -1.7, -1.9, -2.1, -2.3, -2.5),
+}
+
+
+def _quality_sql(alpha: float = 0.01, delta: float = 0.05, level: str = "") -> str:
     value = {
         "symbols": "n_symbols / greatest(n_words, 1)",
         "bangs": "n_bangs / greatest(n_words, 1)",
@@ -86,10 +97,10 @@ def _quality_sql() -> str:
         "short_words": "-(word_chars / greatest(n_words, 1))",
     }
     levels = " ".join(
-        f"WHEN {' OR '.join(f'{value[n]} > CAST({cuts[k]} AS DOUBLE)' for n, cuts in ladder.items())} THEN {k + 1}"
-        for k in range(quality.LEVELS)
+        f"WHEN {' OR '.join(f'{value[n]} > CAST({cuts[k]} AS DOUBLE)' for n, cuts in _CUTOFFS.items())} THEN {k + 1}"
+        for k in range(6)
     )
-    last, alpha, delta = quality.LEVELS + 1, quality.ALPHA, quality.DELTA
+    last = 7
     return f"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents
@@ -129,7 +140,7 @@ WITH d AS (
   SELECT lang, coalesce(min(level) FILTER (WHERE NOT fine), {last}) - 1 AS level FROM b GROUP BY lang
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-       NOT base_failed AND first > coalesce(level, 0) AS kept
+       {level}NOT base_failed AND first > coalesce(level, 0) AS kept
 FROM v LEFT JOIN c ON v.lang IS NOT DISTINCT FROM c.lang
 """
 
@@ -143,6 +154,14 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op2_quality_rules_at_three_percent", _quality_sql(0.03, level="coalesce(level, 0) AS level, "))
+def op2_at_three_percent(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where 3 % of the good texts may be rejected, which fewer labels can vouch for."""
+    found = quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"), alpha=0.03)
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "level", "kept"]
+    return found.select(*columns)
+
+
 @query("op4_training_order")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Every training sequence of the documents, read back from the shards."""
