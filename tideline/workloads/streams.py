@@ -398,10 +398,11 @@ def stream_absent_alerts(spark, folder):
 
 @query(
     "stream_quality",
-    """SELECT count(*) AS rows_in, count(*) FILTER (WHERE event_type = 'error') AS rows_bad, max(ts) AS max_event_time FROM events""",
+    """SELECT count(*) AS rows_in, count(*) FILTER (WHERE event_type = 'error') AS rows_bad,
+              date_trunc('second', max(ts)) AS max_event_time FROM events""",
 )
 def stream_quality(spark, folder):
-    """Rows in, bad rows and newest event time, as the progress of every micro-batch has them."""
+    """Rows in, bad rows and newest event time (in seconds), as the progress of every micro-batch has them."""
     query = None
 
     def start(runner: StreamRunner, path: str) -> None:
@@ -413,6 +414,6 @@ def stream_quality(spark, folder):
     # One row per micro-batch.
     seen = [p.observedMetrics["quality"] for p in query.recentProgress if p.numInputRows]
     rows = spark.createDataFrame([(r.rows_in, r.rows_bad, str(r.max_event_time)) for r in seen], "rows_in long, rows_bad long, newest string")
-    return rows.agg(
-        F.sum("rows_in").alias("rows_in"), F.sum("rows_bad").alias("rows_bad"), instant_to_wall(F.max(F.col("newest").cast("timestamp"))).alias("max_event_time")
-    )
+    newest = F.max(F.col("newest").cast("timestamp")).alias("newest")
+    whole = rows.agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_bad").alias("rows_bad"), newest)
+    return whole.select("rows_in", "rows_bad", instant_to_wall("newest").alias("max_event_time"))
