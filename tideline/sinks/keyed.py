@@ -27,13 +27,15 @@ class KeyedTable:
     removed.  A batch that is not newer than the last commit is a replay and changes nothing; one
     that failed before its manifest is overwritten.  One writer at a time.
 
+    A bucket should hold about what one task reads well: the default suits some millions of rows.
+
     Newest is the greatest by ``order`` (nulls least), then by batch.  Without ``order`` a batch
     should hold a key once.  Null keys are a key.  With other ``buckets`` than the table was made
     with, the table's own number holds.
     """
 
     def __init__(
-        self, path: str, keys: list[str], order: list[str] | None = None, buckets: int = 16, fold_after: int = 8, keep: int = 2
+        self, path: str, keys: list[str], order: list[str] | None = None, buckets: int = 4, fold_after: int = 8, keep: int = 2
     ):
         self.path = path.rstrip("/")
         self.keys = keys

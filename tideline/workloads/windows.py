@@ -136,6 +136,16 @@ def sliding_count_distinct(spark, folder):
     return _windowed(events(spark, folder), "count_distinct", FIVE_BY_ONE, field="user_id", group_by=("event_type",))
 
 
+@query(
+    "sliding_count_distinct_hour",
+    sliding_sql("1 hour", "5 minutes", "count(DISTINCT user_id) AS unique_count", "event_type, "),
+)
+def sliding_count_distinct_hour(spark, folder):
+    """Twelve windows to an event, counted from the intervals in which each user is in them."""
+    window = WindowSpec("sliding", "1 hour", "5 minutes")
+    return _windowed(events(spark, folder), "count_distinct", window, field="user_id", group_by=("event_type",))
+
+
 @query(
     "tumbling_count_distinct_grouped",
     tumbling_sql("1 hour", "count(DISTINCT user_id) AS unique_count", "event_type, "),
