@@ -44,11 +44,12 @@ FIRST = 100
 BLOCK_ITEMS = 256
 BLOCK_BYTES = 4 << 20
 #: Tasks that merge the best of one item, before the last.
-SALTS = 32
+SALTS = 16
 
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
+_ROWS = 512  # documents looked up at once
 _SCALE = 1_000_000_000
-_ENTRIES = 1 << 19
+_ENTRIES = 1 << 18
 _FULL = 65_535  # a frequency of this or more, for the bound as good as endless
 
 
@@ -176,8 +177,9 @@ def _block(index: DataFrame, rows: list, documents: int, total: int) -> Block |
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(len(terms), np.int64)
         for batch in batches:
-            found = block.found(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8"))
-            df += np.bincount(found[found >= 0], minlength=len(terms))
+            for at in range(0, batch.num_rows, _ROWS):
+                found = block.found(np.frombuffer(b"".join(batch.column(0).slice(at, _ROWS).to_pylist()), "<u8"))
+                df += np.bincount(found[found >= 0], minlength=len(terms))
         used = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(df[used])], names=["term", "df"])
 
@@ -218,8 +220,8 @@ def _highest_bounds(index: DataFrame, block: Block, kind: str, first: int) -> Da
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[] for _ in block.names]
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
                 row, ids, n, coordinates, peaks = (c.to_pylist() if k != 2 else c.to_numpy() for k, c in enumerate(part.columns))
                 bounds = block.bounds(n, coordinates, peaks)
                 for item, own in enumerate(held):
@@ -255,8 +257,8 @@ def _thresholds(index: DataFrame, block: Block, kind: str, k: int, first: int) -
         for batch in batches:
             row, ids, n, hashes, tfs, item = (c.to_numpy() if k in (2, 5) else c.to_pylist() for k, c in enumerate(batch.columns))
             flat = []
-            for at in range(0, len(row), 1024):
-                cut = slice(at, at + 1024)
+            for at in range(0, len(row), _ROWS):
+                cut = slice(at, at + _ROWS)
                 scores = block.scores(n[cut], hashes[cut], tfs[cut])[np.arange(len(row[cut])), item[cut]]
                 flat += zip(item[cut].tolist(), scores.tolist(), ids[cut], row[cut])
             yield _pairs(flat, id_type)
@@ -274,8 +276,8 @@ def _rescored(index: DataFrame, block: Block, kind: str, k: int, thresholds: dic
         best: list[list] = [[] for _ in block.names]
         last = [thresholds.get(item, (1, None)) for item in range(len(block.names))]
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
                 row, ids, n, coordinates, peaks = (c.to_numpy() if i == 2 else c.to_pylist() for i, c in enumerate(part.columns[:5]))
                 bounds = block.bounds(n, coordinates, peaks)
                 exact: dict[int, np.ndarray] = {}  # each document is scored once, for all items
