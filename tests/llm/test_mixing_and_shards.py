@@ -105,7 +105,7 @@ def test_shards_hold_every_id_of_every_text(spark, folder):
     for doc_id, text in rows:
         ids = model.encode(text or "")
         expected += [(doc_id, k, tuple(ids[16 * k : 16 * k + 16])) for k in range(-(-len(ids) // 16))]
-    records = shards.read_shards(spark, path, length=16).collect()
+    records = shards.read_shards(spark, path, length=16, per_shard=50).collect()
     total = len(expected)
     assert len(records) == total
     got = [(r["doc_id"], r["sequence"], tuple(np.frombuffer(r["ids"], "<u2").tolist())) for r in records]
@@ -113,7 +113,7 @@ def test_shards_hold_every_id_of_every_text(spark, folder):
     assert sorted(r["slot"] for r in records) == list(range(total))
     # A reader needs the manifest only: a slot says the shard and the byte.
     wide = shards.stride(16)
-    firsts = {r["shard"]: r["first_slot"] for r in shards.manifest(spark, path, 16).collect()}
+    firsts = {r["shard"]: r["first_slot"] for r in shards.manifest(spark, path, 16, 50).collect()}
     assert len(firsts) > 10
     for r in records[:: max(1, total // 40)]:
         shard = max(s for s, first in firsts.items() if first <= r["slot"])
@@ -135,6 +135,51 @@ def test_order_is_the_keys(spark, folder):
     assert {r[:3] for r in first} == {r[:3] for r in other}
 
 
+def test_order_is_that_of_the_permutation(spark, folder):
+    # Ten files of several row groups each, with texts of many sequences and repeated rows.
+    rows = [(k % 190, text) for k in range(20) for _, text in texts()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(10)
+    docs.write.option("parquet.block.size", 4096).option("parquet.page.row.count.limit", 20).parquet(folder)
+    docs = spark.read.parquet(folder)
+    model, _ = tokens.load_model(shards.MODEL)
+    place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    expected = []
+    for r in sorted(docs.select(*place, "doc_id", "text").collect(), key=lambda r: r[:2]):
+        n = -(-len(model.encode(r["text"] or "")) // 32)
+        expected += [(r["doc_id"], k) for k in range(n)]
+    slots = shards.permuted(np.arange(len(expected)), len(expected), "k")
+    expected = {slot: sequence for slot, sequence in zip(slots.tolist(), expected)}
+    changed = {}
+    name, limits = "spark.sql.files.maxPartitionBytes", ("128m", "3k", "40k")
+    try:
+        for limit, pieces in zip(limits, (shards.PIECES, shards.PIECES, 1)):
+            spark.conf.set(name, limit)
+            again = spark.read.parquet(folder)
+            changed[limit] = again.rdd.getNumPartitions()
+            out = shards.training_order(again.select("text", "doc_id"), length=32, per_shard=1000, key="k", pieces=pieces)
+            rows = out.collect()
+            assert len(rows) == len(expected)
+            assert {r["slot"]: (r["doc_id"], r["sequence"]) for r in rows} == expected
+            assert all(r["slot"] // 1000 == r["shard"] for r in rows)
+    finally:
+        spark.conf.unset(name)
+    assert len(set(changed.values())) > 1
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_rows_without_a_place_are_stored_first(spark, folder):
+    spark.createDataFrame(texts(), "doc_id long, text string").write.parquet(folder)
+    docs = spark.read.parquet(folder)
+    expected = sorted((r["doc_id"] or 0, r["sequence"]) for r in shards.training_order(docs).collect())
+    twice = docs.withColumn("_metadata", F.lit("clash")).union(docs.withColumn("_metadata", F.lit("x")))
+    for other in (twice, docs.withColumn("_metadata", F.explode(F.array(F.lit(1), F.lit(2))))):
+        rows = shards.training_order(other).collect()
+        assert sorted((r["doc_id"] or 0, r["sequence"]) for r in rows) == sorted(2 * expected)
+        assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
+    clash = docs.withColumn("_metadata", F.lit("clash"))
+    assert sorted((r["doc_id"] or 0, r["sequence"]) for r in shards.training_order(clash).collect()) == expected
+
+
 def test_nothing_to_write(spark, folder):
     empty = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     assert shards.training_order(empty).count() == 0

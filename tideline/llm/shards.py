@@ -1,13 +1,18 @@
 """Training-order output: token ids in fixed-stride binary shards under a keyed permutation.
 
-Texts become token ids, cut into sequences of ``length`` ids.  A sequence's number is that of its
-partition of the scan and its place there, which needs no other task.  A keyed Feistel network
-over the next even power of two, applied again while its result is outside the numbers' range
-(cycle walking), permutes the numbers; the order of the results is the training order, and a
-sequence's slot is its place in it.  Shards are equal ranges of the permuted numbers, so they hold
-nearly equally many records, in slot order.  Every record has the same size, so the sizes of the
-files say where each shard's slots begin, and a reader resumes at any slot by one seek.  Texts are
-read and encoded once and records shuffled once; one task writes a whole shard through Spark's
+Texts become token ids, cut into sequences of ``length`` ids.  All sequences have dense numbers,
+0 to N - 1, in the order of the files' paths, the rows in a file and the places in a text.  A keyed
+Feistel network over the next even power of two, applied again while its result is not below N
+(cycle walking), permutes the numbers: the result is the sequence's global slot.  Slot s is record
+s mod ``per_shard`` of shard s div ``per_shard``.  Shards are dealt to tasks by ranges of slots;
+every record has the same size, so a reader finds any slot by one division and one seek.
+
+A first pass counts the sequences of each piece of the scan, a run of neighbouring rows of one file
+read by one task; a prefix sum over files and pieces gives each piece its first number, whatever the
+pieces are, so the order is the same for any split of the files and any number of cores.  The second
+pass finds the first number of each piece in a broadcast table, of one small row per piece up to
+``PIECES`` of them (256 TB at 128 MB a piece); beyond that each row is a piece and Spark joins the two
+tables.  Texts are read twice, records shuffled once; one task writes a whole shard through Spark's
 file writer, so a lost or repeated task leaves no half shard.
 
 Record: doc_id (8 bytes), number of the sequence in its text (4), ids in use (4; the highest bit
@@ -17,15 +22,17 @@ set if the row has no doc_id), ``length`` ids of 2 bytes, all little-endian, and
 from __future__ import annotations
 
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import map_arrow, utf8_column
+from tideline.llm.common import map_arrow, utf8_column, written
 from tideline.llm.tokens import Lookup
 from tideline.session import scratch_path
 
@@ -35,9 +42,10 @@ PER_SHARD = 2048
 KEY = "epoch-0"
 HEADER = 16
 NO_ID = 1 << 31
-#: Partitions that a scan may have, and numbers that each has for its sequences.
-PARTITIONS = 1_000_000
-NUMBERS = 1 << 32
+#: Most pieces whose first numbers are broadcast, some 60 bytes each.
+PIECES = 2_000_000
+#: Shards that a task writes, if there are more than the session's shuffle partitions.
+SHARDS_PER_TASK = 32
 
 
 def stride(length: int = LENGTH) -> int:
@@ -73,13 +81,109 @@ def permuted(numbers: np.ndarray, total: int, key: str, rounds: int = 6) -> np.n
 
 
 def _ids(ids: list[int]) -> bytes:
-    return np.array(ids, "<u2").tobytes()
+    packed = array("H", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
-def _shard_count(rows: DataFrame, length: int, per_shard: int) -> int:
-    """Shards for about ``per_shard`` records each, taking 2.5 bytes of text for an id."""
-    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("text").alias("rows")).first()
-    return max(1, -(-int((size["bytes"] or 0) / (2.5 * length) + size["rows"] / 2) // per_shard))
+@contextmanager
+def _same_splits(spark: SparkSession):
+    """Files are split alike as long as this lasts, whatever executors come and go."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, before or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+
+
+def _rows(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """``file, path, row, doc_id, text``: every row with its place in the stored table.
+
+    Rows of a Parquet scan with chosen or computed columns have places; all others are stored first.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    deterministic = plan.deterministic()
+    while plan.nodeName() in ("Project", "SubqueryAlias"):
+        plan = plan.child()
+    docs = docs.select(
+        F.col(f"`{id_column}`").cast("long").alias("doc_id"),
+        F.col(f"`{text}`").alias("text"),
+        *([docs.metadataColumn("_metadata")] if plan.nodeName() == "LogicalRelation" else []),
+    )
+    if not (deterministic and len(docs.columns) == 3 and "row_index" in docs.schema[2].dataType.names):
+        docs = written(docs.select("doc_id", "text"), "sequences")
+        docs = docs.select("doc_id", "text", docs.metadataColumn("_metadata"))
+    place = F.col(docs.columns[2])
+    path = place.getField("file_path")
+    return docs.select(
+        F.xxhash64(path).alias("file"), path.alias("path"), place.getField("row_index").alias("row"), "doc_id", "text"
+    )
+
+
+def _breaks(files: np.ndarray, rows: np.ndarray, last: tuple[int, int] | None) -> np.ndarray:
+    """Which rows do not follow the one before them in the same file; ``last`` stands before all."""
+    file, row = last or (0, -2)
+    return (files != np.append(file, files[:-1])) | (rows != np.append(row, rows[:-1]) + 1)
+
+
+def _pieces(rows: DataFrame, model: str, length: int, single: bool) -> DataFrame:
+    """``file, row, n``: first row and sequences of each piece of the scan, or of each row (``single``)."""
+    names = ["file", "row", "n"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup, last, piece = Lookup(model, "length", len), None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            files, places = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            n = -(-lookup.counts(*utf8_column(batch.column(2))) // length)
+            if single:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (files, places, n)], names=names)
+                continue
+            breaks, done = _breaks(files, places, last), []
+            heads = np.union1d(np.flatnonzero(breaks), [0])
+            for at, total in zip(heads.tolist(), np.add.reduceat(n, heads).tolist()):
+                if breaks[at]:
+                    if piece:
+                        done.append(piece)
+                    piece = (int(files[at]), int(places[at]), total)
+                else:
+                    piece = (*piece[:2], piece[2] + total)
+            last = (int(files[-1]), int(places[-1]))
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*done)], names=names)
+        if piece:
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()) for c in piece], names=names)
+
+    return map_arrow(rows.select("file", "row", "text"), count, "file long, row long, n long")
+
+
+def _numbered(rows: DataFrame, model: str, length: int, most: int) -> tuple[DataFrame, int]:
+    """(``rows`` with the number of a piece's first sequence, ``start``, in its first row; all sequences)."""
+    pieces = written(_pieces(rows, model, length, False), "pieces")
+    few = pieces.count() <= most
+    if not few:
+        pieces = written(_pieces(rows, model, length, True), "pieces")
+    paths = rows.groupBy("file").agg(F.min("path").alias("path"), F.max("path").alias("other"))
+    files = written(paths.join(pieces.groupBy("file").agg(F.sum("n").alias("n")), "file"), "files")
+    total = files.agg(F.sum("n").alias("n"), F.count_if(F.col("path") != F.col("other")).alias("clashes")).first()
+    if total["clashes"]:
+        raise RuntimeError("two files have equal hashes of their paths")
+
+    def before(window) -> Column:
+        return F.coalesce(F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    # One row per file; these alone are ordered in one task.
+    firsts = files.select("file", before(Window.orderBy("path")).alias("first"))
+    inside = pieces.withColumn("inside", before(Window.partitionBy("file").orderBy("row")))
+    starts = inside.join(firsts, "file").select("file", "row", (F.col("first") + F.col("inside")).alias("start"))
+    starts = written(starts, "starts")
+    # Few pieces are sent to the rows, which so stay in the order of the scan.
+    return rows.join(F.broadcast(starts) if few else starts, ["file", "row"], "left"), total["n"] or 0
 
 
 def write_shards(
@@ -91,53 +195,71 @@ def write_shards(
     length: int = LENGTH,
     per_shard: int = PER_SHARD,
     key: str = KEY,
+    pieces: int = PIECES,
 ) -> None:
     """Write all texts to shards under ``path``, ``shard=<number>/part-*``.
 
-    The order follows from the key and from how the scan of ``docs`` is split and ordered, which
-    for stored files is the same every time.  A null or empty text has no sequences.  Repeated
-    rows are written as often as they come.
+    The order follows from the key and from the rows' places in the stored files, so it is the same
+    every time and on any cluster; a table that is no plain Parquet scan is stored first, and its
+    order is that of the stored rows.  An id that is no number counts as null in a session without
+    ANSI mode and fails in one with it.  A null or empty text has no sequences.  Repeated rows are
+    written as often as they come.  An empty table gives no shard.
     """
-    rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    shards = _shard_count(rows, length, per_shard)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, lookup, number = TaskContext.get().partitionId(), Lookup(model, "ids", _ids), 0
-        if part >= PARTITIONS:
-            raise ValueError(f"more than {PARTITIONS} partitions")
-        first, total = part * NUMBERS, PARTITIONS * NUMBERS
-
-        def packed(records: list[bytes]) -> pa.RecordBatch:
-            places = permuted(np.arange(first + number, first + number + len(records)), total, key)
-            shard = (places >> 16) * shards // (total >> 16)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(shard), pa.array(places), pa.array(records, pa.binary())], names=["shard", "place", "record"]
-            )
-
-        for batch in batches:
-            records: list[bytes] = []
-            for doc_id, found in zip(batch.column(0).to_pylist(), lookup.ids(*utf8_column(batch.column(1)))):
-                ids = found.tobytes()
-                head = (doc_id or 0).to_bytes(8, "little", signed=True)
-                for at in range(0, len(ids), 2 * length):
-                    own = ids[at : at + 2 * length]
-                    used = len(own) // 2 | (NO_ID if doc_id is None else 0)
-                    records.append(
-                        head + (at // (2 * length)).to_bytes(4, "little") + used.to_bytes(4, "little") + own
-                    )
-                if len(records) >= 2048:
-                    yield packed(records)
-                    number, records = number + len(records), []
-            if records:
-                yield packed(records)
-                number += len(records)
-
-    # Records travel without their padding; it is put on as the shard is written.
-    encoded = map_arrow(rows, encode, "shard long, place long, record binary")
-    size = stride(length) - 1
-    full = F.rpad("record", F.lit(size), F.lit(b"\x00"))
-    ordered = encoded.repartition("shard").sortWithinPartitions("shard", "place")
-    ordered.select("shard", full.cast("string").alias("record")).write.partitionBy("shard").option("lineSep", "\n").text(path)
+    spark = docs.sparkSession
+    with _same_splits(spark):
+        rows, total = _numbered(_rows(docs, id_column, text), model, length, pieces)
+        shards = max(1, -(-total // per_shard))
+        tasks = max(min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-shards // SHARDS_PER_TASK))
+
+        def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lookup, number, last = Lookup(model, "ids", _ids), 0, None
+
+            def packed(numbers: list[int], records: list[bytes]) -> pa.RecordBatch:
+                slots = permuted(np.array(numbers, np.int64), total, key)
+                task = (slots // per_shard * tasks // shards).astype(np.int32)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(task), pa.array(slots), pa.array(records, pa.binary())], names=["task", "slot", "record"]
+                )
+
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                files, places = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                if np.any(_breaks(files, places, last) & batch.column(2).is_null().to_numpy(zero_copy_only=False)):
+                    raise RuntimeError("the files were split in another way when their sequences were counted")
+                last = (int(files[-1]), int(places[-1]))
+                numbers: list[int] = []
+                records: list[bytes] = []
+                for start, doc_id, found in zip(
+                    batch.column(2).to_pylist(), batch.column(3).to_pylist(), lookup.ids(*utf8_column(batch.column(4)))
+                ):
+                    number = number if start is None else start
+                    ids = found.tobytes()
+                    head = (doc_id or 0).to_bytes(8, "little", signed=True)
+                    for at in range(0, len(ids), 2 * length):
+                        own = ids[at : at + 2 * length]
+                        used = len(own) // 2 | (NO_ID if doc_id is None else 0)
+                        records.append(
+                            head + (at // (2 * length)).to_bytes(4, "little") + used.to_bytes(4, "little") + own
+                        )
+                        numbers.append(number)
+                        number += 1
+                    if len(records) >= 2048:
+                        yield packed(numbers, records)
+                        numbers, records = [], []
+                if records:
+                    yield packed(numbers, records)
+
+        # Records travel without their padding; it is put on as the shard is written.
+        encoded = map_arrow(
+            rows.select("file", "row", "start", "doc_id", "text"), encode, "task int, slot long, record binary"
+        )
+        size = stride(length) - 1
+        full = F.rpad("record", F.lit(size), F.lit(b"\x00"))
+        shard = F.expr(f"slot div {per_shard}")
+        dealt = encoded.withColumn("shard", shard).repartitionById(tasks, "task").sortWithinPartitions("shard", "slot")
+        out = dealt.select("shard", full.cast("string").alias("record"))
+        out.write.partitionBy("shard").option("lineSep", "\n").text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -145,25 +267,23 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return files.withColumn("shard", F.regexp_extract("path", r"shard=(\d+)", 1).cast("long"))
 
 
-def manifest(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
-    """``shard, first_slot, records`` of every shard: one row per file, from the files' sizes."""
-    files = _files(spark, path).select("shard", F.expr(f"length div {stride(length)}").alias("records"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return files.select("shard", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("first_slot"), "records")
+def manifest(spark: SparkSession, path: str, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
+    """``shard, first_slot, records`` of every shard, from the files' names and sizes."""
+    records = F.expr(f"length div {stride(length)}").alias("records")
+    return _files(spark, path).select("shard", (F.col("shard") * per_shard).alias("first_slot"), records)
 
 
-def read_shards(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
     """Every record of the shards under ``path``: one row per slot, read back from the files.
 
     ``slot, shard, byte_offset, doc_id, sequence, n_ids, ids`` (binary, the ids in use).
     """
     schema = "slot long, shard long, byte_offset long, doc_id long, sequence long, n_ids long, ids binary"
-    content = _files(spark, path).select("shard", "content").join(manifest(spark, path, length), "shard")
     wide = stride(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, first, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            for number, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = np.frombuffer(content.as_buffer(), np.uint8)
                 if len(data) % wide:
                     raise RuntimeError(f"shard {number} is not a whole number of records")
@@ -176,7 +296,7 @@ def read_shards(spark: SparkSession, path: str, length: int = LENGTH) -> DataFra
                     place = np.arange(at, at + len(part), dtype=np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(first + place),
+                            pa.array(number * per_shard + place),
                             pa.array(np.full(len(part), number, np.int64)),
                             pa.array(place * wide),
                             pa.array(head[:, :8].copy().view("<i8")[:, 0], mask=used >= NO_ID),
@@ -187,7 +307,7 @@ def read_shards(spark: SparkSession, path: str, length: int = LENGTH) -> DataFra
                         names=["slot", "shard", "byte_offset", "doc_id", "sequence", "n_ids", "ids"],
                     )
 
-    return map_arrow(content.select("shard", "first_slot", "content"), run, schema)
+    return map_arrow(_files(spark, path).select("shard", "content"), run, schema)
 
 
 def training_order(docs: DataFrame, **options) -> DataFrame:
@@ -198,7 +318,7 @@ def training_order(docs: DataFrame, **options) -> DataFrame:
     spark = docs.sparkSession
     path = scratch_path(spark, "shards")
     write_shards(docs, path, **options)
-    records = read_shards(spark, path, options.get("length", LENGTH))
+    records = read_shards(spark, path, options.get("length", LENGTH), options.get("per_shard", PER_SHARD))
     return records.select(
         "slot", "shard", "byte_offset", "doc_id", "sequence", "n_ids", F.sha2("ids", 256).alias("sha256")
     )
