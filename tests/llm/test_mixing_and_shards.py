@@ -3,10 +3,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tideline.llm import mixing, shards, tokens
+from tideline.llm.common import utf8_column
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, source string"
@@ -135,6 +137,22 @@ def test_order_is_the_keys(spark, folder):
     assert {r[:3] for r in first} == {r[:3] for r in other}
 
 
+@pytest.mark.parametrize("entries", [0, 300, shards.ENTRIES])
+def test_kept_words_change_no_ids(monkeypatch, entries):
+    monkeypatch.setattr(shards, "ENTRIES", entries)
+    monkeypatch.setattr(shards, "CHUNK", 3000)
+    rng = random.Random(9)
+    own = [text for _, text in texts()] + ["".join(rng.choice("ab é▁\n漢") for _ in range(rng.randrange(90))) for _ in range(300)]
+    own += ["x" * 20_000, "\n\n ", " ", "▁"]
+    model, _ = tokens.load_model(shards.MODEL)
+    expected = [model.encode(text or "") for text in own]
+    words = shards.Words(shards.MODEL)
+    for _ in range(2):
+        column = utf8_column(pa.array(own, pa.string()))
+        assert words.lengths(*column).tolist() == [len(ids) for ids in expected]
+        assert [ids.tolist() for ids in words.texts(*column)] == expected
+
+
 def test_order_is_that_of_the_permutation(spark, folder):
     # Ten files of several row groups each, with texts of many sequences and repeated rows.
     rows = [(k % 190, text) for k in range(20) for _, text in texts()]
@@ -152,11 +170,11 @@ def test_order_is_that_of_the_permutation(spark, folder):
     changed = {}
     name, limits = "spark.sql.files.maxPartitionBytes", ("128m", "3k", "40k")
     try:
-        for limit, pieces in zip(limits, (shards.PIECES, shards.PIECES, 1)):
+        for limit, most in zip(limits, (shards.PIECES, shards.PIECES, 1)):
             spark.conf.set(name, limit)
             again = spark.read.parquet(folder)
             changed[limit] = again.rdd.getNumPartitions()
-            out = shards.training_order(again.select("text", "doc_id"), length=32, per_shard=1000, key="k", pieces=pieces)
+            out = shards.training_order(again.select("text", "doc_id"), length=32, per_shard=1000, key="k", most_pieces=most)
             rows = out.collect()
             assert len(rows) == len(expected)
             assert {r["slot"]: (r["doc_id"], r["sequence"]) for r in rows} == expected

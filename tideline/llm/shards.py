@@ -22,18 +22,18 @@ set if the row has no doc_id), ``length`` ids of 2 bytes, all little-endian, and
 from __future__ import annotations
 
 import hashlib
-import sys
-from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import map_arrow, utf8_column, written
-from tideline.llm.tokens import Lookup
+from tideline.llm.common import map_arrow, pieces, utf8_column, written
+from tideline.llm.text import word_hashes
+from tideline.llm.tokens import CHUNK, cut, encode_pretokens
 from tideline.session import scratch_path
 
 MODEL = "piece_bpe_32k.model"
@@ -44,6 +44,8 @@ HEADER = 16
 NO_ID = 1 << 31
 #: Most pieces whose first numbers are broadcast, some 60 bytes each.
 PIECES = 2_000_000
+#: Most pre-tokens that a worker keeps, about 30 bytes each.
+ENTRIES = 2_000_000
 #: Shards that a task writes, if there are more than the session's shuffle partitions.
 SHARDS_PER_TASK = 32
 
@@ -80,11 +82,98 @@ def permuted(numbers: np.ndarray, total: int, key: str, rounds: int = 6) -> np.n
     return x.astype(np.int64)
 
 
-def _ids(ids: list[int]) -> bytes:
-    packed = array("H", ids)
-    if sys.byteorder == "big":
-        packed.byteswap()
-    return packed.tobytes()
+class Words:
+    """The ids of pre-tokens that this worker has met, as arrays; both passes use them.
+
+    Entries are two sorted runs of hashes, old and new, with places in one array of ids; the new
+    run joins the old one when it has an eighth of its size.  Beyond ``ENTRIES`` entries, or eight
+    times as many ids, the worker starts anew.
+    """
+
+    def __init__(self, model: str):
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.runs, self.ids, self.used = [none, none], np.zeros(1 << 16, "<u2"), 0
+
+    def _add(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Places and sizes of more lists of ids."""
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        total = int(sizes.sum())
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.empty(total + self.used // 2, "<u2")])
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(lists), "<u2", total)
+        places = self.used + np.cumsum(sizes) - sizes
+        self.used += total
+        return places, sizes
+
+    def found(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``ids``, number of ids) of every pre-token that begins at one of ``starts``."""
+        if sum(len(run[0]) for run in self.runs) > ENTRIES or self.used > 8 * ENTRIES:
+            self.clear()
+        ends = np.append(starts[1:], len(data))
+        hashes, first, which = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        places, sizes = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        known = np.zeros(len(hashes), bool)
+        for own, at, size in self.runs:
+            if len(own):
+                near = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+                hit = own[near] == hashes
+                places[hit], sizes[hit] = at[near[hit]], size[near[hit]]
+                known |= hit
+        missing = np.flatnonzero(~known)
+        raw = data.tobytes() if len(missing) else b""
+        for begin in range(0, len(missing), 4096):
+            part = missing[begin : begin + 4096]
+            words = [raw[a:b] for a, b in zip(starts[first[part]].tolist(), ends[first[part]].tolist())]
+            places[part], sizes[part] = self._add(encode_pretokens(self.model, words))
+        self._keep(hashes[missing], places[missing], sizes[missing])
+        return places[which], sizes[which]
+
+    def _keep(self, *new: np.ndarray) -> None:
+        old, recent = self.runs
+        recent = _merged(recent, new)
+        if 8 * len(recent[0]) > len(old[0]):
+            old, recent = _merged(old, recent), tuple(c[:0] for c in recent)
+        self.runs = [old, recent]
+
+    def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Numbers of ids of every text."""
+        out = [np.zeros(0, np.int64)]
+        for a, b in pieces(offsets, CHUNK):
+            part, starts, rows = cut(data, offsets[a : b + 1])
+            sizes = self.found(part, starts)[1] if len(starts) else np.zeros(0, np.int64)
+            out.append(np.bincount(rows, weights=sizes, minlength=b - a).astype(np.int64))
+        return np.concatenate(out)
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of every text in order."""
+        for a, b in pieces(offsets, CHUNK):
+            part, starts, rows = cut(data, offsets[a : b + 1])
+            if not len(starts):
+                yield from (np.zeros(0, "<u2") for _ in range(a, b))
+                continue
+            places, sizes = self.found(part, starts)
+            before = np.cumsum(sizes) - sizes
+            ids = self.ids[np.repeat(places - before, sizes) + np.arange(int(sizes.sum()))]
+            bounds = np.cumsum(np.bincount(rows, weights=sizes, minlength=b - a).astype(np.int64))
+            yield from np.split(ids, bounds[:-1])
+
+
+def _merged(one: tuple, two: tuple) -> tuple:
+    """Two runs of entries, sorted by hash, as one."""
+    at = np.searchsorted(one[0], two[0])
+    return tuple(np.insert(a, at, b) for a, b in zip(one, two))
+
+
+_words: dict[str, Words] = {}
+
+
+def words_of(model: str) -> Words:
+    """This worker's pre-tokens under ``model``."""
+    return _words.setdefault(model, Words(model))
 
 
 @contextmanager
@@ -135,12 +224,12 @@ def _pieces(rows: DataFrame, model: str, length: int, single: bool) -> DataFrame
     names = ["file", "row", "n"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, last, piece = Lookup(model, "length", len), None, None
+        words, last, piece = words_of(model), None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             files, places = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            n = -(-lookup.counts(*utf8_column(batch.column(2))) // length)
+            n = -(-words.lengths(*utf8_column(batch.column(2))) // length)
             if single:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (files, places, n)], names=names)
                 continue
@@ -164,12 +253,12 @@ def _pieces(rows: DataFrame, model: str, length: int, single: bool) -> DataFrame
 
 def _numbered(rows: DataFrame, model: str, length: int, most: int) -> tuple[DataFrame, int]:
     """(``rows`` with the number of a piece's first sequence, ``start``, in its first row; all sequences)."""
-    pieces = written(_pieces(rows, model, length, False), "pieces")
-    few = pieces.count() <= most
+    parts = written(_pieces(rows, model, length, False), "pieces")
+    few = parts.count() <= most
     if not few:
-        pieces = written(_pieces(rows, model, length, True), "pieces")
+        parts = written(_pieces(rows, model, length, True), "pieces")
     paths = rows.groupBy("file").agg(F.min("path").alias("path"), F.max("path").alias("other"))
-    files = written(paths.join(pieces.groupBy("file").agg(F.sum("n").alias("n")), "file"), "files")
+    files = written(paths.join(parts.groupBy("file").agg(F.sum("n").alias("n")), "file"), "files")
     total = files.agg(F.sum("n").alias("n"), F.count_if(F.col("path") != F.col("other")).alias("clashes")).first()
     if total["clashes"]:
         raise RuntimeError("two files have equal hashes of their paths")
@@ -179,7 +268,7 @@ def _numbered(rows: DataFrame, model: str, length: int, most: int) -> tuple[Data
 
     # One row per file; these alone are ordered in one task.
     firsts = files.select("file", before(Window.orderBy("path")).alias("first"))
-    inside = pieces.withColumn("inside", before(Window.partitionBy("file").orderBy("row")))
+    inside = parts.withColumn("inside", before(Window.partitionBy("file").orderBy("row")))
     starts = inside.join(firsts, "file").select("file", "row", (F.col("first") + F.col("inside")).alias("start"))
     starts = written(starts, "starts")
     # Few pieces are sent to the rows, which so stay in the order of the scan.
@@ -195,7 +284,7 @@ def write_shards(
     length: int = LENGTH,
     per_shard: int = PER_SHARD,
     key: str = KEY,
-    pieces: int = PIECES,
+    most_pieces: int = PIECES,
 ) -> None:
     """Write all texts to shards under ``path``, ``shard=<number>/part-*``.
 
@@ -207,12 +296,12 @@ def write_shards(
     """
     spark = docs.sparkSession
     with _same_splits(spark):
-        rows, total = _numbered(_rows(docs, id_column, text), model, length, pieces)
+        rows, total = _numbered(_rows(docs, id_column, text), model, length, most_pieces)
         shards = max(1, -(-total // per_shard))
         tasks = max(min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-shards // SHARDS_PER_TASK))
 
         def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lookup, number, last = Lookup(model, "ids", _ids), 0, None
+            words, number, last = words_of(model), 0, None
 
             def packed(numbers: list[int], records: list[bytes]) -> pa.RecordBatch:
                 slots = permuted(np.array(numbers, np.int64), total, key)
@@ -231,7 +320,7 @@ def write_shards(
                 numbers: list[int] = []
                 records: list[bytes] = []
                 for start, doc_id, found in zip(
-                    batch.column(2).to_pylist(), batch.column(3).to_pylist(), lookup.ids(*utf8_column(batch.column(4)))
+                    batch.column(2).to_pylist(), batch.column(3).to_pylist(), words.texts(*utf8_column(batch.column(4)))
                 ):
                     number = number if start is None else start
                     ids = found.tobytes()
