@@ -44,8 +44,8 @@ HEADER = 16
 NO_ID = 1 << 31
 #: Most pieces whose first numbers are broadcast, some 60 bytes each.
 PIECES = 2_000_000
-#: Most pre-tokens that a worker keeps, about 30 bytes each.
-ENTRIES = 2_000_000
+#: Most pre-tokens that a worker keeps, about 25 bytes each.
+ENTRIES = 1_000_000
 #: Shards that a task writes, if there are more than the session's shuffle partitions.
 SHARDS_PER_TASK = 32
 
@@ -95,7 +95,7 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
         self.runs, self.ids, self.used = [none, none], np.zeros(1 << 16, "<u2"), 0
 
     def _add(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +129,7 @@ class Words:
             part = missing[begin : begin + 4096]
             words = [raw[a:b] for a, b in zip(starts[first[part]].tolist(), ends[first[part]].tolist())]
             places[part], sizes[part] = self._add(encode_pretokens(self.model, words))
-        self._keep(hashes[missing], places[missing], sizes[missing])
+        self._keep(hashes[missing], places[missing].astype(np.uint32), sizes[missing].astype(np.uint32))
         return places[which], sizes[which]
 
     def _keep(self, *new: np.ndarray) -> None:
