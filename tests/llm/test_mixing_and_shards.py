@@ -1,13 +1,14 @@
 import glob
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.llm import mixing, shards, tokens
+from tideline.llm import mixing, shards, text, tokens
 from tideline.llm.common import utf8_column
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -198,6 +199,52 @@ def test_rows_without_a_place_are_stored_first(spark, folder):
     assert sorted((r["doc_id"] or 0, r["sequence"]) for r in shards.training_order(clash).collect()) == expected
 
 
+def test_a_worker_needs_memory_for_a_batch_and_no_more(monkeypatch):
+    rng = random.Random(3)
+    own = [" ".join(rng.choice(["one", "two", "x\n", "三"]) for _ in range(500)) for _ in range(2000)]
+    column = utf8_column(pa.array(own, pa.string()))
+    monkeypatch.setattr(text, "_powers", np.ones(1, np.uint64))
+    monkeypatch.setattr(text, "_inverses", np.ones(1, np.uint64))
+    words = shards.Words(shards.MODEL)
+    tokens.load_model(shards.MODEL)
+    tracemalloc.start()
+    try:
+        words.lengths(*column)
+        assert sum(1 for _ in words.texts(*column)) == len(own)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(column[0]) > 3e6
+    assert peak < 60e6
+
+
+@pytest.mark.parametrize("most", [shards.PIECES, 1])
+def test_workers_get_small_batches(spark, folder, monkeypatch, most):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.rpad(F.lit("a b"), 4000, " cd").alias("text"))
+    rows.coalesce(1).write.parquet(folder)
+    made = shards.map_arrow
+
+    def watched(df, function, schema):
+        def run(batches):
+            def small():
+                for batch in batches:
+                    if batch.nbytes > 4 << 20:
+                        raise RuntimeError(f"a batch of {batch.nbytes} bytes")
+                    yield batch
+
+            return function(small())
+
+        return made(df, run, schema)
+
+    monkeypatch.setattr(shards, "map_arrow", watched)
+    shards.write_shards(spark.read.parquet(folder), f"{folder}-shards", per_shard=500, most_pieces=most)
+    monkeypatch.undo()
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+    read = shards.read_shards(spark, f"{folder}-shards", per_shard=500).select("doc_id", "sequence", "slot").collect()
+    assert sorted(r["slot"] for r in read) == list(range(len(read)))
+    assert {r["doc_id"] for r in read if r["sequence"] == 0} == set(range(3000))
+
+
 def test_nothing_to_write(spark, folder):
     empty = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     assert shards.training_order(empty).count() == 0

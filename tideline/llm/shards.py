@@ -13,7 +13,9 @@ pieces are, so the order is the same for any split of the files and any number o
 pass finds the first number of each piece in a broadcast table, of one small row per piece up to
 ``PIECES`` of them (256 TB at 128 MB a piece); beyond that each row is a piece and Spark joins the two
 tables.  Texts are read twice, records shuffled once; one task writes a whole shard through Spark's
-file writer, so a lost or repeated task leaves no half shard.
+file writer, so a lost or repeated task leaves no half shard.  Both passes give texts to the workers
+in batches of about ``BATCH`` bytes and look pre-tokens up ``CHUNK`` bytes at a time: what a batch
+and its arrays take, in Spark's buffers and in the worker, follows from these and the longest text.
 
 Record: doc_id (8 bytes), number of the sequence in its text (4), ids in use (4; the highest bit
 set if the row has no doc_id), ``length`` ids of 2 bytes, all little-endian, and a line feed.
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import map_arrow, pieces, utf8_column, written
 from tideline.llm.text import word_hashes
-from tideline.llm.tokens import CHUNK, cut, encode_pretokens
+from tideline.llm.tokens import cut, encode_pretokens
 from tideline.session import scratch_path
 
 MODEL = "piece_bpe_32k.model"
@@ -42,6 +44,9 @@ PER_SHARD = 2048
 KEY = "epoch-0"
 HEADER = 16
 NO_ID = 1 << 31
+#: Bytes of rows given to a worker at once, and of text cut up and looked up at once.
+BATCH = 2 << 20
+CHUNK = 1 << 19
 #: Most pieces whose first numbers are broadcast, some 60 bytes each.
 PIECES = 2_000_000
 #: Most pre-tokens that a worker keeps, about 25 bytes each.
@@ -177,15 +182,22 @@ def words_of(model: str) -> Words:
 
 
 @contextmanager
-def _same_splits(spark: SparkSession):
-    """Files are split alike as long as this lasts, whatever executors come and go."""
-    name = "spark.sql.files.minPartitionNum"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, before or str(spark.sparkContext.defaultParallelism))
+def _passes(spark: SparkSession):
+    """Settings of the two passes, where the session has none of its own.
+
+    Files are split alike, whatever executors come and go, and batches of rows are small.
+    """
+    wanted = {
+        "spark.sql.files.minPartitionNum": str(spark.sparkContext.defaultParallelism),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH),
+    }
+    own = {name: value for name, value in wanted.items() if spark.conf.get(name, None) is None}
+    for name, value in own.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
+        for name in own:
             spark.conf.unset(name)
 
 
@@ -295,7 +307,7 @@ def write_shards(
     written as often as they come.  An empty table gives no shard.
     """
     spark = docs.sparkSession
-    with _same_splits(spark):
+    with _passes(spark):
         rows, total = _numbered(_rows(docs, id_column, text), model, length, most_pieces)
         shards = max(1, -(-total // per_shard))
         tasks = max(min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-shards // SHARDS_PER_TASK))

@@ -29,7 +29,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """r**i and r**-i modulo 2**64 for i < n."""
     global _powers, _inverses
     if len(_powers) < n:
-        size = max(n, 1 << 21)
+        size = -(-n >> 18) << 18
         inverse = pow(_R, -1, 1 << 64)
         steps = np.full(size, _R, np.uint64)
         steps[0] = 1
